@@ -62,8 +62,8 @@ def _indexed(values: Column, build) -> Column:
 
 
 def head_signals() -> Column:
-    """The home page itself: its addresses, its redirects and why it may be unusable."""
-    return _one(F.col(PAGE) == 0, _signal("head", head=F.col("head")))
+    """One row per page; the home page's carries its addresses, redirects and usability."""
+    return F.array(_signal("head", head=F.col("head")))
 
 
 # --- evidence ----------------------------------------------------------------
