@@ -228,14 +228,10 @@ def usable_pages(pages: DataFrame) -> DataFrame:
     return pages.where((F.col("page_seq") == 0) | secondary)
 
 
-def page_facts(pages: DataFrame) -> DataFrame:
-    """Crawled pages → one fact row per page; the body does not survive this step.
-
-    Signals that need raw markup are taken on the JVM side before the parse pass. Write
-    the result to a table when several jobs read it, so that bodies are parsed once.
-    """
+def raw_facts(pages: DataFrame) -> DataFrame:
+    """What the jobs take from raw markup, headers and addresses, without parsing."""
     lowered = F.lower("body")
-    raw = pages.select(
+    return pages.select(
         "store_id",
         "page_seq",
         F.col("final_url").alias("url"),
@@ -259,12 +255,19 @@ def page_facts(pages: DataFrame) -> DataFrame:
         ).alias("platform_headers"),
         "body",
     )
-    passed = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in raw.schema if f.name != "body")
-    return raw.mapInArrow(_parse_batches, f"{passed}, {FACT_DDL}")
+
+
+def page_facts(pages: DataFrame) -> DataFrame:
+    """Crawled pages → one fact row per page; the body does not survive this step.
+
+    Signals that need raw markup are taken on the JVM side before the parse pass. Write
+    the result to a table when several jobs read it, so that bodies are parsed once.
+    """
+    return parse_documents(raw_facts(pages), "body")
 
 
 def parse_documents(docs: DataFrame, body: str) -> DataFrame:
     """The same parse pass for any table: every other column is passed through."""
-    renamed = docs.withColumnRenamed(body, "body")
+    renamed = docs.withColumnRenamed(body, "body")  # the parse pass looks for this name
     passed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in renamed.schema if f.name != "body")
     return renamed.mapInArrow(_parse_batches, f"{passed}, {FACT_DDL}")

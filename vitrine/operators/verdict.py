@@ -50,6 +50,57 @@ def with_host_signals(heads: DataFrame, hosts: DataFrame) -> DataFrame:
     return hot_key_join(keyed, hosts, "host", F.col("store_id"))
 
 
+def platform_evidence(raw: DataFrame, carts: DataFrame, dns: DataFrame) -> DataFrame:
+    """Long platform evidence of usable homes, from raw facts: nothing needs parsing here."""
+    homes = raw.where("page_seq = 0 AND head.home_reason IS NULL").drop("body").withColumn("home_url", F.col("url"))
+    joined = with_host_signals(homes, host_facts(carts, dns))
+    home_origin = urls.origin(F.regexp_replace(F.col("home_url"), r"://www\.", "://"))
+
+    def item(kind: str, value: Column, url: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), value.alias("value"), url.alias("source_url"),
+            F.lit(5).alias("weight"), F.lit("strong").alias("strength"),
+        )
+
+    from_page = F.transform(
+        signals.platform_signals(),
+        lambda s: F.struct(
+            s["key"].alias("kind"), s["value"].alias("value"), F.col("home_url").alias("source_url"),
+            s["weight"].alias("weight"), s["strength"].alias("strength"),
+        ),
+    )
+    from_host = F.array_compact(
+        F.array(
+            F.when(F.col("platform_cname").isNotNull(), item("shopify_dns", F.col("platform_cname"), F.col("home_url"))),
+            F.when(F.col("cart_ok"), item("shopify_cart", F.lit("Shopify cart schema"), F.concat(home_origin, F.lit("/cart.js")))),
+        )
+    )
+    return joined.select("store_id", F.explode(F.concat(from_page, from_host)).alias("e")).select("store_id", "e.*")
+
+
+def india_evidence(facts: DataFrame) -> DataFrame:
+    """Long country evidence, one row per (store, kind, value) with its first page."""
+    reduced = signals.reduce_entities(signals.page_entities(facts, ("india",)))
+    return reduced.select(
+        "store_id",
+        F.col("key").alias("kind"),
+        "value",
+        F.col("first.url").alias("source_url"),
+        F.col("first.weight").alias("weight"),
+        F.col("first.strength").alias("strength"),
+    )
+
+
+def state_resolution(facts: DataFrame) -> DataFrame:
+    """Best-scored state per store; a tie is a conflict and yields no state."""
+    reduced = signals.reduce_entities(signals.page_entities(facts, ("state",)))
+    ends = reduced.groupBy("store_id").agg(*[c.alias(n) for n, c in resolve_state().items()])
+    conflict = F.col("first_state") != F.col("last_state")
+    return ends.select(
+        "store_id", F.when(conflict, "").otherwise(F.col("first_state")).alias("state"), "state_score", conflict.alias("state_conflict")
+    )
+
+
 # --- verdict rules -----------------------------------------------------------------
 
 
@@ -238,3 +289,48 @@ def valid_image() -> Column:
         & F.lower("content_type").startswith("image/")
         & (F.col("n_bytes") > fv.IMAGE_MIN_BYTES)
     )
+
+
+# --- long entity tables ------------------------------------------------------------------
+
+
+def store_contacts(facts: DataFrame) -> DataFrame:
+    """(store, email|phone, value, first page): one row each, however many a store has."""
+    return _values(facts, "contact")
+
+
+def store_socials(facts: DataFrame) -> DataFrame:
+    return _values(facts, "social")
+
+
+def _values(facts: DataFrame, family: str) -> DataFrame:
+    reduced = signals.reduce_entities(signals.page_entities(facts, (family,)))
+    return reduced.select("store_id", "key", "value", F.col("first.url").alias("source_url"))
+
+
+def first_provenance(facts: DataFrame) -> DataFrame:
+    """`email:…`, `phone:…` and `social:platform:…` entries with the first page that shows them."""
+    reduced = signals.reduce_entities(signals.page_entities(facts, ("contact", "social")))
+    entry = F.when(F.col("family") == "social", F.concat_ws(":", F.lit("social"), "key", "value")).otherwise(
+        F.concat_ws(":", "key", "value")
+    )
+    return reduced.select("store_id", entry.alias("entry"), F.col("first.url").alias("source_url"))
+
+
+def category_points(facts: DataFrame) -> DataFrame:
+    """Points per (store, category) with the page of the strongest chunk."""
+    reduced = signals.reduce_entities(signals.page_entities(facts, ("category",)))
+    return reduced.select(
+        "store_id", F.col("key").alias("category"), F.col("total").alias("points"), F.col("best.url").alias("source_url")
+    )
+
+
+def store_fields(facts: DataFrame) -> DataFrame:
+    """Description, logo and category picks with their sources."""
+    reduced = signals.reduce_entities(signals.page_entities(facts, ("head", "category", "description", "logo")))
+    rolled = reduced.groupBy("store_id").agg(
+        *[c.alias(n) for n, c in field_picks().items()], F.max("head").alias("head")
+    )
+    return with_fields(store_heads(rolled)).select(
+        "store_id", "description", "description_source", "logo_url", "logo_source", "category", "category_source"
+    )

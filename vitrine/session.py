@@ -22,6 +22,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         SparkSession.builder.master(f"local[{cores}]")
         .appName("vitrine")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
