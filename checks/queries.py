@@ -206,8 +206,8 @@ NORMAL = (
 def url_normalize(spark, sf):
     return (
         i.table(spark, sf, "pages")
-        .select("page_id", urls.normalize_url(F.col("url")).alias("normalized"))
-        .select("page_id", "normalized", urls.origin(F.col("normalized")).alias("site_origin"), urls.hostname(F.col("normalized")).alias("host"))
+        .select("page_id", urls.normalize_url("url").alias("normalized"))
+        .selectExpr("page_id", "normalized", f"{urls.origin('normalized')} AS site_origin", f"{urls.hostname('normalized')} AS host")
     )
 
 
@@ -219,7 +219,7 @@ def url_normalize(spark, sf):
       UNION ALL SELECT 'm.shop' || CAST(c_custkey AS VARCHAR) || CASE WHEN c_custkey % 2 = 0 THEN '.co.in' ELSE '.in' END FROM customer) h GROUP BY 1""",
 )
 def registrable_domain(spark, sf):
-    pages = i.table(spark, sf, "pages").select(urls.hostname(urls.normalize_url(F.col("url"))).alias("host"))
+    pages = i.table(spark, sf, "pages").select(urls.normalize_url("url").alias("u")).selectExpr(f"{urls.hostname('u')} AS host")
     shops = i.table(spark, sf, "customer").select(
         F.concat(F.lit("m.shop"), "c_custkey", F.when(F.col("c_custkey") % 2 == 0, ".co.in").otherwise(".in")).alias("host")
     )
@@ -231,7 +231,7 @@ def registrable_domain(spark, sf):
 def page_roles(spark, sf):
     listed = i.table(spark, sf, "pages").select("url")
     crawled = i.run(spark, sf, i.CRAWL, "customer").select(F.col("final_url").alias("url"))
-    return listed.unionByName(crawled).groupBy(urls.page_role(F.col("url")).alias("role")).agg(F.count("*").alias("n"))
+    return listed.unionByName(crawled).groupBy(F.expr(urls.page_role("url")).alias("role")).agg(F.count("*").alias("n"))
 
 
 # --- parsed pages ------------------------------------------------------------------------
@@ -275,7 +275,7 @@ def page_links(spark, sf):
 )
 def resolved_links(spark, sf):
     found = elements.page_links(parsed_pages(spark, sf), "page_id", "url").where(F.col("href").startswith("/"))
-    return found.select("page_id", urls.normalize_url(F.col("href"), F.col("url")).alias("target")).distinct()
+    return found.select("page_id", urls.normalize_url("href", "url").alias("target")).distinct()
 
 
 @query(
@@ -292,8 +292,8 @@ def json_ld_facts(spark, sf):
     FROM (SELECT store_id, page_seq, {s.META} AS d FROM used) WHERE d <> ''""",
 )
 def meta_description(spark, sf):
-    found = crawl_facts(spark, sf).select("store_id", "page_seq", elements.meta_description().alias("description"))
-    return found.where("description IS NOT NULL").withColumn("is_boilerplate", text.is_boilerplate_description(F.col("description")))
+    found = crawl_facts(spark, sf).select("store_id", "page_seq", F.expr(elements.meta_description()).alias("description"))
+    return found.where("description IS NOT NULL").withColumn("is_boilerplate", F.expr(text.is_boilerplate_description("description")))
 
 
 @query(
@@ -302,8 +302,8 @@ def meta_description(spark, sf):
     FROM (SELECT store_id, page_seq, unnest(regexp_extract_all(body, '<img [^>]*>')) AS i FROM used) GROUP BY 1, 2""",
 )
 def image_facts(spark, sf):
-    images = crawl_facts(spark, sf).select("store_id", "page_seq", F.explode(elements.pick(lambda e: e["tag"] == "img")).alias("e"))
-    marked = (elements.attr(F.col("e"), "alt") == "Store mark") | (elements.attr(F.col("e"), "class") == "site-logo")
+    images = crawl_facts(spark, sf).select("store_id", "page_seq", F.expr(f"explode({elements.tagged('img')}) AS e"))
+    marked = F.expr(f"{elements.attr('e', 'alt')} = 'Store mark' OR {elements.attr('e', 'class')} = 'site-logo'")
     return images.groupBy("store_id", "page_seq").agg(F.count("*").alias("n_images"), F.count_if(marked).alias("n_marks"))
 
 
@@ -393,8 +393,8 @@ def texts(spark, sf) -> DataFrame:
     SELECT origin, id, email, {PLACEHOLDER} AS is_placeholder FROM found""",
 )
 def emails(spark, sf):
-    found = texts(spark, sf).select("origin", "id", F.explode(F.array_distinct(contacts.plain_emails(F.col("text")))).alias("email"))
-    return found.withColumn("is_placeholder", contacts.is_placeholder_email(F.col("email")))
+    found = texts(spark, sf).select("origin", "id", F.expr(f"explode(array_distinct({contacts.plain_emails('text')})) AS email"))
+    return found.withColumn("is_placeholder", F.expr(contacts.is_placeholder_email("email")))
 
 
 @query(
@@ -402,7 +402,7 @@ def emails(spark, sf):
     f"""WITH {s.PAGES} SELECT store_id, page_seq, 'sales@store' || unnest(regexp_extract_all(t, 'sales .at. store([0-9]+) .dot. in', 1)) || '.in' AS email FROM txt""",
 )
 def obfuscated_emails(spark, sf):
-    return crawl_facts(spark, sf).select("store_id", "page_seq", F.explode(contacts.spelled_emails(F.col("text"))).alias("email"))
+    return crawl_facts(spark, sf).select("store_id", "page_seq", F.expr(f"explode({contacts.spelled_emails('text')}) AS email"))
 
 
 PHONE_RUN = contacts.PHONE_RUN
@@ -424,7 +424,7 @@ E164 = f"""CASE WHEN regexp_matches(run, '{contacts.TOUCHED_RUN}') THEN NULL
     SELECT DISTINCT origin, id, phone FROM (SELECT origin, id, phone FROM whole UNION ALL SELECT origin, id, {E164} FROM words) WHERE phone IS NOT NULL""",
 )
 def phones_in(spark, sf):
-    return texts(spark, sf).select("origin", "id", F.explode(contacts.extract_phones(F.col("text"))).alias("phone"))
+    return texts(spark, sf).select("origin", "id", F.expr(f"explode({contacts.extract_phones('text')}) AS phone"))
 
 
 @query("contacts_by_store", f"WITH {s.PAGES}, {s.CONTACTS} SELECT store_id, key, value, source_url FROM contacts")
@@ -451,19 +451,19 @@ def first_provenance(spark, sf):
 
 @query("gstin_states", f"WITH {s.PAGES}, {s.GST} SELECT store_id, page_seq, gstin, coalesce({s.GST_MAP}[left(gstin, 2)], '') AS state FROM gst")
 def gstin_states(spark, sf):
-    found = crawl_facts(spark, sf).select("store_id", "page_seq", F.explode(states.find_gstins(F.col("text"))).alias("gstin"))
-    return found.withColumn("state", states.state_from_gstin(F.col("gstin")))
+    found = crawl_facts(spark, sf).select("store_id", "page_seq", F.expr(f"explode({states.find_gstins('text')}) AS gstin"))
+    return found.withColumn("state", F.expr(states.state_from_gstin("gstin")))
 
 
 @query("pin_states", f"WITH {s.PAGES}, found AS (SELECT store_id, page_seq, unnest({s.pins('t')}) AS pin FROM txt) SELECT store_id, page_seq, pin, {s.pin_state('pin')} AS state FROM found")
 def pin_states(spark, sf):
-    found = crawl_facts(spark, sf).select("store_id", "page_seq", F.explode(states.find_pins(F.col("text"))).alias("pin"))
-    return found.withColumn("state", states.state_from_pin(F.col("pin")))
+    found = crawl_facts(spark, sf).select("store_id", "page_seq", F.expr(f"explode({states.find_pins('text')}) AS pin"))
+    return found.withColumn("state", F.expr(states.state_from_pin("pin")))
 
 
 @query("state_names", f"WITH {s.PAGES} SELECT store_id, page_seq, unnest({s.named_states('t')}) AS state FROM txt")
 def state_names(spark, sf):
-    return crawl_facts(spark, sf).select("store_id", "page_seq", F.explode(states.find_states(F.col("text"))).alias("state"))
+    return crawl_facts(spark, sf).select("store_id", "page_seq", F.expr(f"explode({states.find_states('text')}) AS state"))
 
 
 @query(
@@ -471,7 +471,7 @@ def state_names(spark, sf):
     f"WITH {s.PAGES}, {s.REGIONS} SELECT store_id, page_seq, state, max(score) AS score FROM region_states WHERE state IS NOT NULL GROUP BY 1, 2, 3",
 )
 def region_state_rows(spark, sf):
-    rows = crawl_facts(spark, sf).select("store_id", "page_seq", F.explode(region_states()).alias("r")).select("store_id", "page_seq", "r.*")
+    rows = crawl_facts(spark, sf).select("store_id", "page_seq", F.expr(f"explode({region_states()}) AS r")).select("store_id", "page_seq", "r.*")
     return rows.groupBy("store_id", "page_seq", "state").agg(F.max("score").alias("score"))
 
 

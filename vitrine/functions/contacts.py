@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from vitrine import fixed_values as fv
+from vitrine.functions.text import each, found, keep, let, literal, matches, one_of, replaced
 
 EMAIL = r"(?i)(?<![\w.+-])([a-z0-9][a-z0-9._%+-]*@[a-z0-9.-]+\.[a-z]{2,})(?![\w-])"
 SPELLED_EMAIL = (
@@ -28,72 +26,75 @@ FOREIGN_LENGTHS = {
 _FOREIGN = "|".join(f"{cc}[0-9]{{{low},{high}}}" for cc, (low, high) in FOREIGN_LENGTHS.items())
 
 
-def plain_emails(text: Column) -> Column:
-    found = F.regexp_extract_all(text, F.lit(EMAIL), F.lit(1))
-    return F.transform(found, lambda e: F.regexp_replace(F.lower(e), "^[.,;:]+|[.,;:]+$", ""))
+def plain_emails(text: str) -> str:
+    return each(found(text, EMAIL, 1), lambda e: replaced(f"lower({e})", "^[.,;:]+|[.,;:]+$"))
 
 
-def spelled_emails(text: Column) -> Column:
+def spelled_emails(text: str) -> str:
     """`sales [at] brand [dot] in` and its variants, in plain form."""
-    user = F.regexp_extract_all(text, F.lit(SPELLED_EMAIL), F.lit(1))
-    host = F.regexp_extract_all(text, F.lit(SPELLED_EMAIL), F.lit(2))
-    zone = F.regexp_extract_all(text, F.lit(SPELLED_EMAIL), F.lit(3))
-    left = F.zip_with(user, host, lambda u, h: F.concat(u, F.lit("@"), h))
-    return F.zip_with(left, zone, lambda l, z: F.lower(F.concat(l, F.lit("."), z)))
+    user, host, zone = (found(text, SPELLED_EMAIL, group) for group in (1, 2, 3))
+    address = f"zip_with({user}, {host}, (u, h) -> concat(u, '@', h))"
+    return f"zip_with({address}, {zone}, (a, z) -> lower(concat(a, '.', z)))"
 
 
-def is_placeholder_email(email: Column) -> Column:
+def is_placeholder_email(email: str) -> str:
     prefixes = "|".join(p.replace("-", "[-]") for p in fv.EMAIL_BLOCKED_PREFIXES)
     suffixes = "|".join(s.replace(".", "[.]") for s in fv.EMAIL_BLOCKED_SUFFIXES)
-    return email.rlike(f"^({prefixes})|({suffixes})$")
+    return matches(email, f"^({prefixes})|({suffixes})$")
 
 
-def extract_emails(text: Column) -> Column:
-    found = F.concat(plain_emails(text), spelled_emails(text))
-    return F.array_sort(F.array_distinct(F.filter(found, lambda e: ~is_placeholder_email(e))))
+def extract_emails(text: str) -> str:
+    both = f"concat({plain_emails(text)}, {spelled_emails(text)})"
+    return f"array_sort(array_distinct({keep(both, lambda e: 'NOT ' + is_placeholder_email(e))}))"
 
 
-def _to_e164(run: Column) -> Column:
+def _to_e164(run: str) -> str:
     """International form of one digit run read with default country India; NULL if invalid."""
-    digits = F.regexp_replace(run, "[^0-9]", "")
-    signed = run.startswith("+")
-    national = F.regexp_replace(digits, "^0+", "")
-    return (
-        F.when(run.rlike(TOUCHED_RUN), None)
-        .when(signed & digits.rlike(f"^91{INDIAN_MOBILE}$"), F.concat(F.lit("+"), digits))
-        .when(signed & digits.rlike("^91[1-5][0-9]{9}$"), F.concat(F.lit("+"), digits))
-        .when(signed & digits.rlike(f"^({_FOREIGN})$"), F.concat(F.lit("+"), digits))
-        .when(signed, None)
-        .when(digits.rlike(f"^0?{INDIAN_MOBILE}$"), F.concat(F.lit("+91"), national))
-        .when(digits.rlike(f"^91{INDIAN_MOBILE}$"), F.concat(F.lit("+"), digits))
-        # A land line is written with its trunk 0 and a two- to four-digit area code.
-        .when(digits.rlike("^0[1-5][0-9]{9}$"), F.concat(F.lit("+91"), national))
-    )
-
-
-def extract_phones(text: Column) -> Column:
+
+    def rules(digits: str) -> str:
+        signed = f"startswith({run}, '+')"
+        national = replaced(digits, "^0+")
+        return f"""CASE
+          WHEN {matches(run, TOUCHED_RUN)} THEN NULL
+          WHEN {signed} THEN CASE
+            WHEN {matches(digits, f"^(91{INDIAN_MOBILE}|91[1-5][0-9]{{9}}|{_FOREIGN})$")} THEN concat('+', {digits}) END
+          WHEN {matches(digits, f"^0?{INDIAN_MOBILE}$")} THEN concat('+91', {national})
+          WHEN {matches(digits, f"^91{INDIAN_MOBILE}$")} THEN concat('+', {digits})
+          -- A land line is written with its trunk 0 and a two- to four-digit area code.
+          WHEN {matches(digits, "^0[1-5][0-9]{9}$")} THEN concat('+91', {national})
+        END"""
+
+    return let(replaced(run, "[^0-9]"), rules)
+
+
+def extract_phones(text: str) -> str:
     """Valid numbers in E.164, sorted. A run that is no number is retried word by word."""
-    runs = F.regexp_extract_all(text, F.lit(PHONE_RUN), F.lit(0))
-    numbers = F.transform(
-        runs,
-        lambda run: F.when(_to_e164(run).isNotNull(), F.array(_to_e164(run))).otherwise(
-            F.transform(
-                F.filter(F.split(run, " +"), lambda w: w.rlike(f"^([+]91|0)?{INDIAN_MOBILE}$")), _to_e164
-            )
-        ),
-    )
-    return F.array_sort(F.array_distinct(F.filter(F.flatten(numbers), lambda p: p.isNotNull())))
 
+    def numbers(run: str) -> str:
+        words = keep(f"split({run}, ' +')", lambda w: matches(w, f"^([+]91|0)?{INDIAN_MOBILE}$"))
+        return let(
+            _to_e164(run),
+            lambda number: f"CASE WHEN {number} IS NOT NULL THEN array({number}) ELSE {each(words, _to_e164)} END",
+        )
 
-def indian_phones(text: Column) -> Column:
-    return F.filter(extract_phones(text), lambda p: p.startswith("+91"))
+    valid = keep(f"flatten({each(found(text, PHONE_RUN), numbers)})", lambda p: f"{p} IS NOT NULL")
+    return f"array_sort(array_distinct({valid}))"
 
 
-def whatsapp_phone(href: Column) -> Column:
+def indian_phones(text: str) -> str:
+    return keep(extract_phones(text), lambda p: f"startswith({p}, '+91')")
+
+
+def whatsapp_phone(href: str) -> str:
     """Indian mobile number of a chat link; NULL for any other link."""
-    host = F.regexp_replace(F.lower(F.regexp_extract(href, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/@]*@)?([^/:?#]+)", 1)), r"^www\.", "")
-    path = F.regexp_extract(href, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*([^?#]*)", 1)
-    path = F.regexp_replace(path, "^/+|/+$", "")
-    param = F.regexp_replace(F.regexp_extract(href, r"[?&]phone=([^&#]*)", 1), "%2[Bb]", "")
-    digits = F.regexp_replace(F.when(path != "", path).otherwise(param), "[^0-9]", "")
-    return F.when(host.isin(*fv.WHATSAPP_HOSTS) & digits.rlike("^91[0-9]{10}$"), F.concat(F.lit("+"), digits))
+    authority = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//"
+    host = f"lower(regexp_extract({href}, {literal(authority + r'(?:[^/@]*@)?([^/:?#]+)')}, 1))"
+    path = replaced(f"regexp_extract({href}, {literal(authority + '[^/?#]*([^?#]*)')}, 1)", "^/+|/+$")
+    param = replaced(f"regexp_extract({href}, '[?&]phone=([^&#]*)', 1)", "%2[Bb]")
+
+    def number(raw: str) -> str:
+        digits = replaced(f"coalesce(nullif({raw}, ''), {param})", "[^0-9]")
+        return let(digits, lambda d: f"CASE WHEN {matches(d, '^91[0-9]{10}$')} THEN concat('+', {d}) END")
+
+    is_chat = one_of(replaced(host, r"^www\."), fv.WHATSAPP_HOSTS)
+    return f"CASE WHEN {is_chat} THEN {let(path, number)} END"

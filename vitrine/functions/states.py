@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from vitrine import fixed_values as fv
-from vitrine.functions.text import bounded_words, lookup
+from vitrine.functions.text import bounded_words, each, found, keep, let, lookup, matches, replaced
 
 GSTIN = r"(?i)\b(?:0[1-9]|[12][0-9]|3[0-8]|97)[A-Z]{5}[0-9]{4}[A-Z][1-9A-Z]Z[0-9A-Z]\b"
 PIN_GUARD = r"(?<![0-9])"
@@ -17,46 +14,58 @@ STATE_ALIASES |= fv.EXTRA_STATE_ALIASES
 PIN2_STATES = {str(p): state for low, high, state in fv.PIN2_RANGES for p in range(low, high + 1)}
 
 
-def find_gstins(text: Column) -> Column:
-    found = F.regexp_extract_all(text, F.lit(GSTIN), F.lit(0))
-    return F.array_sort(F.array_distinct(F.transform(found, F.upper)))
+def _sorted_distinct(array: str) -> str:
+    return f"array_sort(array_distinct({array}))"
+
+
+def find_gstins(text: str) -> str:
+    return _sorted_distinct(each(found(text, GSTIN), lambda g: f"upper({g})"))
 
 
-def state_from_gstin(gstin: Column) -> Column:
-    return F.coalesce(lookup(fv.GST_STATES, F.left(gstin, F.lit(2))), F.lit(""))
+def state_from_gstin(gstin: str) -> str:
+    return f"coalesce({lookup(fv.GST_STATES, f'left({gstin}, 2)')}, '')"
 
 
-def find_states(text: Column) -> Column:
+def find_states(text: str) -> str:
     """Canonical names of the states mentioned, sorted."""
-    plain = F.regexp_replace(F.lower(text), r"(?U)\s+", " ")
-    found = bounded_words(plain, STATE_ALIASES, "a-z")
-    return F.array_sort(F.array_distinct(F.transform(found, lambda alias: lookup(STATE_ALIASES, alias))))
+    plain = replaced(f"lower({text})", r"(?U)\s+", " ")
+    aliases = bounded_words(plain, STATE_ALIASES, "a-z")
+    return _sorted_distinct(each(aliases, lambda alias: lookup(STATE_ALIASES, alias)))
 
 
-def find_pins(text: Column) -> Column:
+def find_pins(text: str) -> str:
     """Six-digit codes not inside longer digit runs, sorted."""
-    runs = F.filter(F.split(text, "[^0-9]+"), lambda run: run.rlike("^[1-9][0-9]{5}$"))
-    return F.array_sort(F.array_distinct(runs))
+    runs = keep(f"split({text}, '[^0-9]+')", lambda run: matches(run, "^[1-9][0-9]{5}$"))
+    return _sorted_distinct(runs)
 
 
-def has_indian_pin(text: Column) -> Column:
-    return text.rlike(PIN_GUARD + PIN)
+def has_indian_pin(text: str) -> str:
+    return matches(text, PIN_GUARD + PIN)
 
 
-def state_from_pin(pin: Column) -> Column:
+def state_from_pin(pin: str) -> str:
     """Three-digit prefix first, then two digits; "" for circles shared by several states."""
-    digits = F.regexp_replace(pin, "[^0-9]", "")
-    state = F.coalesce(
-        lookup(fv.PIN3_STATES, F.left(digits, F.lit(3))), lookup(PIN2_STATES, F.left(digits, F.lit(2))), F.lit("")
-    )
-    return F.when(F.length(digits) == 6, state).otherwise("")
+
+    def by_prefix(digits: str) -> str:
+        three, two = lookup(fv.PIN3_STATES, f"left({digits}, 3)"), lookup(PIN2_STATES, f"left({digits}, 2)")
+        return f"CASE WHEN length({digits}) = 6 THEN coalesce({three}, {two}, '') ELSE '' END"
+
+    return let(replaced(pin, "[^0-9]"), by_prefix)
 
 
-def region_state(text: Column) -> Column:
+def region_state(text: str) -> str:
     """The single state an address region stands for; NULL without a PIN or when ambiguous."""
-    named = find_states(text)
-    by_pin = F.array_except(
-        F.array_distinct(F.transform(find_pins(text), state_from_pin)), F.array(F.lit(""))
-    )
-    states = F.when(F.size(named) > 0, named).otherwise(by_pin)
-    return F.when(has_indian_pin(text) & (F.size(states) == 1), F.try_element_at(states, F.lit(1)))
+
+    def single(states: str) -> str:
+        return f"CASE WHEN size({states}) = 1 THEN {states}[0] END"
+
+    def named_or_by_pin(pins: str) -> str:
+        by_pin = f"array_except(array_distinct({each(pins, state_from_pin)}), array(''))"
+        return let(
+            find_states(text),
+            lambda named: f"CASE WHEN size({named}) > 0 THEN {single(named)} ELSE {let(by_pin, single)} END",
+        )
+
+    return let(find_pins(text), lambda pins: f"CASE WHEN size({pins}) > 0 THEN {named_or_by_pin(pins)} END")
+
+

@@ -1,102 +1,151 @@
-"""Text expressions shared by the jobs: word sets, windows around matches, phrases."""
+"""Text expressions shared by the jobs: word sets, windows around matches, phrases.
+
+Expressions here and in the sibling modules are Spark SQL text: a function takes the text
+of its arguments and returns the text of its result. They nest freely, also under lambdas,
+and a whole job's expression reaches the planner in one call (`F.expr`).
+"""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Callable, Iterable, Mapping
+from itertools import count
 
 from vitrine import fixed_values as fv
 
+_names = count(1)
+
+
+def literal(text: str) -> str:
+    """A SQL string literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def each(array: str, build: Callable[[str], str]) -> str:
+    """`transform` with a fresh variable name, so that expressions can nest."""
+    name = f"x{next(_names)}"
+    return f"transform({array}, {name} -> {build(name)})"
+
+
+def keep(array: str, condition: Callable[[str], str]) -> str:
+    """`filter` with a fresh variable name."""
+    name = f"x{next(_names)}"
+    return f"filter({array}, {name} -> {condition(name)})"
+
+
+def let(value: str, build: Callable[[str], str]) -> str:
+    """`build(value)` with the value computed once per row.
+
+    Expressions under a lambda are not shared by the optimiser, so a value used several
+    times is bound as the variable of a one-element transform.
+    """
+    return f"element_at({each(f'array({value})', build)}, 1)"
+
 
-def _java_quote(word: str) -> str:
+def one_of(value: str, words: Iterable[str]) -> str:
+    return f"{value} IN ({', '.join(map(literal, words))})"
+
+
+def _quoted(word: str) -> str:
     return re.sub(r"([\\.^$|?*+()\[\]{}&~#-])", r"\\\1", word)
 
 
 def alternation(words: Iterable[str]) -> str:
     """Literal alternatives, longest first so that a longer word is never cut short."""
-    return "|".join(_java_quote(w) for w in sorted(words, key=lambda w: (-len(w), w)))
+    return "|".join(_quoted(w) for w in sorted(words, key=lambda w: (-len(w), w)))
+
+
+def matches(text: str, pattern: str) -> str:
+    return f"({text} RLIKE {literal(pattern)})"
+
+
+def contains_any(text: str, words: Iterable[str]) -> str:
+    return matches(text, alternation(words))
 
 
-def contains_any(text: Column, words: Iterable[str]) -> Column:
-    return text.rlike(alternation(words))
+def found(text: str, pattern: str, group: int = 0) -> str:
+    return f"regexp_extract_all({text}, {literal(pattern)}, {group})"
 
 
-def lookup(mapping: Mapping[str, str], key: Column) -> Column:
+def replaced(text: str, pattern: str, by: str = "") -> str:
+    return f"regexp_replace({text}, {literal(pattern)}, {literal(by)})"
+
+
+def lookup(mapping: Mapping[str, str], key: str) -> str:
     """Constant table as a map literal: a narrow lookup without a join; NULL when absent."""
-    pairs = [F.lit(x) for item in mapping.items() for x in item]
-    return F.try_element_at(F.create_map(*pairs), key)
+    pairs = ", ".join(literal(x) for item in mapping.items() for x in item)
+    return f"try_element_at(map({pairs}), {key})"
 
 
-def clean_text(text: Column) -> Column:
+def clean_text(text: str) -> str:
     """Whitespace runs (no-break space included) to one blank, ends trimmed."""
-    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+    return f"trim({replaced(text, r'(?U)\s+', ' ')})"
 
 
-def unescape_basic(text: Column) -> Column:
+def unescape_basic(text: str) -> str:
     """The five markup entities and the no-break space in strings that were not parsed as HTML."""
-    for entity, char in (("&nbsp;", "\u00a0"), ("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(char))
+    for entity, char in (("&nbsp;", " "), ("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        text = f"replace({text}, {literal(entity)}, {literal(char)})"
     return text
 
 
-def bounded_words(text: Column, words: Iterable[str], inside: str) -> Column:
+def bounded_words(text: str, words: Iterable[str], inside: str) -> str:
     """Every listed word in `text` that has no character of `inside` on either side.
 
     The match itself is zero-width with the word captured by look-ahead, so words that
     overlap ("for women" in "for women's clothing") are all found in one pass.
     """
-    return F.regexp_extract_all(text, F.lit(rf"(?<![{inside}])(?=({alternation(words)})(?![{inside}]))"), F.lit(1))
+    return found(text, rf"(?<![{inside}])(?=({alternation(words)})(?![{inside}]))", 1)
 
 
-def windows(text: Column, anchor: str, before: int, after: int, guard: str = "") -> Column:
+def windows(text: str, anchor: str, before: int, after: int, guard: str = "") -> str:
     """Text around every match of `anchor`: `before` characters, the match, `after` characters.
 
     Windows may overlap. `guard` is a zero-width condition in front of the match.
     """
-    tail = F.regexp_extract_all(text, F.lit(rf"(?is){guard}(?=({anchor}.{{0,{after}}}))"), F.lit(1))
+    tail = found(text, rf"(?is){guard}(?=({anchor}.{{0,{after}}}))", 1)
     if not before:
         return tail
     # Look-behind takes exactly `before` characters, or all there are from the start.
-    head = F.regexp_extract_all(
-        text,
-        F.lit(rf"(?is){guard}(?={anchor})(?<=(^.{{0,{before - 1}}}|.{{{before}}}))"),
-        F.lit(1),
-    )
-    return F.zip_with(head, tail, lambda h, t: F.concat(h, t))
+    head = found(text, rf"(?is){guard}(?={anchor})(?<=(^.{{0,{before - 1}}}|.{{{before}}}))", 1)
+    return f"zip_with({head}, {tail}, (h, t) -> concat(h, t))"
 
 
-def is_boilerplate_description(text: Column) -> Column:
-    return contains_any(F.lower(text), fv.DESCRIPTION_BOILERPLATE)
+def is_boilerplate_description(text: str) -> str:
+    return contains_any(f"lower({text})", fv.DESCRIPTION_BOILERPLATE)
 
 
-def near_third_party_marker(text: Column, value: Column) -> Column:
+def near_third_party_marker(text: str, value: str) -> str:
     """A credit phrase within 100 characters of the first occurrence of `value`."""
-    lowered = F.lower(text)
-    at = F.instr(lowered, F.lower(value))
-    start = F.greatest(F.lit(1), at - 100)
-    context = F.substring(lowered, start, at + F.length(value) + 100 - start)
-    return (at > 0) & contains_any(context, fv.THIRD_PARTY_MARKERS)
+
+    def near(lowered: str, at: str) -> str:
+        start = f"greatest(1, {at} - 100)"
+        context = f"substring({lowered}, {start}, {at} + length({value}) + 100 - {start})"
+        return f"({at} > 0 AND {contains_any(context, fv.THIRD_PARTY_MARKERS)})"
+
+    return let(
+        f"lower({text})", lambda lowered: let(f"instr({lowered}, lower({value}))", lambda at: near(lowered, at))
+    )
 
 
-def shows_rupees(text: Column) -> Column:
-    return text.contains("₹") | text.rlike(r"(?i)\b(inr|rs\.)\s*\d")
+def shows_rupees(text: str) -> str:
+    rupees = matches(text, r"(?i)\b(inr|rs\.)\s*\d")
+    return f"(contains({text}, '₹') OR {rupees})"
 
 
-def ships_to_india(text: Column) -> Column:
-    return F.lower(text).rlike(r"\b(ship|deliver|shipping|returns?)\b.{0,100}\bindia\b")
+def ships_to_india(text: str) -> str:
+    return matches(f"lower({text})", r"\b(ship|deliver|shipping|returns?)\b.{0,100}\bindia\b")
 
 
-def names_registered_office(text: Column) -> Column:
+def names_registered_office(text: str) -> str:
     label = r"(registered\s+(office|address)|corporate\s+(office|address)|business\s+address|office\s+address)"
-    return F.lower(text).rlike(label + r".{0,200}\bindia\b")
+    return matches(f"lower({text})", label + r".{0,200}\bindia\b")
 
 
-def is_yes(value: Column) -> Column:
-    return F.lower(F.trim(value)).isin("yes", "y", "true", "1")
+def is_yes(value: str) -> str:
+    return one_of(f"lower(trim({value}))", ("yes", "y", "true", "1"))
 
 
-def is_blank(value: Column) -> Column:
-    return F.coalesce(F.trim(value), F.lit("")) == ""
+def is_blank(value: str) -> str:
+    return f"(coalesce(trim({value}), '') = '')"

@@ -17,7 +17,9 @@ def candidate_id(key: Column) -> Column:
 def keyed_seeds(seeds: DataFrame) -> DataFrame:
     """Seeds with their candidate key; values without a usable host are dropped."""
     return (
-        seeds.withColumn("candidate_key", urls.https_origin(F.col("source_value")))
+        seeds.withColumn("_normal", urls.normalize_url("source_value"))
+        .withColumn("candidate_key", F.expr(urls.https_origin("_normal")))
+        .drop("_normal")
         .where("candidate_key <> ''")
         .withColumn("candidate_id", candidate_id(F.col("candidate_key")))
     )
@@ -32,7 +34,7 @@ def clean_candidates(seeds: DataFrame, existing: DataFrame | None = None, suffix
     )
     if existing is not None:
         first = first.join(existing.select("candidate_key"), "candidate_key", "left_anti")
-    hosted = first.withColumn("_host", urls.hostname(F.col("candidate_key")))
+    hosted = first.withColumn("_host", F.expr(urls.hostname("candidate_key")))
     return urls.with_registrable_domain(hosted, "_host", suffixes).select(
         "candidate_id",
         "candidate_key",

@@ -162,7 +162,7 @@ def robots_verdict(wanted: DataFrame, rules: DataFrame, agent: str, robots_statu
         broken = robots_status.where(F.coalesce(F.col("status_code"), F.lit(599)) >= 400)
         by_host = by_host.join(broken.select("host"), "host", "left_anti")
     hosted = wanted.withColumns(
-        {"host": urls.hostname(F.lower("url")), "_path": F.regexp_extract("url", r"^[A-Za-z]+://[^/?#]*([^#]*)", 1)}
+        {"host": F.expr(urls.hostname("lower(url)")), "_path": F.regexp_extract("url", r"^[A-Za-z]+://[^/?#]*([^#]*)", 1)}
     )
     joined = hot_key_join(hosted, by_host, "host", F.col("url"))
     path = F.when(F.col("_path") == "", "/").otherwise(F.col("_path"))

@@ -1,238 +1,223 @@
-"""Expressions that pick parts of a page out of its element facts."""
+"""Expressions (SQL text) that pick parts of a page out of its element facts."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.functions.text import windows
+from vitrine.functions.text import each, keep, let, matches, windows
 
+# The page's text as elements own it: what offsets point into.
+OWN_TEXT = "coalesce(full_text, text)"
 
-def own_text() -> Column:
-    """The page's text as elements own it: what offsets point into."""
-    return F.coalesce("full_text", "text")
 
+def attr(element: str, name: str) -> str:
+    return f"coalesce(try_element_at({element}.attrs, '{name}'), '')"
 
-def attr(element: Column, name: str) -> Column:
-    return F.coalesce(F.try_element_at(element["attrs"], F.lit(name)), F.lit(""))
 
+def text_of(element: str) -> str:
+    return f"substring({OWN_TEXT}, {element}.start, {element}.len)"
 
-def text_of(element: Column) -> Column:
-    return F.substring(own_text(), element["start"], element["len"])
 
+def pick(condition: Callable[[str], str]) -> str:
+    return keep("elements", condition)
 
-def pick(condition: Callable[[Column], Column]) -> Column:
-    return F.filter(F.col("elements"), condition)
 
+def tagged(*tags: str) -> str:
+    names = ", ".join(f"'{t}'" for t in tags)
+    return pick(lambda e: f"{e}.tag IN ({names})")
 
-def texts(elements: Column) -> Column:
-    return F.filter(F.transform(elements, text_of), lambda t: t != "")
 
+def texts(elements: str) -> str:
+    return keep(each(elements, text_of), lambda t: f"{t} <> ''")
 
-def has_class(element: Column, name: str) -> Column:
-    return F.array_contains(F.split(attr(element, "class"), r"\s+"), name)
 
+def has_class(element: str, name: str) -> str:
+    return f"array_contains(split({attr(element, 'class')}, '[ \\\\t\\\\r\\\\n]+'), '{name}')"
 
-def mentions(element: Column, attribute: str, word: str) -> Column:
-    return F.lower(attr(element, attribute)).contains(word)
 
+def mentions(element: str, attribute: str, word: str) -> str:
+    return f"contains(lower({attr(element, attribute)}), '{word}')"
 
-def anchors() -> Column:
-    return pick(lambda e: e["tag"] == "a")
 
+def inside(element: str, *markers: str) -> str:
+    names = ", ".join(f"'{m}'" for m in markers)
+    return f"arrays_overlap({element}.within, array({names}))"
 
-def title_text() -> Column:
-    first = F.try_element_at(pick(lambda e: e["tag"] == "title"), F.lit(1))
-    return F.coalesce(text_of(first), F.lit(""))
 
+ANCHORS = "filter(elements, e -> e.tag = 'a')"
+HREFS = each(ANCHORS, lambda e: attr(e, "href"))
 
-def headings_text() -> Column:
+
+def title_text() -> str:
+    return f"coalesce({text_of(f'try_element_at({tagged("title")}, 1)')}, '')"
+
+
+def headings_text() -> str:
     """The first twenty h1 and h2 texts."""
-    first = F.slice(pick(lambda e: e["tag"].isin("h1", "h2")), 1, 20)
-    return F.array_join(F.transform(first, text_of), " ")
+    return f"array_join({each(f'slice({tagged("h1", "h2")}, 1, 20)', text_of)}, ' ')"
 
 
-def meta_description() -> Column:
+def meta_description() -> str:
     """Content of the first description meta in document order; NULL without one."""
-    found = pick(
-        lambda e: (e["tag"] == "meta")
-        & ((attr(e, "name") == "description") | (attr(e, "property") == "og:description"))
+    described = pick(
+        lambda e: f"{e}.tag = 'meta' AND ({attr(e, 'name')} = 'description' OR {attr(e, 'property')} = 'og:description')"
     )
-    return F.try_element_at(F.transform(found, lambda e: attr(e, "content")), F.lit(1))
+    return f"try_element_at({each(described, lambda e: attr(e, 'content'))}, 1)"
 
 
-def content_text() -> Column:
+def content_text() -> str:
     """Visible text of main, else body, else the page: its first 20,000 characters."""
-    return F.left(F.substring(F.col("text"), F.col("content_start"), F.col("content_len")), F.lit(20000))
+    return "left(substring(text, content_start, content_len), 20000)"
 
 
-def body_text() -> Column:
-    body = F.try_element_at(pick(lambda e: e["tag"] == "body"), F.lit(1))
-    return F.coalesce(text_of(body), own_text())
+def body_text() -> str:
+    return f"coalesce({text_of(f'try_element_at({tagged("body")}, 1)')}, {OWN_TEXT})"
 
 
-def commerce_links_text() -> Column:
+def commerce_links_text() -> str:
     """Text and target of the first 200 header, navigation and collection links."""
-    found = F.filter(
-        anchors(),
-        lambda e: F.arrays_overlap(e["within"], F.array(F.lit("header"), F.lit("nav")))
-        | attr(e, "href").contains("/collections/"),
-    )
-    return F.array_join(
-        F.transform(F.slice(found, 1, 200), lambda e: F.concat(text_of(e), F.lit(" "), attr(e, "href"))), " "
+    links = keep(
+        ANCHORS, lambda e: f"{inside(e, 'header', 'nav')} OR contains({attr(e, 'href')}, '/collections/')"
     )
+    labels = each(f"slice({links}, 1, 200)", lambda e: f"concat({text_of(e)}, ' ', {attr(e, 'href')})")
+    return f"array_join({labels}, ' ')"
 
 
-def description_texts() -> Column:
+def description_texts() -> str:
     """Texts of the first twenty banner, hero, article and main paragraphs."""
-    found = pick(
-        lambda e: has_class(e, "banner__text")
-        | has_class(e, "hero__text")
-        | ((e["tag"] == "p") & F.arrays_overlap(e["within"], F.array(F.lit("hero"), F.lit("article"), F.lit("main"))))
+    nodes = pick(
+        lambda e: f"{has_class(e, 'banner__text')} OR {has_class(e, 'hero__text')} "
+        f"OR ({e}.tag = 'p' AND {inside(e, 'hero', 'article', 'main')})"
     )
-    return F.transform(F.slice(found, 1, 20), text_of)
+    return each(f"slice({nodes}, 1, 20)", text_of)
 
 
 ADDRESS_SELECTORS = (
-    lambda e: e["tag"] == "address",
-    lambda e: attr(e, "itemtype").contains("PostalAddress"),
+    lambda e: f"{e}.tag = 'address'",
+    lambda e: f"contains({attr(e, 'itemtype')}, 'PostalAddress')",
     lambda e: mentions(e, "class", "address"),
     lambda e: mentions(e, "id", "address"),
 )
 
 
-def address_texts() -> Column:
-    return F.concat(*[texts(pick(selector)) for selector in ADDRESS_SELECTORS])
+def address_texts() -> str:
+    return f"concat({', '.join(texts(pick(selector)) for selector in ADDRESS_SELECTORS)})"
 
 
-def contact_regions() -> Column:
+def contact_regions() -> str:
     """Texts a business publishes its contacts in; which ones depends on the page's role."""
-    role = F.col("role")
     always = pick(
-        lambda e: e["tag"].isin("footer", "address")
-        | attr(e, "itemtype").contains("PostalAddress")
-        | mentions(e, "class", "contact")
-        | mentions(e, "id", "contact")
-        | mentions(e, "class", "address")
-        | mentions(e, "id", "address")
+        lambda e: " OR ".join(
+            [f"{e}.tag = 'footer'", mentions(e, "class", "contact"), mentions(e, "id", "contact")]
+            + [selector(e) for selector in ADDRESS_SELECTORS]
+        )
     )
-    none = F.array().cast("array<string>")
-    on_contact = F.when(
-        role == "contact",
-        F.concat(texts(pick(lambda e: e["tag"].isin("main", "article"))), F.array(body_text())),
-    ).otherwise(none)
-    on_legal = F.when(
-        role == "legal",
-        windows(body_text(), "(?:contact us|e-?mail us|grievance|complaint|by mail|mailing us)", 120, 600),
-    ).otherwise(none)
-    return F.concat(texts(always), on_contact, on_legal)
-
-
-def image_candidates() -> Column:
+    none = "cast(array() AS array<string>)"
+    phrases = "(?:contact us|e-?mail us|grievance|complaint|by mail|mailing us)"
+    around = let(body_text(), lambda t: windows(t, phrases, 120, 600))
+    return f"""concat({texts(always)},
+      CASE WHEN role = 'contact' THEN concat({texts(tagged('main', 'article'))}, array({body_text()})) ELSE {none} END,
+      CASE WHEN role = 'legal' THEN {around} ELSE {none} END)"""
+
+
+def image_candidates() -> str:
     """Images with the address a visitor would load, in document order."""
-    return F.transform(
-        pick(lambda e: e["tag"] == "img"),
-        lambda e: F.struct(
-            F.coalesce(*[
-                F.when(source != "", source)
-                for source in (
-                    attr(e, "data-src"), attr(e, "data-lazy-src"), attr(e, "data-original"), _last_of_srcset(e),
-                    attr(e, "src"),
-                )
-            ], F.lit("")).alias("src"),
-            _logo_base(e).alias("base"),
-            _pixels(attr(e, "width")).alias("width"),
-            _pixels(attr(e, "height")).alias("height"),
-        ),
-    )
+
+    def image(e: str) -> str:
+        sources = [f"nullif({attr(e, name)}, '')" for name in ("data-src", "data-lazy-src", "data-original")]
+        sources += [f"nullif({_last_of_srcset(e)}, '')", attr(e, "src")]
+        return (
+            f"named_struct('src', coalesce({', '.join(sources)}), 'base', {_logo_base(e)}, "
+            f"'width', {_pixels(attr(e, 'width'))}, 'height', {_pixels(attr(e, 'height'))})"
+        )
+
+    return each(tagged("img"), image)
 
 
-def _pixels(value: Column) -> Column:
-    return F.when(value.rlike("^[0-9]{1,9}$"), value.try_cast("int"))
+def _pixels(value: str) -> str:
+    return f"CASE WHEN {matches(value, '^[0-9]{1,9}$')} THEN try_cast({value} AS int) END"
 
 
-def _last_of_srcset(element: Column) -> Column:
-    srcset = F.when(attr(element, "srcset") != "", attr(element, "srcset")).otherwise(attr(element, "data-srcset"))
-    items = F.filter(F.transform(F.split(srcset, ","), F.trim), lambda item: item != "")
-    return F.coalesce(F.split(F.try_element_at(items, F.lit(-1)), " ")[0], F.lit(""))
+def _last_of_srcset(element: str) -> str:
+    srcset = f"coalesce(nullif({attr(element, 'srcset')}, ''), {attr(element, 'data-srcset')})"
+    items = keep(each(f"split({srcset}, ',')", lambda i: f"trim({i})"), lambda i: f"{i} <> ''")
+    return f"coalesce(split(try_element_at({items}, -1), ' ')[0], '')"
 
 
-def _logo_base(element: Column) -> Column:
+def _logo_base(element: str) -> str:
     """Score and selector rank of an image as a logo; NULL when no selector takes it."""
-    within = element["within"]
-    in_header = F.array_contains(within, "header")
     by_class, by_alt = mentions(element, "class", "logo"), mentions(element, "alt", "logo")
+    header = inside(element, "header")
     rules = (
-        (F.array_contains(within, "home_link"), 90),
-        (F.array_contains(within, "home_dot_link"), 90),
-        (in_header & by_class, 85),
-        (in_header & by_alt, 85),
+        (inside(element, "home_link"), 90),
+        (inside(element, "home_dot_link"), 90),
+        (f"{header} AND {by_class}", 85),
+        (f"{header} AND {by_alt}", 85),
         (by_class, 65),
         (by_alt, 60),
     )
-    chosen = F.lit(None).cast("struct<score:int,rank:int>")
-    for rank, (rule, score) in reversed(list(enumerate(rules))):
-        chosen = F.when(rule, F.struct(F.lit(score).alias("score"), F.lit(rank).alias("rank"))).otherwise(chosen)
-    return chosen
+    cases = " ".join(
+        f"WHEN {rule} THEN named_struct('score', {score}, 'rank', {rank})" for rank, (rule, score) in enumerate(rules)
+    )
+    return f"CASE {cases} END"
 
 
 # --- JSON-LD -------------------------------------------------------------------
 
 
-def _is_object(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+def _is_object(value: str) -> str:
+    return f"try_variant_get({value}, '$', 'map<string,variant>') IS NOT NULL"
 
 
-def _string_at(value: Column, path: str) -> Column:
+def _string_at(value: str, path: str) -> str:
     """A member that is a JSON string; NULL for any other type."""
-    member = F.try_variant_get(value, path, "variant")
-    return F.when(F.schema_of_variant(member) == "STRING", F.try_variant_get(value, path, "string"))
+    return let(
+        f"try_variant_get({value}, '{path}', 'variant')",
+        lambda member: f"CASE WHEN schema_of_variant({member}) = 'STRING' THEN try_variant_get({member}, '$', 'string') END",
+    )
 
 
-def ld_objects(scripts: Column) -> Column:
+def ld_objects(scripts: str) -> str:
     """All JSON-LD objects: lists flattened, graph children before their parent, bad JSON skipped."""
-    parsed = F.filter(F.transform(scripts, lambda s: F.try_parse_json(s)), lambda v: v.isNotNull())
-    nothing = F.array().cast("array<variant>")
-    top = F.flatten(
-        F.transform(parsed, lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v)))
-    )
-    return F.flatten(
-        F.transform(
-            F.filter(top, _is_object),
-            lambda v: F.concat(
-                F.filter(F.coalesce(F.try_variant_get(v, '$["@graph"]', "array<variant>"), nothing), _is_object),
-                F.array(v),
-            ),
-        )
-    )
+    parsed = keep(each(scripts, lambda s: f"try_parse_json({s})"), lambda v: f"{v} IS NOT NULL")
+    top = f"flatten({each(parsed, lambda v: f"coalesce(try_variant_get({v}, '$', 'array<variant>'), array({v}))")})"
+    none = "cast(array() AS array<variant>)"
 
+    def with_graph(v: str) -> str:
+        graph = f"coalesce(try_variant_get({v}, '$[\"@graph\"]', 'array<variant>'), {none})"
+        return f"concat({keep(graph, _is_object)}, array({v}))"
 
-def ld_facts(scripts: Column) -> Column:
+    return f"flatten({each(keep(top, _is_object), with_graph)})"
+
+
+def ld_facts(scripts: str = "ld_json") -> str:
     """The members the jobs use, as typed structs."""
 
-    def fact(v: Column) -> Column:
-        address = F.try_variant_get(v, "$.address", "variant")
-        is_address = F.coalesce(_is_object(address), F.lit(False))
-        logo = F.coalesce(
-            _string_at(v, "$.logo"),
-            F.when(_string_at(v, "$.logo.url") != "", _string_at(v, "$.logo.url")),
-            _string_at(v, "$.logo.contentUrl"),
-        )
-        return F.struct(
-            F.lower(F.coalesce(F.try_variant_get(v, '$["@type"]', "string"), F.lit(""))).alias("type"),
-            logo.alias("logo"),
-            _string_at(v, "$.description").alias("description"),
-            _string_at(v, "$.category").alias("category"),
-            _string_at(v, "$.productType").alias("product_type"),
-            _string_at(v, "$.name").alias("name"),
-            F.when(is_address, F.to_json(address)).alias("address"),
-            F.when(is_address, F.try_variant_get(v, "$.address.addressCountry", "string")).alias("country"),
-            F.when(is_address, F.try_variant_get(v, "$.address.addressRegion", "string")).alias("region"),
+    def fact(v: str) -> str:
+        logo = (
+            f"coalesce({_string_at(v, '$.logo')}, nullif({_string_at(v, '$.logo.url')}, ''), "
+            f"{_string_at(v, '$.logo.contentUrl')})"
         )
 
-    return F.transform(ld_objects(scripts), fact)
+        def members(address: str) -> str:
+            ok = f"coalesce({_is_object(address)}, false)"
+            return f"""named_struct(
+              'type', lower(coalesce(try_variant_get({v}, '$["@type"]', 'string'), '')),
+              'logo', {logo},
+              'description', {_string_at(v, '$.description')},
+              'category', {_string_at(v, '$.category')},
+              'product_type', {_string_at(v, '$.productType')},
+              'name', {_string_at(v, '$.name')},
+              'address', CASE WHEN {ok} THEN to_json({address}) END,
+              'country', CASE WHEN {ok} THEN try_variant_get({address}, '$.addressCountry', 'string') END,
+              'region', CASE WHEN {ok} THEN try_variant_get({address}, '$.addressRegion', 'string') END)"""
+
+        return let(f"try_variant_get({v}, '$.address', 'variant')", members)
+
+    return each(ld_objects(scripts), fact)
 
 
 # --- table-level views of the same parts -----------------------------------------
@@ -240,27 +225,26 @@ def ld_facts(scripts: Column) -> Column:
 
 def page_links(facts: DataFrame, *keys: str) -> DataFrame:
     """One row per link with a target, in document order."""
-    in_nav = lambda e: F.arrays_overlap(e["within"], F.array(F.lit("header"), F.lit("nav")))
-    rows = F.transform(
-        anchors(),
-        lambda e: F.struct(attr(e, "href").alias("href"), text_of(e).alias("label"), in_nav(e).alias("in_nav")),
+    rows = each(
+        ANCHORS,
+        lambda e: f"named_struct('href', {attr(e, 'href')}, 'label', {text_of(e)}, 'in_nav', {inside(e, 'header', 'nav')})",
     )
-    return facts.select(*keys, F.posexplode(rows).alias("pos", "link")).select(
-        *keys, "pos", "link.href", "link.label", "link.in_nav", F.col("link.href").contains("/collections/").alias("is_collection")
+    return facts.select(*keys, F.expr(f"posexplode({rows}) AS (pos, link)")).select(
+        *keys, "pos", "link.href", "link.label", "link.in_nav", F.expr("contains(link.href, '/collections/') AS is_collection")
     )
 
 
 def page_headings(facts: DataFrame, *keys: str) -> DataFrame:
-    return facts.select(*keys, title_text().alias("title"), headings_text().alias("headings"))
+    return facts.select(*keys, F.expr(title_text()).alias("title"), F.expr(headings_text()).alias("headings"))
 
 
 def json_ld_rows(facts: DataFrame, *keys: str) -> DataFrame:
-    return facts.select(*keys, F.posexplode(ld_facts(F.col("ld_json"))).alias("pos", "item")).select(*keys, "pos", "item.*")
+    return facts.select(*keys, F.expr(f"posexplode({ld_facts()}) AS (pos, item)")).select(*keys, "pos", "item.*")
 
 
 def region_rows(facts: DataFrame, *keys: str) -> DataFrame:
-    return facts.select(*keys, F.posexplode(contact_regions()).alias("pos", "region"))
+    return facts.select(*keys, F.expr(f"posexplode({contact_regions()}) AS (pos, region)"))
 
 
 def image_rows(facts: DataFrame, *keys: str) -> DataFrame:
-    return facts.select(*keys, F.posexplode(image_candidates()).alias("pos", "image")).select(*keys, "pos", "image.*")
+    return facts.select(*keys, F.expr(f"posexplode({image_candidates()}) AS (pos, image)")).select(*keys, "pos", "image.*")

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine import fixed_values as fv
 from vitrine.functions import urls
+from vitrine.functions.text import keep, let, literal
 from vitrine.operators import elements as el
 
 
-def link_score(label: Column) -> Column:
+def link_score(label: str) -> str:
     """Sum of the scores of all link words the label contains."""
-    score = F.lit(0)
-    for word, points in fv.LINK_WORD_SCORES.items():
-        score = score + F.when(label.contains(word), points).otherwise(0)
-    return score
+    return " + ".join(
+        f"CASE WHEN contains({label}, {literal(word)}) THEN {points} ELSE 0 END"
+        for word, points in fv.LINK_WORD_SCORES.items()
+    )
 
 
 def ranked_links(facts: DataFrame, limit: int = fv.LINK_LIMIT_VERIFY, key: str = "store_id") -> DataFrame:
@@ -24,83 +25,52 @@ def ranked_links(facts: DataFrame, limit: int = fv.LINK_LIMIT_VERIFY, key: str =
     A page's links fit its row, so scoring, first-occurrence dedupe, role caps and the
     overall cap are array expressions: the job is narrow, whatever the number of pages.
     """
-    return selected_links(facts, limit, key).select(
-        key, F.posexplode("selected").alias("pos", "link")
-    ).select(
-        key, (F.col("pos") + 1).alias("rank"), "link.url", "link.role", "link.score", (F.col("link.score") == 0).alias("is_default")
+    return (
+        selected_links(facts, limit, key)
+        .selectExpr(key, "posexplode(selected) AS (pos, link)")
+        .selectExpr(key, "pos + 1 AS rank", "link.url", "link.role", "link.score", "link.score = 0 AS is_default")
     )
 
 
 def selected_links(facts: DataFrame, limit: int, key: str = "store_id") -> DataFrame:
-    scored = F.filter(
-        F.transform(
-            el.anchors(),
-            lambda e, i: F.struct(
-                link_score(F.lower(F.concat(el.text_of(e), F.lit(" "), el.attr(e, "href")))).alias("score"),
-                el.attr(e, "href").alias("href"),
-                i.alias("pos"),
-            ),
-        ),
-        lambda a: a["score"] > 0,
+    label = f"lower(concat({el.text_of('e')}, ' ', {el.attr('e', 'href')}))"
+    scored = (
+        f"filter(transform({el.ANCHORS}, (e, i) -> named_struct('score', {let(label, link_score)}, "
+        f"'href', {el.attr('e', 'href')}, 'pos', i)), a -> a.score > 0)"
     )
-    work = facts.select(key, "url", scored.alias("scored")).withColumns(
-        {
-            "home": urls.normalize_url(F.col("url")),
-            "targets": urls.normalize_urls(F.transform("scored", lambda a: a["href"]), F.col("url")),
-        }
+    work = facts.selectExpr(key, "url", f"{scored} AS scored").withColumns(
+        {"home": urls.normalize_url("url"), "targets": urls.normalize_urls("transform(scored, a -> a.href)", "url")}
     )
-    by_url = F.array_sort(
-        F.filter(
-            F.zip_with(
-                "targets",
-                "scored",
-                lambda u, a: F.struct(u.alias("url"), a["pos"].alias("pos"), a["score"].alias("score")),
-            ),
-            lambda a: (a["url"] != "") & (urls.hostname(a["url"]) == urls.hostname(F.col("home"))),
-        )
+    # Sorted by URL and position, the first of equal URLs is its first occurrence.
+    same_host = f"u.url <> '' AND {urls.hostname('u.url')} = {urls.hostname('home')}"
+    work = work.selectExpr(
+        key,
+        "home",
+        "array_sort(filter(zip_with(targets, scored, (t, a) -> "
+        f"named_struct('url', t, 'pos', a.pos, 'score', a.score)), u -> {same_host})) AS by_url",
     )
-    work = work.select(key, "home", by_url.alias("by_url"))
-    first_seen = F.filter(
-        F.col("by_url"),
-        lambda a, i: (i == 0) | (F.try_element_at(F.col("by_url"), F.greatest(i, F.lit(1)))["url"] != a["url"]),
+    ranked = (
+        "array_sort(transform(filter(by_url, (a, i) -> i = 0 OR by_url[i - 1].url <> a.url), a -> named_struct("
+        f"'neg_score', -a.score, 'chars', length(a.url), 'pos', a.pos, 'url', a.url, 'role', {urls.page_role('a.url')})))"
     )
-    ranked = F.array_sort(
-        F.transform(
-            first_seen,
-            lambda a: F.struct(
-                (-a["score"]).alias("neg_score"),
-                F.length(a["url"]).alias("chars"),
-                a["pos"].alias("pos"),
-                a["url"].alias("url"),
-                urls.page_role(a["url"]).alias("role"),
-            ),
-        )
+    capped = ", ".join(
+        f"slice(filter(ranked, a -> a.role = '{role}'), 1, {cap})" for role, cap in fv.LINK_ROLE_CAPS.items() if cap
     )
-    work = work.withColumn("ranked", ranked)
-    capped = F.concat(
-        *[
-            F.slice(F.filter(F.col("ranked"), lambda a, r=role: a["role"] == r), 1, cap)
-            for role, cap in fv.LINK_ROLE_CAPS.items()
-            if cap
-        ]
+    defaults = ", ".join(
+        f"named_struct('url', concat({urls.origin('home')}, '{path}'), 'role', '{role}', 'score', 0)"
+        for role, path in fv.DEFAULT_ROLE_PATHS
     )
-    work = work.withColumn("chosen", F.slice(F.array_sort(capped), 1, limit))
-    defaults = F.array(
-        *[F.struct(F.lit(role).alias("role"), F.lit(path).alias("path")) for role, path in fv.DEFAULT_ROLE_PATHS]
+    missing = keep(
+        f"array({defaults})",
+        lambda d: f"home <> '' AND NOT exists(chosen, c -> c.role = {d}.role) "
+        f"AND NOT exists(ranked, r -> r.url = {d}.url)",
     )
-    missing = F.filter(
-        F.transform(
-            defaults,
-            lambda d: F.struct(
-                F.concat(urls.origin(F.col("home")), d["path"]).alias("url"), d["role"].alias("role"), F.lit(0).alias("score")
-            ),
-        ),
-        lambda d: ~F.exists("chosen", lambda c: c["role"] == d["role"])
-        & ~F.exists("ranked", lambda r: r["url"] == d["url"])
-        & (F.col("home") != ""),
-    )
-    picked = F.transform(
-        "chosen", lambda c: F.struct(c["url"].alias("url"), c["role"].alias("role"), (-c["neg_score"]).alias("score"))
+    return (
+        work.selectExpr(key, "home", f"{ranked} AS ranked")
+        .withColumn("chosen", F.expr(f"slice(array_sort(concat({capped})), 1, {limit})"))
+        .selectExpr(
+            key,
+            "concat(transform(chosen, c -> named_struct('url', c.url, 'role', c.role, 'score', -c.neg_score)), "
+            f"slice({missing}, 1, {limit} - size(chosen))) AS selected",
+        )
     )
-    room = F.lit(limit) - F.size("chosen")
-    return work.select(key, F.concat(picked, F.slice(missing, F.lit(1), room)).alias("selected"))

@@ -14,11 +14,11 @@ from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine import fixed_values as fv
-from vitrine.functions.text import contains_any
+from vitrine.functions.text import contains_any, matches
 from vitrine.functions.urls import page_role
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -56,6 +56,7 @@ FACT_DDL = (
     "elements array<struct<tag:string,attrs:map<string,string>,within:array<string>,start:int,len:int>>"
 )
 SLICE_ROWS = 64
+RUNTIME = r"\bShopify\.(?:shop|theme|routes)\b"
 
 
 class _PageEvents(HTMLParser):
@@ -206,18 +207,15 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays(columns, names=names + [name for name, _ in FACT_FIELDS])
 
 
-def unusable_home_reason(status: Column, body: Column) -> Column:
+def unusable_home_reason(status: str = "status_code", body: str = "body") -> str:
     """Why a home page cannot be a live storefront; NULL when it can."""
-    lowered = F.lower(body)
-    return (
-        F.when(
-            (F.coalesce(status, F.lit(0)) >= 400) | (F.coalesce(body, F.lit("")) == ""),
-            F.concat(F.lit("homepage_status_"), F.coalesce(status, F.lit(0)).cast("string")),
-        )
-        .when(contains_any(lowered, fv.PASSWORD_MARKERS), "password_protected")
-        .when(contains_any(lowered, fv.PARKED_MARKERS), "parked_domain")
-        .when(lowered.contains(fv.CAPTCHA_MARKER) & (F.length(lowered) < fv.CAPTCHA_MAX_CHARS), "captcha_only")
-    )
+    lowered = f"lower({body})"
+    return f"""CASE
+      WHEN coalesce({status}, 0) >= 400 OR coalesce({body}, '') = '' THEN concat('homepage_status_', coalesce({status}, 0))
+      WHEN {contains_any(lowered, fv.PASSWORD_MARKERS)} THEN 'password_protected'
+      WHEN {contains_any(lowered, fv.PARKED_MARKERS)} THEN 'parked_domain'
+      WHEN contains({lowered}, '{fv.CAPTCHA_MARKER}') AND length({body}) < {fv.CAPTCHA_MAX_CHARS} THEN 'captcha_only'
+    END"""
 
 
 def usable_pages(pages: DataFrame) -> DataFrame:
@@ -230,29 +228,19 @@ def usable_pages(pages: DataFrame) -> DataFrame:
 
 def raw_facts(pages: DataFrame) -> DataFrame:
     """What the jobs take from raw markup, headers and addresses, without parsing."""
-    lowered = F.lower("body")
-    return pages.select(
+    headers = ", ".join(f"'{name}'" for name in fv.PLATFORM_HEADERS)
+    return pages.selectExpr(
         "store_id",
         "page_seq",
-        F.col("final_url").alias("url"),
-        page_role(F.col("final_url")).alias("role"),
-        F.col("body").rlike(r"\bShopify\.(?:shop|theme|routes)\b").alias("has_runtime"),
-        (lowered.contains("/cdn/shop/") | lowered.contains("cdn.shopify.com")).alias("has_cdn"),
-        (lowered.contains("shopify-section") | lowered.contains("shopify-payment-button")).alias("has_markup"),
-        F.when(
-            F.col("page_seq") == 0,
-            F.struct(
-                F.col("final_url").alias("home_url"),
-                "requested_url",
-                F.when(~F.col("robots_allowed"), "robots_disallowed")
-                .otherwise(unusable_home_reason(F.col("status_code"), F.col("body")))
-                .alias("home_reason"),
-                "redirect_history",
-            ),
-        ).alias("head"),
-        F.array_join(
-            F.array_sort(F.array_intersect(F.map_keys("headers"), F.array(*map(F.lit, fv.PLATFORM_HEADERS)))), ","
-        ).alias("platform_headers"),
+        "final_url AS url",
+        f"{page_role('final_url')} AS role",
+        f"{matches('body', RUNTIME)} AS has_runtime",
+        "contains(lower(body), '/cdn/shop/') OR contains(lower(body), 'cdn.shopify.com') AS has_cdn",
+        "contains(lower(body), 'shopify-section') OR contains(lower(body), 'shopify-payment-button') AS has_markup",
+        f"""CASE WHEN page_seq = 0 THEN named_struct('home_url', final_url, 'requested_url', requested_url, 'home_reason',
+          CASE WHEN NOT robots_allowed THEN 'robots_disallowed' ELSE {unusable_home_reason()} END,
+          'redirect_history', redirect_history) END AS head""",
+        f"array_join(array_sort(array_intersect(map_keys(headers), array({headers}))), ',') AS platform_headers",
         "body",
     )
 

@@ -53,7 +53,7 @@ def is_missing(field: str) -> Column:
         return (F.size("contacts.emails") == 0) & (F.size("contacts.phones") == 0)
     if field == "socials":
         return F.size("socials") == 0
-    return is_blank(F.col(field))
+    return F.expr(is_blank(field))
 
 
 def missing_fields(unique: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def source_yield(stores: DataFrame) -> DataFrame:
 
 
 def distribution(unique: DataFrame, column: str) -> DataFrame:
-    value = F.when(is_blank(F.col(column)), "missing").otherwise(F.col(column))
+    value = F.when(F.expr(is_blank(column)), "missing").otherwise(F.col(column))
     return unique.groupBy(value.alias(column)).agg(F.count("*").alias("n"))
 
 
@@ -124,11 +124,11 @@ def report_counters(stores: DataFrame) -> DataFrame:
 
 def audit_precision(worksheet: DataFrame) -> DataFrame:
     """Precision of both verdicts over the rows in which both were judged."""
-    both = ~is_blank(F.col("shopify_correct")) & ~is_blank(F.col("india_correct"))
+    both = ~F.expr(is_blank("shopify_correct")) & ~F.expr(is_blank("india_correct"))
     counted = worksheet.where(both).agg(
         F.count("*").alias("reviewed"),
-        F.count_if(is_yes(F.col("shopify_correct"))).alias("platform_yes"),
-        F.count_if(is_yes(F.col("india_correct"))).alias("india_yes"),
+        F.count_if(F.expr(is_yes("shopify_correct"))).alias("platform_yes"),
+        F.count_if(F.expr(is_yes("india_correct"))).alias("india_yes"),
     )
     n = F.col("reviewed")
     share = lambda part: F.when(n > 0, F.col(part) / n)
@@ -153,11 +153,11 @@ def field_accuracy(worksheet: DataFrame) -> DataFrame:
     )
     return (
         worksheet.select(cells.alias("cell"))
-        .where(~is_blank(F.col("cell.rating")))
+        .where(~F.expr(is_blank("cell.rating")))
         .groupBy("cell.field")
         .agg(
             F.count("*").alias("reviewed"),
-            F.round(F.count_if(is_yes(F.col("cell.rating"))) * 100 / F.count("*"), 2).alias("accuracy_percent"),
+            F.round(F.count_if(F.expr(is_yes("cell.rating"))) * 100 / F.count("*"), 2).alias("accuracy_percent"),
         )
     )
 
@@ -172,7 +172,7 @@ def audit_sample(unique: DataFrame, size: int, seed: int, salts: int = 32) -> Da
     Order inside a stratum is a seeded hash. A stratum can hold a third of all stores, so
     each of its salted parts first keeps its own first `size`, which is exact.
     """
-    state = F.when(is_blank(F.col("state")), "missing").otherwise(F.col("state"))
+    state = F.when(F.expr(is_blank("state")), "missing").otherwise(F.col("state"))
     drawn = unique.withColumns(
         {
             "stratum_state": state,

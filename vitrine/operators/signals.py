@@ -1,4 +1,4 @@
-"""Page facts → long signal rows, and their roll-up per store.
+"""Page facts → long signal rows, and their reduction per store and value.
 
 Every extractor turns one page into an array of the same small struct. A job explodes
 the arrays it needs; the full verification explodes all of them at once, so a page is
@@ -8,11 +8,13 @@ map-side partial aggregation, which also spreads a very large store over many ta
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine import fixed_values as fv
-from vitrine.functions import contacts, states, text, urls
+from vitrine.functions import contacts, states, urls
+from vitrine.functions import text as tx
+from vitrine.functions.text import each, keep, let, literal
 from vitrine.operators import elements as el
 
 HEAD = "struct<home_url:string,requested_url:string,home_reason:string,redirect_history:array<string>>"
@@ -20,202 +22,173 @@ SIGNAL = (
     "struct<family:string,key:string,value:string,payload:string,points:bigint,weight:int,strength:string,"
     f"ord:struct<a:int,b:int,c:int>,head:{HEAD}>"
 )
+NOTHING = f"cast(array() AS array<{SIGNAL}>)"
 LAST = 2**31 - 1
-PAGE = "page_seq"
 
 
 def _signal(
     family: str,
-    key: Column | str = "",
-    value: Column | str = "",
-    payload: Column | str = "",
-    points: Column | int = 0,
+    key: str = "''",
+    value: str = "''",
+    payload: str = "''",
+    points: str = "0",
     weight: int = 0,
     strength: str = "",
-    ord: tuple = (0, 0, 0),
-    head: Column | None = None,
-) -> Column:
-    def col(x: Column | str | int) -> Column:
-        return x if isinstance(x, Column) else F.lit(x)
-
-    order = F.struct(*[col(o).cast("int").alias(n) for o, n in zip(ord, "abc")])
-    return F.struct(
-        F.lit(family).alias("family"),
-        col(key).alias("key"),
-        col(value).alias("value"),
-        col(payload).alias("payload"),
-        col(points).cast("bigint").alias("points"),
-        F.lit(weight).alias("weight"),
-        F.lit(strength).alias("strength"),
-        order.alias("ord"),
-        (F.lit(None) if head is None else head).cast(HEAD).alias("head"),
-    ).cast(SIGNAL)
+    order: tuple = (0, 0, 0),
+    head: str = "NULL",
+) -> str:
+    a, b, c = order
+    return (
+        f"cast(struct('{family}', {key}, {value}, {payload}, {points}, {weight}, '{strength}', "
+        f"struct({a}, {b}, {c}), {head}) AS {SIGNAL})"
+    )
 
 
-def _one(condition: Column, signal: Column) -> Column:
-    """A single signal when the condition holds, else nothing."""
-    return F.when(condition, F.array(signal)).otherwise(F.array().cast(f"array<{SIGNAL}>"))
+def _if(condition: str, signal: str) -> str:
+    return f"CASE WHEN {condition} THEN array({signal}) ELSE {NOTHING} END"
 
 
-def _indexed(values: Column, build) -> Column:
-    return F.transform(values, build)
+def _numbered(array: str, build) -> str:
+    """`transform` with the position as a second variable."""
+    return f"transform({array}, (v, i) -> {build('v', 'i')})"
 
 
-def head_signals() -> Column:
+def head_signals() -> str:
     """One row per page; the home page's carries its addresses, redirects and usability."""
-    return F.array(_signal("head", head=F.col("head")))
+    return f"array({_signal('head', head='head')})"
 
 
 # --- evidence ----------------------------------------------------------------
 
 
-def platform_signals() -> Column:
+def platform_signals() -> str:
     """Signals the home page itself gives; DNS and cart answers join per store."""
-    home = F.col(PAGE) == 0
 
-    def sig(rank: int, kind: str, value: Column | str, weight: int, strength: str) -> Column:
-        return _signal("platform", kind, value, weight=weight, strength=strength, ord=(0, rank, 0))
+    def one(condition: str, rank: int, kind: str, value: str, weight: int, strength: str) -> str:
+        signal = _signal("platform", literal(kind), value, weight=weight, strength=strength, order=(0, rank, 0))
+        return _if(f"page_seq = 0 AND {condition}", signal)
 
-    return F.concat(
-        _one(home & (F.col("platform_headers") != ""), sig(2, "shopify_headers", F.col("platform_headers"), 5, "strong")),
-        _one(home & F.col("has_runtime"), sig(3, "shopify_runtime", "Shopify runtime object", 5, "strong")),
-        _one(home & F.col("has_cdn"), sig(4, "shopify_cdn", "Shopify CDN asset", 2, "supporting")),
-        _one(home & F.col("has_markup"), sig(5, "shopify_markup", "Shopify theme markup", 2, "supporting")),
+    rules = (
+        one("platform_headers <> ''", 2, "shopify_headers", "platform_headers", 5, "strong"),
+        one("has_runtime", 3, "shopify_runtime", "'Shopify runtime object'", 5, "strong"),
+        one("has_cdn", 4, "shopify_cdn", "'Shopify CDN asset'", 2, "supporting"),
+        one("has_markup", 5, "shopify_markup", "'Shopify theme markup'", 2, "supporting"),
     )
+    return f"concat({', '.join(rules)})"
 
 
-def address_regions() -> Column:
+def address_regions() -> str:
     """Address-sized texts with the score a state found in them deserves."""
-    role, shown = F.col("role"), F.col("text")
-    none = F.array().cast("array<struct<region:string,score:int>>")
 
-    def scored(values: Column, score: Column | int) -> Column:
-        score = score if isinstance(score, Column) else F.lit(score)
-        return F.transform(values, lambda r: F.struct(r.alias("region"), score.cast("int").alias("score")))
+    def scored(regions: str, score: str) -> str:
+        return each(regions, lambda r: f"named_struct('region', {r}, 'score', {score})")
 
+    none = "cast(array() AS array<struct<region:string,score:int>>)"
     label = r"\b(?:{})\s+address\b"
-    return F.concat(
-        scored(el.address_texts(), F.when(role == "contact", 82).otherwise(72)),
-        F.when(
-            role != "legal",
-            scored(
-                text.windows(shown, states.PIN, 220, 120, guard=states.PIN_GUARD),
-                F.when(role == "contact", 80).otherwise(70),
-            ),
-        ).otherwise(none),
-        scored(text.windows(shown, label.format("registered"), 0, 400), 95),
-        scored(text.windows(shown, label.format("corporate|business|office|store|postal"), 0, 400), 90),
-        F.when(
-            role == "legal",
-            scored(
-                text.windows(
-                    shown, "(?:mailing us at|by mail using the details|contact information below)", 0, 500
-                ),
-                85,
-            ),
-        ).otherwise(none),
+    mailing = "(?:mailing us at|by mail using the details|contact information below)"
+    around_pins = scored(
+        tx.windows("text", states.PIN, 220, 120, guard=states.PIN_GUARD), "CASE role WHEN 'contact' THEN 80 ELSE 70 END"
+    )
+    parts = (
+        scored(el.address_texts(), "CASE role WHEN 'contact' THEN 82 ELSE 72 END"),
+        f"CASE WHEN role <> 'legal' THEN {around_pins} ELSE {none} END",
+        scored(tx.windows("text", label.format("registered"), 0, 400), "95"),
+        scored(tx.windows("text", label.format("corporate|business|office|store|postal"), 0, 400), "90"),
+        f"CASE WHEN role = 'legal' THEN {scored(tx.windows('text', mailing, 0, 500), '85')} ELSE {none} END",
     )
+    return f"concat({', '.join(parts)})"
 
 
-def region_states() -> Column:
+def region_states() -> str:
     """State and score of every address region that stands for exactly one state."""
-    found = F.transform(
+    found = each(
         address_regions(),
-        lambda r: F.struct(states.region_state(r["region"]).alias("state"), r["score"].alias("score")),
+        lambda r: f"named_struct('state', {states.region_state(f'{r}.region')}, 'score', {r}.score)",
     )
-    return F.filter(found, lambda r: r["state"].isNotNull())
+    return keep(found, lambda r: f"{r}.state IS NOT NULL")
 
 
-def _structured_addresses(ld: Column) -> Column:
-    return F.filter(ld, lambda i: F.lower(F.trim(i["country"])).isin("in", "india"))
+def _structured_addresses() -> str:
+    return keep("ld", lambda i: f"lower(trim({i}.country)) IN ('in', 'india')")
 
 
-def india_signals(ld: Column, regions: Column) -> Column:
-    shown, page = F.col("text"), F.col(PAGE)
-    host = F.lower(urls.hostname(F.col("url")))
+def india_signals() -> str:
+    def sig(rank: int, kind: str, value: str, weight: int, strength: str, pos: str = "0") -> str:
+        return _signal("india", literal(kind), value, weight=weight, strength=strength, order=("page_seq", rank, pos))
 
-    def sig(rank: int, kind: str, value: Column | str, weight: int, strength: str, pos: Column | int = 0) -> Column:
-        return _signal("india", kind, value, weight=weight, strength=strength, ord=(page, rank, pos))
-
-    return F.concat(
-        _indexed(states.find_gstins(shown), lambda g, i: sig(1, "gstin", g, 5, "strong", i)),
-        _indexed(regions, lambda r, i: sig(2, "state_pin", r["state"], 4, "strong", i)),
-        _one(
-            text.names_registered_office(shown),
-            sig(3, "registered_india", "registered/business address names India", 4, "strong"),
-        ),
-        _indexed(
-            _structured_addresses(ld),
-            lambda a, i: sig(4, "structured_india_address", a["address"], 5, "strong", i),
+    host = f"lower({urls.hostname('url')})"
+    domain = _signal("india", "'india_domain'", host, weight=1, strength="supporting", order=(LAST, 8, 0))
+    rules = (
+        _numbered("gstins", lambda v, i: sig(1, "gstin", v, 5, "strong", i)),
+        _numbered("regions", lambda v, i: sig(2, "state_pin", f"{v}.state", 4, "strong", i)),
+        _if(
+            tx.names_registered_office("text"),
+            sig(3, "registered_india", "'registered/business address names India'", 4, "strong"),
         ),
-        _one(F.size(contacts.indian_phones(shown)) > 0, sig(5, "india_phone", "public Indian phone", 2, "supporting")),
-        _one(text.shows_rupees(shown), sig(6, "inr", "INR storefront", 1, "supporting")),
-        _one(text.ships_to_india(shown), sig(7, "india_shipping", "India shipping/returns language", 1, "supporting")),
-        _one(
-            (page == 0) & urls.india_tld(host),
-            _signal("india", "india_domain", host, weight=1, strength="supporting", ord=(LAST, 8, 0)),
+        _numbered(
+            _structured_addresses(), lambda v, i: sig(4, "structured_india_address", f"{v}.address", 5, "strong", i)
         ),
+        _if(f"size({contacts.indian_phones('text')}) > 0", sig(5, "india_phone", "'public Indian phone'", 2, "supporting")),
+        _if(tx.shows_rupees("text"), sig(6, "inr", "'INR storefront'", 1, "supporting")),
+        _if(tx.ships_to_india("text"), sig(7, "india_shipping", "'India shipping/returns language'", 1, "supporting")),
+        _if(f"page_seq = 0 AND {urls.india_tld(host)}", domain),
     )
+    return f"concat({', '.join(rules)})"
 
 
-def state_signals(ld: Column, regions: Column) -> Column:
-    by_tax = F.filter(
-        F.transform(states.find_gstins(F.col("text")), states.state_from_gstin), lambda s: s != ""
-    )
-    named = F.transform(_structured_addresses(ld), lambda a: states.find_states(F.coalesce(a["region"], F.lit(""))))
-    structured = F.transform(F.filter(named, lambda s: F.size(s) == 1), lambda s: s[0])
-    return F.concat(
-        F.transform(by_tax, lambda s: _signal("state", s, points=100)),
-        F.transform(regions, lambda r: _signal("state", r["state"], points=r["score"])),
-        F.transform(structured, lambda s: _signal("state", s, points=90)),
+def state_signals() -> str:
+    by_tax = keep(each("gstins", states.state_from_gstin), lambda s: f"{s} <> ''")
+    named = each(_structured_addresses(), lambda a: states.find_states(f"coalesce({a}.region, '')"))
+    structured = keep(named, lambda s: f"size({s}) = 1")
+    rows = (
+        each(by_tax, lambda s: _signal("state", s, points="100")),
+        each("regions", lambda r: _signal("state", f"{r}.state", points=f"{r}.score")),
+        each(structured, lambda s: _signal("state", f"{s}[0]", points="90")),
     )
+    return f"concat({', '.join(rows)})"
 
 
 # --- contacts and social profiles -----------------------------------------------
 
 
-def contact_signals() -> Column:
-    page, role_of = F.col(PAGE), el.anchors()
-    href = lambda e: el.attr(e, "href")
-    mail = F.filter(role_of, lambda e: F.lower(href(e)).startswith("mailto:"))
-    tel = F.filter(role_of, lambda e: F.lower(href(e)).startswith("tel:"))
-    chat = F.transform(role_of, lambda e: contacts.whatsapp_phone(href(e)))
-    regions = el.contact_regions()
-    emails = F.concat(
-        F.flatten(
-            F.transform(mail, lambda e: contacts.extract_emails(F.split(F.substring(href(e), 8, LAST), r"\?")[0]))
-        ),
-        F.flatten(
-            F.transform(
-                regions,
-                lambda r: F.filter(contacts.extract_emails(r), lambda e: ~text.near_third_party_marker(r, e)),
-            )
-        ),
-    )
-    phones = F.concat(
-        F.flatten(F.transform(tel, lambda e: contacts.extract_phones(F.substring(href(e), 5, LAST)))),
-        F.filter(chat, lambda p: p.isNotNull()),
-        F.flatten(F.transform(regions, contacts.extract_phones)),
-    )
-    return F.concat(
-        F.transform(F.array_distinct(emails), lambda v: _signal("contact", "email", v, ord=(page, 0, 0))),
-        F.transform(F.array_distinct(phones), lambda v: _signal("contact", "phone", v, ord=(page, 0, 0))),
+def page_emails() -> str:
+    """Addresses of mailto links, and those in contact regions away from a maker's credit."""
+    mailto = keep("hrefs", lambda h: f"startswith(lower({h}), 'mailto:')")
+    linked = each(mailto, lambda h: contacts.extract_emails(f"split(substring({h}, 8), '[?]')[0]"))
+    written = each(
+        "contact_regions",
+        lambda r: keep(contacts.extract_emails(r), lambda e: f"NOT {tx.near_third_party_marker(r, e)}"),
     )
+    return f"array_distinct(concat(flatten({linked}), flatten({written})))"
+
 
+def page_phones() -> str:
+    tel = keep("hrefs", lambda h: f"startswith(lower({h}), 'tel:')")
+    linked = each(tel, lambda h: contacts.extract_phones(f"substring({h}, 5)"))
+    chats = each(keep("hrefs", lambda h: f"contains({h}, '//')"), contacts.whatsapp_phone)
+    known_chats = keep(chats, lambda p: f"{p} IS NOT NULL")
+    written = each("contact_regions", contacts.extract_phones)
+    return f"array_distinct(concat(flatten({linked}), {known_chats}, flatten({written})))"
 
-def social_links() -> Column:
+
+def contact_signals() -> str:
+    def rows(key: str, values: str) -> str:
+        return each(values, lambda v: _signal("contact", literal(key), v, order=("page_seq", 0, 0)))
+
+    return f"concat({rows('email', page_emails())}, {rows('phone', page_phones())})"
+
+
+def social_links() -> str:
     """Targets that may be social profiles, to be normalised."""
-    return F.filter(F.transform(el.anchors(), lambda e: el.attr(e, "href")), urls.social_host_hint)
+    return keep("hrefs", urls.social_host_hint)
 
 
-def social_signals(normalized: Column) -> Column:
-    canonical = F.array_distinct(F.transform(normalized, urls.canonical_social_url))
-    found = F.transform(
-        canonical, lambda u: F.struct(urls.social_platform(u).alias("platform"), u.alias("profile"))
-    )
-    return F.transform(
-        F.filter(found, lambda f: f["platform"].isNotNull()),
-        lambda f: _signal("social", f["platform"], f["profile"], ord=(F.col(PAGE), 0, 0)),
+def social_signals() -> str:
+    canonical = f"array_distinct({each('social_urls', urls.canonical_social_url)})"
+    placed = each(canonical, lambda u: f"named_struct('platform', {urls.social_platform(u)}, 'profile', {u})")
+    return each(
+        keep(placed, lambda f: f"{f}.platform IS NOT NULL"),
+        lambda f: _signal("social", f"{f}.platform", f"{f}.profile", order=("page_seq", 0, 0)),
     )
 
 
@@ -225,207 +198,188 @@ WORD_CATEGORY = {word: category for category, words in fv.CATEGORY_WORDS.items()
 CATEGORY_INDEX = {category: str(i) for i, category in enumerate(fv.CATEGORY_WORDS)}
 
 
-def category_hits(chunk: Column) -> Column:
+def category_hits(chunk: str) -> str:
     """(category, hits) of one text: every word counts at most three times."""
-    found = text.bounded_words(F.lower(text.clean_text(chunk)), WORD_CATEGORY, "a-z0-9")
-    counted = F.transform(
-        F.array_distinct(found),
-        lambda w: F.struct(
-            text.lookup(WORD_CATEGORY, w).alias("category"),
-            F.least(F.lit(fv.CATEGORY_HIT_CAP), F.size(F.filter(found, lambda f: f == w))).alias("hits"),
-        ),
-    )
-    return F.transform(
-        F.array_distinct(F.transform(counted, lambda c: c["category"])),
-        lambda category: F.struct(
-            category.alias("category"),
-            F.aggregate(
-                F.filter(counted, lambda c: c["category"] == category),
-                F.lit(0),
-                lambda total, c: total + c["hits"],
-            ).alias("hits"),
-        ),
-    )
 
+    def per_word(found: str) -> str:
+        return each(
+            f"array_distinct({found})",
+            lambda w: f"named_struct('category', {tx.lookup(WORD_CATEGORY, w)}, 'hits', "
+            f"least({fv.CATEGORY_HIT_CAP}, size({keep(found, lambda f: f'{f} = {w}')})))",
+        )
+
+    def per_category(counted: str) -> str:
+        def total(category: str) -> str:
+            same = keep(counted, lambda c: f"{c}.category = {category}")
+            return f"named_struct('category', {category}, 'hits', aggregate({same}, 0, (sum, c) -> sum + c.hits))"
+
+        return each(f"array_distinct({each(counted, lambda c: f'{c}.category')})", total)
+
+    words = tx.bounded_words(f"lower({tx.clean_text(chunk)})", WORD_CATEGORY, "a-z0-9")
+    return let(words, lambda found: let(per_word(found), per_category))
 
-def category_chunks(ld: Column) -> Column:
+
+def category_chunks() -> str:
     """The texts of a page that speak about its goods, weighted."""
-    home = F.col("role") == "home"
-
-    def chunk(body: Column, weight: Column | int) -> Column:
-        weight = weight if isinstance(weight, Column) else F.lit(weight)
-        return F.struct(text.unescape_basic(F.coalesce(body, F.lit(""))).alias("body"), weight.cast("int").alias("weight"))
-
-    goods = lambda i: i["type"].isin("product", "itemlist", "offer")
-    from_ld = F.flatten(
-        F.transform(
-            ld,
-            lambda i: F.array(
-                chunk(i["category"], 16),
-                chunk(i["product_type"], 16),
-                chunk(i["name"], F.when(goods(i), 16).otherwise(5)),
-                chunk(i["description"], F.when(goods(i), 16).otherwise(5)),
-            ),
+
+    def chunk(body: str, weight: str) -> str:
+        return f"named_struct('body', {tx.unescape_basic(f"coalesce({body}, '')")}, 'weight', {weight})"
+
+    def of_object(i: str) -> str:
+        goods = f"CASE WHEN {i}.type IN ('product', 'itemlist', 'offer') THEN 16 ELSE 5 END"
+        return (
+            f"array({chunk(f'{i}.category', '16')}, {chunk(f'{i}.product_type', '16')}, "
+            f"{chunk(f'{i}.name', goods)}, {chunk(f'{i}.description', goods)})"
         )
-    )
-    return F.concat(
-        F.array(
-            chunk(el.meta_description(), F.when(home, 50).otherwise(8)),
-            chunk(F.concat(el.title_text(), F.lit(" "), el.headings_text()), 6),
-        ),
-        from_ld,
-        F.array(
-            chunk(F.when(home, el.commerce_links_text()), 7),
-            chunk(el.content_text(), 1),
-        ),
-    )
 
+    links = f"CASE WHEN role = 'home' THEN {el.commerce_links_text()} END"
+    headings = f"concat({el.title_text()}, ' ', {el.headings_text()})"
+    meta_weight = "CASE WHEN role = 'home' THEN 50 ELSE 8 END"
+    return f"""concat(
+      array({chunk('meta', meta_weight)}, {chunk(headings, '6')}),
+      flatten({each('ld', of_object)}),
+      array({chunk(links, '7')}, {chunk(el.content_text(), '1')}))"""
+
+
+def category_signals() -> str:
+    def of_chunk(chunk: str, i: str) -> str:
+        def of_hit(h: str) -> str:
+            position = f"{i} * 100 + cast({tx.lookup(CATEGORY_INDEX, f'{h}.category')} AS int)"
+            return _signal(
+                "category", f"{h}.category", points=f"{h}.hits * {chunk}.weight", order=("role_rank", "page_seq", position)
+            )
 
-def category_signals(ld: Column) -> Column:
-    rank = urls.role_rank(F.col("role"))
-    scored = F.transform(
-        category_chunks(ld),
-        lambda c, i: F.transform(
-            category_hits(c["body"]),
-            lambda h: _signal(
-                "category",
-                h["category"],
-                points=h["hits"] * c["weight"],
-                ord=(rank, F.col(PAGE), i * 100 + text.lookup(CATEGORY_INDEX, h["category"]).cast("int")),
-            ),
-        ),
-    )
-    nothing = F.array().cast(f"array<{SIGNAL}>")
-    return F.when(F.col("role") == "legal", nothing).otherwise(F.flatten(scored))
+        return each(category_hits(f"{chunk}.body"), of_hit)
+
+    return f"CASE WHEN role = 'legal' THEN {NOTHING} ELSE flatten({_numbered(category_chunks(), of_chunk)}) END"
 
 
 # --- description and logo ----------------------------------------------------------
 
 
-def _describes(value: Column) -> Column:
-    return (F.length(F.trim(value)) >= 20) & ~text.is_boilerplate_description(value)
+def _describes(value: str) -> str:
+    return f"coalesce(length(trim({value})) >= 20 AND NOT {tx.is_boilerplate_description(value)}, false)"
 
 
-def description_signals(ld: Column) -> Column:
+def description_signals() -> str:
     """At most one candidate per page: its best by pass, then kind, then position."""
-    rank, page = urls.role_rank(F.col("role")), F.col(PAGE)
-    meta = text.clean_text(el.meta_description())
-    speaking = F.filter(
-        ld,
-        lambda i: i["type"].isin("organization", "store", "brand", "website") & F.coalesce(_describes(i["description"]), F.lit(False)),
+    meta = let(tx.clean_text("meta"), lambda m: f"CASE WHEN {_describes(m)} THEN {m} END")
+    speaking = keep(
+        "ld",
+        lambda i: f"{i}.type IN ('organization', 'store', 'brand', 'website') AND {_describes(f'{i}.description')}",
     )
-    own = text.clean_text(text.unescape_basic(F.try_element_at(speaking, F.lit(1))["description"]))
-    nodes = F.filter(el.description_texts(), lambda t: _describes(t) & (F.length(t) <= 2000))
-
-    def sig(kind: int, value: Column) -> Column:
-        cut = F.left(value, F.lit(fv.DESCRIPTION_CHARS))
-        first_pass = kind < 2
-        return F.array(
-            _signal("description", payload=cut, ord=(rank if first_pass else rank + 10, page, kind))
-        )
+    own = tx.clean_text(tx.unescape_basic(f"try_element_at({speaking}, 1).description"))
+    nodes = keep(el.description_texts(), lambda t: f"{_describes(t)} AND length({t}) <= 2000")
 
-    node = F.try_element_at(nodes, F.lit(1))
-    nothing = F.array().cast(f"array<{SIGNAL}>")
-    return (
-        F.when(F.col("role").isin("contact", "legal"), nothing)
-        .when(_describes(meta), sig(0, meta))
-        .when(own.isNotNull(), sig(1, own))
-        .when(node.isNotNull(), sig(2, node))
-        .otherwise(nothing)
-    )
+    def candidate(value: str, kind: int) -> str:
+        rank = "role_rank" if kind < 2 else "role_rank + 10"
+        cut = f"left({value}, {fv.DESCRIPTION_CHARS})"
+        return f"array({_signal('description', payload=cut, order=(rank, 'page_seq', kind))})"
+
+    def first_of(found: str) -> str:
+        return f"""CASE WHEN {found}.meta IS NOT NULL THEN {candidate(f'{found}.meta', 0)}
+          WHEN {found}.own IS NOT NULL THEN {candidate(f'{found}.own', 1)}
+          WHEN {found}.node IS NOT NULL THEN {candidate(f'{found}.node', 2)} ELSE {NOTHING} END"""
 
+    found = f"named_struct('meta', {meta}, 'own', {own}, 'node', try_element_at({nodes}, 1))"
+    return f"CASE WHEN role IN ('contact', 'legal') THEN {NOTHING} ELSE {let(found, first_of)} END"
 
-def _usable_logo(url: Column) -> Column:
-    return (url != "") & ~text.contains_any(F.lower(url), fv.LOGO_BLOCKED_TOKENS)
 
+def _usable_logo(url: str) -> str:
+    return f"({url} <> '' AND NOT {tx.contains_any(f'lower({url})', fv.LOGO_BLOCKED_TOKENS)})"
 
-def ld_logos(ld: Column) -> Column:
-    named = F.filter(ld, lambda i: i["type"].isin("organization", "store", "brand") & i["logo"].isNotNull())
-    return F.transform(named, lambda i: i["logo"])
 
+def ld_logos() -> str:
+    named = keep("ld", lambda i: f"{i}.type IN ('organization', 'store', 'brand') AND {i}.logo IS NOT NULL")
+    return each(named, lambda i: f"{i}.logo")
 
-def logo_images() -> Column:
+
+def logo_images() -> str:
     """Images a logo selector takes, without the ones that are icons by size."""
-    return F.filter(
+    return keep(
         el.image_candidates(),
-        lambda i: i["base"].isNotNull()
-        & ~F.coalesce((i["width"] <= 64) & (i["height"] <= 64), F.lit(False)),
+        lambda i: f"{i}.base IS NOT NULL AND NOT coalesce({i}.width <= 64 AND {i}.height <= 64, false)",
     )
 
 
-def logo_signals(ld_urls: Column, images: Column, image_urls: Column) -> Column:
-    page = F.col(PAGE)
-    home = F.col("role") == "home"
-    from_ld = F.transform(
-        F.filter(ld_urls, _usable_logo),
-        lambda u, i: _signal("logo", payload=u, points=100, ord=(0, page, i)),
-    )
-    seen = F.zip_with(
-        images,
-        image_urls,
-        lambda i, u: F.struct(u.alias("url"), i["base"].alias("base")),
+def logo_signals() -> str:
+    from_ld = _numbered(
+        keep("ld_logo_urls", _usable_logo),
+        lambda v, i: _signal("logo", payload=v, points="100", order=(0, "page_seq", i)),
     )
-    from_images = F.transform(
-        F.filter(seen, lambda s: _usable_logo(s["url"])),
-        lambda s, i: _signal(
-            "logo",
-            payload=s["url"],
-            points=s["base"]["score"]
-            + F.when(F.lower(s["url"]).contains("logo"), 10).otherwise(0)
-            + F.when(home, 5).otherwise(0),
-            ord=(F.when(home, 1).otherwise(2), page, s["base"]["rank"] * 100000 + i),
-        ),
-    )
-    return F.concat(from_ld, from_images)
+    seen = "zip_with(logo_images, image_urls, (i, u) -> named_struct('url', u, 'base', i.base))"
+
+    def from_image(v: str, i: str) -> str:
+        points = (
+            f"{v}.base.score + CASE WHEN contains(lower({v}.url), 'logo') THEN 10 ELSE 0 END "
+            "+ CASE WHEN role = 'home' THEN 5 ELSE 0 END"
+        )
+        phase = "CASE WHEN role = 'home' THEN 1 ELSE 2 END"
+        return _signal(
+            "logo", payload=f"{v}.url", points=points, order=(phase, "page_seq", f"{v}.base.rank * 100000 + {i}")
+        )
+
+    from_images = _numbered(keep(seen, lambda s: _usable_logo(f"{s}.url")), from_image)
+    return f"concat({from_ld}, {from_images})"
 
 
 # --- the table-level job --------------------------------------------------------------
 
-ALL_FAMILIES = ("head", "platform", "india", "state", "contact", "social", "category", "description", "logo")
+EXTRACTORS = {
+    "head": head_signals,
+    "platform": platform_signals,
+    "india": india_signals,
+    "state": state_signals,
+    "contact": contact_signals,
+    "social": social_signals,
+    "category": category_signals,
+    "description": description_signals,
+    "logo": logo_signals,
+}
+ALL_FAMILIES = tuple(EXTRACTORS)
+
+
+def _shared_columns(families: tuple[str, ...]) -> list[dict]:
+    """Columns several extractors read, in the order they build on each other."""
+    asked = set(families)
+
+    def when(users: set[str], **columns) -> dict:
+        return {name: F.expr(c) if isinstance(c, str) else c for name, c in columns.items()} if users & asked else {}
+
+    first = {
+        **when({"india", "state", "category", "description", "logo"}, ld=el.ld_facts()),
+        **when({"india", "state"}, regions=region_states(), gstins=states.find_gstins("text")),
+        **when({"contact", "social"}, hrefs=el.HREFS),
+        **when({"contact"}, contact_regions=el.contact_regions()),
+        **when({"category", "description"}, meta=el.meta_description(), role_rank=urls.role_rank("role")),
+        **when({"logo"}, logo_images=logo_images()),
+    }
+    second = {}
+    if "social" in asked:
+        second["social_urls"] = urls.normalize_urls(social_links())
+    if "logo" in asked:
+        second["ld_logo_urls"] = urls.normalize_urls(ld_logos(), "url")
+        second["image_urls"] = urls.normalize_urls("transform(logo_images, i -> i.src)", "url")
+    return [step for step in (first, second) if step]
 
 
 def page_entities(facts: DataFrame, families: tuple[str, ...] = ALL_FAMILIES) -> DataFrame:
     """Long signal rows of the asked families: one pass over the page facts."""
     work = facts
-    if {"india", "state", "category", "description", "logo"} & set(families):
-        work = work.withColumn("ld", el.ld_facts(F.col("ld_json")))
-    if {"india", "state"} & set(families):
-        work = work.withColumn("regions", region_states())
-    if "social" in families:
-        work = work.withColumn("social_urls", urls.normalize_urls(social_links()))
-    if "logo" in families:
-        work = work.withColumn("logo_images", logo_images())
-        work = work.withColumns(
-            {
-                "ld_logo_urls": urls.normalize_urls(ld_logos(F.col("ld")), F.col("url")),
-                "image_urls": urls.normalize_urls(
-                    F.transform(F.col("logo_images"), lambda i: i["src"]), F.col("url")
-                ),
-            }
-        )
-    build = {
-        "head": lambda: head_signals(),
-        "platform": lambda: platform_signals(),
-        "india": lambda: india_signals(F.col("ld"), F.col("regions")),
-        "state": lambda: state_signals(F.col("ld"), F.col("regions")),
-        "contact": lambda: contact_signals(),
-        "social": lambda: social_signals(F.col("social_urls")),
-        "category": lambda: category_signals(F.col("ld")),
-        "description": lambda: description_signals(F.col("ld")),
-        "logo": lambda: logo_signals(F.col("ld_logo_urls"), F.col("logo_images"), F.col("image_urls")),
-    }
-    signals = F.concat(*[build[family]() for family in families])
-    return work.select("store_id", PAGE, "url", "role", F.explode(signals).alias("signal")).select(
-        "store_id", PAGE, "url", "role", "signal.*"
+    for step in _shared_columns(families):
+        work = work.withColumns(step)
+    signals = ", ".join(EXTRACTORS[family]() for family in families)
+    return work.select("store_id", "page_seq", "url", "role", F.expr(f"explode(concat({signals})) AS signal")).select(
+        "store_id", "page_seq", "url", "role", "signal.*"
     )
 
 
 def reduce_entities(entities: DataFrame) -> DataFrame:
     """One row per (store, family, key, value): first provenance, sums, maxima, best row."""
     return entities.groupBy("store_id", "family", "key", "value").agg(
-        F.min(F.struct("ord", "url", "payload", "weight", "strength")).alias("first"),
-        F.sum("points").alias("total"),
-        F.max("points").alias("top"),
-        F.min(F.struct((-F.col("points")).alias("neg_points"), "ord", "url", "payload")).alias("best"),
-        F.max("head").alias("head"),
+        F.expr("min(struct(ord, url, payload, weight, strength)) AS first"),
+        F.expr("sum(points) AS total"),
+        F.expr("max(points) AS top"),
+        F.expr("min(struct(-points AS neg_points, ord, url, payload)) AS best"),
+        F.expr("max(head) AS head"),
     )

@@ -100,7 +100,7 @@ def attempt_outcome(attempts: DataFrame) -> DataFrame:
 
 def wanted_stores(stores: DataFrame, domains: DataFrame) -> DataFrame:
     """Stores whose domain is in a wanted set (column `domain_url`)."""
-    wanted = domains.where(~is_blank(F.col("domain_url"))).select(domain_key(F.trim("domain_url")).alias("_key")).distinct()
+    wanted = domains.where(f"NOT {is_blank('domain_url')}").select(domain_key(F.trim("domain_url")).alias("_key")).distinct()
     return stores.withColumn("_key", domain_key(F.col("domain_url"))).join(wanted, "_key", "left_semi").drop("_key")
 
 
@@ -119,7 +119,7 @@ def reviewed_rows(worksheet: DataFrame) -> DataFrame:
     """Worksheet rows in which a reviewer filled any column."""
     filled = F.lit(False)
     for column in fv.REVIEW_COLUMNS:
-        filled = filled | ~is_blank(F.col(column))
+        filled = filled | ~F.expr(is_blank(column))
     return worksheet.where(filled)
 
 

@@ -7,87 +7,84 @@ from pyspark.sql import functions as F
 
 from vitrine import fixed_values as fv
 from vitrine.functions import text, urls
+from vitrine.functions.text import each, keep, let
 from vitrine.operators import signals
 from vitrine.operators.skew import hot_key_join
 
 
+def _all(named: dict[str, str]) -> dict[str, Column]:
+    return {name: F.expr(expression) for name, expression in named.items()}
+
+
 def store_heads(rolled: DataFrame) -> DataFrame:
     """Opens the home page's struct and adds the store's final origin."""
     opened = rolled.select("*", "head.*").drop("head").where("home_url IS NOT NULL")
-    arrived = (F.col("home_url") != "") & ~F.coalesce(F.col("home_reason") == "robots_disallowed", F.lit(False))
-    return opened.withColumn(
-        "domain_url", urls.origin(urls.normalize_url(F.when(arrived, F.col("home_url")).otherwise(F.col("requested_url"))))
+    arrived = "home_url <> '' AND coalesce(home_reason, '') <> 'robots_disallowed'"
+    normal = urls.normalize_url(f"CASE WHEN {arrived} THEN home_url ELSE requested_url END")
+    return opened.withColumn("_normal", normal).selectExpr(
+        *opened.columns, f"{urls.origin('_normal')} AS domain_url"
     )
 
 
 # --- facts that arrive per host ------------------------------------------------
 
-
-def cart_is_platform(carts: DataFrame) -> Column:
-    keys = F.json_object_keys(F.col("body"))
-    return (
-        (F.col("status_code") < 400)
-        & F.lower("content_type").contains("json")
-        & F.coalesce(F.array_contains(keys, "items") & F.array_contains(keys, "item_count"), F.lit(False))
-    )
+CART_OK = """coalesce(status_code < 400 AND contains(lower(content_type), 'json')
+  AND array_contains(json_object_keys(body), 'items') AND array_contains(json_object_keys(body), 'item_count'), false)"""
 
 
 def host_facts(carts: DataFrame, dns: DataFrame) -> DataFrame:
     """One row per host: does its cart have the platform's shape, does its name point there?"""
-    cart = carts.select("host", cart_is_platform(carts).alias("cart_ok"), F.lit(None).cast("string").alias("cname"))
-    name = dns.select("host", F.lit(False).alias("cart_ok"), "cname")
-    points = F.rtrim(F.lower("cname"), F.lit(".")).endswith(fv.PLATFORM_DNS_SUFFIX)
+    points = f"endswith(rtrim('.', lower(cname)), '{fv.PLATFORM_DNS_SUFFIX}')"
     return (
-        cart.unionByName(name)
+        carts.selectExpr("host", f"{CART_OK} AS cart_ok", "cast(NULL AS string) AS cname")
+        .unionByName(dns.selectExpr("host", "false AS cart_ok", "cname"))
         .groupBy("host")
-        .agg(F.max("cart_ok").alias("cart_ok"), F.min(F.when(points, F.col("cname"))).alias("platform_cname"))
+        .agg(F.expr("max(cart_ok) AS cart_ok"), F.expr(f"min(CASE WHEN {points} THEN cname END) AS platform_cname"))
     )
 
 
 def with_host_signals(heads: DataFrame, hosts: DataFrame) -> DataFrame:
     """Adds cart and DNS answers to store heads; a missing answer is no evidence."""
-    keyed = heads.withColumn("host", F.lower(urls.hostname(F.col("home_url"))))
+    keyed = heads.withColumn("host", F.expr(f"lower({urls.hostname('home_url')})"))
     return hot_key_join(keyed, hosts, "host", F.col("store_id"))
 
 
+def host_evidence(cart_url: str) -> str:
+    """Evidence the host answers give, as (rank, kind, value, source_url, weight, strength)."""
+
+    def item(rank: int, kind: str, value: str, url: str) -> str:
+        return (
+            f"named_struct('rank', {rank}, 'kind', '{kind}', 'value', {value}, 'source_url', {url}, "
+            "'weight', 5, 'strength', 'strong')"
+        )
+
+    dns = item(1, "shopify_dns", "platform_cname", "home_url")
+    cart = item(6, "shopify_cart", "'Shopify cart schema'", cart_url)
+    return (
+        f"array_compact(array(CASE WHEN platform_cname IS NOT NULL THEN {dns} END, CASE WHEN cart_ok THEN {cart} END))"
+    )
+
+
 def platform_evidence(raw: DataFrame, carts: DataFrame, dns: DataFrame) -> DataFrame:
     """Long platform evidence of usable homes, from raw facts: nothing needs parsing here."""
     homes = raw.where("page_seq = 0 AND head.home_reason IS NULL").drop("body").withColumn("home_url", F.col("url"))
     joined = with_host_signals(homes, host_facts(carts, dns))
-    home_origin = urls.origin(F.regexp_replace(F.col("home_url"), r"://www\.", "://"))
-
-    def item(kind: str, value: Column, url: Column) -> Column:
-        return F.struct(
-            F.lit(kind).alias("kind"), value.alias("value"), url.alias("source_url"),
-            F.lit(5).alias("weight"), F.lit("strong").alias("strength"),
-        )
-
-    from_page = F.transform(
+    from_page = each(
         signals.platform_signals(),
-        lambda s: F.struct(
-            s["key"].alias("kind"), s["value"].alias("value"), F.col("home_url").alias("source_url"),
-            s["weight"].alias("weight"), s["strength"].alias("strength"),
-        ),
+        lambda s: f"named_struct('rank', {s}.ord.b, 'kind', {s}.key, 'value', {s}.value, 'source_url', home_url, "
+        f"'weight', {s}.weight, 'strength', {s}.strength)",
     )
-    from_host = F.array_compact(
-        F.array(
-            F.when(F.col("platform_cname").isNotNull(), item("shopify_dns", F.col("platform_cname"), F.col("home_url"))),
-            F.when(F.col("cart_ok"), item("shopify_cart", F.lit("Shopify cart schema"), F.concat(home_origin, F.lit("/cart.js")))),
-        )
+    from_host = host_evidence("concat(regexp_extract(replace(home_url, '://www.', '://'), '^[a-z]+://[^/?#]+', 0), '/cart.js')")
+    return joined.selectExpr("store_id", f"explode(concat({from_page}, {from_host})) AS e").select(
+        "store_id", "e.kind", "e.value", "e.source_url", "e.weight", "e.strength"
     )
-    return joined.select("store_id", F.explode(F.concat(from_page, from_host)).alias("e")).select("store_id", "e.*")
 
 
 def india_evidence(facts: DataFrame) -> DataFrame:
     """Long country evidence, one row per (store, kind, value) with its first page."""
     reduced = signals.reduce_entities(signals.page_entities(facts, ("india",)))
-    return reduced.select(
-        "store_id",
-        F.col("key").alias("kind"),
-        "value",
-        F.col("first.url").alias("source_url"),
-        F.col("first.weight").alias("weight"),
-        F.col("first.strength").alias("strength"),
+    return reduced.selectExpr(
+        "store_id", "key AS kind", "value", "first.url AS source_url", "first.weight", "first.strength"
     )
 
 
@@ -95,89 +92,69 @@ def state_resolution(facts: DataFrame) -> DataFrame:
     """Best-scored state per store; a tie is a conflict and yields no state."""
     reduced = signals.reduce_entities(signals.page_entities(facts, ("state",)))
     ends = reduced.groupBy("store_id").agg(*[c.alias(n) for n, c in resolve_state().items()])
-    conflict = F.col("first_state") != F.col("last_state")
-    return ends.select(
-        "store_id", F.when(conflict, "").otherwise(F.col("first_state")).alias("state"), "state_score", conflict.alias("state_conflict")
+    return ends.selectExpr(
+        "store_id",
+        "CASE WHEN first_state <> last_state THEN '' ELSE first_state END AS state",
+        "state_score",
+        "first_state <> last_state AS state_conflict",
     )
 
 
 # --- verdict rules -----------------------------------------------------------------
 
 
-def platform_accepts(strong_kinds: Column, kinds: Column) -> Column:
-    return (strong_kinds >= 1) & (kinds >= 2)
-
-
-def rejection_reasons(platform_ok: Column, india_ok: Column, conflict: Column) -> Column:
-    return F.array_compact(
-        F.array(
-            F.when(~platform_ok, "insufficient_shopify_evidence"),
-            F.when(~india_ok, "insufficient_india_evidence"),
-            F.when(conflict, "conflicting_state_evidence"),
-        )
-    )
-
-
 def resolve_state() -> dict[str, Column]:
     """Aggregates for the best-scored state: its two ends differ when several states tie."""
-    is_state = F.col("family") == "state"
-    low = F.min(F.when(is_state, F.struct((-F.col("top")).alias("neg"), F.col("key").alias("name"))))
-    high = F.max(F.when(is_state, F.struct(F.col("top").alias("top"), F.col("key").alias("name"))))
-    return {"first_state": low["name"], "last_state": high["name"], "state_score": high["top"]}
+    low = "min(CASE WHEN family = 'state' THEN struct(-top AS neg, key AS name) END)"
+    high = "max(CASE WHEN family = 'state' THEN struct(top AS top, key AS name) END)"
+    return _all({"first_state": f"{low}.name", "last_state": f"{high}.name", "state_score": f"{high}.top"})
 
 
 def evidence_totals() -> dict[str, Column]:
     """Score and kind counts per evidence family, from reduced signal rows."""
 
-    def when(family: str, value: Column, extra: Column | None = None) -> Column:
-        condition = F.col("family") == family
-        return F.when(condition if extra is None else condition & extra, value)
-
-    strong = F.col("first.strength") == "strong"
-    supporting = F.col("first.strength") == "supporting"
-    weight = F.col("first.weight")
-    return {
-        "page_platform_score": F.coalesce(F.sum(when("platform", weight)), F.lit(0)),
-        "page_platform_strong": F.count(when("platform", weight, strong)),
-        "page_platform_kinds": F.count(when("platform", weight)),
-        "india_score": F.coalesce(F.sum(when("india", weight)), F.lit(0)),
-        "india_strong": F.count(when("india", weight, strong)),
-        "india_supporting": F.count(when("india", weight, supporting)),
-    }
+    def score(family: str) -> str:
+        return f"coalesce(sum(CASE WHEN family = '{family}' THEN first.weight END), 0)"
+
+    def rows(family: str, strength: str | None = None) -> str:
+        extra = "" if strength is None else f" AND first.strength = '{strength}'"
+        return f"count(CASE WHEN family = '{family}'{extra} THEN 1 END)"
+
+    return _all(
+        {
+            "page_platform_score": score("platform"),
+            "page_platform_strong": rows("platform", "strong"),
+            "page_platform_kinds": rows("platform"),
+            "india_total": score("india"),
+            "india_strong": rows("india", "strong"),
+            "india_supporting": rows("india", "supporting"),
+        }
+    )
 
 
 def with_verdict(rolled: DataFrame) -> DataFrame:
-    """Scores, flags, state and reasons from the roll-up and the per-host answers."""
-    dns = F.col("platform_cname").isNotNull().cast("int")
-    cart = F.coalesce(F.col("cart_ok"), F.lit(False)).cast("int")
-    zero = lambda name: F.coalesce(F.col(name), F.lit(0))
-    strong = zero("page_platform_strong") + dns + cart
-    kinds = zero("page_platform_kinds") + dns + cart
-    platform_ok = platform_accepts(strong, kinds)
-    india_ok = (zero("india_strong") > 0) & (zero("india_supporting") > 0)
-    conflict = F.coalesce(F.col("first_state") != F.col("last_state"), F.lit(False))
-    usable = F.col("home_reason").isNull()
-    return (
-        rolled.withColumn("platform_ok", usable & platform_ok)
-        .withColumn("india_ok", usable & india_ok)
-        .withColumn("state_conflict", usable & conflict)
-        .withColumn("accepted", F.col("platform_ok") & F.col("india_ok") & ~F.col("state_conflict"))
-        .withColumn(
-            "shopify_score",
-            F.when(usable, zero("page_platform_score") + 5 * dns + 5 * cart).otherwise(0).cast("int"),
-        )
-        .withColumn("india_score", F.when(usable, zero("india_score")).otherwise(0).cast("int"))
-        .withColumn(
-            "state",
-            F.when(usable & ~F.col("state_conflict"), F.coalesce(F.col("first_state"), F.lit(""))).otherwise(""),
-        )
-        .withColumn(
-            "rejection_reasons",
-            F.when(~usable, F.array("home_reason")).otherwise(
-                rejection_reasons(F.col("platform_ok"), F.col("india_ok"), F.col("state_conflict"))
-            ),
-        )
-    )
+    """Scores, flags, state and reasons from the roll-up and the per-host answers.
+
+    Platform: a strong kind and at least two kinds. Country: strong and supporting
+    evidence. State: no tie. An unusable home page leaves nothing but its reason.
+    """
+    answers = "(cast(platform_cname IS NOT NULL AS int) + cast(coalesce(cart_ok, false) AS int))"
+    flags = {
+        "platform_ok": f"home_reason IS NULL AND page_platform_strong + {answers} >= 1 AND page_platform_kinds + {answers} >= 2",
+        "india_ok": "home_reason IS NULL AND india_strong > 0 AND india_supporting > 0",
+        "state_conflict": "home_reason IS NULL AND coalesce(first_state <> last_state, false)",
+    }
+    results = {
+        "accepted": "platform_ok AND india_ok AND NOT state_conflict",
+        "shopify_score": f"cast(CASE WHEN home_reason IS NULL THEN page_platform_score + 5 * {answers} ELSE 0 END AS int)",
+        "india_score": "cast(CASE WHEN home_reason IS NULL THEN india_total ELSE 0 END AS int)",
+        "state": "CASE WHEN home_reason IS NULL AND NOT state_conflict THEN coalesce(first_state, '') ELSE '' END",
+        "rejection_reasons": """CASE WHEN home_reason IS NOT NULL THEN array(home_reason) ELSE array_compact(array(
+          CASE WHEN NOT platform_ok THEN 'insufficient_shopify_evidence' END,
+          CASE WHEN NOT india_ok THEN 'insufficient_india_evidence' END,
+          CASE WHEN state_conflict THEN 'conflicting_state_evidence' END)) END""",
+    }
+    return rolled.withColumns(_all(flags)).withColumns(_all(results))
 
 
 # --- fields --------------------------------------------------------------------------
@@ -185,109 +162,88 @@ def with_verdict(rolled: DataFrame) -> DataFrame:
 
 def field_picks() -> dict[str, Column]:
     """Description, logo and the (at most 17) category totals of a store."""
-    def of(family: str, value: Column) -> Column:
-        return F.when(F.col("family") == family, value)
-
-    return {
-        "description_pick": F.min(of("description", F.col("first"))),
-        "logo_pick": F.min(of("logo", F.col("best"))),
-        "category_totals": F.collect_list(
-            of(
-                "category",
-                F.struct(
-                    F.col("key").alias("category"),
-                    F.col("total").alias("points"),
-                    F.col("first.ord").alias("ord"),
-                    F.col("best.neg_points").alias("neg_best"),
-                    F.col("best.url").alias("url"),
-                ),
-            )
-        ),
-    }
+    total = "struct(key AS category, total AS points, first.ord AS ord, best.neg_points AS neg_best, best.url AS url)"
+    return _all(
+        {
+            "description_pick": "min(CASE WHEN family = 'description' THEN first END)",
+            "logo_pick": "min(CASE WHEN family = 'logo' THEN best END)",
+            "category_totals": f"collect_list(CASE WHEN family = 'category' THEN {total} END)",
+        }
+    )
+
+
+FIELD_COLUMNS = ("description", "description_source", "logo_url", "logo_source", "category", "category_source")
 
 
 def with_fields(rolled: DataFrame) -> DataFrame:
     """Plain field columns; the store's own description weighs most in its category."""
-    usable = F.col("home_reason").isNull()
-    blank = F.lit("")
-    work = (
-        rolled.withColumn("description", F.coalesce(F.col("description_pick.payload"), blank))
-        .withColumn("description_source", F.coalesce(F.col("description_pick.url"), blank))
-        .withColumn("logo_url", F.coalesce(F.col("logo_pick.payload"), blank))
-        .withColumn("logo_source", F.coalesce(F.col("logo_pick.url"), blank))
-        .withColumn("_hints", signals.category_hits(F.col("description")))
+    described = rolled.withColumn("_description", F.expr("coalesce(description_pick.payload, '')"))
+    hinted = described.withColumn("_hints", F.expr(signals.category_hits("_description")))
+    best = hinted.withColumn("_best", F.expr(f"try_element_at(array_sort({category_ranking()}), 1)"))
+    fields = {
+        "description": "_description",
+        "description_source": "coalesce(description_pick.url, '')",
+        "logo_url": "coalesce(logo_pick.payload, '')",
+        "logo_source": "coalesce(logo_pick.url, '')",
+        "category": f"coalesce(_best.category, '{fv.DEFAULT_CATEGORY}')",
+        "category_source": "coalesce(_best.url, home_url, '')",
+    }
+    blanked = {name: f"CASE WHEN home_reason IS NULL THEN {value} ELSE '' END" for name, value in fields.items()}
+    return best.withColumns(_all(blanked)).drop(
+        "description_pick", "logo_pick", "category_totals", "_description", "_hints", "_best"
     )
-    ranked = category_ranking(F.col("category_totals"), F.col("_hints"), F.col("home_url"))
-    best = F.try_element_at(F.array_sort(ranked), F.lit(1))
-    work = work.withColumn("_best", best).withColumn(
-        "category", F.coalesce(F.col("_best.category"), F.lit(fv.DEFAULT_CATEGORY))
-    ).withColumn("category_source", F.coalesce(F.col("_best.url"), F.col("home_url"), blank))
-    for name in ("description", "description_source", "logo_url", "logo_source", "category", "category_source"):
-        work = work.withColumn(name, F.when(usable, F.col(name)).otherwise(""))
-    return work.drop("description_pick", "logo_pick", "category_totals", "_hints", "_best")
 
 
-def category_ranking(totals: Column, hints: Column, home_url: Column) -> Column:
+def category_ranking(totals: str = "category_totals", hints: str = "_hints", home_url: str = "home_url") -> str:
     """Structs that sort best category first: points, then who scored first."""
     weight = fv.CATEGORY_HINT_WEIGHT
-    index = lambda c: text.lookup(signals.CATEGORY_INDEX, c).cast("int")
 
-    def hint_points(category: Column) -> Column:
-        hit = F.filter(hints, lambda h: h["category"] == category)
-        return F.coalesce(F.try_element_at(hit, F.lit(1))["hits"], F.lit(0)).cast("bigint") * weight
+    def index(category: str) -> str:
+        return f"cast({text.lookup(signals.CATEGORY_INDEX, category)} AS int)"
 
-    def row(points: Column, a: Column, b: Column, c: Column, category: Column, url: Column) -> Column:
-        return F.struct(
-            (-points).alias("neg_points"), a.alias("a"), b.alias("b"), c.alias("c"),
-            category.alias("category"), url.alias("url"),
-        )
+    def row(points: str, a: str, b: str, c: str, category: str, url: str) -> str:
+        return f"named_struct('neg_points', -({points}), 'a', {a}, 'b', {b}, 'c', {c}, 'category', {category}, 'url', {url})"
 
-    def seen(t: Column) -> Column:
-        points = hint_points(t["category"])
-        hinted = points > 0
-        return row(
-            t["points"] + points,
-            F.when(hinted, -1).otherwise(t["ord"]["a"]),
-            F.when(hinted, 0).otherwise(t["ord"]["b"]),
-            F.when(hinted, index(t["category"])).otherwise(t["ord"]["c"]),
-            t["category"],
-            # The first chunk with the most points is the source; the hint comes first.
-            F.when(hinted & (points >= -t["neg_best"]), home_url).otherwise(t["url"]),
-        )
+    def seen(t: str) -> str:
+        hit = keep(hints, lambda h: f"{h}.category = {t}.category")
+
+        def with_hint(points: str) -> str:
+            return row(
+                f"{t}.points + {points}",
+                f"CASE WHEN {points} > 0 THEN -1 ELSE {t}.ord.a END",
+                f"CASE WHEN {points} > 0 THEN 0 ELSE {t}.ord.b END",
+                f"CASE WHEN {points} > 0 THEN {index(f'{t}.category')} ELSE {t}.ord.c END",
+                f"{t}.category",
+                # The first chunk with the most points is the source; the hint comes first.
+                f"CASE WHEN {points} > 0 AND {points} >= -{t}.neg_best THEN {home_url} ELSE {t}.url END",
+            )
 
-    known = F.transform(totals, lambda t: t["category"])
-    only_hinted = F.filter(hints, lambda h: ~F.array_contains(known, h["category"]))
-    return F.concat(
-        F.transform(totals, seen),
-        F.transform(
-            only_hinted,
-            lambda h: row(
-                h["hits"].cast("bigint") * weight, F.lit(-1), F.lit(0), index(h["category"]), h["category"], home_url
-            ),
+        return let(f"cast(coalesce(try_element_at({hit}, 1).hits, 0) * {weight} AS bigint)", with_hint)
+
+    only_hinted = keep(hints, lambda h: f"NOT exists({totals}, t -> t.category = {h}.category)")
+    unseen = each(
+        only_hinted,
+        lambda h: row(
+            f"cast({h}.hits * {weight} AS bigint)", "-1", "0", index(f"{h}.category"), f"{h}.category", home_url
         ),
     )
+    return f"concat({each(totals, seen)}, {unseen})"
 
 
 def apply_image_facts(stores: DataFrame, images: DataFrame) -> DataFrame:
     """Blanks a logo, and its source, that is not shown to be a real image."""
-    usable = images.where(valid_image()).select("url").distinct().withColumn("_valid", F.lit(True))
-    joined = hot_key_join(
-        stores.withColumnRenamed("logo_url", "url"), usable, "url", F.col("store_id")
-    ).withColumnRenamed("url", "logo_url")
-    return (
-        joined.withColumn("logo_url", F.when(F.col("_valid"), F.col("logo_url")).otherwise(""))
-        .withColumn("logo_source", F.when(F.col("_valid"), F.col("logo_source")).otherwise(""))
-        .drop("_valid")
-    )
+    usable = images.where(valid_image()).selectExpr("url AS logo_url", "true AS _valid").distinct()
+    joined = hot_key_join(stores, usable, "logo_url", F.col("store_id"))
+    return joined.withColumns(
+        _all({c: f"CASE WHEN _valid THEN {c} ELSE '' END" for c in ("logo_url", "logo_source")})
+    ).drop("_valid")
 
 
-def valid_image() -> Column:
+def valid_image() -> str:
+    blocked = text.contains_any("lower(url)", fv.IMAGE_BLOCKED_TOKENS)
     return (
-        ~text.contains_any(F.lower("url"), fv.IMAGE_BLOCKED_TOKENS)
-        & F.col("robots_allowed")
-        & (F.col("status_code") < 400)
-        & F.lower("content_type").startswith("image/")
-        & (F.col("n_bytes") > fv.IMAGE_MIN_BYTES)
+        f"NOT {blocked} AND robots_allowed AND status_code < 400 "
+        f"AND startswith(lower(content_type), 'image/') AND n_bytes > {fv.IMAGE_MIN_BYTES}"
     )
 
 
@@ -305,32 +261,29 @@ def store_socials(facts: DataFrame) -> DataFrame:
 
 def _values(facts: DataFrame, family: str) -> DataFrame:
     reduced = signals.reduce_entities(signals.page_entities(facts, (family,)))
-    return reduced.select("store_id", "key", "value", F.col("first.url").alias("source_url"))
+    return reduced.selectExpr("store_id", "key", "value", "first.url AS source_url")
 
 
 def first_provenance(facts: DataFrame) -> DataFrame:
     """`email:…`, `phone:…` and `social:platform:…` entries with the first page that shows them."""
     reduced = signals.reduce_entities(signals.page_entities(facts, ("contact", "social")))
-    entry = F.when(F.col("family") == "social", F.concat_ws(":", F.lit("social"), "key", "value")).otherwise(
-        F.concat_ws(":", "key", "value")
+    return reduced.selectExpr(
+        "store_id",
+        "CASE WHEN family = 'social' THEN concat_ws(':', 'social', key, value) ELSE concat_ws(':', key, value) END AS entry",
+        "first.url AS source_url",
     )
-    return reduced.select("store_id", entry.alias("entry"), F.col("first.url").alias("source_url"))
 
 
 def category_points(facts: DataFrame) -> DataFrame:
     """Points per (store, category) with the page of the strongest chunk."""
     reduced = signals.reduce_entities(signals.page_entities(facts, ("category",)))
-    return reduced.select(
-        "store_id", F.col("key").alias("category"), F.col("total").alias("points"), F.col("best.url").alias("source_url")
-    )
+    return reduced.selectExpr("store_id", "key AS category", "total AS points", "best.url AS source_url")
 
 
 def store_fields(facts: DataFrame) -> DataFrame:
     """Description, logo and category picks with their sources."""
     reduced = signals.reduce_entities(signals.page_entities(facts, ("head", "category", "description", "logo")))
     rolled = reduced.groupBy("store_id").agg(
-        *[c.alias(n) for n, c in field_picks().items()], F.max("head").alias("head")
-    )
-    return with_fields(store_heads(rolled)).select(
-        "store_id", "description", "description_source", "logo_url", "logo_source", "category", "category_source"
+        *[c.alias(n) for n, c in field_picks().items()], F.expr("max(head) AS head")
     )
+    return with_fields(store_heads(rolled)).select("store_id", *FIELD_COLUMNS)

@@ -48,7 +48,7 @@ def read_csv_seeds(spark: SparkSession, path: str, source_name: str | None = Non
         # Drop the header wherever its split lands: it is the row that names the column.
         is_header = F.lower(F.trim(F.ltrim(value, F.lit(BOM)))) == header[position]
         kept = rows.where(~F.coalesce(is_header, F.lit(False))).select(value.alias("source_value"))
-    kept = kept.where(~is_blank(F.col("source_value")))
+    kept = kept.where(f"NOT {is_blank('source_value')}")
     return _numbered(kept.select(F.lit(source_name or _file_source(path)).alias("source_name"), "source_value"))
 
 
