@@ -236,7 +236,7 @@ def page_roles(spark, sf):
 
 # --- parsed pages ------------------------------------------------------------------------
 
-UNESCAPED = "replace({0}, '&amp;', '&')"
+UNESCAPED = "replace(replace(replace({0}, '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
 
 
 @query("page_text", f"SELECT page_id, {UNESCAPED.format(s.strip('html'))} AS text FROM pages")

@@ -56,6 +56,14 @@ def alternation(words: Iterable[str]) -> str:
     return "|".join(_quoted(w) for w in sorted(words, key=lambda w: (-len(w), w)))
 
 
+def _by_first_letter(words: Iterable[str]) -> str:
+    """Alternatives grouped by first letter, so that a position tries few of them."""
+    groups: dict[str, list[str]] = {}
+    for word in words:
+        groups.setdefault(word[0], []).append(word[1:])
+    return "|".join(f"{first}(?:{alternation(rests)})" for first, rests in sorted(groups.items()))
+
+
 def matches(text: str, pattern: str) -> str:
     return f"({text} RLIKE {literal(pattern)})"
 
@@ -96,7 +104,19 @@ def bounded_words(text: str, words: Iterable[str], inside: str) -> str:
     The match itself is zero-width with the word captured by look-ahead, so words that
     overlap ("for women" in "for women's clothing") are all found in one pass.
     """
-    return found(text, rf"(?<![{inside}])(?=({alternation(words)})(?![{inside}]))", 1)
+    words = list(words)
+    hits = found(text, rf"(?<![{inside}])(?=({_by_first_letter(words)})(?![{inside}]))", 1)
+    # A position yields its longest word; shorter listed words that end inside it count too.
+    within = {
+        long: [w for w in words if w != long and long.startswith(w) and not re.match(f"[{inside}]", long[len(w)])]
+        for long in words
+    }
+    cases = " ".join(
+        f"WHEN {literal(long)} THEN array({', '.join(map(literal, [long, *short]))})" for long, short in within.items() if short
+    )
+    if not cases:
+        return hits
+    return f"flatten({each(hits, lambda w: f'CASE {w} {cases} ELSE array({w}) END')})"
 
 
 def windows(text: str, anchor: str, before: int, after: int, guard: str = "") -> str:

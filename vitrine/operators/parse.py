@@ -74,9 +74,10 @@ class _PageEvents(HTMLParser):
         self._depth: dict[str, int] = {}
         self._buffer: list[str] = []
         self._ld: list[str] | None = None
+        self._hidden = self._opaque = 0
 
-    def _inside(self, names: frozenset) -> bool:
-        return any(self._depth.get(name) for name in names)
+    def updatepos(self, i: int, j: int) -> int:
+        return j  # line numbers are not needed
 
     def _flush(self) -> None:
         if not self._buffer:
@@ -85,9 +86,9 @@ class _PageEvents(HTMLParser):
         self._buffer.clear()
         if not piece:
             return
-        if not self._inside(HIDDEN):
+        if not self._hidden:
             self.shown.append(piece)
-        if not self._inside(OPAQUE):
+        if not self._opaque:
             self.owned.append(piece)
 
     def handle_data(self, data: str) -> None:
@@ -128,6 +129,8 @@ class _PageEvents(HTMLParser):
         if tag == "a" and values.get("href") in ("/", "./") and self._depth.get("header"):
             markers.append("home_link" if values["href"] == "/" else "home_dot_link")
         self._first.setdefault(tag, fact)
+        self._hidden += tag in HIDDEN
+        self._opaque += tag in OPAQUE
         self._open.append((tag, fact, len(self.shown), len(self.owned), tuple(markers)))
         for name in (tag, *(f"#{m}" for m in markers)):
             self._depth[name] = self._depth.get(name, 0) + 1
@@ -151,6 +154,8 @@ class _PageEvents(HTMLParser):
 
     def _close_last(self) -> str:
         tag, fact, shown, owned, markers = self._open.pop()
+        self._hidden -= tag in HIDDEN
+        self._opaque -= tag in OPAQUE
         for name in (tag, *(f"#{m}" for m in markers)):
             self._depth[name] -= 1
         if fact is not None:
