@@ -298,7 +298,7 @@ def meta_description(spark, sf):
 
 @query(
     "image_facts",
-    f"""WITH {s.PAGES} SELECT store_id, page_seq, count(*) AS n_images, sum(CASE WHEN contains(i, 'alt="Store mark"') OR contains(i, 'site-logo') THEN 1 ELSE 0 END) AS n_marks
+    f"""WITH {s.PAGES} SELECT store_id, page_seq, count(*) AS n_images, count(*) FILTER (WHERE contains(i, 'alt="Store mark"') OR contains(i, 'site-logo')) AS n_marks
     FROM (SELECT store_id, page_seq, unnest(regexp_extract_all(body, '<img [^>]*>')) AS i FROM used) GROUP BY 1, 2""",
 )
 def image_facts(spark, sf):

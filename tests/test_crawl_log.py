@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from vitrine import schemas
 from vitrine.operators import crawl_log
+from vitrine.operators.parse import capped_bodies
 from vitrine.operators.skew import hot_key_join, previous_row, running_total
 
 T0 = dt.datetime(2024, 1, 1)
@@ -103,7 +104,7 @@ def test_captures_and_content(spark):
                                   "store_id bigint, page_seq int, requested_url string, body string, status_code int")
     content = {r.store_id: r for r in crawl_log.crawl_content(pages).collect()}
     assert [content[n].is_cacheable for n in (1, 2, 3, 4)] == [False, True, False, False] and content[4].is_capped
-    cut = crawl_log.capped_bodies(pages).select("store_id", F.octet_length("body").alias("n")).collect()
+    cut = capped_bodies(pages).select("store_id", F.octet_length("body").alias("n")).collect()
     assert {r.store_id: r.n for r in cut}[4] == 5 * 1024 * 1024
     wanted = pages.select(F.col("requested_url").alias("url"))
     cache = crawl_log.crawl_content(pages).where("is_cacheable")

@@ -18,6 +18,10 @@ def _hour(ts: str) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(3600 * 1_000_000))
 
 
+def _minute(ts: str) -> Column:
+    return F.floor(F.unix_micros(ts) / F.lit(60 * 1_000_000))
+
+
 # --- content ----------------------------------------------------------------------
 
 
@@ -35,12 +39,6 @@ def crawl_content(pages: DataFrame) -> DataFrame:
     )
 
 
-def capped_bodies(pages: DataFrame) -> DataFrame:
-    """Bodies cut at the byte cap; a character cut in half at the end is replaced."""
-    cut = F.decode(F.substring(F.encode("body", "UTF-8"), 1, fv.BODY_CAP_BYTES), "UTF-8")
-    return pages.withColumn("body", F.when(F.octet_length("body") > fv.BODY_CAP_BYTES, cut).otherwise(F.col("body")))
-
-
 def duplicate_content(content: DataFrame) -> DataFrame:
     """Groups of responses with equal content: their size and first page."""
     return (
@@ -126,7 +124,7 @@ def in_flight(log: DataFrame, limit: int = fv.GLOBAL_CONCURRENCY) -> DataFrame:
     ).select("s.*")
     # Equal moments are one row, so the running sum has no ties.
     moments = steps.groupBy("ts").agg(F.sum("step").alias("step"))
-    running = running_total(moments, ["ts"], F.col("step"), _hour("ts"), "open_requests")
+    running = running_total(moments, ["ts"], F.col("step"), _minute("ts"), "open_requests")
     return running.select("ts", "open_requests", (F.col("open_requests") > limit).alias("over_limit"))
 
 

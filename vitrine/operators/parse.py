@@ -14,7 +14,7 @@ from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine import fixed_values as fv
@@ -55,6 +55,7 @@ FACT_DDL = (
     "text string, full_text string, content_start int, content_len int, ld_json array<string>, "
     "elements array<struct<tag:string,attrs:map<string,string>,within:array<string>,start:int,len:int>>"
 )
+BATCH_ROWS = 256
 SLICE_ROWS = 64
 RUNTIME = r"\bShopify\.(?:shop|theme|routes)\b"
 
@@ -224,11 +225,19 @@ def unusable_home_reason(status: str = "status_code", body: str = "body") -> str
 
 
 def usable_pages(pages: DataFrame) -> DataFrame:
-    """Home pages as they are; other pages only when allowed, found and HTML."""
+    """Home pages, and other pages that are allowed, found and HTML; bodies cut at the byte cap."""
     secondary = (
         F.col("robots_allowed") & (F.col("status_code") < 400) & F.lower("content_type").contains("html")
     )
-    return pages.where((F.col("page_seq") == 0) | secondary)
+    return capped_bodies(pages.where((F.col("page_seq") == 0) | secondary))
+
+
+def capped_bodies(pages: DataFrame) -> DataFrame:
+    """Bodies cut at the crawl's byte cap; a character cut in half at the end is replaced."""
+    cut = f"decode(substring(encode(body, 'UTF-8'), 1, {fv.BODY_CAP_BYTES}), 'UTF-8')"
+    return pages.withColumn(
+        "body", F.expr(f"CASE WHEN octet_length(body) > {fv.BODY_CAP_BYTES} THEN {cut} ELSE body END")
+    )
 
 
 def raw_facts(pages: DataFrame) -> DataFrame:
@@ -259,8 +268,18 @@ def page_facts(pages: DataFrame) -> DataFrame:
     return parse_documents(raw_facts(pages), "body")
 
 
+def _bound_batches(spark: SparkSession) -> None:
+    """Keeps a batch handed to the parse pass under Arrow's 2 GiB column limit: 256 bodies
+    of at most 5 MiB each. A smaller setting of the session stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    current = int(spark.conf.get(name))
+    if current <= 0 or current > BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def parse_documents(docs: DataFrame, body: str) -> DataFrame:
     """The same parse pass for any table: every other column is passed through."""
+    _bound_batches(docs.sparkSession)
     renamed = docs.withColumnRenamed(body, "body")  # the parse pass looks for this name
     passed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in renamed.schema if f.name != "body")
     return renamed.mapInArrow(_parse_batches, f"{passed}, {FACT_DDL}")

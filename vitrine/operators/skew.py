@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-SALTS = 16
+SALTS = 8
 
 
 def hot_key_join(many: DataFrame, one: DataFrame, on: str, spread_by: Column, how: str = "left", salts: int = SALTS) -> DataFrame:
@@ -32,18 +32,14 @@ def previous_row(
     bucketed = df.withColumn("_bucket", bucket)
     inside = W.partitionBy(*keys, "_bucket").orderBy(*order)
     row = F.struct(*carried)
-    near = bucketed.withColumn("_near", F.lag(row).over(inside)).withColumn(
-        "_first", F.row_number().over(inside) == 1
-    )
+    near = bucketed.withColumn("_near", F.lag(row).over(inside))
     lasts = bucketed.groupBy(*keys, "_bucket").agg(F.max(F.struct(*order, row.alias("_row")))["_row"].alias("_last"))
     across = W.partitionBy(*keys).orderBy("_bucket")
     before = lasts.select(*keys, "_bucket", F.lag("_last").over(across).alias("_far"))
-    # Only one row per bucket needs the far value, so the join touches bucket-many rows.
-    firsts = near.where("_first").join(before, [*keys, "_bucket"], "left")
-    rest = near.where(~F.col("_first")).withColumn("_far", F.lit(None).cast(before.schema["_far"].dataType))
-    both = firsts.unionByName(rest)
+    # Partitioned by key and bucket already, the rows stay where they are; only the
+    # bucket table moves.
     picked = F.coalesce("_near", "_far")
-    return both.select(
+    return near.join(before, [*keys, "_bucket"], "left").select(
         *df.columns, *[picked[c].alias(n) for c, n in zip(carried, names)]
     )
 
