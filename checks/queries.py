@@ -6,6 +6,7 @@ against its invariants on fixtures.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from checks import inputs as i
 from checks import sql as s
 from vitrine import fixed_values as fv
+from vitrine import schemas
 from vitrine.functions import contacts, states, text, urls
 from vitrine.operators import candidates as cand
 from vitrine.operators import crawl_log, elements, links, reports, store_state, verdict
@@ -21,6 +23,11 @@ from vitrine.operators.parse import page_facts, parse_documents, raw_facts, usab
 from vitrine.operators.signals import region_states
 from vitrine.plans import run as runs
 from vitrine.plans import verify
+from vitrine.session import shared_dir
+from vitrine.sources import crawl as crawl_source
+from vitrine.sources import seeds as seed_source
+from vitrine.sources import sinks
+from vitrine.streaming.incremental import verify_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -236,7 +243,9 @@ def page_roles(spark, sf):
 
 # --- parsed pages ------------------------------------------------------------------------
 
-UNESCAPED = "replace(replace(replace({0}, '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
+UNESCAPED = "{0}"
+for _entity, _char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&#39;", "''"), ("&amp;", "&")):
+    UNESCAPED = f"replace({UNESCAPED}, '{_entity}', '{_char}')"
 
 
 @query("page_text", f"SELECT page_id, {UNESCAPED.format(s.strip('html'))} AS text FROM pages")
@@ -302,7 +311,7 @@ def meta_description(spark, sf):
     FROM (SELECT store_id, page_seq, unnest(regexp_extract_all(body, '<img [^>]*>')) AS i FROM used) GROUP BY 1, 2""",
 )
 def image_facts(spark, sf):
-    images = crawl_facts(spark, sf).select("store_id", "page_seq", F.expr(f"explode({elements.tagged('img')}) AS e"))
+    images = elements.rows_of(crawl_facts(spark, sf), ("store_id", "page_seq"), f"{elements.tagged('img')}", "e")
     marked = F.expr(f"{elements.attr('e', 'alt')} = 'Store mark' OR {elements.attr('e', 'class')} = 'site-logo'")
     return images.groupBy("store_id", "page_seq").agg(F.count("*").alias("n_images"), F.count_if(marked).alias("n_marks"))
 
@@ -393,7 +402,7 @@ def texts(spark, sf) -> DataFrame:
     SELECT origin, id, email, {PLACEHOLDER} AS is_placeholder FROM found""",
 )
 def emails(spark, sf):
-    found = texts(spark, sf).select("origin", "id", F.expr(f"explode(array_distinct({contacts.plain_emails('text')})) AS email"))
+    found = elements.rows_of(texts(spark, sf), ("origin", "id"), f"array_distinct({contacts.plain_emails('text')})", "email")
     return found.withColumn("is_placeholder", F.expr(contacts.is_placeholder_email("email")))
 
 
@@ -402,7 +411,7 @@ def emails(spark, sf):
     f"""WITH {s.PAGES} SELECT store_id, page_seq, 'sales@store' || unnest(regexp_extract_all(t, 'sales .at. store([0-9]+) .dot. in', 1)) || '.in' AS email FROM txt""",
 )
 def obfuscated_emails(spark, sf):
-    return crawl_facts(spark, sf).select("store_id", "page_seq", F.expr(f"explode({contacts.spelled_emails('text')}) AS email"))
+    return elements.rows_of(crawl_facts(spark, sf), ("store_id", "page_seq"), f"{contacts.spelled_emails('text')}", "email")
 
 
 PHONE_RUN = contacts.PHONE_RUN
@@ -424,7 +433,7 @@ E164 = f"""CASE WHEN regexp_matches(run, '{contacts.TOUCHED_RUN}') THEN NULL
     SELECT DISTINCT origin, id, phone FROM (SELECT origin, id, phone FROM whole UNION ALL SELECT origin, id, {E164} FROM words) WHERE phone IS NOT NULL""",
 )
 def phones_in(spark, sf):
-    return texts(spark, sf).select("origin", "id", F.expr(f"explode({contacts.extract_phones('text')}) AS phone"))
+    return elements.rows_of(texts(spark, sf), ("origin", "id"), f"{contacts.extract_phones('text')}", "phone")
 
 
 @query("contacts_by_store", f"WITH {s.PAGES}, {s.CONTACTS} SELECT store_id, key, value, source_url FROM contacts")
@@ -451,19 +460,19 @@ def first_provenance(spark, sf):
 
 @query("gstin_states", f"WITH {s.PAGES}, {s.GST} SELECT store_id, page_seq, gstin, coalesce({s.GST_MAP}[left(gstin, 2)], '') AS state FROM gst")
 def gstin_states(spark, sf):
-    found = crawl_facts(spark, sf).select("store_id", "page_seq", F.expr(f"explode({states.find_gstins('text')}) AS gstin"))
+    found = elements.rows_of(crawl_facts(spark, sf), ("store_id", "page_seq"), f"{states.find_gstins('text')}", "gstin")
     return found.withColumn("state", F.expr(states.state_from_gstin("gstin")))
 
 
 @query("pin_states", f"WITH {s.PAGES}, found AS (SELECT store_id, page_seq, unnest({s.pins('t')}) AS pin FROM txt) SELECT store_id, page_seq, pin, {s.pin_state('pin')} AS state FROM found")
 def pin_states(spark, sf):
-    found = crawl_facts(spark, sf).select("store_id", "page_seq", F.expr(f"explode({states.find_pins('text')}) AS pin"))
+    found = elements.rows_of(crawl_facts(spark, sf), ("store_id", "page_seq"), f"{states.find_pins('text')}", "pin")
     return found.withColumn("state", F.expr(states.state_from_pin("pin")))
 
 
 @query("state_names", f"WITH {s.PAGES} SELECT store_id, page_seq, unnest({s.named_states('t')}) AS state FROM txt")
 def state_names(spark, sf):
-    return crawl_facts(spark, sf).select("store_id", "page_seq", F.expr(f"explode({states.find_states('text')}) AS state"))
+    return elements.rows_of(crawl_facts(spark, sf), ("store_id", "page_seq"), f"{states.find_states('text')}", "state")
 
 
 @query(
@@ -471,7 +480,7 @@ def state_names(spark, sf):
     f"WITH {s.PAGES}, {s.REGIONS} SELECT store_id, page_seq, state, max(score) AS score FROM region_states WHERE state IS NOT NULL GROUP BY 1, 2, 3",
 )
 def region_state_rows(spark, sf):
-    rows = crawl_facts(spark, sf).select("store_id", "page_seq", F.expr(f"explode({region_states()}) AS r")).select("store_id", "page_seq", "r.*")
+    rows = elements.rows_of(crawl_facts(spark, sf), ("store_id", "page_seq"), f"{region_states()}", "r").select("store_id", "page_seq", "r.*")
     return rows.groupBy("store_id", "page_seq", "state").agg(F.max("score").alias("score"))
 
 
@@ -1025,3 +1034,138 @@ def crawl_content(spark, sf):
 )
 def duplicate_content(spark, sf):
     return crawl_log.duplicate_content(crawl_log.crawl_content(i.crawl(spark, sf)))
+
+
+@query(
+    "content_text",
+    f"""SELECT page_id, left({UNESCAPED.format(s.strip("regexp_extract(html, '(?s)<body[^>]*>(.*)', 1)"))}, 20000) AS content FROM pages""",
+)
+def content_text(spark, sf):
+    return parsed_pages(spark, sf).selectExpr("page_id", f"{elements.content_text()} AS content")
+
+
+@query(
+    "redirect_aliases",
+    f"""WITH {s.PAGES} SELECT store_id, domain_url, redirected_from FROM heads JOIN (SELECT store_id, redirected_from FROM crawl WHERE page_seq = 0) USING (store_id)
+    WHERE redirected_from <> '' AND home_reason IS NULL""",
+)
+def redirect_aliases(spark, sf):
+    heads = verdict.store_heads(raw_facts(i.crawl(spark, sf).where("page_seq = 0")).select("store_id", "head"))
+    return heads.where("size(redirect_history) > 0 AND home_reason IS NULL").selectExpr(
+        "store_id", "domain_url", "redirect_history[0] AS redirected_from"
+    )
+
+
+# --- files: written by one job, read by the source under test -----------------------------
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/vitrine-{name}-{uuid.uuid4().hex}"
+
+
+@query("text_seed_source", "SELECT DISTINCT url AS source_value FROM pages")
+def text_seed_source(spark, sf):
+    path = new_folder(spark, "text")
+    lines = "explode(array(concat('  ', url, ' '), '', '   ', concat('# ', url)))"
+    i.table(spark, sf, "pages").selectExpr(f"{lines} AS value").write.text(path)
+    return seed_source.read_text_seeds(spark, path).select("source_value").distinct()
+
+
+@query("csv_seed_source", "SELECT url AS source_value, count(*) AS n FROM pages GROUP BY 1")
+def csv_seed_source(spark, sf):
+    path = new_folder(spark, "seeds") + ".csv"
+    i.table(spark, sf, "pages").selectExpr("page_id AS id", "url AS Website").coalesce(1).write.csv(path, header=True)
+    return seed_source.read_seeds(spark, path).groupBy("source_value").agg(F.count("*").alias("n"))
+
+
+@query("master_list_source", SQL["master_import"])
+def master_list_source(spark, sf):
+    path = new_folder(spark, "master")
+    rows = i.run(spark, sf, i.MASTER, "customer").coalesce(1)
+    rows.write.csv(path, header=True, compression="gzip", escape='"')
+    # Positions in the file follow the key, so ranks over both agree.
+    read = cand.master_seeds(seed_source.read_master_list(spark, path))
+    order = rows.selectExpr("domain AS source_value", "seq AS _seq")
+    return (
+        cand.clean_candidates(read.join(order, "source_value").drop("seq").withColumnRenamed("_seq", "seq"))
+        .select("candidate_key", "registrable_domain", "discovered_seq")
+    )
+
+
+@query(
+    "page_json_source",
+    f"WITH crawl AS ({i.CRAWL}) SELECT store_id, page_seq, final_url, status_code, sha256(body) AS body_hash, robots_allowed FROM crawl",
+)
+def page_json_source(spark, sf):
+    path = new_folder(spark, "pages")
+    whole = i.crawl(spark, sf).select(F.to_json(F.struct("*")).alias("value"))
+    broken = i.table(spark, sf, "customer").selectExpr("concat('{\"store_id\": ', c_custkey, ', \"body\": ') AS value")
+    whole.unionByName(broken).write.text(path)
+    return crawl_source.read_pages_json(spark, path).selectExpr(
+        "store_id", "page_seq", "final_url", "status_code", "sha2(body, 256) AS body_hash", "robots_allowed"
+    )
+
+
+@query("capture_source", SQL["capture_collapse"])
+def capture_source(spark, sf):
+    path = new_folder(spark, "captures")
+    lines = i.run(spark, sf, i.SPARK_CAPTURES, "events").selectExpr(
+        "explode(array(to_json(struct(url, ts AS timestamp, status, digest)), substring(url, 1, 9))) AS value"
+    )
+    lines.write.text(path)
+    return crawl_log.collapse_captures(crawl_source.read_captures(spark, path))
+
+
+@query("export_csv", SQL["export_rows"])
+def export_csv(spark, sf):
+    csv_path, _ = sinks.export_results(i.stores(spark, sf), new_folder(spark, "export"))
+    return seed_source.read_worksheet(spark, csv_path).select(*fv.EXPORT_COLUMNS)
+
+
+@query(
+    "evidence_jsonl",
+    f"WITH {STORES} SELECT domain_url, state, shopify_score, india_score, len(string_split(strong_kinds, ';')) + 1 AS n_india_items, sources AS source_names FROM uniq",
+)
+def evidence_jsonl(spark, sf):
+    _, path = sinks.export_results(i.stores(spark, sf), new_folder(spark, "evidence"))
+    return spark.read.schema(schemas.STORES).json(path).selectExpr(
+        "domain_url", "state", "shopify_score", "india_score", "cast(size(india_evidence) AS bigint) AS n_india_items",
+        "array_join(source_names, ';') AS source_names",
+    )
+
+
+@query("report_document", SQL["report_counters"])
+def report_document(spark, sf):
+    path = sinks.write_report(i.run(spark, sf, i.CANDIDATES, "customer"), i.stores(spark, sf), new_folder(spark, "report"))
+    names = ("processed_records", "accepted_records", "accepted_candidate_records", "redirect_duplicates_removed")
+    return spark.read.json(path).select(*names)
+
+
+@query(
+    "worksheet_file",
+    f"""WITH {STORES} SELECT domain_url, category, state, shopify_score, india_score, sources AS source_names, '' AS shopify_correct FROM uniq""",
+)
+def worksheet_file(spark, sf):
+    stores = i.stores(spark, sf)
+    path = sinks.write_audit_sample(stores, new_folder(spark, "sheet"), stores.count(), 7)
+    return seed_source.read_worksheet(spark, path).selectExpr(
+        "domain_url", "category", "state", "cast(shopify_score AS int) AS shopify_score",
+        "cast(india_score AS int) AS india_score", "source_names", "shopify_correct",
+    )
+
+
+# --- incremental ---------------------------------------------------------------------------
+
+
+@query("incremental_verify", VERDICT_SQL)
+def incremental_verify(spark, sf):
+    """Page drops arrive in three lots; the stream ends with the batch job's answer."""
+    root = new_folder(spark, "stream")
+    pages = i.crawl(spark, sf)
+    for lot, condition in enumerate(("page_seq = 0", "page_seq = 1", "page_seq > 1")):
+        pages.where(condition).write.parquet(f"{root}/drops/lot={lot}")
+    query = verify_arrivals(spark, f"{root}/drops/*", root, i.carts(spark, sf), i.dns(spark, sf))
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return _flat_verdicts(sinks.StoreSnapshots(spark, f"{root}/state").read(), "candidate_id")

@@ -223,13 +223,26 @@ def ld_facts(scripts: str = "ld_json") -> str:
 # --- table-level views of the same parts -----------------------------------------
 
 
+def rows_of(df: DataFrame, keys: tuple[str, ...], array: str, name: str, pos: str | None = None) -> DataFrame:
+    """One row per element of an array expression.
+
+    An inner explode makes the optimiser infer a filter on the array's size, which would
+    compute a costly array twice. The outer form does not; its empty rows are dropped.
+    """
+    if pos is None:
+        opened = df.selectExpr(*keys, f"explode_outer({array}) AS {name}")
+    else:
+        opened = df.selectExpr(*keys, f"posexplode_outer({array}) AS ({pos}, {name})")
+    return opened.where(f"{name} IS NOT NULL")
+
+
 def page_links(facts: DataFrame, *keys: str) -> DataFrame:
     """One row per link with a target, in document order."""
     rows = each(
         ANCHORS,
         lambda e: f"named_struct('href', {attr(e, 'href')}, 'label', {text_of(e)}, 'in_nav', {inside(e, 'header', 'nav')})",
     )
-    return facts.select(*keys, F.expr(f"posexplode({rows}) AS (pos, link)")).select(
+    return rows_of(facts, keys, rows, "link", "pos").select(
         *keys, "pos", "link.href", "link.label", "link.in_nav", F.expr("contains(link.href, '/collections/') AS is_collection")
     )
 
@@ -239,12 +252,12 @@ def page_headings(facts: DataFrame, *keys: str) -> DataFrame:
 
 
 def json_ld_rows(facts: DataFrame, *keys: str) -> DataFrame:
-    return facts.select(*keys, F.expr(f"posexplode({ld_facts()}) AS (pos, item)")).select(*keys, "pos", "item.*")
+    return rows_of(facts, keys, ld_facts(), "item", "pos").select(*keys, "pos", "item.*")
 
 
 def region_rows(facts: DataFrame, *keys: str) -> DataFrame:
-    return facts.select(*keys, F.expr(f"posexplode({contact_regions()}) AS (pos, region)"))
+    return rows_of(facts, keys, contact_regions(), "region", "pos")
 
 
 def image_rows(facts: DataFrame, *keys: str) -> DataFrame:
-    return facts.select(*keys, F.expr(f"posexplode({image_candidates()}) AS (pos, image)")).select(*keys, "pos", "image.*")
+    return rows_of(facts, keys, image_candidates(), "image", "pos").select(*keys, "pos", "image.*")

@@ -25,10 +25,8 @@ def ranked_links(facts: DataFrame, limit: int = fv.LINK_LIMIT_VERIFY, key: str =
     A page's links fit its row, so scoring, first-occurrence dedupe, role caps and the
     overall cap are array expressions: the job is narrow, whatever the number of pages.
     """
-    return (
-        selected_links(facts, limit, key)
-        .selectExpr(key, "posexplode(selected) AS (pos, link)")
-        .selectExpr(key, "pos + 1 AS rank", "link.url", "link.role", "link.score", "link.score = 0 AS is_default")
+    return el.rows_of(selected_links(facts, limit, key), (key,), "selected", "link", "pos").selectExpr(
+        key, "pos + 1 AS rank", "link.url", "link.role", "link.score", "link.score = 0 AS is_default"
     )
 
 

@@ -110,7 +110,7 @@ class _PageEvents(HTMLParser):
             values["content"] = unescape(values["content"])
         marked = " ".join(values.get(name, "") for name in ("class", "id"))
         keep = (
-            (tag in KEPT_TAGS and (tag != "a" or "href" in values))
+            (tag in KEPT_TAGS and (tag != "a" or "href" in values) and (tag != "p" or self._in_content()))
             or MARKED.search(marked) is not None
             or "PostalAddress" in values.get("itemtype", "")
         )
@@ -136,6 +136,11 @@ class _PageEvents(HTMLParser):
         for name in (tag, *(f"#{m}" for m in markers)):
             self._depth[name] = self._depth.get(name, 0) + 1
 
+    def _in_content(self) -> bool:
+        """Paragraphs elsewhere are never asked for."""
+        depth = self._depth.get
+        return bool(depth("main") or depth("article") or depth("#hero"))
+
     def _markers(self) -> list[str]:
         return [m for m in MARKERS if self._depth.get(f"#{m}")]
 

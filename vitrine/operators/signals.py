@@ -369,9 +369,8 @@ def page_entities(facts: DataFrame, families: tuple[str, ...] = ALL_FAMILIES) ->
     for step in _shared_columns(families):
         work = work.withColumns(step)
     signals = ", ".join(EXTRACTORS[family]() for family in families)
-    return work.select("store_id", "page_seq", "url", "role", F.expr(f"explode(concat({signals})) AS signal")).select(
-        "store_id", "page_seq", "url", "role", "signal.*"
-    )
+    keys = ("store_id", "page_seq", "url", "role")
+    return el.rows_of(work, keys, f"concat({signals})", "signal").select(*keys, "signal.*")
 
 
 def reduce_entities(entities: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from vitrine import fixed_values as fv
 from vitrine.functions import text, urls
 from vitrine.functions.text import each, keep, let
 from vitrine.operators import signals
+from vitrine.operators.elements import rows_of
 from vitrine.operators.skew import hot_key_join
 
 
@@ -75,7 +76,7 @@ def platform_evidence(raw: DataFrame, carts: DataFrame, dns: DataFrame) -> DataF
         f"'weight', {s}.weight, 'strength', {s}.strength)",
     )
     from_host = host_evidence("concat(regexp_extract(replace(home_url, '://www.', '://'), '^[a-z]+://[^/?#]+', 0), '/cart.js')")
-    return joined.selectExpr("store_id", f"explode(concat({from_page}, {from_host})) AS e").select(
+    return rows_of(joined, ("store_id",), f"concat({from_page}, {from_host})", "e").select(
         "store_id", "e.kind", "e.value", "e.source_url", "e.weight", "e.strength"
     )
 
