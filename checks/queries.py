@@ -244,8 +244,9 @@ def page_roles(spark, sf):
 # --- parsed pages ------------------------------------------------------------------------
 
 UNESCAPED = "{0}"
-for _entity, _char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&#39;", "''"), ("&amp;", "&")):
+for _entity, _char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&#39;", "''")):
     UNESCAPED = f"replace({UNESCAPED}, '{_entity}', '{_char}')"
+UNESCAPED = f"regexp_replace({UNESCAPED}, '&amp;?', '&', 'g')"  # titles are cut anywhere, also before the semicolon
 
 
 @query("page_text", f"SELECT page_id, {UNESCAPED.format(s.strip('html'))} AS text FROM pages")
