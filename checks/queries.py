@@ -674,11 +674,29 @@ def export_rows(spark, sf):
     return reports.export_rows(unique(spark, sf))
 
 
-@query("quality_report")
+@query(
+    "quality_report",
+    f"""WITH {STORES}, reasons AS (SELECT reason, count(*) AS n FROM (SELECT unnest(string_split(reasons, ';')) AS reason FROM stores WHERE NOT accepted) GROUP BY 1)
+    SELECT (SELECT count(*) FROM stores) AS processed_records, (SELECT count(*) FROM uniq) AS accepted_records,
+      (SELECT string_agg(status || '=' || n, ';' ORDER BY status) FROM (SELECT status, count(*) AS n FROM ({i.CANDIDATES}) GROUP BY 1)) AS statuses,
+      (SELECT string_agg(reason || '=' || n, ';' ORDER BY reason) FROM reasons) AS reasons,
+      (SELECT string_agg(state || '=' || n, ';' ORDER BY state) FROM (SELECT CASE state WHEN '' THEN 'missing' ELSE state END AS state, count(*) AS n FROM uniq GROUP BY 1)) AS states,
+      (SELECT round(count(*) FILTER (WHERE profile = '') * 100 / CAST(count(*) AS DOUBLE), 2) FROM uniq) AS socials_missing_percent,
+      (SELECT count(*) FROM stores WHERE contains(sources, 'list_a') AND accepted) AS list_a_accepted,
+      (SELECT round(avg(india_score), 2) FROM uniq) AS average_india_score, (SELECT min(shopify_score) FROM uniq) AS minimum_shopify_score,
+      (SELECT count(*) FROM ({i.WORKSHEET}) w WHERE trim(shopify_correct) <> '' AND trim(india_correct) <> '') AS reviewed""",
+)
 def quality_report(spark, sf):
-    return reports.quality_report(
+    report = reports.quality_report(
         i.run(spark, sf, i.CANDIDATES, "customer"), i.stores(spark, sf), i.run(spark, sf, i.WORKSHEET, "customer")
-    ).drop("generated_at")
+    )
+    shown = lambda m: f"array_join(transform(map_entries({m}), e -> concat(e.key, '=', e.value)), ';')"
+    return report.selectExpr(
+        "processed_records", "accepted_records", f"{shown('candidate_status_counts')} AS statuses",
+        f"{shown('rejection_reasons')} AS reasons", f"{shown('state_distribution')} AS states",
+        "missing_fields['socials'].percent AS socials_missing_percent", "source_yield['list_a'].accepted AS list_a_accepted",
+        "confidence.average_india_score", "cast(confidence.minimum_shopify_score AS int) AS minimum_shopify_score", "manual_audit.reviewed",
+    )
 
 
 @query("audit_sample")

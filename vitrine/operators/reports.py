@@ -230,50 +230,105 @@ def worksheet_rows(sample: DataFrame) -> DataFrame:
     )
 
 
+# --- the report as one document ---------------------------------------------------------
+
+
+def report_metrics(candidates: DataFrame, stores: DataFrame) -> DataFrame:
+    """(section, key, n, low, rows): everything the report counts, from one pass per table.
+
+    Only the columns the report needs are carried into the per-domain pick. The result has
+    one row per status, reason, source, state and category, however many stores there are.
+    """
+
+    def cells(*rows: tuple[str, str, str]) -> Column:
+        structs = ", ".join(
+            f"struct('{section}' AS section, {key} AS key, cast({n} AS bigint) AS n)" for section, key, n in rows
+        )
+        return F.expr(f"explode(array({structs})) AS cell")
+
+    narrow = stores.select(
+        "candidate_id", "domain_url", "accepted", "shopify_score", "india_score", "state", "category",
+        "rejection_reasons", "source_names",
+        *[is_missing(f).cast("int").alias(f"no_{f}") for f in fv.REPORT_FIELDS],
+    )
+    unique = unique_domains(narrow.drop("rejection_reasons", "source_names"))
+    missing = [("missing", f"'{f}'", f"no_{f}") for f in fv.REPORT_FIELDS]
+    of_unique = unique.select(
+        cells(
+            ("unique", "''", "1"),
+            ("state", "coalesce(nullif(trim(state), ''), 'missing')", "1"),
+            ("category", "coalesce(nullif(trim(category), ''), 'missing')", "1"),
+            ("score", "'shopify'", "shopify_score"),
+            ("score", "'india'", "india_score"),
+            *missing,
+        )
+    )
+    of_all = narrow.select(cells(("record", "''", "cast(accepted AS int)")))
+    of_rejected = (
+        narrow.where(~F.col("accepted"))
+        .select(F.explode("rejection_reasons").alias("reason"))
+        .select(cells(("reason", "reason", "1")))
+    )
+    of_sources = narrow.selectExpr(
+        "accepted", "explode(CASE WHEN size(source_names) > 0 THEN source_names ELSE array('unattributed') END) AS source"
+    ).select(cells(("source", "source", "cast(accepted AS int)")))
+    of_candidates = candidates.select(cells(("status", "status", "1")))
+    rows = of_unique
+    for part in (of_all, of_rejected, of_sources, of_candidates):
+        rows = rows.unionByName(part)
+    return rows.groupBy("cell.section", "cell.key").agg(
+        F.sum("cell.n").alias("n"), F.min("cell.n").alias("low"), F.count("*").alias("rows")
+    )
+
+
 def quality_report(candidates: DataFrame, stores: DataFrame, worksheet: DataFrame | None = None) -> DataFrame:
-    """The whole report as one row of structs and maps, built from the small aggregates above."""
-    unique = unique_domains(stores)
-
-    def as_map(df: DataFrame, key: str, value: Column, out: str) -> DataFrame:
-        entry = F.struct(F.col(key).alias("key"), value.alias("value"))
-        return df.agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(out))
-
-    def as_struct(df: DataFrame, out: str) -> DataFrame:
-        return df.select(F.struct(*df.columns).alias(out))
-
-    missing = F.struct(F.col("missing").alias("count"), "percent")
-    parts = [
-        as_map(status_counts(candidates), "status", F.col("n"), "candidate_status_counts"),
-        as_struct(report_counters(stores), "counters"),
-        as_map(rejection_histogram(stores), "reason", F.col("n"), "rejection_reasons"),
-        as_map(missing_fields(unique), "field", missing, "missing_fields"),
-        as_map(distribution(unique, "state"), "state", F.col("n"), "state_distribution"),
-        as_map(distribution(unique, "category"), "category", F.col("n"), "category_distribution"),
-        as_map(source_yield(stores), "source", F.struct("seen", "accepted"), "source_yield"),
-        as_struct(confidence_stats(unique), "confidence"),
-    ]
-    if worksheet is not None:
-        accuracy = F.struct("reviewed", "accuracy_percent")
-        parts.append(as_struct(audit_precision(worksheet), "precision"))
-        parts.append(as_map(field_accuracy(worksheet), "field", accuracy, "field_accuracy"))
-    # Every part is one row with one column: stack them and fold the stack.
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part, allowMissingColumns=True)
-    report = stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in stacked.columns])
+    """The whole report as one row of structs and maps."""
+
+    def one(section: str, value: str, key: str | None = None) -> str:
+        extra = "" if key is None else f" AND key = '{key}'"
+        return f"coalesce(max(CASE WHEN section = '{section}'{extra} THEN {value} END), 0)"
+
+    def mapped(section: str, value: str) -> str:
+        entry = f"CASE WHEN section = '{section}' THEN struct(key, {value} AS value) END"
+        return f"map_from_entries(array_sort(collect_list({entry})))"
+
+    total = one("unique", "rows")
+
+    def missing(field: str) -> str:
+        count = one("missing", "n", field)
+        percent = f"CASE WHEN {total} > 0 THEN round({count} * 100 / {total}, 2) ELSE 0.0D END"
+        return f"'{field}', named_struct('count', {count}, 'percent', {percent})"
+
+    def average(key: str) -> str:
+        return f"round({one('score', 'n / rows', key)}, 2)"
+
+    document = {
+        "candidate_status_counts": mapped("status", "n"),
+        "processed_records": one("record", "rows"),
+        "accepted_records": total,
+        "accepted_candidate_records": one("record", "n"),
+        "redirect_duplicates_removed": f"{one('record', 'n')} - {total}",
+        "rejection_reasons": mapped("reason", "n"),
+        "missing_fields": f"map({', '.join(missing(f) for f in fv.REPORT_FIELDS)})",
+        "state_distribution": mapped("state", "n"),
+        "category_distribution": mapped("category", "n"),
+        "source_yield": mapped("source", "named_struct('seen', rows, 'accepted', n)"),
+        "confidence": f"""named_struct('average_shopify_score', {average("shopify")}, 'average_india_score', {average("india")},
+          'minimum_shopify_score', {one("score", "low", "shopify")}, 'minimum_india_score', {one("score", "low", "india")})""",
+    }
+    report = report_metrics(candidates, stores).agg(*[F.expr(f"{e} AS {name}") for name, e in document.items()])
     if worksheet is None:
         audit = F.struct(F.lit("not_generated").alias("status"), F.lit(0).alias("reviewed"))
-    else:
-        audit = F.struct("precision.*", "field_accuracy")
-    return report.select(
+        return report.select(F.current_timestamp().alias("generated_at"), "*", audit.alias("manual_audit"))
+    # Both sides are one row: stack and fold them instead of joining.
+    accuracy = field_accuracy(worksheet).agg(
+        F.expr("map_from_entries(array_sort(collect_list(struct(field, struct(reviewed, accuracy_percent))))) AS field_accuracy")
+    )
+    precision = audit_precision(worksheet).select(F.struct("*").alias("precision"))
+    stacked = report.unionByName(precision, allowMissingColumns=True).unionByName(accuracy, allowMissingColumns=True)
+    folded = stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in stacked.columns])
+    return folded.select(
         F.current_timestamp().alias("generated_at"),
-        "candidate_status_counts",
-        "counters.*",
-        "rejection_reasons",
-        "missing_fields",
-        "state_distribution",
-        "category_distribution",
-        "source_yield",
-        "confidence",
-        audit.alias("manual_audit"),
+        *report.columns,
+        F.struct("precision.*", "field_accuracy").alias("manual_audit"),
     )
