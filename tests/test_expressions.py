@@ -6,6 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from vitrine import fixed_values as fv
 from vitrine.functions import contacts, states, text, urls
 from vitrine.functions.urls import _exact_normal_form
 from vitrine.operators.elements import ld_facts
@@ -138,7 +139,7 @@ def test_states(evaluate):
 
 def test_windows_overlap_and_clip(evaluate):
     line = "ab 411001 cd 380015 ef"
-    got = evaluate(text.windows("v", states.PIN, 5, 4, guard=states.PIN_GUARD), [line])[0]
+    got = evaluate(text.windows("v", fv.PIN, 5, 4, guard=fv.PIN_GUARD), [line])[0]
     expected = [line[max(0, line.index(p) - 5) : line.index(p) + 6 + 4] for p in ("411001", "380015")]
     assert got == expected
 

@@ -5,10 +5,6 @@ from __future__ import annotations
 from vitrine import fixed_values as fv
 from vitrine.functions.text import bounded_words, each, found, keep, let, lookup, matches, replaced
 
-GSTIN = r"(?i)\b(?:0[1-9]|[12][0-9]|3[0-8]|97)[A-Z]{5}[0-9]{4}[A-Z][1-9A-Z]Z[0-9A-Z]\b"
-PIN_GUARD = r"(?<![0-9])"
-PIN = r"[1-9][0-9]{5}(?![0-9])"
-
 STATE_ALIASES = {name.lower(): name for name in fv.GST_STATES.values() if name != fv.NOT_A_STATE_NAME}
 STATE_ALIASES |= fv.EXTRA_STATE_ALIASES
 PIN2_STATES = {str(p): state for low, high, state in fv.PIN2_RANGES for p in range(low, high + 1)}
@@ -19,7 +15,7 @@ def _sorted_distinct(array: str) -> str:
 
 
 def find_gstins(text: str) -> str:
-    return _sorted_distinct(each(found(text, GSTIN), lambda g: f"upper({g})"))
+    return _sorted_distinct(each(found(text, fv.GSTIN), lambda g: f"upper({g})"))
 
 
 def state_from_gstin(gstin: str) -> str:
@@ -35,12 +31,12 @@ def find_states(text: str) -> str:
 
 def find_pins(text: str) -> str:
     """Six-digit codes not inside longer digit runs, sorted."""
-    runs = keep(f"split({text}, '[^0-9]+')", lambda run: matches(run, "^[1-9][0-9]{5}$"))
+    runs = keep(f"split({text}, '[^0-9]+')", lambda run: matches(run, f"^{fv.PIN}$"))
     return _sorted_distinct(runs)
 
 
 def has_indian_pin(text: str) -> str:
-    return matches(text, PIN_GUARD + PIN)
+    return matches(text, fv.PIN_GUARD + fv.PIN)
 
 
 def state_from_pin(pin: str) -> str:

@@ -127,8 +127,10 @@ def windows(text: str, anchor: str, before: int, after: int, guard: str = "") ->
     tail = found(text, rf"(?is){guard}(?=({anchor}.{{0,{after}}}))", 1)
     if not before:
         return tail
-    # Look-behind takes exactly `before` characters, or all there are from the start.
-    head = found(text, rf"(?is){guard}(?={anchor})(?<=(^.{{0,{before - 1}}}|.{{{before}}}))", 1)
+    # Look-behind takes exactly `before` characters, or all there are from the start. Kept
+    # apart, the first has a fixed width and the second fails at once away from the start.
+    both = rf"(?is){guard}(?={anchor})(?:(?<=(.{{{before}}}))|(?<=(^.{{0,{before - 1}}})))"
+    head = f"zip_with({found(text, both, 1)}, {found(text, both, 2)}, (a, b) -> concat(a, b))"
     return f"zip_with({head}, {tail}, (h, t) -> concat(h, t))"
 
 
@@ -140,8 +142,8 @@ def near_third_party_marker(text: str, value: str) -> str:
     """A credit phrase within 100 characters of the first occurrence of `value`."""
 
     def near(lowered: str, at: str) -> str:
-        start = f"greatest(1, {at} - 100)"
-        context = f"substring({lowered}, {start}, {at} + length({value}) + 100 - {start})"
+        start = f"greatest(1, {at} - {fv.CREDIT_CHARS})"
+        context = f"substring({lowered}, {start}, {at} + length({value}) + {fv.CREDIT_CHARS} - {start})"
         return f"({at} > 0 AND {contains_any(context, fv.THIRD_PARTY_MARKERS)})"
 
     return let(
@@ -150,21 +152,19 @@ def near_third_party_marker(text: str, value: str) -> str:
 
 
 def shows_rupees(text: str) -> str:
-    rupees = matches(text, r"(?i)\b(inr|rs\.)\s*\d")
-    return f"(contains({text}, '₹') OR {rupees})"
+    return f"(contains({text}, '{fv.RUPEE_SIGN}') OR {matches(text, fv.RUPEE_WORDS)})"
 
 
 def ships_to_india(text: str) -> str:
-    return matches(f"lower({text})", r"\b(ship|deliver|shipping|returns?)\b.{0,100}\bindia\b")
+    return matches(f"lower({text})", fv.SHIPS_TO_INDIA)
 
 
 def names_registered_office(text: str) -> str:
-    label = r"(registered\s+(office|address)|corporate\s+(office|address)|business\s+address|office\s+address)"
-    return matches(f"lower({text})", label + r".{0,200}\bindia\b")
+    return matches(f"lower({text})", fv.REGISTERED_OFFICE)
 
 
 def is_yes(value: str) -> str:
-    return one_of(f"lower(trim({value}))", ("yes", "y", "true", "1"))
+    return one_of(f"lower(trim({value}))", fv.YES_WORDS)
 
 
 def is_blank(value: str) -> str:

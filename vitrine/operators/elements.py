@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vitrine import fixed_values as fv
 from vitrine.functions.text import each, keep, let, matches, windows
 
 # The page's text as elements own it: what offsets point into.
@@ -116,8 +117,7 @@ def contact_regions() -> str:
         )
     )
     none = "cast(array() AS array<string>)"
-    phrases = "(?:contact us|e-?mail us|grievance|complaint|by mail|mailing us)"
-    around = let(body_text(), lambda t: windows(t, phrases, 120, 600))
+    around = let(body_text(), lambda t: windows(t, fv.LEGAL_CONTACT_PHRASES, *fv.LEGAL_CONTACT_WINDOW))
     return f"""concat({texts(always)},
       CASE WHEN role = 'contact' THEN concat({texts(tagged('main', 'article'))}, array({body_text()})) ELSE {none} END,
       CASE WHEN role = 'legal' THEN {around} ELSE {none} END)"""

@@ -57,7 +57,6 @@ FACT_DDL = (
 )
 BATCH_ROWS = 256
 SLICE_ROWS = 64
-RUNTIME = r"\bShopify\.(?:shop|theme|routes)\b"
 
 
 class _PageEvents(HTMLParser):
@@ -253,7 +252,7 @@ def raw_facts(pages: DataFrame) -> DataFrame:
         "page_seq",
         "final_url AS url",
         f"{page_role('final_url')} AS role",
-        f"{matches('body', RUNTIME)} AS has_runtime",
+        f"{matches('body', fv.RUNTIME)} AS has_runtime",
         "contains(lower(body), '/cdn/shop/') OR contains(lower(body), 'cdn.shopify.com') AS has_cdn",
         "contains(lower(body), 'shopify-section') OR contains(lower(body), 'shopify-payment-button') AS has_markup",
         f"""CASE WHEN page_seq = 0 THEN named_struct('home_url', final_url, 'requested_url', requested_url, 'home_reason',

@@ -85,16 +85,15 @@ def address_regions() -> str:
 
     none = "cast(array() AS array<struct<region:string,score:int>>)"
     label = r"\b(?:{})\s+address\b"
-    mailing = "(?:mailing us at|by mail using the details|contact information below)"
     around_pins = scored(
-        tx.windows("text", states.PIN, 220, 120, guard=states.PIN_GUARD), "CASE role WHEN 'contact' THEN 80 ELSE 70 END"
+        tx.windows("text", fv.PIN, *fv.PIN_WINDOW, guard=fv.PIN_GUARD), "CASE role WHEN 'contact' THEN 80 ELSE 70 END"
     )
     parts = (
         scored(el.address_texts(), "CASE role WHEN 'contact' THEN 82 ELSE 72 END"),
         f"CASE WHEN role <> 'legal' THEN {around_pins} ELSE {none} END",
-        scored(tx.windows("text", label.format("registered"), 0, 400), "95"),
-        scored(tx.windows("text", label.format("corporate|business|office|store|postal"), 0, 400), "90"),
-        f"CASE WHEN role = 'legal' THEN {scored(tx.windows('text', mailing, 0, 500), '85')} ELSE {none} END",
+        scored(tx.windows("text", label.format(fv.REGISTERED_LABEL), 0, fv.LABEL_WINDOW), "95"),
+        scored(tx.windows("text", label.format(fv.OTHER_LABELS), 0, fv.LABEL_WINDOW), "90"),
+        f"CASE WHEN role = 'legal' THEN {scored(tx.windows('text', fv.MAILING_PHRASES, 0, fv.MAILING_WINDOW), '85')} ELSE {none} END",
     )
     return f"concat({', '.join(parts)})"
 
