@@ -8,10 +8,14 @@ takes part, and the inputs grow with the tables.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrine.session import shared_dir
+from vitrine.sources.crawl import read_pages
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
@@ -178,8 +182,21 @@ FROM ({KEYS}) base
 """
 
 
+_WRITTEN: dict[tuple[str, str], str] = {}
+
+
 def crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived crawl in the shape of `schemas.PAGES`."""
+    """The derived crawl in the shape of `schemas.PAGES`: written once per application, then
+    scanned like any crawl table, so a job's plan and time are its own."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WRITTEN:
+        path = f"{shared_dir(spark)}/vitrine-crawl-{uuid.uuid4().hex}"
+        _derive_crawl(spark, sf_dir).write.parquet(path)
+        _WRITTEN[key] = path
+    return read_pages(spark, _WRITTEN[key])
+
+
+def _derive_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = run(spark, sf_dir, CRAWL, "customer")
     names = F.split("header_names", ",")
     return flat.select(

@@ -26,6 +26,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 HIDDEN = frozenset("script style noscript svg template".split())
 # … and text under these is no part of an enclosing element's own text.
 OPAQUE = frozenset("script style template rt rp".split())
+COVERED = HIDDEN | OPAQUE
+ROOTS = ("main", "body")
 KEPT_TAGS = frozenset("title h1 h2 a img meta footer address main article body p".split())
 KEPT_ATTRIBUTES = frozenset(
     "href content name property class id itemtype alt src data-src data-lazy-src data-original srcset "
@@ -74,16 +76,17 @@ class _PageEvents(HTMLParser):
         self._depth: dict[str, int] = {}
         self._buffer: list[str] = []
         self._ld: list[str] | None = None
-        self._hidden = self._opaque = 0
+        self._hidden = self._opaque = self._marked = 0
+        self._marks = dict.fromkeys(MARKERS, 0)
 
     def updatepos(self, i: int, j: int) -> int:
         return j  # line numbers are not needed
 
     def _flush(self) -> None:
-        if not self._buffer:
-            return
-        piece = " ".join(unescape("".join(self._buffer)).split())
-        self._buffer.clear()
+        buffer = self._buffer
+        text = buffer[0] if len(buffer) == 1 else "".join(buffer)
+        buffer.clear()
+        piece = " ".join((unescape(text) if "&" in text else text).split())
         if not piece:
             return
         if not self._hidden:
@@ -98,50 +101,60 @@ class _PageEvents(HTMLParser):
             self._buffer.append(data)
 
     def handle_comment(self, data: str) -> None:
-        self._flush()
+        if self._buffer:
+            self._flush()
 
     handle_decl = handle_pi = unknown_decl = handle_comment
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        self._flush()
+        if self._buffer:
+            self._flush()
         values = {name: value or "" for name, value in attrs if name in KEPT_ATTRIBUTES}
-        if "content" in values:
-            values["content"] = unescape(values["content"])
-        marked = " ".join(values.get(name, "") for name in ("class", "id"))
-        keep = (
-            (tag in KEPT_TAGS and (tag != "a" or "href" in values) and (tag != "p" or self._in_content()))
-            or MARKED.search(marked) is not None
-            or "PostalAddress" in values.get("itemtype", "")
-        )
         fact = None
-        if keep:
-            fact = {"tag": tag, "attrs": list(values.items()), "within": self._markers(), "start": 0, "len": 0}
+        if self._is_asked_for(tag, values):
+            if "content" in values:
+                values["content"] = unescape(values["content"])
+            within = [m for m in MARKERS if self._marks[m]] if self._marked else []
+            fact = {"tag": tag, "attrs": list(values.items()), "within": within, "start": 0, "len": 0}
             self.elements.append(fact)
-        if tag == "script" and (dict(attrs).get("type") or "").lower() == "application/ld+json":
-            self._ld = []
         if tag in VOID:
             return
-        markers = []
-        if tag in ("header", "nav", "main", "article"):
-            markers.append(tag)
-        if "hero" in values.get("class", "").lower():
-            markers.append("hero")
-        if tag == "a" and values.get("href") in ("/", "./") and self._depth.get("header"):
-            markers.append("home_link" if values["href"] == "/" else "home_dot_link")
-        self._first.setdefault(tag, fact)
-        self._hidden += tag in HIDDEN
-        self._opaque += tag in OPAQUE
-        self._open.append((tag, fact, len(self.shown), len(self.owned), tuple(markers)))
-        for name in (tag, *(f"#{m}" for m in markers)):
-            self._depth[name] = self._depth.get(name, 0) + 1
-
-    def _in_content(self) -> bool:
-        """Paragraphs elsewhere are never asked for."""
-        depth = self._depth.get
-        return bool(depth("main") or depth("article") or depth("#hero"))
-
-    def _markers(self) -> list[str]:
-        return [m for m in MARKERS if self._depth.get(f"#{m}")]
+        if tag == "script" and (dict(attrs).get("type") or "").lower() == "application/ld+json":
+            self._ld = []
+        markers = self._markers_of(tag, values)
+        for marker in markers:
+            self._marks[marker] += 1
+            self._marked += 1
+        if tag in ROOTS:
+            self._first.setdefault(tag, fact)
+        if tag in COVERED:
+            self._hidden += tag in HIDDEN
+            self._opaque += tag in OPAQUE
+        self._open.append((tag, fact, len(self.shown), len(self.owned), markers))
+        self._depth[tag] = self._depth.get(tag, 0) + 1
+
+    def _is_asked_for(self, tag: str, values: dict) -> bool:
+        if tag == "a":
+            listed = "href" in values
+        elif tag == "p":  # other paragraphs than those in content are never asked for
+            listed = bool(self._marks["main"] or self._marks["article"] or self._marks["hero"])
+        else:
+            listed = tag in KEPT_TAGS
+        if listed or not values:
+            return listed
+        return (
+            ("class" in values and MARKED.search(values["class"]) is not None)
+            or ("id" in values and MARKED.search(values["id"]) is not None)
+            or "PostalAddress" in values.get("itemtype", "")
+        )
+
+    def _markers_of(self, tag: str, values: dict) -> tuple[str, ...]:
+        markers = (tag,) if tag in MARKERS else ()
+        if "class" in values and "hero" in values["class"].lower():
+            markers += ("hero",)
+        if tag == "a" and self._marks["header"] and values.get("href") in ("/", "./"):
+            markers += ("home_link" if values["href"] == "/" else "home_dot_link",)
+        return markers
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -149,7 +162,8 @@ class _PageEvents(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
-        self._flush()
+        if self._buffer:
+            self._flush()
         if tag == "script" and self._ld is not None:
             self.ld_json.append("".join(self._ld))
             self._ld = None
@@ -159,14 +173,17 @@ class _PageEvents(HTMLParser):
 
     def _close_last(self) -> str:
         tag, fact, shown, owned, markers = self._open.pop()
-        self._hidden -= tag in HIDDEN
-        self._opaque -= tag in OPAQUE
-        for name in (tag, *(f"#{m}" for m in markers)):
-            self._depth[name] -= 1
+        self._depth[tag] -= 1
+        for marker in markers:
+            self._marks[marker] -= 1
+            self._marked -= 1
+        if tag in COVERED:
+            self._hidden -= tag in HIDDEN
+            self._opaque -= tag in OPAQUE
         if fact is not None:
             fact["start"], fact["len"] = owned, len(self.owned)
-        if tag in ("main", "body") and fact is self._first[tag]:
-            self.content[tag] = (shown, len(self.shown))
+            if tag in ROOTS and fact is self._first[tag]:
+                self.content[tag] = (shown, len(self.shown))
         return tag
 
     def facts(self, body: str) -> dict:
@@ -175,7 +192,8 @@ class _PageEvents(HTMLParser):
             self.close()
         except AssertionError:  # the parser gives up on this markup: keep what was read
             pass
-        self._flush()
+        if self._buffer:
+            self._flush()
         if self._ld is not None:
             self.ld_json.append("".join(self._ld))
         while self._open:
