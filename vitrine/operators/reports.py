@@ -177,15 +177,15 @@ def audit_sample(unique: DataFrame, size: int, seed: int, salts: int = 32) -> Da
         {
             "stratum_state": state,
             "stratum_confidence": confidence_band(),
-            "_draw": F.xxhash64(F.lit(seed), F.col("domain_url"), F.col("candidate_id")),
+            "_draw": F.md5(F.concat_ws(":", F.lit(str(seed)), "domain_url", "candidate_id")),
         }
-    ).withColumn("_salt", F.pmod("_draw", F.lit(salts)))
+    ).withColumn("_salt", F.pmod(F.xxhash64("_draw"), F.lit(salts)))
     stratum = ["stratum_state", "stratum_confidence"]
     part = W.partitionBy(*stratum, "_salt").orderBy("_draw", "candidate_id")
     whole = W.partitionBy(*stratum).orderBy("_draw", "candidate_id")
     kept = drawn.withColumn("_rn", F.row_number().over(part)).where(F.col("_rn") <= size)
     ranked = kept.withColumn("round", F.row_number().over(whole)).where(F.col("round") <= size)
-    turn = F.xxhash64(F.lit(seed), *stratum)
+    turn = F.md5(F.concat_ws(":", F.lit(str(seed)), *stratum))
     return ranked.orderBy("round", turn, "_draw").limit(size).drop("_draw", "_salt", "_rn")
 
 

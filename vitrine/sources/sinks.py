@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -36,41 +36,64 @@ def write_audit_sample(stores: DataFrame, directory: str, size: int, seed: int)
     return _write_csv(reports.worksheet_rows(sample), f"{directory}/manual_audit_csv")
 
 
+BUCKETS = 64
+
+
+def bucket_of(key: str) -> Column:
+    """Even split of stores over a fixed number of folders."""
+    return F.expr(f"cast(pmod(xxhash64({key}), {BUCKETS}) AS int)")
+
+
 class StoreSnapshots:
-    """Store state as immutable snapshot folders plus an append-only commit table.
+    """Store state as immutable bucket folders plus an append-only commit table.
 
-    A reader takes the newest committed version, so a half-written snapshot is never
-    seen and no folder is overwritten while it is read. Committing the same batch twice
-    changes nothing.
+    A commit writes only the buckets it touches; a reader takes every bucket's newest
+    committed folder, so a half-written one is never seen and nothing is overwritten while
+    it is read. Committing the same batch twice changes nothing.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
     def _commits(self) -> DataFrame:
+        schema = "version bigint, batch_id bigint, bucket int"
         try:
-            return self.spark.read.schema("version bigint, batch_id bigint").parquet(f"{self.root}/commits")
+            return self.spark.read.schema(schema).parquet(f"{self.root}/commits")
         except AnalysisException:  # nothing committed yet
-            return self.spark.createDataFrame([], "version bigint, batch_id bigint")
+            return self.spark.createDataFrame([], schema)
 
     def latest(self) -> tuple[int, int]:
         """Newest version and batch, (0, -1) before the first commit."""
         row = self._commits().agg(F.max(F.struct("version", "batch_id")).alias("m")).first()
         return (row.m.version, row.m.batch_id) if row.m is not None else (0, -1)
 
-    def read(self) -> DataFrame:
-        version, _ = self.latest()
-        if version == 0:
+    def read(self, buckets: list[int] | None = None) -> DataFrame:
+        """The current records, optionally of some buckets. At most one folder name per
+        bucket reaches the driver."""
+        newest = self._commits().groupBy("bucket").agg(F.max("version").alias("version")).collect()
+        folders = [
+            f"{self.root}/stores/version={row.version:012d}/bucket={row.bucket}"
+            for row in newest
+            if row.bucket >= 0 and (buckets is None or row.bucket in buckets)
+        ]
+        if not folders:
             return self.spark.createDataFrame([], schemas.STORES)
-        return self.spark.read.schema(schemas.STORES).parquet(f"{self.root}/stores/version={version:012d}")
+        return self.spark.read.schema(schemas.STORES).parquet(*folders)
 
     def commit(self, new: DataFrame, batch_id: int) -> int:
         """Upserts records as a new version; a batch already committed is skipped."""
         version, last_batch = self.latest()
         if batch_id <= last_batch:
             return version
-        merged = upsert_latest(self.read(), new.select(*self.read().columns))
-        merged.write.mode("overwrite").parquet(f"{self.root}/stores/version={version + 1:012d}")
-        marker = self.spark.range(1).select(F.lit(version + 1).cast("bigint").alias("version"), F.lit(batch_id).cast("bigint").alias("batch_id"))
-        marker.write.mode("append").parquet(f"{self.root}/commits")
+        touched = [row.bucket for row in new.select(bucket_of("candidate_id").alias("bucket")).distinct().collect()]
+        old = self.read(touched)
+        merged = upsert_latest(old, new.select(*old.columns)).withColumn("bucket", bucket_of("candidate_id"))
+        if touched:
+            merged.repartition(len(touched), "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
+                f"{self.root}/stores/version={version + 1:012d}"
+            )
+        marks = [(version + 1, batch_id, bucket) for bucket in touched or [-1]]
+        self.spark.createDataFrame(marks, self._commits().schema).coalesce(1).write.mode("append").parquet(
+            f"{self.root}/commits"
+        )
         return version + 1
