@@ -316,18 +316,17 @@ def image_facts(spark, sf):
 
 @query(
     "contact_regions",
-    f"""WITH {s.PAGES} SELECT store_id, page_seq, region FROM (
+    f"""WITH {s.PAGES} SELECT DISTINCT store_id, page_seq, region FROM (
       SELECT store_id, page_seq, {s.strip("unnest(regexp_extract_all(body, '(?s)<footer>(.*?)</footer>', 1))")} AS region FROM used
       UNION ALL SELECT store_id, page_seq, {s.strip("unnest(regexp_extract_all(body, '(?s)<address>(.*?)</address>', 1))")} FROM used
       UNION ALL SELECT store_id, page_seq, t FROM txt WHERE role = 'contact'
-      UNION ALL SELECT store_id, page_seq, t FROM txt WHERE role = 'contact'
       UNION ALL SELECT store_id, page_seq, substr(t, greatest(1, p - 120), p + n + 600 - greatest(1, p - 120)) FROM (
         SELECT store_id, page_seq, t, p, length(regexp_extract(lower(substr(t, p, 12)), '^(contact us|e-?mail us|grievance|complaint|by mail|mailing us)')) AS n
         FROM (SELECT store_id, page_seq, t, unnest(range(1, length(t) + 1)) AS p FROM txt WHERE role = 'legal')) WHERE n > 0
     ) WHERE region <> ''""",
 )
 def contact_regions(spark, sf):
-    return elements.region_rows(crawl_facts(spark, sf), "store_id", "page_seq").select("store_id", "page_seq", "region")
+    return elements.region_rows(crawl_facts(spark, sf), "store_id", "page_seq").select("store_id", "page_seq", "region").distinct()
 
 
 # --- links ------------------------------------------------------------------------------

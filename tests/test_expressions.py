@@ -58,6 +58,11 @@ def test_native_and_exact_paths_agree(spark):
         assert r.listed == [r.based, r.based], r.v
 
 
+def test_long_paths_and_hosts_do_not_break_the_engine(evaluate):
+    deep, wide = "https://lotus.in" + "/a" * 20000, "https://" + "a." * 5000 + "in"
+    assert evaluate(urls.normalize_url("v"), [deep, wide]) == [deep, wide + "/"]
+
+
 def test_registrable_domain_with_a_suffix_table(spark):
     suffixes = spark.createDataFrame([("in",), ("co.in",), ("*.ck",), ("!www.ck",), ("uk",), ("co.uk",)], "suffix string")
     hosts = {"a.b.co.in": "b.co.in", "x.in": "x.in", "co.in": "co.in", "a.b.ck": "a.b.ck", "z.a.b.ck": "a.b.ck",
@@ -146,7 +151,7 @@ def test_windows_overlap_and_clip(evaluate):
 
 def test_third_party_marker(evaluate):
     far = "Website by Niche" + " x" * 60 + " me@a.in"
-    assert evaluate(text.near_third_party_marker("v", "'ME@a.in'"), ["Website by Niche me@a.in", far, "none"]) == [True, False, False]
+    assert evaluate(text.near_third_party_marker("lower(v)", "'ME@a.in'"), ["Website by Niche me@a.in", far, "none"]) == [True, False, False]
 
 
 def test_phrases(evaluate):

@@ -138,17 +138,15 @@ def is_boilerplate_description(text: str) -> str:
     return contains_any(f"lower({text})", fv.DESCRIPTION_BOILERPLATE)
 
 
-def near_third_party_marker(text: str, value: str) -> str:
-    """A credit phrase within 100 characters of the first occurrence of `value`."""
+def near_third_party_marker(lowered: str, value: str) -> str:
+    """A credit phrase within 100 characters of the first occurrence of `value` in lower-case text."""
 
-    def near(lowered: str, at: str) -> str:
+    def near(at: str) -> str:
         start = f"greatest(1, {at} - {fv.CREDIT_CHARS})"
         context = f"substring({lowered}, {start}, {at} + length({value}) + {fv.CREDIT_CHARS} - {start})"
         return f"({at} > 0 AND {contains_any(context, fv.THIRD_PARTY_MARKERS)})"
 
-    return let(
-        f"lower({text})", lambda lowered: let(f"instr({lowered}, lower({value}))", lambda at: near(lowered, at))
-    )
+    return let(f"instr({lowered}, lower({value}))", near)
 
 
 def shows_rupees(text: str) -> str:

@@ -31,10 +31,6 @@ def tagged(*tags: str) -> str:
     return pick(lambda e: f"{e}.tag IN ({names})")
 
 
-def texts(elements: str) -> str:
-    return keep(each(elements, text_of), lambda t: f"{t} <> ''")
-
-
 def has_class(element: str, name: str) -> str:
     return f"array_contains(split({attr(element, 'class')}, '[ \\\\t\\\\r\\\\n]+'), '{name}')"
 
@@ -104,23 +100,41 @@ ADDRESS_SELECTORS = (
 )
 
 
-def address_texts() -> str:
-    return f"concat({', '.join(texts(pick(selector)) for selector in ADDRESS_SELECTORS)})"
+def spans(elements: str) -> str:
+    """Distinct places of elements. Nested elements share text: jobs go over places and cut
+    the text out one at a time, so a page never holds many copies of itself."""
+    places = each(keep(elements, lambda e: f"{e}.len > 0"), lambda e: f"struct({e}.start AS start, {e}.len AS len)")
+    return f"array_distinct({places})"
 
 
-def contact_regions() -> str:
-    """Texts a business publishes its contacts in; which ones depends on the page's role."""
+def address_spans() -> str:
+    return f"array_distinct(concat({', '.join(spans(pick(selector)) for selector in ADDRESS_SELECTORS)}))"
+
+
+def contact_spans() -> str:
+    """Places a business publishes its contacts in; contact pages add their content."""
     always = pick(
         lambda e: " OR ".join(
             [f"{e}.tag = 'footer'", mentions(e, "class", "contact"), mentions(e, "id", "contact")]
             + [selector(e) for selector in ADDRESS_SELECTORS]
         )
     )
-    none = "cast(array() AS array<string>)"
+    body = f"try_element_at({tagged('body')}, 1)"
+    whole = f"struct(coalesce({body}.start, 1) AS start, coalesce({body}.len, length({OWN_TEXT})) AS len)"
+    content = f"concat({spans(tagged('main', 'article'))}, filter(array({whole}), s -> s.len > 0))"
+    return f"""array_distinct(concat({spans(always)},
+      CASE WHEN role = 'contact' THEN {content} ELSE cast(array() AS array<struct<start:int,len:int>>) END))"""
+
+
+def legal_windows() -> str:
+    """Text around the contact phrases of a legal page."""
     around = let(body_text(), lambda t: windows(t, fv.LEGAL_CONTACT_PHRASES, *fv.LEGAL_CONTACT_WINDOW))
-    return f"""concat({texts(always)},
-      CASE WHEN role = 'contact' THEN concat({texts(tagged('main', 'article'))}, array({body_text()})) ELSE {none} END,
-      CASE WHEN role = 'legal' THEN {around} ELSE {none} END)"""
+    return f"CASE WHEN role = 'legal' THEN {around} ELSE cast(array() AS array<string>) END"
+
+
+def contact_regions() -> str:
+    """The texts of all contact places and legal windows."""
+    return f"concat({each(contact_spans(), text_of)}, {legal_windows()})"
 
 
 def image_candidates() -> str:

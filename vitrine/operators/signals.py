@@ -77,8 +77,8 @@ def platform_signals() -> str:
     return f"concat({', '.join(rules)})"
 
 
-def address_regions() -> str:
-    """Address-sized texts with the score a state found in them deserves."""
+def text_regions() -> str:
+    """Address-sized windows of the text with the score a state found in them deserves."""
 
     def scored(regions: str, score: str) -> str:
         return each(regions, lambda r: f"named_struct('region', {r}, 'score', {score})")
@@ -89,7 +89,6 @@ def address_regions() -> str:
         tx.windows("text", fv.PIN, *fv.PIN_WINDOW, guard=fv.PIN_GUARD), "CASE role WHEN 'contact' THEN 80 ELSE 70 END"
     )
     parts = (
-        scored(el.address_texts(), "CASE role WHEN 'contact' THEN 82 ELSE 72 END"),
         f"CASE WHEN role <> 'legal' THEN {around_pins} ELSE {none} END",
         scored(tx.windows("text", label.format(fv.REGISTERED_LABEL), 0, fv.LABEL_WINDOW), "95"),
         scored(tx.windows("text", label.format(fv.OTHER_LABELS), 0, fv.LABEL_WINDOW), "90"),
@@ -100,11 +99,16 @@ def address_regions() -> str:
 
 def region_states() -> str:
     """State and score of every address region that stands for exactly one state."""
+    elements = each(
+        el.address_spans(),
+        lambda s: f"named_struct('state', {let(el.text_of(s), states.region_state)}, "
+        "'score', CASE role WHEN 'contact' THEN 82 ELSE 72 END)",
+    )
     found = each(
-        address_regions(),
+        text_regions(),
         lambda r: f"named_struct('state', {states.region_state(f'{r}.region')}, 'score', {r}.score)",
     )
-    return keep(found, lambda r: f"{r}.state IS NOT NULL")
+    return keep(f"concat({elements}, {found})", lambda r: f"{r}.state IS NOT NULL")
 
 
 def _structured_addresses() -> str:
@@ -154,11 +158,24 @@ def page_emails() -> str:
     """Addresses of mailto links, and those in contact regions away from a maker's credit."""
     mailto = keep("hrefs", lambda h: f"startswith(lower({h}), 'mailto:')")
     linked = each(mailto, lambda h: contacts.extract_emails(f"split(substring({h}, 8), '[?]')[0]"))
-    written = each(
-        "contact_regions",
-        lambda r: keep(contacts.extract_emails(r), lambda e: f"NOT {tx.near_third_party_marker(r, e)}"),
-    )
-    return f"array_distinct(concat(flatten({linked}), flatten({written})))"
+
+    def uncredited(region: str) -> str:
+        found = contacts.extract_emails(region)
+
+        def kept(low: str) -> str:
+            near = keep(found, lambda e: f"NOT {tx.near_third_party_marker(low, e)}")
+            # Few regions hold a credit phrase; in the others no address needs a look around.
+            return f"CASE WHEN {tx.contains_any(low, fv.THIRD_PARTY_MARKERS)} THEN {near} ELSE {found} END"
+
+        return let(f"lower({region})", kept)
+
+    return f"array_distinct(concat(flatten({linked}), {_over_regions(uncredited)}))"
+
+
+def _over_regions(extract) -> str:
+    """Values of all contact places and legal windows, one text at a time."""
+    placed = each("contact_spans", lambda s: let(el.text_of(s), extract))
+    return f"concat(flatten({placed}), flatten({each('legal_windows', extract)}))"
 
 
 def page_phones() -> str:
@@ -166,8 +183,7 @@ def page_phones() -> str:
     linked = each(tel, lambda h: contacts.extract_phones(f"substring({h}, 5)"))
     chats = each(keep("hrefs", lambda h: f"contains({h}, '//')"), contacts.whatsapp_phone)
     known_chats = keep(chats, lambda p: f"{p} IS NOT NULL")
-    written = each("contact_regions", contacts.extract_phones)
-    return f"array_distinct(concat(flatten({linked}), {known_chats}, flatten({written})))"
+    return f"array_distinct(concat(flatten({linked}), {known_chats}, {_over_regions(contacts.extract_phones)}))"
 
 
 def contact_signals() -> str:
@@ -349,7 +365,7 @@ def _shared_columns(families: tuple[str, ...]) -> list[dict]:
         **when({"india", "state", "category", "description", "logo"}, ld=el.ld_facts()),
         **when({"india", "state"}, regions=region_states(), gstins=states.find_gstins("text")),
         **when({"contact", "social"}, hrefs=el.HREFS),
-        **when({"contact"}, contact_regions=el.contact_regions()),
+        **when({"contact"}, contact_spans=el.contact_spans(), legal_windows=el.legal_windows()),
         **when({"category", "description"}, meta=el.meta_description(), role_rank=urls.role_rank("role")),
         **when({"logo"}, logo_images=logo_images()),
     }
