@@ -107,7 +107,7 @@ def is_eligible_master_row() -> Column:
     return F.lower(F.trim(F.coalesce("domain", F.lit("")))).endswith(".in") & technology.contains("shopify")
 
 
-def master_seeds(rows: DataFrame, source_name: str = "shopify_master_list_indian_tld") -> DataFrame:
+def master_seeds(rows: DataFrame, source_name: str = "master_list") -> DataFrame:
     """Eligible master-list rows as seeds."""
     return rows.where(is_eligible_master_row()).select(
         F.lit(source_name).alias("source_name"), F.col("domain").alias("source_value"), "seq"
