@@ -186,11 +186,11 @@ def master_import(spark, sf):
     "incremental_import",
     f"""WITH {KEYED}, firsts AS (SELECT candidate_key, min(seq) AS discovered_seq FROM keyed GROUP BY 1)
     SELECT candidate_key, discovered_seq FROM firsts
-    WHERE candidate_key NOT IN (SELECT candidate_key FROM keyed WHERE source_name = 'list_b')""",
+    WHERE candidate_key NOT IN (SELECT candidate_key FROM keyed WHERE source_value LIKE '%/de/%')""",
 )
 def incremental_import(spark, sf):
     seeds = i.run(spark, sf, i.SEEDS, "pages")
-    existing = cand.clean_candidates(seeds.where("source_name = 'list_b'"))
+    existing = cand.clean_candidates(seeds.where("source_value LIKE '%/de/%'"))
     return cand.clean_candidates(seeds, existing).select("candidate_key", "discovered_seq")
 
 
