@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from vitrine.llm import exact_dedup, mixing, sharding
+from vitrine.llm import exact_dedup, line_dedup, mixing, sharding
 
 QUERIES = {
     "op3_jump_shards": sharding.op3_jump_shards,
+    "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
 
 SQL = {
     "op3_jump_shards": sharding.OP3_SQL,
+    "op7_line_dedup": line_dedup.OP7_SQL,
     "op8_mix_sources": mixing.OP8_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
 }
