@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from vitrine.llm import exact_dedup, line_dedup, mixing, sharding
+from vitrine.llm import exact_dedup, line_dedup, mixing, pieces, sharding
 
 QUERIES = {
     "op3_jump_shards": sharding.op3_jump_shards,
+    "op5_sentencepiece": pieces.op5_sentencepiece,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
