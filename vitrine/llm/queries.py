@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from vitrine.llm import exact_dedup, line_dedup, mixing, pieces, sharding
+from vitrine.llm import exact_dedup, language, line_dedup, mixing, pieces, sharding, toxicity
 
 QUERIES = {
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_jump_shards": sharding.op3_jump_shards,
     "op5_sentencepiece": pieces.op5_sentencepiece,
+    "op6_language": language.op6_language,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
