@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from vitrine.llm import exact_dedup, language, line_dedup, mixing, pieces, sharding, toxicity
+from vitrine.llm import exact_dedup, language, line_dedup, main_text, mixing, pieces, sharding, toxicity
 
 QUERIES = {
+    "op1_main_text": main_text.op1_main_text,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_jump_shards": sharding.op3_jump_shards,
     "op5_sentencepiece": pieces.op5_sentencepiece,
