@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitrine.llm import exact_dedup, language, line_dedup, main_text, mixing, pieces, sharding, toxicity
+from vitrine.llm import exact_dedup, language, line_dedup, main_text, mixing, neighbours, pieces, sharding, toxicity
 
 QUERIES = {
     "op1_main_text": main_text.op1_main_text,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_neighbours": neighbours.op10_neighbours,
 }
 
 SQL = {
