@@ -1,23 +1,51 @@
-"""The corpus pipeline: documents in, token ids of a clean mix out."""
+"""The corpus pipeline: documents in, token ids of a clean mix out.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; between stages the
+rows are a written table. All stages but the last return the columns of `documents` as they were.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import exact_dedup, mixing
+from vitrine.llm import exact_dedup, mixing, near_dedup, pieces, toxicity
 from vitrine.llm.common import stored, table
 
 
-def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model, fitted on those present, does not reject."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the one with the largest id."""
     return exact_dedup.keep_one(docs)
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every class of near-duplicates the one with the smallest id."""
+    return near_dedup.keep_one(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole documents, as often as their source's share of all words asks for."""
     return mixing.with_copies(docs)
 
 
-STAGES = [("exact dedup", exact_copies), ("mixing", mix)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of every document of the mix."""
+    return pieces.encoded(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
+    ("mix", mix_sources),
+    ("encode", encode),
+]
 
+# Trained models and signatures have no SQL form; tests hold the rows against a plain version.
 ORACLE_SQL = None
 
 

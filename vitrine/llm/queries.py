@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from vitrine.llm import exact_dedup, language, line_dedup, main_text, mixing, neighbours, pieces, sharding, toxicity
+from vitrine.llm import exact_dedup, language, line_dedup, main_text, mixing, near_dedup, neighbours, pieces, sharding, toxicity
 
 QUERIES = {
     "op1_main_text": main_text.op1_main_text,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_jump_shards": sharding.op3_jump_shards,
+    "op4_near_dedup": near_dedup.op4_near_dedup,
     "op5_sentencepiece": pieces.op5_sentencepiece,
     "op6_language": language.op6_language,
     "op7_line_dedup": line_dedup.op7_line_dedup,
