@@ -35,6 +35,7 @@ ORDER = 6
 DISCOUNT = 0.75
 WINDOW = 2  # words of an expression
 MAX_CHARS = 20_000_000  # about the characters of the sample per class and half of the training rows
+MAX_DOCS = 25_000  # and its documents
 MAX_GRAMS = 4_000_000  # the rarest n-grams beyond are left out of the model
 FOLDS, HELD_OUT = 3, 1
 REJECT = 0.7
@@ -225,22 +226,29 @@ def _gram_counts(sample: DataFrame) -> DataFrame:
     return grams.groupBy("gram").agg(*[pick(h, t).alias(f"n{h}{t}") for h in (0, 1) for t in (0, 1)])
 
 
-def _sample(docs: DataFrame, labels: DataFrame, max_chars: int) -> DataFrame:
-    """doc_id, text, toxic, half of at most about `max_chars` characters per class and half, spread by a hash of the id."""
+def _sample(docs: DataFrame, labels: DataFrame, max_chars: int, max_docs: int) -> DataFrame:
+    """doc_id, text, toxic, half of a sample spread by a hash of the id, at most about the bounds per class and half.
+
+    Ids are drawn on a table without texts; the bound on their number is what lets them go to every task,
+    so that no text is shuffled.
+    """
     known = labels.where("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     fold = id_fold(F.col("doc_id"), FOLDS)
-    rows = docs.where((fold != HELD_OUT) & F.col("text").isNotNull()).select("doc_id", "text", F.when(fold == 0, 0).otherwise(1).alias("half"))
-    labelled = rows.join(known, "doc_id")
-    slim = labelled.select("doc_id", "half", "toxic", F.char_length("text").alias("chars"))
-    sizes = slim.groupBy("half", "toxic").agg(F.sum("chars").alias("chars"))
-    share = F.least(F.lit(1.0), F.lit(float(max_chars)) / F.col("chars"))
+    rows = docs.where((fold != HELD_OUT) & F.col("text").isNotNull()).withColumn("half", F.when(fold == 0, 0).otherwise(1))
+    slim = rows.select("doc_id", "half", F.char_length("text").alias("chars"))
+    labelled = stored(slim.join(known, "doc_id"), "toxic-labelled")
+    sizes = labelled.groupBy("half", "toxic").agg(F.sum("chars").alias("all_chars"), F.count(F.lit(1)).alias("all_docs"))
+    share = F.least(F.lit(1.0), float(max_chars) / F.col("all_chars"), float(max_docs) / F.col("all_docs"))
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20)
-    return labelled.join(sizes, ["half", "toxic"]).where(drawn).select("doc_id", "text", "toxic", "half")
+    ids = labelled.join(sizes, ["half", "toxic"]).where(drawn).select("doc_id", "toxic").distinct()
+    return rows.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic", "half")
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_chars: int = MAX_CHARS, max_grams: int = MAX_GRAMS) -> ToxicityModel:
+def fit(
+    docs: DataFrame, labels: DataFrame, max_chars: int = MAX_CHARS, max_docs: int = MAX_DOCS, max_grams: int = MAX_GRAMS
+) -> ToxicityModel:
     """The model of (doc_id, text) and (doc_id, toxic); rows of the held-out fold are never read."""
-    sample = stored(_sample(docs, labels, max_chars), "toxic-sample")
+    sample = stored(_sample(docs, labels, max_chars, max_docs), "toxic-sample")
     counts = stored(_gram_counts(sample), "toxic-grams")
     total = F.col("n00") + F.col("n01") + F.col("n10") + F.col("n11")
     by_count = counts.groupBy(F.least(total, F.lit(1000)).alias("n")).agg(F.count(F.lit(1)).alias("grams")).orderBy(F.desc("n")).collect()
