@@ -205,10 +205,10 @@ def _changed_filters(filters: DataFrame, refs: DataFrame, changes: DataFrame, mi
 
 def insert(state: LineState, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> LineState:
     """The state with `docs` added; pairs it holds already are not counted again."""
-    known = state.postings.withColumnRenamed("doc_id", "known")
-    fresh = line_keys(docs, state.min_chars, doc_id, text).join(
-        known, (F.col("doc_id").eqNullSafe(F.col("known"))) & (known["key"] == F.col("key")), "left_anti"
-    ) if not state.postings.isEmpty() else line_keys(docs, state.min_chars, doc_id, text)
+    fresh = line_keys(docs, state.min_chars, doc_id, text)
+    if not state.postings.isEmpty():
+        known = state.postings.select(F.col("doc_id").alias("known_id"), F.col("key").alias("known_key"))
+        fresh = fresh.join(known, F.col("doc_id").eqNullSafe(F.col("known_id")) & (F.col("key") == F.col("known_key")), "left_anti")
     fresh = stored(fresh, "line-postings")
     counted = fresh.groupBy("key").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
     both = counted.withColumn("old", F.lit(0).cast("bigint")).unionByName(state.refs.withColumn("old", F.col("n_docs")))

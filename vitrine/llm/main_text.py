@@ -73,13 +73,15 @@ ENOUGH = 0.1  # of the largest density sum, for a region to count as text of the
 
 
 class Node:
-    __slots__ = ("tag", "parent", "out", "items", "chars", "link_chars", "tags", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "out", "items", "chars", "link_chars", "tags", "link_tags", "density", "total", "ender")
 
     def __init__(self, tag: str, parent: Node | None, out: bool):
         self.tag, self.parent, self.out = tag, parent, out
         self.items: list[Node | str] = []  # children and pieces of text in page order
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
+        # The innermost open element, this one or around it, that another element's begin may end.
+        self.ender: Node | None = self if tag in ENDS else None if tag in SCOPE or parent is None else parent.ender
 
 
 def _is_out(tag: str, attributes: str) -> bool:
@@ -103,6 +105,7 @@ def _is_out(tag: str, attributes: str) -> bool:
 def parse(page: str) -> Node:
     """The page's tree. Text in elements that are out is not kept."""
     root = node = Node("html", None, False)
+    opened: dict[str, int] = {}  # how many elements of a tag are open, the root apart
     endless: set[str] = set()  # raw elements whose end tag does not come any more
     at, start, size = 0, 0, len(page)  # text since `at`, looking for a tag from `start`
     while True:
@@ -132,11 +135,21 @@ def parse(page: str) -> Node:
         at = start = tag.end()
         name = tag[2].lower()
         if tag[1]:
-            node = _ended(node, name)
+            if opened.get(name):
+                while node.tag != name:
+                    opened[node.tag] -= 1
+                    node = node.parent
+                opened[name] -= 1
+                node = node.parent
+            elif name == "p":
+                node.items.append(Node("br", node, True))
             continue
         if name == "html":
             continue
-        node = _before(node, name)
+        ended = _ended_by(node, name)
+        while ended is not None and node is not ended.parent:
+            opened[node.tag] -= 1
+            node = node.parent
         child = Node(name, node, node.out or _is_out(name, tag[3]))
         if not node.out:
             node.items.append(child)
@@ -152,30 +165,19 @@ def parse(page: str) -> Node:
                 endless.add(name)
             continue
         node = child
+        opened[name] = opened.get(name, 0) + 1
 
 
-def _ended(node: Node, name: str) -> Node:
-    """Where a text goes after the end tag: out of the nearest open element of the name."""
-    above = node
-    while above is not None and above.tag != name:
-        above = above.parent
-    if above is not None and above.parent is not None:
-        return above.parent
-    if name == "p":
-        node.items.append(Node("br", node, True))
-    return node
-
-
-def _before(node: Node, name: str) -> Node:
-    """Where an element goes: it ends open ones that cannot hold it."""
-    above = node
-    while above.parent is not None:
-        if name in ENDS.get(above.tag, ()):
-            return above.parent
-        if above.tag in SCOPE:
-            break
-        above = above.parent
-    return node
+def _ended_by(node: Node, name: str) -> Node | None:
+    """The open element that the begin of another one ends."""
+    ender = node.ender
+    while ender is not None:
+        if name in ENDS[ender.tag]:
+            return ender
+        if ender.tag in SCOPE or ender.parent is None:
+            return None
+        ender = ender.parent.ender
+    return None
 
 
 def _in_order(root: Node) -> list[Node]:
@@ -232,12 +234,17 @@ def main_node(root: Node) -> Node:
         below = [largest[x] for x in node.items if isinstance(x, Node) and not x.out]
         largest[node] = max([node, *below], key=lambda n: n.total)
     marks = {largest[n] for n in nodes if n.density >= threshold}
-    found = densest
+    # The innermost node around all that count: every node is climbed over once.
+    path = _way_up(densest)
+    place = {n: i for i, n in enumerate(path)}
+    highest, seen = 0, set()
     for mark in marks:
         if mark.total >= ENOUGH * densest.total:
-            around = set(_way_up(mark))
-            found = next(n for n in _way_up(found) if n in around)
-    return next((n for n in reversed(_way_up(found)) if n.tag in ("article", "main")), found)
+            while mark not in place and mark not in seen:
+                seen.add(mark)
+                mark = mark.parent
+            highest = max(highest, place.get(mark, 0))
+    return next((n for n in reversed(path[highest:]) if n.tag in ("article", "main")), path[highest])
 
 
 def _way_up(node: Node | None) -> list[Node]:

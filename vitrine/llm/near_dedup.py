@@ -40,7 +40,7 @@ BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
 # Coordinates in which texts at SIMILAR agree at least, but for seven standard deviations.
 AGREEING = int(COORDINATES * SIMILAR - 7 * (COORDINATES * SIMILAR * (1 - SIMILAR)) ** 0.5)
-PART_NODES, PART_WEIGHT = 4_000, 2_000_000  # of a bucket's nodes that one comparison holds
+PART_NODES, PART_WEIGHT = 1_000, 1_000_000  # of a bucket's nodes that one comparison holds
 PAIRED = 16  # more near nodes than that of one node in a part are compared there, not paired
 KNOWN_WORDS = 300_000
 
@@ -82,10 +82,9 @@ def weighted_sets(texts: list[str | None]) -> tuple[list[bytes], np.ndarray, np.
     owner = np.repeat(np.arange(len(texts)), counts)
     left = np.repeat(np.cumsum(counts), counts) - np.arange(len(flat))  # words from here to the text's end
     sequence = np.zeros(len(flat), np.uint64)
+    padded = np.concatenate([flat, np.zeros(WORDS, np.uint64)])
     for ahead in range(WORDS):
-        size = len(flat) - ahead
-        if size > 0:
-            sequence[:size] = _mixed(sequence[:size] + np.where(left[:size] > ahead, flat[ahead:], np.uint64(0)), _M[ahead])
+        sequence = _mixed(sequence + np.where(left > ahead, padded[ahead : ahead + len(flat)], np.uint64(0)), _M[ahead])
     first = np.repeat(np.cumsum(counts) - counts, counts) == np.arange(len(flat))
     whole = (left >= WORDS) | first
     owner, sequence = owner[whole], sequence[whole]

@@ -5,8 +5,8 @@ offset, and mapped to its place on a Hilbert curve. Near vectors tend to be near
 curve is cut into blocks of equally many rows; a query looks at its own block and the neighbouring ones
 of every curve, ranks what lies there by its exact cosine, and the curves' finds are merged.
 
-The window is a share of all rows, BESIDE * 2 + 1 of BLOCKS per curve, so recall does not change with
-the size of the table. Equal vectors are one entry with their smallest ids, which is all that any query
+The window is a share of all rows, BESIDE * 2 + 1 of BLOCKS per curve and never few rows, so recall does
+not fall with the size of the table. Equal vectors are one entry with their smallest ids, which is all that any query
 can need of them.
 
 Blocks are dealt out in parts of at most PART_ROWS entries. A part's entries come first and are held as a
@@ -36,6 +36,7 @@ AXES = 8
 BITS = 7
 BLOCKS = 40
 BESIDE = 1
+LEAST_ROWS = 50  # of a block; a table of fewer rows than two blocks is one block
 PART_ROWS = 20_000
 QUERY_EVERY = 50
 SEED = 20
@@ -183,7 +184,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST, vec_id: str
     known = stored(every.mapInArrow(_with_keys, "entry bigint, vec array<double>, ids array<bigint>, keys array<bigint>"), "curve-keys")
     queries = stored(asking.join(known.select("vec", "entry"), "vec").select("query_id", "entry"), "curve-queries")
     placed = known.select("entry", F.posexplode("keys").alias("curve", "key"))
-    cuts = placed.groupBy("curve").agg(F.percentile_approx("key", [n / BLOCKS for n in range(1, BLOCKS)], 10_000).alias("cuts"))
+    blocks = max(1, min(BLOCKS, known.count() // LEAST_ROWS))
+    shares = [n / blocks for n in range(1, blocks)] or [0.0]  # a cut below all keys if there is one block
+    cuts = placed.groupBy("curve").agg(F.percentile_approx("key", shares, 10_000).alias("cuts"))
     block = F.size(F.filter("cuts", lambda c: c <= F.col("key")))
     blocked = stored(placed.join(cuts, "curve").select("entry", "curve", block.alias("block")), "curve-blocks")
     parts = blocked.groupBy("curve", "block").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("parts"))

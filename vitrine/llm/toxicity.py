@@ -234,7 +234,8 @@ def _sample(docs: DataFrame, labels: DataFrame, max_chars: int, max_docs: int) -
     """
     known = labels.where("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     fold = id_fold(F.col("doc_id"), FOLDS)
-    rows = docs.where((fold != HELD_OUT) & F.col("text").isNotNull()).withColumn("half", F.when(fold == 0, 0).otherwise(1))
+    half = F.when(fold == 0, 0).otherwise(1).alias("half")
+    rows = docs.where((fold != HELD_OUT) & F.col("text").isNotNull()).select("doc_id", "text", half)
     slim = rows.select("doc_id", "half", F.char_length("text").alias("chars"))
     labelled = stored(slim.join(known, "doc_id"), "toxic-labelled")
     sizes = labelled.groupBy("half", "toxic").agg(F.sum("chars").alias("all_chars"), F.count(F.lit(1)).alias("all_docs"))
