@@ -123,8 +123,8 @@ CONTACT_BODY = """
 """
 
 LEGAL_BODY = """
-'<html><body><h1>Privacy</h1><p>For privacy complaints, contact us by email at grievance@store' || CAST(hk AS STRING)
-|| '.in or call +91 90000 ' || lpad(CAST(k % 100000 AS STRING), 5, '0') || '. </p><p>'
+'<html><body><h1>Privacy</h1><p>Any grievance reaches the desk at rights@store' || CAST(hk AS STRING)
+|| '.in, or ring +91 90000 ' || lpad(CAST(k % 100000 AS STRING), 5, '0') || '. </p><p>'
 || (CASE WHEN k % 8 < 4 THEN 'Registered office address: ' || place || ', India.'
      WHEN k % 16 = 6 THEN 'You may also write by mailing us at Surat, Gujarat 395003.'
      ELSE 'Returns are accepted in Delhi 110001 only.' END)
@@ -132,7 +132,7 @@ LEGAL_BODY = """
 """
 
 ABOUT_BODY = """
-'<html><body><main><p>We make naturally dyed clothing with local artisans, house number ' || CAST(k AS STRING)
+'<html><body><main><p>Seven potters fire stoneware in a wood kiln near the river, kiln number ' || CAST(k AS STRING)
 || '.</p></main></body></html>'
 """
 

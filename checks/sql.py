@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from checks import inputs as i
 from vitrine import fixed_values as fv
-from vitrine.functions.states import PIN2_STATES, STATE_ALIASES
+from vitrine.functions.states import STATE_ALIASES
 from vitrine.operators.signals import CATEGORY_INDEX
 
 
@@ -89,7 +89,7 @@ def pins(text: str) -> str:
 
 
 def pin_state(pin: str) -> str:
-    return f"coalesce({sql_map(fv.PIN3_STATES)}[left({pin}, 3)], {sql_map(PIN2_STATES)}[left({pin}, 2)], '')"
+    return f"coalesce({sql_map(fv.PIN3_STATES)}[left({pin}, 3)], {sql_map(fv.PIN2_STATES)}[left({pin}, 2)], '')"
 
 
 def before_not(chars: str) -> str:
@@ -241,7 +241,7 @@ contacts AS (
     SELECT store_id, page_seq, final_url, 'email' AS key, lower(unnest(regexp_extract_all(body, 'href="mailto:([^"?]+)', 1))) AS value FROM used
     UNION ALL SELECT store_id, page_seq, final_url, 'email', 'sales@store' || unnest(regexp_extract_all(body, 'sales .at. store([0-9]+) .dot. in', 1)) || '.in' FROM used WHERE role = 'home'
     UNION ALL SELECT store_id, page_seq, final_url, 'email', unnest(regexp_extract_all(t, '(care@[a-z0-9]+[.]in)', 1)) FROM txt WHERE role = 'contact'
-    UNION ALL SELECT store_id, page_seq, final_url, 'email', unnest(regexp_extract_all(t, '(grievance@[a-z0-9]+[.]in)', 1)) FROM txt WHERE role = 'legal'
+    UNION ALL SELECT store_id, page_seq, final_url, 'email', unnest(regexp_extract_all(t, '(rights@[a-z0-9]+[.]in)', 1)) FROM txt WHERE role = 'legal'
     UNION ALL SELECT store_id, page_seq, final_url, 'phone', '+' || regexp_replace(unnest(regexp_extract_all(body, 'href="tel:([^"]+)', 1)), '[^0-9]', '', 'g') FROM used
     UNION ALL SELECT store_id, page_seq, final_url, 'phone', '+' || unnest(regexp_extract_all(body, 'href="https://wa.me/(91[0-9]+)"', 1)) FROM used
     UNION ALL SELECT store_id, page_seq, final_url, 'phone', regexp_replace(unnest(regexp_extract_all(t, '[+]91 [6-9][0-9]{{4}} [0-9]{{5}}')), ' ', '', 'g') FROM txt WHERE role IN ('contact', 'legal')

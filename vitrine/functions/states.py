@@ -7,7 +7,6 @@ from vitrine.functions.text import bounded_words, each, found, keep, let, lookup
 
 STATE_ALIASES = {name.lower(): name for name in fv.GST_STATES.values() if name != fv.NOT_A_STATE_NAME}
 STATE_ALIASES |= fv.EXTRA_STATE_ALIASES
-PIN2_STATES = {str(p): state for low, high, state in fv.PIN2_RANGES for p in range(low, high + 1)}
 
 
 def _sorted_distinct(array: str) -> str:
@@ -43,7 +42,7 @@ def state_from_pin(pin: str) -> str:
     """Three-digit prefix first, then two digits; "" for circles shared by several states."""
 
     def by_prefix(digits: str) -> str:
-        three, two = lookup(fv.PIN3_STATES, f"left({digits}, 3)"), lookup(PIN2_STATES, f"left({digits}, 2)")
+        three, two = lookup(fv.PIN3_STATES, f"left({digits}, 3)"), lookup(fv.PIN2_STATES, f"left({digits}, 2)")
         return f"CASE WHEN length({digits}) = 6 THEN coalesce({three}, {two}, '') ELSE '' END"
 
     return let(replaced(pin, "[^0-9]"), by_prefix)
