@@ -325,7 +325,7 @@ DESCRIBES = f"length(d) >= 20 AND NOT {any_of('lower(d)', fv.DESCRIPTION_BOILERP
 PARAGRAPH = strip("regexp_extract(body, '(?s)<main>.*?<p>(.*?)</p>', 1)")
 FIELDS = f"""
 described AS (
-  SELECT store_id, arg_min(left(d, 500), ord) AS description, arg_min(final_url, ord) AS description_source FROM (
+  SELECT store_id, arg_min(d, ord) AS description, arg_min(final_url, ord) AS description_source FROM (
     SELECT store_id, final_url, {META} AS d, ({ROLE_RANK}) * 100 + page_seq * 10 AS ord FROM used WHERE role NOT IN ('contact', 'legal')
     UNION ALL SELECT store_id, final_url, description, ({ROLE_RANK}) * 100 + page_seq * 10 + 1 FROM ld_facts WHERE role NOT IN ('contact', 'legal') AND type IN ('organization', 'store', 'brand', 'website')
     UNION ALL SELECT store_id, final_url, {PARAGRAPH}, 10000 + ({ROLE_RANK}) * 100 + page_seq * 10 FROM used WHERE role NOT IN ('contact', 'legal')

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from vitrine import schemas
 from vitrine.operators import crawl_log
-from vitrine.operators.parse import capped_bodies
 from vitrine.operators.skew import hot_key_join, previous_row, running_total
 
 T0 = dt.datetime(2024, 1, 1)
@@ -102,12 +101,12 @@ def test_captures_and_content(spark):
     assert sorted((r.url, r.ts) for r in got) == [("u", "20240101"), ("u", "20240202"), ("u", "20240301"), ("v", "20240101")]
     pages = spark.createDataFrame([(1, 0, "https://a.in/", "x" * 131073, 200), (2, 0, "https://b.in/", "ß", 200), (3, 0, "https://c.in/", "ß", 404), (4, 0, "https://d.in/", "é" * 3_000_000, 200)],
                                   "store_id bigint, page_seq int, requested_url string, body string, status_code int")
-    content = {r.store_id: r for r in crawl_log.crawl_content(pages).collect()}
+    content = {r.store_id: r for r in crawl_log.crawl_content(pages, body_bytes=5 << 20, entry_bytes=128 << 10).collect()}
     assert [content[n].is_cacheable for n in (1, 2, 3, 4)] == [False, True, False, False] and content[4].is_capped
-    cut = capped_bodies(pages).select("store_id", F.octet_length("body").alias("n")).collect()
-    assert {r.store_id: r.n for r in cut}[4] == 5 * 1024 * 1024
+    whole = {r.store_id: r for r in crawl_log.crawl_content(pages).collect()}
+    assert [whole[n].is_cacheable for n in (1, 2, 3, 4)] == [True, True, False, True] and not whole[4].is_capped
     wanted = pages.select(F.col("requested_url").alias("url"))
-    cache = crawl_log.crawl_content(pages).where("is_cacheable")
+    cache = crawl_log.crawl_content(pages, entry_bytes=128 << 10).where("is_cacheable")
     assert [r.url for r in crawl_log.reusable(wanted, cache).collect()] == ["https://b.in/"]
     assert crawl_log.still_to_fetch(wanted, cache).count() == 3
     twins = {r.copies for r in crawl_log.duplicate_content(crawl_log.crawl_content(pages)).collect()}

@@ -49,7 +49,7 @@ def test_attempt_outcomes(spark):
     got = {r.candidate_id: r for r in store_state.attempt_outcome(
         spark.createDataFrame(rows, "candidate_id bigint, attempt int, error string, transient boolean")).collect()}
     assert {k: v.outcome for k, v in got.items()} == {1: "retry", 2: "failed", 3: "failed", 4: "done", 5: "retry"}
-    assert len(got[5].last_error) == 1000
+    assert len(got[5].last_error) == 2000
 
 
 def test_selection_modes(spark, stores):

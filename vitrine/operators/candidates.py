@@ -49,7 +49,7 @@ def clean_candidates(seeds: DataFrame, existing: DataFrame | None = None, suffix
 def candidate_sources(seeds: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Distinct (candidate, source, value) triples, known ones included."""
     rows = keyed_seeds(seeds).select(
-        "candidate_id", "source_name", F.left("source_value", F.lit(fv.SOURCE_VALUE_CHARS)).alias("source_value")
+        "candidate_id", "source_name", "source_value"
     )
     if existing is not None:
         rows = rows.unionByName(existing.select("candidate_id", "source_name", "source_value"))

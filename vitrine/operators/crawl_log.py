@@ -25,17 +25,22 @@ def _minute(ts: str) -> Column:
 # --- content ----------------------------------------------------------------------
 
 
-def crawl_content(pages: DataFrame) -> DataFrame:
-    """Hashes and size rules per response: content hash, cache key, caps."""
+def crawl_content(pages: DataFrame, body_bytes: int | None = None, entry_bytes: int | None = None) -> DataFrame:
+    """Hashes and size rules per response: content hash, cache key, and whether it fits a cache.
+
+    `body_bytes` and `entry_bytes` are the sizes a crawler allows a body and a cache entry; without them
+    no body is too large. Nothing is cut either way.
+    """
     size = F.octet_length("body")
+    fits = F.col("body").isNotNull() if entry_bytes is None else size <= entry_bytes
     return pages.select(
         "store_id",
         "page_seq",
         F.sha2(F.col("requested_url"), 256).alias("cache_key"),
         F.sha2(F.col("body"), 256).alias("content_hash"),
         size.alias("n_bytes"),
-        (size > fv.BODY_CAP_BYTES).alias("is_capped"),
-        ((size <= fv.CACHE_ENTRY_CAP_BYTES) & (F.col("status_code") < 400)).alias("is_cacheable"),
+        (F.lit(False) if body_bytes is None else size > body_bytes).alias("is_capped"),
+        (fits & (F.col("status_code") < 400)).alias("is_cacheable"),
     )
 
 

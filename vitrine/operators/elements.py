@@ -53,8 +53,8 @@ def title_text() -> str:
 
 
 def headings_text() -> str:
-    """The first twenty h1 and h2 texts."""
-    return f"array_join({each(f'slice({tagged("h1", "h2")}, 1, 20)', text_of)}, ' ')"
+    """All h1 and h2 texts."""
+    return f"array_join({each(tagged('h1', 'h2'), text_of)}, ' ')"
 
 
 def meta_description() -> str:
@@ -66,8 +66,8 @@ def meta_description() -> str:
 
 
 def content_text() -> str:
-    """Visible text of main, else body, else the page: its first 20,000 characters."""
-    return "left(substring(text, content_start, content_len), 20000)"
+    """Visible text of main, else body, else the page."""
+    return "substring(text, content_start, content_len)"
 
 
 def body_text() -> str:
@@ -75,21 +75,21 @@ def body_text() -> str:
 
 
 def commerce_links_text() -> str:
-    """Text and target of the first 200 header, navigation and collection links."""
+    """Text and target of all header, navigation and collection links."""
     links = keep(
         ANCHORS, lambda e: f"{inside(e, 'header', 'nav')} OR contains({attr(e, 'href')}, '/collections/')"
     )
-    labels = each(f"slice({links}, 1, 200)", lambda e: f"concat({text_of(e)}, ' ', {attr(e, 'href')})")
+    labels = each(links, lambda e: f"concat({text_of(e)}, ' ', {attr(e, 'href')})")
     return f"array_join({labels}, ' ')"
 
 
 def description_texts() -> str:
-    """Texts of the first twenty banner, hero, article and main paragraphs."""
+    """Texts of all banner, hero, article and main paragraphs."""
     nodes = pick(
         lambda e: f"{has_class(e, 'banner__text')} OR {has_class(e, 'hero__text')} "
         f"OR ({e}.tag = 'p' AND {inside(e, 'hero', 'article', 'main')})"
     )
-    return each(f"slice({nodes}, 1, 20)", text_of)
+    return each(nodes, text_of)
 
 
 ADDRESS_SELECTORS = (

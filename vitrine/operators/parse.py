@@ -13,8 +13,10 @@ from collections.abc import Iterator
 from html import unescape
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine import fixed_values as fv
@@ -57,8 +59,7 @@ FACT_DDL = (
     "text string, full_text string, content_start int, content_len int, ld_json array<string>, "
     "elements array<struct<tag:string,attrs:map<string,string>,within:array<string>,start:int,len:int>>"
 )
-BATCH_ROWS = 256
-SLICE_ROWS = 64
+SLICE_ROWS, SLICE_BYTES = 64, 4 << 20
 
 
 class _PageEvents(HTMLParser):
@@ -224,15 +225,23 @@ def _offsets(pieces: list[str]) -> list[int]:
 
 
 def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Facts of the bodies, given out every few rows or megabytes: memory is that of the largest body."""
     for batch in batches:
-        for at in range(0, batch.num_rows, SLICE_ROWS):
-            part = batch.slice(at, SLICE_ROWS)
-            bodies = part.column(part.schema.get_field_index("body"))
-            rows = [_PageEvents().facts(body.as_py() or "") for body in bodies]
-            names = [n for n in part.schema.names if n != "body"]
-            columns = [part.column(part.schema.get_field_index(n)) for n in names]
-            columns += [pa.array([row[name] for row in rows], type=kind) for name, kind in FACT_FIELDS]
-            yield pa.RecordBatch.from_arrays(columns, names=names + [name for name, _ in FACT_FIELDS])
+        bodies = batch.column(batch.schema.get_field_index("body"))
+        ends = np.cumsum(pc.fill_null(pc.binary_length(bodies), 0).to_numpy()) // SLICE_BYTES
+        start = 0
+        while start < batch.num_rows:
+            end = min(start + SLICE_ROWS, int(np.searchsorted(ends, ends[start], "right")))
+            yield _facts_of(batch.slice(start, end - start))
+            start = end
+
+
+def _facts_of(part: pa.RecordBatch) -> pa.RecordBatch:
+    rows = [_PageEvents().facts(body.as_py() or "") for body in part.column(part.schema.get_field_index("body"))]
+    names = [n for n in part.schema.names if n != "body"]
+    columns = [part.column(part.schema.get_field_index(n)) for n in names]
+    columns += [pa.array([row[name] for row in rows], type=kind) for name, kind in FACT_FIELDS]
+    return pa.RecordBatch.from_arrays(columns, names=names + [name for name, _ in FACT_FIELDS])
 
 
 def unusable_home_reason(status: str = "status_code", body: str = "body") -> str:
@@ -247,19 +256,11 @@ def unusable_home_reason(status: str = "status_code", body: str = "body") -> str
 
 
 def usable_pages(pages: DataFrame) -> DataFrame:
-    """Home pages, and other pages that are allowed, found and HTML; bodies cut at the byte cap."""
+    """Home pages, and other pages that are allowed, found and HTML; whole bodies."""
     secondary = (
         F.col("robots_allowed") & (F.col("status_code") < 400) & F.lower("content_type").contains("html")
     )
-    return capped_bodies(pages.where((F.col("page_seq") == 0) | secondary))
-
-
-def capped_bodies(pages: DataFrame) -> DataFrame:
-    """Bodies cut at the crawl's byte cap; a character cut in half at the end is replaced."""
-    cut = f"decode(substring(encode(body, 'UTF-8'), 1, {fv.BODY_CAP_BYTES}), 'UTF-8')"
-    return pages.withColumn(
-        "body", F.expr(f"CASE WHEN octet_length(body) > {fv.BODY_CAP_BYTES} THEN {cut} ELSE body END")
-    )
+    return pages.where((F.col("page_seq") == 0) | secondary)
 
 
 def raw_facts(pages: DataFrame) -> DataFrame:
@@ -268,6 +269,7 @@ def raw_facts(pages: DataFrame) -> DataFrame:
     return pages.selectExpr(
         "store_id",
         "page_seq",
+        *(["fetched_at"] if "fetched_at" in pages.columns else []),
         "final_url AS url",
         f"{page_role('final_url')} AS role",
         f"{matches('body', fv.RUNTIME)} AS has_runtime",
@@ -290,18 +292,8 @@ def page_facts(pages: DataFrame) -> DataFrame:
     return parse_documents(raw_facts(pages), "body")
 
 
-def _bound_batches(spark: SparkSession) -> None:
-    """Keeps a batch handed to the parse pass under Arrow's 2 GiB column limit: 256 bodies
-    of at most 5 MiB each. A smaller setting of the session stays."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    current = int(spark.conf.get(name))
-    if current <= 0 or current > BATCH_ROWS:
-        spark.conf.set(name, BATCH_ROWS)
-
-
 def parse_documents(docs: DataFrame, body: str) -> DataFrame:
     """The same parse pass for any table: every other column is passed through."""
-    _bound_batches(docs.sparkSession)
     renamed = docs.withColumnRenamed(body, "body")  # the parse pass looks for this name
     passed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in renamed.schema if f.name != "body")
     return renamed.mapInArrow(_parse_batches, f"{passed}, {FACT_DDL}")

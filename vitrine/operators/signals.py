@@ -284,12 +284,11 @@ def description_signals() -> str:
         lambda i: f"{i}.type IN ('organization', 'store', 'brand', 'website') AND {_describes(f'{i}.description')}",
     )
     own = tx.clean_text(tx.unescape_basic(f"try_element_at({speaking}, 1).description"))
-    nodes = keep(el.description_texts(), lambda t: f"{_describes(t)} AND length({t}) <= 2000")
+    nodes = keep(el.description_texts(), _describes)
 
     def candidate(value: str, kind: int) -> str:
         rank = "role_rank" if kind < 2 else "role_rank + 10"
-        cut = f"left({value}, {fv.DESCRIPTION_CHARS})"
-        return f"array({_signal('description', payload=cut, order=(rank, 'page_seq', kind))})"
+        return f"array({_signal('description', payload=value, order=(rank, 'page_seq', kind))})"
 
     def first_of(found: str) -> str:
         return f"""CASE WHEN {found}.meta IS NOT NULL THEN {candidate(f'{found}.meta', 0)}
@@ -384,10 +383,25 @@ def page_entities(facts: DataFrame, families: tuple[str, ...] = ALL_FAMILIES) ->
     for step in _shared_columns(families):
         work = work.withColumns(step)
     signals = ", ".join(EXTRACTORS[family]() for family in families)
-    keys = ("store_id", "page_seq", "url", "role")
+    fetched = ("fetched_at",) if "fetched_at" in facts.columns else ()
+    keys = ("store_id", "page_seq", *fetched, "url", "role")
     return el.rows_of(work, keys, f"concat({signals})", "signal").select(*keys, "signal.*")
 
 
+def of_newest_fetch(entities: DataFrame, pages: DataFrame) -> DataFrame:
+    """Signal rows of every page's newest fetch; all fetches of `pages` count, usable or not.
+
+    Only pages fetched more than once are looked up, on three short columns. A fetch without a time is
+    older than any with one; fetches of the same time are one.
+    """
+    times = pages.groupBy("store_id", "page_seq").agg(
+        F.max("fetched_at").alias("newest"), F.min("fetched_at").alias("oldest"), F.count_if(F.col("fetched_at").isNull()).alias("untimed")
+    )
+    again = times.where("newest <> oldest OR (newest IS NOT NULL AND untimed > 0)").drop("oldest", "untimed")
+    seen = entities.join(again, ["store_id", "page_seq"], "left")
+    return seen.where("newest IS NULL OR fetched_at = newest").drop("newest", "fetched_at")
+
+
 def reduce_entities(entities: DataFrame) -> DataFrame:
     """One row per (store, family, key, value): first provenance, sums, maxima, best row."""
     return entities.groupBy("store_id", "family", "key", "value").agg(

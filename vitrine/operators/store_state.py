@@ -67,7 +67,8 @@ def candidate_status(candidates: DataFrame, stores: DataFrame, attempts: DataFra
             "left",
         )
     return (
-        work.withColumn("status", F.coalesce("_verdict", "_outcome", "status"))
+        # A last attempt without an error says nothing until its record is there.
+        work.withColumn("status", F.coalesce("_verdict", F.when(F.col("_outcome") != "done", F.col("_outcome")), "status"))
         .withColumn("attempts", F.coalesce(F.col("_n").cast("int"), F.col("attempts")))
         .withColumn("last_error", F.when(F.col("_verdict").isNotNull(), None).otherwise(F.coalesce("_error", "last_error")))
         .drop("_verdict", "_outcome", "_error", "_n")
@@ -91,7 +92,7 @@ def attempt_outcome(attempts: DataFrame) -> DataFrame:
         "candidate_id",
         "attempts",
         outcome.alias("outcome"),
-        F.left("last.error", F.lit(fv.ERROR_CHARS)).alias("last_error"),
+        F.col("last.error").alias("last_error"),
     )
 
 
@@ -211,7 +212,7 @@ def refresh_outcome(
         "extraction_version": F.when(done, F.lit(fv.EXTRACTION_VERSION)).otherwise(F.col("extraction_version")),
     }
     columns = [changed[c].alias(c) if c in changed else F.col(c) for c in selected.columns]
-    message = F.when(F.col("outcome") == "kept_old", F.left(F.coalesce("error", F.lit("page missing")), F.lit(fv.REFRESH_ERROR_CHARS)))
+    message = F.when(F.col("outcome") == "kept_old", F.coalesce("error", F.lit("page missing")))
     return work.select(*columns, "outcome", message.alias("refresh_error"))
 
 

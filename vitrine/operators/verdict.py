@@ -50,6 +50,17 @@ def with_host_signals(heads: DataFrame, hosts: DataFrame) -> DataFrame:
     return hot_key_join(keyed, hosts, "host", F.col("store_id"))
 
 
+def without_host_signals(heads: DataFrame) -> DataFrame:
+    """The same columns where no host is asked: nothing is joined."""
+    return heads.withColumns(
+        {
+            "host": F.expr(f"lower({urls.hostname('home_url')})"),
+            "cart_ok": F.lit(None).cast("boolean"),
+            "platform_cname": F.lit(None).cast("string"),
+        }
+    )
+
+
 def host_evidence(cart_url: str) -> str:
     """Evidence the host answers give, as (rank, kind, value, source_url, weight, strength)."""
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from vitrine import fixed_values as fv
 from vitrine.operators import candidates as cand
 from vitrine.operators.skew import running_total
-from vitrine.operators.store_state import domain_key, refresh_outcome
-from vitrine.plans.verify import recomputed_records
+from vitrine.operators.store_state import domain_key, refresh_outcome, to_revalidate, upsert_latest
+from vitrine.plans.verify import recomputed_records, store_records
 
 
 def run_to_target(
@@ -59,7 +59,23 @@ def refresh_stores(
 ) -> DataFrame:
     """Extract selected stores again from fresh pages, keeping their platform evidence.
 
-    `pages` are the pages fetched for this refresh. They are parsed before they meet the
-    selection, so bodies are never shuffled.
+    `pages` may hold any stores' pages; those of other stores are left out before the parse.
     """
-    return refresh_outcome(selected, recomputed_records(pages, images=images), errors, checked_at)
+    return refresh_outcome(selected, recomputed_records(_pages_of(pages, selected), images=images), errors, checked_at)
+
+
+def _pages_of(pages: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The pages of the chosen candidates. Only ids meet the pages; while they are few, no body moves."""
+    ids = chosen.select(F.col("candidate_id").alias("store_id")).distinct()
+    return pages.join(ids, "store_id", "left_semi")
+
+
+def revalidate(
+    candidates: DataFrame, stores: DataFrame, pages: DataFrame, carts: DataFrame, dns: DataFrame, **options
+) -> DataFrame:
+    """The store table after every accepted candidate was judged again from its pages.
+
+    Records of other candidates, and of those without a page, stay as they are.
+    """
+    again = store_records(_pages_of(pages, to_revalidate(candidates)), carts, dns, **options)
+    return upsert_latest(stores, again.select(*stores.columns))

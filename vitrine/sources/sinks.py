@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from vitrine import schemas
 from vitrine.operators import reports
@@ -39,9 +38,14 @@ def write_audit_sample(stores: DataFrame, directory: str, size: int, seed: int)
 BUCKETS = 64
 
 
-def bucket_of(key: str) -> Column:
+def bucket_of(key: str, buckets: int = BUCKETS) -> Column:
     """Even split of stores over a fixed number of folders."""
-    return F.expr(f"cast(pmod(xxhash64({key}), {BUCKETS}) AS int)")
+    return F.expr(f"cast(pmod(xxhash64({key}), {buckets}) AS int)")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 class StoreSnapshots:
@@ -49,23 +53,27 @@ class StoreSnapshots:
 
     A commit writes only the buckets it touches; a reader takes every bucket's newest
     committed folder, so a half-written one is never seen and nothing is overwritten while
-    it is read. Committing the same batch twice changes nothing.
+    it is read. A batch is known by its run (one checkpoint's life) and number: committing
+    it twice changes nothing, and a run with a fresh checkpoint starts a new count.
+
+    `buckets` belongs to the state: choose it once, so that a bucket suits one task.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
 
     def _commits(self) -> DataFrame:
-        schema = "version bigint, batch_id bigint, bucket int"
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/commits")
-        except AnalysisException:  # nothing committed yet
+        schema = "version bigint, run string, batch_id bigint, bucket int"
+        if not path_exists(self.spark, f"{self.root}/commits"):
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/commits")
+
+    def version(self) -> int:
+        """The newest version, 0 before the first commit."""
+        return self._commits().agg(F.max("version")).first()[0] or 0
 
-    def latest(self) -> tuple[int, int]:
-        """Newest version and batch, (0, -1) before the first commit."""
-        row = self._commits().agg(F.max(F.struct("version", "batch_id")).alias("m")).first()
-        return (row.m.version, row.m.batch_id) if row.m is not None else (0, -1)
+    def knows(self, batch_id: int, run: str = "") -> bool:
+        return not self._commits().where((F.col("run") == run) & (F.col("batch_id") == batch_id)).isEmpty()
 
     def read(self, buckets: list[int] | None = None) -> DataFrame:
         """The current records, optionally of some buckets. At most one folder name per
@@ -80,20 +88,21 @@ class StoreSnapshots:
             return self.spark.createDataFrame([], schemas.STORES)
         return self.spark.read.schema(schemas.STORES).parquet(*folders)
 
-    def commit(self, new: DataFrame, batch_id: int) -> int:
+    def commit(self, new: DataFrame, batch_id: int, run: str = "") -> int:
         """Upserts records as a new version; a batch already committed is skipped."""
-        version, last_batch = self.latest()
-        if batch_id <= last_batch:
+        version = self.version()
+        if self.knows(batch_id, run):
             return version
-        touched = [row.bucket for row in new.select(bucket_of("candidate_id").alias("bucket")).distinct().collect()]
+        bucket = bucket_of("candidate_id", self.buckets)
+        touched = [row.bucket for row in new.select(bucket.alias("bucket")).distinct().collect()]
         old = self.read(touched)
-        merged = upsert_latest(old, new.select(*old.columns)).withColumn("bucket", bucket_of("candidate_id"))
+        merged = upsert_latest(old, new.select(*old.columns)).withColumn("bucket", bucket)
         if touched:
             merged.repartition(len(touched), "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
                 f"{self.root}/stores/version={version + 1:012d}"
             )
-        marks = [(version + 1, batch_id, bucket) for bucket in touched or [-1]]
-        self.spark.createDataFrame(marks, self._commits().schema).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/commits"
-        )
+        marks = [(version + 1, run, batch_id, bucket) for bucket in touched or [-1]]
+        self.spark.createDataFrame(marks, "version bigint, run string, batch_id bigint, bucket int").coalesce(1).write.mode(
+            "append"
+        ).parquet(f"{self.root}/commits")
         return version + 1
