@@ -18,6 +18,7 @@ from vitrine.operators import candidates as cand
 from vitrine.operators import crawl_log, elements, links, reports, store_state, verdict
 from vitrine.operators.parse import page_facts, parse_documents, raw_facts, usable_pages
 from vitrine.operators.signals import region_states
+from vitrine.operators.skew import running_total
 from vitrine.plans import run as runs
 from vitrine.plans import verify
 from vitrine.session import shared_dir
@@ -75,6 +76,21 @@ def verify_stores(spark, sf):
     return _flat_verdicts(verify.verdicts(i.crawl(spark, sf), i.carts(spark, sf), i.dns(spark, sf)))
 
 
+@query("latest_pages", VERDICT_SQL)
+def latest_pages(spark, sf):
+    """Older fetches of many pages, with other content, change no verdict."""
+    now = i.crawl(spark, sf).withColumn("fetched_at", F.expr("timestamp '2024-02-01'"))
+    older = now.where("store_id % 3 < 2").withColumns(
+        {
+            "fetched_at": F.expr("CASE WHEN store_id % 3 = 0 THEN timestamp '2024-01-01' END"),
+            "body": F.lit("<body>GSTIN 24ABCDE1234F1Z5 <p>Enter using password</p></body>"),
+            "status_code": F.lit(200),
+            "robots_allowed": F.lit(True),
+        }
+    )
+    return _flat_verdicts(verify.verdicts(now.unionByName(older), i.carts(spark, sf), i.dns(spark, sf)))
+
+
 def _records(spark, sf):
     return verify.store_records(
         i.crawl(spark, sf),
@@ -413,10 +429,11 @@ def obfuscated_emails(spark, sf):
 
 PHONE_RUN = contacts.PHONE_RUN
 E164 = f"""CASE WHEN regexp_matches(run, '{contacts.TOUCHED_RUN}') THEN NULL
-  WHEN left(run, 1) = '+' AND regexp_full_match(d, '91[6-9][0-9]{{9}}|91[1-5][0-9]{{9}}|{contacts._FOREIGN}') THEN '+' || d
+  WHEN left(run, 1) = '+' AND regexp_full_match(d, '91[6-9][0-9]{{9}}|91[1-5][0-9]{{9}}|91({contacts.SERVICE_NUMBER})|{contacts._FOREIGN}') THEN '+' || d
   WHEN left(run, 1) = '+' THEN NULL
   WHEN regexp_full_match(d, '0?[6-9][0-9]{{9}}') THEN '+91' || ltrim(d, '0')
   WHEN regexp_full_match(d, '91[6-9][0-9]{{9}}') THEN '+' || d
+  WHEN regexp_full_match(d, '{contacts.SERVICE_NUMBER}') THEN '+91' || d
   WHEN regexp_full_match(d, '0[1-5][0-9]{{9}}') THEN '+91' || ltrim(d, '0') END"""
 
 
@@ -820,13 +837,17 @@ def attempt_outcome(spark, sf):
 
 @query(
     "candidate_status",
-    f"""WITH {STORES} SELECT candidate_id, CASE WHEN s.accepted THEN 'accepted' WHEN s.accepted IS NOT NULL THEN 'rejected' ELSE c.status END AS status,
-      CASE WHEN s.accepted IS NULL THEN c.last_error END AS last_error
-    FROM ({i.CANDIDATES}) c LEFT JOIN (SELECT candidate_id, accepted FROM stores WHERE extraction_version = 2) s USING (candidate_id)""",
+    f"""WITH {STORES}, tried AS ({SQL["attempt_outcome"]})
+    SELECT candidate_id, CASE WHEN s.accepted THEN 'accepted' WHEN s.accepted IS NOT NULL THEN 'rejected' WHEN t.outcome <> 'done' THEN t.outcome ELSE c.status END AS status,
+      CASE WHEN s.accepted IS NULL THEN coalesce(t.last_error, c.last_error) END AS last_error
+    FROM ({i.CANDIDATES}) c LEFT JOIN (SELECT candidate_id, accepted FROM stores WHERE extraction_version = 2) s USING (candidate_id)
+    LEFT JOIN tried t USING (candidate_id)""",
 )
 def candidate_status(spark, sf):
     stores = i.stores(spark, sf).where("extraction_version = 2")
-    return store_state.candidate_status(i.run(spark, sf, i.CANDIDATES, "customer"), stores).select("candidate_id", "status", "last_error")
+    tried = store_state.attempt_outcome(i.run(spark, sf, i.ATTEMPTS, "events"))
+    found = store_state.candidate_status(i.run(spark, sf, i.CANDIDATES, "customer"), stores, tried)
+    return found.select("candidate_id", "status", "last_error")
 
 
 @query("to_revalidate", f"SELECT candidate_id FROM ({i.CANDIDATES}) WHERE status = 'accepted'")
@@ -892,6 +913,18 @@ def _refreshed(spark, sf) -> DataFrame:
     return runs.refresh_stores(selected, i.crawl(spark, sf), _fetch_errors(spark, sf))
 
 
+@query(
+    "revalidated",
+    f"""WITH {STORES}, {s.EVIDENCE}, chosen AS (SELECT candidate_id FROM ({i.CANDIDATES}) c WHERE status = 'accepted')
+    SELECT store_id AS candidate_id, state, CAST(india_score AS INTEGER) AS india_score, accepted FROM verdicts WHERE store_id IN (FROM chosen)
+    UNION ALL SELECT candidate_id, state, india_score, accepted FROM stores WHERE candidate_id NOT IN (FROM chosen)""",
+)
+def revalidated(spark, sf):
+    candidates = i.run(spark, sf, i.CANDIDATES, "customer")
+    table = runs.revalidate(candidates, i.stores(spark, sf), i.crawl(spark, sf), i.carts(spark, sf), i.dns(spark, sf))
+    return table.select("candidate_id", "state", "india_score", "accepted")
+
+
 @query("refresh_outcome", f"WITH {REFRESH} SELECT candidate_id, outcome, accepted, state, india_score, reasons FROM outcomes")
 def refresh_outcome(spark, sf):
     return _refreshed(spark, sf).select(
@@ -908,6 +941,7 @@ def refresh_counters(spark, sf):
     return store_state.refresh_counters(_refreshed(spark, sf))
 
 
+TARGET = 300
 RUN = f"""{STORES}, ranked AS (SELECT candidate_id, accepted, dkey, (row_number() OVER (ORDER BY candidate_id) - 1) // 40 AS batch FROM stores)"""
 
 
@@ -919,12 +953,10 @@ def _outcomes(spark, sf) -> DataFrame:
     "run_to_target",
     f"""WITH {RUN}, per_batch AS (SELECT batch, count(*) FILTER (WHERE accepted) AS n FROM ranked GROUP BY 1),
     reached AS (SELECT batch, sum(n) OVER (ORDER BY batch) - n AS before_it FROM per_batch)
-    SELECT candidate_id, batch FROM ranked WHERE batch IN (SELECT batch FROM reached WHERE before_it < (SELECT count(*) // 4 FROM stores))""",
+    SELECT candidate_id, batch FROM ranked WHERE batch IN (SELECT batch FROM reached WHERE before_it < {TARGET})""",
 )
 def run_to_target(spark, sf):
-    outcomes = _outcomes(spark, sf)
-    target = outcomes.count() // 4
-    return runs.run_to_target(outcomes, target, bucket_width=200).select("candidate_id", "batch")
+    return runs.run_to_target(_outcomes(spark, sf), TARGET, bucket_width=200).select("candidate_id", "batch")
 
 
 @query(
@@ -932,12 +964,10 @@ def run_to_target(spark, sf):
     f"""WITH {RUN}, firsts AS (SELECT min(batch) AS batch FROM ranked WHERE accepted GROUP BY dkey),
     per_batch AS (SELECT batch, (SELECT count(*) FROM firsts f WHERE f.batch = r.batch) AS n FROM (SELECT DISTINCT batch FROM ranked) r),
     reached AS (SELECT batch, sum(n) OVER (ORDER BY batch) - n AS before_it FROM per_batch)
-    SELECT candidate_id, batch FROM ranked WHERE batch IN (SELECT batch FROM reached WHERE before_it < (SELECT count(*) // 4 FROM stores))""",
+    SELECT candidate_id, batch FROM ranked WHERE batch IN (SELECT batch FROM reached WHERE before_it < {TARGET})""",
 )
 def run_to_unique_target(spark, sf):
-    outcomes = _outcomes(spark, sf)
-    target = outcomes.count() // 4
-    return runs.run_to_target(outcomes, target, unique=True, bucket_width=200).select("candidate_id", "batch")
+    return runs.run_to_target(_outcomes(spark, sf), TARGET, unique=True, bucket_width=200).select("candidate_id", "batch")
 
 
 # --- crawl log -----------------------------------------------------------------------------------------
@@ -1086,33 +1116,41 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/vitrine-{name}-{uuid.uuid4().hex}"
 
 
-@query("text_seed_source", "SELECT DISTINCT url AS source_value FROM pages")
+def _in_files(df: DataFrame, key: str) -> DataFrame:
+    """Rows in the order of the key over several files, as a writer names them."""
+    return df.repartitionByRange(4, key).sortWithinPartitions(key)
+
+
+def _ranked(df: DataFrame, seq: str) -> DataFrame:
+    """The rank a source's own numbers give, by sums over slices of the numbers."""
+    return running_total(df, [seq], F.lit(1), F.shiftright(seq, 36), "place").drop(seq)
+
+
+@query("text_seed_source", "SELECT url AS source_value, row_number() OVER (ORDER BY page_id) AS place FROM pages")
 def text_seed_source(spark, sf):
     path = new_folder(spark, "text")
     lines = "explode(array(concat('  ', url, ' '), '', '   ', concat('# ', url)))"
-    i.table(spark, sf, "pages").selectExpr(f"{lines} AS value").write.text(path)
-    return seed_source.read_text_seeds(spark, path).select("source_value").distinct()
+    _in_files(i.table(spark, sf, "pages").select("page_id", "url"), "page_id").selectExpr(f"{lines} AS value").write.text(path)
+    return _ranked(seed_source.read_text_seeds(spark, path).select("source_value", "seq"), "seq")
 
 
-@query("csv_seed_source", "SELECT url AS source_value, count(*) AS n FROM pages GROUP BY 1")
+@query("csv_seed_source", "SELECT url AS source_value, row_number() OVER (ORDER BY page_id) AS place FROM pages")
 def csv_seed_source(spark, sf):
     path = new_folder(spark, "seeds") + ".csv"
-    i.table(spark, sf, "pages").selectExpr("page_id AS id", "url AS Website").coalesce(1).write.csv(path, header=True)
-    return seed_source.read_seeds(spark, path).groupBy("source_value").agg(F.count("*").alias("n"))
+    rows = _in_files(i.table(spark, sf, "pages").select("page_id", "url"), "page_id")
+    rows.selectExpr("concat('a, b ', page_id) AS `name, or id`", "url AS Website").write.csv(path, header=True)
+    return _ranked(seed_source.read_seeds(spark, path).select("source_value", "seq"), "seq")
 
 
-@query("master_list_source", SQL["master_import"])
+@query(
+    "master_list_source",
+    f"""SELECT candidate_key, registrable_domain, row_number() OVER (ORDER BY discovered_seq) AS place FROM ({SQL["master_import"]}) m""",
+)
 def master_list_source(spark, sf):
     path = new_folder(spark, "master")
-    rows = i.run(spark, sf, i.MASTER, "customer").coalesce(1)
-    rows.write.csv(path, header=True, compression="gzip", escape='"')
-    # Positions in the file follow the key, so ranks over both agree.
-    read = cand.master_seeds(seed_source.read_master_list(spark, path))
-    order = rows.selectExpr("domain AS source_value", "seq AS _seq")
-    return (
-        cand.clean_candidates(read.join(order, "source_value").drop("seq").withColumnRenamed("_seq", "seq"))
-        .select("candidate_key", "registrable_domain", "discovered_seq")
-    )
+    _in_files(i.run(spark, sf, i.MASTER, "customer"), "seq").write.csv(path, header=True, compression="gzip", escape='"')
+    found = cand.clean_candidates(cand.master_seeds(seed_source.read_master_list(spark, path)))
+    return _ranked(found.select("candidate_key", "registrable_domain", "discovered_seq"), "discovered_seq")
 
 
 @query(
@@ -1166,11 +1204,10 @@ def report_document(spark, sf):
 
 @query(
     "worksheet_file",
-    f"""WITH {STORES} SELECT domain_url, category, state, shopify_score, india_score, sources AS source_names, '' AS shopify_correct FROM uniq""",
+    f"""SELECT domain_url, category, state, shopify_score, india_score, source_names, '' AS shopify_correct FROM ({SQL["audit_sample"]}) a""",
 )
 def worksheet_file(spark, sf):
-    stores = i.stores(spark, sf)
-    path = sinks.write_audit_sample(stores, new_folder(spark, "sheet"), stores.count(), 7)
+    path = sinks.write_audit_sample(i.stores(spark, sf), new_folder(spark, "sheet"), 100, 20261002)
     return seed_source.read_worksheet(spark, path).selectExpr(
         "domain_url", "category", "state", "cast(shopify_score AS int) AS shopify_score",
         "cast(india_score AS int) AS india_score", "source_names", "shopify_correct",

@@ -11,13 +11,21 @@ SPELLED_AT = r"(?i)\[at\]|\(at\)|\sat\s"
 PHONE_RUN = "[A-Za-z%₹$€£]?[+]?[0-9][0-9 ().-]{6,20}[0-9][A-Za-z%]?"
 TOUCHED_RUN = "^[A-Za-z%₹$€£]|[A-Za-z%]$"
 INDIAN_MOBILE = "[6-9][0-9]{9}"
+# Indian toll-free and shared-cost series, written without a trunk 0.
+SERVICE_NUMBER = "1800[0-9]{6,7}|1860[0-9]{7}"
 # Numbering-plan lengths (digits after the country code) for other countries.
 FOREIGN_LENGTHS = {
-    "1": (10, 10), "7": (10, 10), "20": (9, 10), "27": (9, 9), "31": (9, 9), "33": (9, 9), "34": (9, 9),
-    "39": (9, 11), "41": (9, 9), "44": (10, 10), "49": (10, 11), "52": (10, 10), "55": (10, 11), "60": (8, 10),
-    "61": (9, 9), "62": (9, 12), "63": (10, 10), "64": (8, 10), "65": (8, 8), "66": (8, 9), "81": (9, 10),
-    "82": (8, 10), "86": (11, 11), "92": (10, 10), "94": (9, 9), "966": (9, 9), "971": (8, 9), "977": (8, 10),
-    "852": (8, 8), "880": (10, 10),
+    "1": (10, 10), "7": (10, 10), "20": (9, 10), "27": (9, 9), "30": (10, 10), "31": (9, 9), "32": (8, 9), "33": (9, 9),
+    "34": (9, 9), "36": (8, 9), "39": (9, 11), "40": (9, 9), "41": (9, 9), "43": (10, 13), "44": (10, 10), "45": (8, 8),
+    "46": (7, 10), "47": (8, 8), "48": (9, 9), "49": (10, 11), "51": (8, 9), "52": (10, 10), "54": (10, 11), "55": (10, 11),
+    "56": (9, 9), "57": (8, 10), "58": (10, 10), "60": (8, 10), "61": (9, 9), "62": (9, 12), "63": (10, 10), "64": (8, 10),
+    "65": (8, 8), "66": (8, 9), "81": (9, 10), "82": (8, 10), "84": (9, 10), "86": (11, 11), "90": (10, 10), "92": (10, 10),
+    "93": (9, 9), "94": (9, 9), "95": (7, 10), "98": (10, 10), "212": (9, 9), "213": (8, 9), "216": (8, 8), "230": (7, 8),
+    "233": (9, 9), "234": (8, 10), "254": (9, 9), "255": (9, 9), "256": (9, 9), "351": (9, 9), "353": (8, 9), "358": (7, 10),
+    "359": (8, 9), "370": (8, 8), "371": (8, 8), "372": (7, 8), "380": (9, 9), "385": (8, 9), "386": (8, 8), "420": (9, 9),
+    "421": (9, 9), "506": (8, 8), "507": (7, 8), "593": (8, 9), "852": (8, 8), "855": (8, 9), "856": (8, 10), "880": (10, 10),
+    "886": (8, 9), "960": (7, 7), "961": (7, 8), "962": (8, 9), "965": (8, 8), "966": (9, 9), "968": (8, 8), "971": (8, 9),
+    "972": (8, 9), "973": (8, 8), "974": (8, 8), "975": (7, 8), "976": (8, 8), "977": (8, 10),
 }
 _FOREIGN = "|".join(f"{cc}[0-9]{{{low},{high}}}" for cc, (low, high) in FOREIGN_LENGTHS.items())
 
@@ -57,9 +65,10 @@ def _to_e164(run: str) -> str:
         return f"""CASE
           WHEN {matches(run, TOUCHED_RUN)} THEN NULL
           WHEN {signed} THEN CASE
-            WHEN {matches(digits, f"^(91{INDIAN_MOBILE}|91[1-5][0-9]{{9}}|{_FOREIGN})$")} THEN concat('+', {digits}) END
+            WHEN {matches(digits, f"^(91{INDIAN_MOBILE}|91[1-5][0-9]{{9}}|91({SERVICE_NUMBER})|{_FOREIGN})$")} THEN concat('+', {digits}) END
           WHEN {matches(digits, f"^0?{INDIAN_MOBILE}$")} THEN concat('+91', {national})
           WHEN {matches(digits, f"^91{INDIAN_MOBILE}$")} THEN concat('+', {digits})
+          WHEN {matches(digits, f"^({SERVICE_NUMBER})$")} THEN concat('+91', {digits})
           -- A land line is written with its trunk 0 and a two- to four-digit area code.
           WHEN {matches(digits, "^0[1-5][0-9]{9}$")} THEN concat('+91', {national})
         END"""
