@@ -546,17 +546,17 @@ FIELD_CTES = f"{s.PAGES}, {s.LD}, {s.CATEGORY}, {s.FIELDS}"
 
 @query("category_top1", f"WITH {FIELD_CTES} SELECT store_id, category, category_source FROM fields")
 def category_top1(spark, sf):
-    return verdict.store_fields(crawl_facts(spark, sf)).select("store_id", "category", "category_source")
+    return verdict.store_fields(crawl_facts(spark, sf), "category")
 
 
 @query("description_pick", f"WITH {FIELD_CTES} SELECT store_id, description, description_source FROM fields")
 def description_pick(spark, sf):
-    return verdict.store_fields(crawl_facts(spark, sf)).select("store_id", "description", "description_source")
+    return verdict.store_fields(crawl_facts(spark, sf), "description")
 
 
 @query("logo_pick", f"WITH {FIELD_CTES} SELECT store_id, logo_url, logo_source FROM fields")
 def logo_pick(spark, sf):
-    return verdict.store_fields(crawl_facts(spark, sf)).select("store_id", "logo_url", "logo_source")
+    return verdict.store_fields(crawl_facts(spark, sf), "logo")
 
 
 @query(

@@ -68,3 +68,22 @@ def test_crawl_sources(spark, tmp_path):
     (tmp_path / "captures.txt").write_text('{"url":"u","timestamp":"2024","status":"200","digest":"A"}\noops\n{"url":"w","status":"404"}\n')
     assert [r.url for r in crawl.read_captures(spark, str(tmp_path / "captures.txt")).collect()] == ["u", "w"]
     assert [r.url for r in crawl.read_captures(spark, str(tmp_path / "captures.txt"), 2).collect()] == ["u"]
+
+
+def test_seeds_are_numbered_in_file_order(spark, tmp_path):
+    folder = tmp_path / "lists"
+    folder.mkdir()
+    (folder / "a.txt").write_text("\n".join(f"a{n}.in" for n in range(3)))
+    (folder / "b.txt").write_text("\n".join(f"b{n}.in" for n in range(2000)))
+    got = [r.source_value for r in seeds.read_text_seeds(spark, str(folder)).orderBy("seq").collect()]
+    assert got == [f"a{n}.in" for n in range(3)] + [f"b{n}.in" for n in range(2000)]
+
+
+def test_every_csv_file_has_its_own_header(spark, tmp_path):
+    folder = tmp_path / "lists.csv"
+    folder.mkdir()
+    (folder / "a").write_text('"name, legal",url\n"x, y",a.in\n')
+    (folder / "b").write_text('Website,id\nb.in,"1,2"\n')
+    (folder / "c").write_text("c.in,7\nurl,8\n")
+    got = [r.source_value for r in seeds.read_seeds(spark, str(folder)).orderBy("seq").collect()]
+    assert got == ["a.in", "b.in", "c.in", "url"]

@@ -144,6 +144,16 @@ def test_chat_links(evaluate):
     assert got[0] == "+919876543210" and got[2:] == [*list(cases.values())[2:]]
 
 
+def test_service_and_foreign_phones(evaluate):
+    cases = {
+        "Toll free 1800-123-4567": ["+9118001234567"],
+        "1800 419 8900 / +91 1860 266 0011": ["+9118004198900", "+9118602660011"],
+        "+48 22 123 45 67": ["+48221234567"],
+        "+48 22 123 45 6": [],
+    }
+    assert evaluate(contacts.extract_phones("v"), list(cases)) == list(cases.values())
+
+
 def test_states(evaluate):
     texts = ["Kilns in Pondicherry and Uttaranchal", "keralite manipuri", "WestBengal; new  delhi"]
     assert evaluate(states.find_states("v"), texts) == [["Puducherry", "Uttarakhand"], [], ["Delhi", "West Bengal"]]

@@ -10,7 +10,6 @@ from vitrine.functions import text, urls
 from vitrine.functions.text import each, keep, let
 from vitrine.operators import signals
 from vitrine.operators.elements import rows_of
-from vitrine.operators.skew import hot_key_join
 
 
 def _all(named: dict[str, str]) -> dict[str, Column]:
@@ -47,7 +46,8 @@ def host_facts(carts: DataFrame, dns: DataFrame) -> DataFrame:
 def with_host_signals(heads: DataFrame, hosts: DataFrame) -> DataFrame:
     """Adds cart and DNS answers to store heads; a missing answer is no evidence."""
     keyed = heads.withColumn("host", F.expr(f"lower({urls.hostname('home_url')})"))
-    return hot_key_join(keyed, hosts, "host", F.col("store_id"))
+    # Hosts are about as many as stores: the optimiser splits the few that many stores share.
+    return keyed.join(hosts, "host", "left")
 
 
 def without_host_signals(heads: DataFrame) -> DataFrame:
@@ -245,7 +245,7 @@ def category_ranking(totals: str = "category_totals", hints: str = "_hints", hom
 def apply_image_facts(stores: DataFrame, images: DataFrame) -> DataFrame:
     """Blanks a logo, and its source, that is not shown to be a real image."""
     usable = images.where(valid_image()).selectExpr("url AS logo_url", "true AS _valid").distinct()
-    joined = hot_key_join(stores, usable, "logo_url", F.col("store_id"))
+    joined = stores.join(usable, "logo_url", "left")
     return joined.withColumns(
         _all({c: f"CASE WHEN _valid THEN {c} ELSE '' END" for c in ("logo_url", "logo_source")})
     ).drop("_valid")
@@ -292,10 +292,19 @@ def category_points(facts: DataFrame) -> DataFrame:
     return reduced.selectExpr("store_id", "key AS category", "total AS points", "best.url AS source_url")
 
 
-def store_fields(facts: DataFrame) -> DataFrame:
-    """Description, logo and category picks with their sources."""
-    reduced = signals.reduce_entities(signals.page_entities(facts, ("head", "category", "description", "logo")))
+FIELD_FAMILIES = {"category": ("category", "description"), "description": ("description",), "logo": ("logo",)}
+
+
+def store_fields(facts: DataFrame, *fields: str) -> DataFrame:
+    """Category, description and logo with their sources, or those of them that are named.
+
+    Only the signals of the named fields are extracted; a category also asks the description.
+    """
+    named = fields or tuple(FIELD_FAMILIES)
+    families = dict.fromkeys(("head", *(family for field in named for family in FIELD_FAMILIES[field])))
+    reduced = signals.reduce_entities(signals.page_entities(facts, tuple(families)))
     rolled = reduced.groupBy("store_id").agg(
         *[c.alias(n) for n, c in field_picks().items()], F.expr("max(head) AS head")
     )
-    return with_fields(store_heads(rolled)).select("store_id", *FIELD_COLUMNS)
+    columns = [c for c in FIELD_COLUMNS if c.removesuffix("_source").removesuffix("_url") in named]
+    return with_fields(store_heads(rolled)).select("store_id", *columns)

@@ -15,12 +15,24 @@ def _write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
+def unique_stores(stores: DataFrame, directory: str) -> DataFrame:
+    """The unique domains of `stores`: written once to the directory, then read by every export."""
+    path = f"{directory}/unique_domains"
+    if not path_exists(stores.sparkSession, path):
+        reports.unique_domains(stores).write.parquet(path)
+    return stores.sparkSession.read.parquet(path)
+
+
 def export_results(stores: DataFrame, directory: str) -> tuple[str, str]:
-    """The seven-column CSV and the evidence lines, over the same unique domains."""
-    unique = reports.unique_domains(stores)
-    csv_path = _write_csv(reports.export_rows(unique), f"{directory}/stores_csv")
+    """The seven-column CSV and the evidence lines, over the same unique domains, best score first.
+
+    Parts are sorted ranges: read in the order of their names they are one sorted file.
+    """
+    best = (F.desc(F.col("shopify_score") + F.col("india_score")), F.asc("candidate_id"))
+    unique = unique_stores(stores, directory)
+    csv_path = _write_csv(reports.export_rows(unique.orderBy(*best)), f"{directory}/stores_csv")
     evidence_path = f"{directory}/audit_evidence"
-    reports.evidence_rows(unique).write.mode("overwrite").json(evidence_path, ignoreNullFields=False)
+    reports.evidence_rows(unique.orderBy(*best)).write.mode("overwrite").json(evidence_path, ignoreNullFields=False)
     return csv_path, evidence_path
 
 
@@ -31,7 +43,7 @@ def write_report(candidates: DataFrame, stores: DataFrame, directory: str, works
 
 
 def write_audit_sample(stores: DataFrame, directory: str, size: int, seed: int) -> str:
-    sample = reports.audit_sample(reports.unique_domains(stores), size, seed)
+    sample = reports.audit_sample(unique_stores(stores, directory), size, seed)
     return _write_csv(reports.worksheet_rows(sample), f"{directory}/manual_audit_csv")
 
 
