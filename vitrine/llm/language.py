@@ -96,15 +96,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, max_docs: int = MAX_DOCS) -> LanguageModel:
     """The model of (doc_id, text, lang); rows of the held-out fold are never read."""
     labelled = docs.where((id_fold(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
-    share = F.least(F.lit(1.0), F.lit(float(max_docs)) / F.col("docs"))
-    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20)
-    sample = labelled.join(sizes, "lang").where(drawn).select("lang", "text")
-    counts = sample.mapInArrow(_count, "lang string, place int, n bigint").groupBy("lang", "place").agg(F.sum("n").alias("n"))
-    rows = counts.groupBy("lang").agg(F.collect_list("place").alias("place"), F.collect_list("n").alias("n")).limit(MAX_LANGUAGES + 1).collect()
-    priors = {r.lang: r.docs for r in sizes.limit(MAX_LANGUAGES + 1).collect()}
-    if len(rows) > MAX_LANGUAGES:
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    priors = {r.lang: r.docs for r in sizes}
+    # A share per language as a constant: a join on the language would bring a whole language into one task.
+    shares = F.create_map(*[F.lit(x) for r in sizes for x in (r.lang, min(1.0, max_docs / r.docs))]) if sizes else F.create_map(F.lit(""), F.lit(0.0))
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.coalesce(shares[F.col("lang")], F.lit(0.0)) * (1 << 20)
+    sample = labelled.where(drawn).select("lang", "text")
+    counts = sample.mapInArrow(_count, "lang string, place int, n bigint").groupBy("lang", "place").agg(F.sum("n").alias("n"))
+    rows = counts.groupBy("lang").agg(F.collect_list("place").alias("place"), F.collect_list("n").alias("n")).collect()
     rows.sort(key=lambda r: r.lang)
     matrix = np.full((PLACES, len(rows)), SMOOTHING)
     for n, row in enumerate(rows):
