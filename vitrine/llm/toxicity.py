@@ -238,10 +238,13 @@ def _sample(docs: DataFrame, labels: DataFrame, max_chars: int, max_docs: int) -
     rows = docs.where((fold != HELD_OUT) & F.col("text").isNotNull()).select("doc_id", "text", half)
     slim = rows.select("doc_id", "half", F.char_length("text").alias("chars"))
     labelled = stored(slim.join(known, "doc_id"), "toxic-labelled")
-    sizes = labelled.groupBy("half", "toxic").agg(F.sum("chars").alias("all_chars"), F.count(F.lit(1)).alias("all_docs"))
-    share = F.least(F.lit(1.0), float(max_chars) / F.col("all_chars"), float(max_docs) / F.col("all_docs"))
+    sizes = labelled.groupBy("half", "toxic").agg(F.sum("chars").alias("chars"), F.count(F.lit(1)).alias("docs")).collect()
+    share = F.lit(0.0)
+    for r in sizes:  # two halves of two classes
+        own = min(1.0, max_chars / max(1, r.chars), max_docs / r.docs)
+        share = F.when((F.col("half") == r.half) & (F.col("toxic") == r.toxic), own).otherwise(share)
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20)
-    ids = labelled.join(sizes, ["half", "toxic"]).where(drawn).select("doc_id", "toxic").distinct()
+    ids = labelled.where(drawn).select("doc_id", "toxic").distinct()
     return rows.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic", "half")
 
 
@@ -260,9 +263,9 @@ def fit(
             least = row.n + 1
             break
     rows = counts.where(total >= least).toArrow()
-    text = "".join(x.as_py() for x in rows.column("gram"))
-    points = np.frombuffer(text.encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
+    points = np.frombuffer("".join(rows.column("gram").to_pylist()).encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
     n = {k: rows.column(k).to_numpy() for k in ("n00", "n01", "n10", "n11")}
+    del rows
     none = ToxicityModel(*(np.zeros(0, t) for t in (np.uint64, np.float32, np.uint64, np.float32)))
     if not len(points) or not (n["n00"] + n["n10"]).any() or not (n["n01"] + n["n11"]).any():
         return none
@@ -281,6 +284,8 @@ def fit(
     judged = sample.select("text", "toxic", "half").mapInArrow(judge, "difference double, toxic int")
     # A curve needs no single rows: differences in steps of a hundredth, with their number.
     steps = judged.groupBy(F.round("difference", 2).alias("d"), "toxic").agg(F.count(F.lit(1)).alias("n")).toPandas()
+    sent.destroy()
+    del halves
     repeated = steps.loc[steps.index.repeat(steps["n"].clip(upper=10_000))]
     slope, offset = logistic(repeated["d"].to_numpy(), repeated["toxic"].to_numpy().astype(float))
     whole = kneser_ney(points, n["n01"] + n["n11"], n["n00"] + n["n10"])
