@@ -118,3 +118,18 @@ def test_empty_tables_and_one_class(spark, fitted):
         assert toxicity.without_toxic(docs, table_of(spark, some)).count() == 20
     empty = spark.createDataFrame([], DOCS + "".join(f", {c} string" for c in CLASHING))
     assert toxicity.without_toxic(empty, table_of(spark, labels)).count() == 0
+
+
+def with_equal_texts(spark, n):
+    """The corpus and n texts without letters, every fourth of them toxic: at the difference 0 a quarter is."""
+    rows, labels = corpus()
+    more = spark.range(1000, 1000 + n)
+    docs = docs_of(spark, rows).select("doc_id", "text").unionByName(more.selectExpr("id doc_id", "'123' text"))
+    return docs, table_of(spark, labels).select("doc_id", "toxic").unionByName(more.selectExpr("id doc_id", "int(id % 4 = 0) toxic"))
+
+
+def test_a_sample_gives_the_probabilities_of_all_rows(spark):
+    docs, known = with_equal_texts(spark, 6000)
+    whole = toxicity.fit(docs, known)
+    for thinned in (toxicity.fit(docs, known, max_docs=600), toxicity.fit(docs, known, max_chars=6000)):
+        assert thinned.probability(np.zeros(1)) == pytest.approx(whole.probability(np.zeros(1)), abs=0.05)

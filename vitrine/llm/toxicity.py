@@ -199,14 +199,14 @@ def kneser_ney(points: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> T
     )
 
 
-def logistic(difference: np.ndarray, toxic: np.ndarray, penalty: float = 0.02) -> tuple[float, float]:
-    """Slope and offset of a curve through labelled differences, by Newton's method."""
+def logistic(difference: np.ndarray, toxic: np.ndarray, weight: np.ndarray, penalty: float = 0.02) -> tuple[float, float]:
+    """Slope and offset of a curve through labelled differences that stand for `weight` rows each, by Newton's method."""
     x = np.stack([difference, np.ones(len(difference))], 1)
     beta = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -50, 50)))
-        gradient = x.T @ (toxic - p) - penalty * beta
-        hessian = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + penalty * np.eye(2)
+        gradient = x.T @ (weight * (toxic - p)) - penalty * beta
+        hessian = (x * (weight * (p * (1 - p) + 1e-9))[:, None]).T @ x + penalty * np.eye(2)
         step = np.linalg.solve(hessian, gradient)
         beta += np.clip(step, -2, 2)
     return float(beta[0]), float(beta[1])
@@ -226,8 +226,9 @@ def _gram_counts(sample: DataFrame) -> DataFrame:
     return grams.groupBy("gram").agg(*[pick(h, t).alias(f"n{h}{t}") for h in (0, 1) for t in (0, 1)])
 
 
-def _sample(docs: DataFrame, labels: DataFrame, max_chars: int, max_docs: int) -> DataFrame:
-    """doc_id, text, toxic, half of a sample spread by a hash of the id, at most about the bounds per class and half.
+def _sample(docs: DataFrame, labels: DataFrame, max_chars: int, max_docs: int) -> tuple[DataFrame, dict[tuple[int, int], int]]:
+    """doc_id, text, toxic, half of a sample spread by a hash of the id, at most about the bounds per class and half;
+    and the rows of the whole table per (half, toxic).
 
     Ids are drawn on a table without texts; the bound on their number is what lets them go to every task,
     so that no text is shuffled.
@@ -245,14 +246,16 @@ def _sample(docs: DataFrame, labels: DataFrame, max_chars: int, max_docs: int) -
         share = F.when((F.col("half") == r.half) & (F.col("toxic") == r.toxic), own).otherwise(share)
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20)
     ids = labelled.where(drawn).select("doc_id", "toxic").distinct()
-    return rows.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic", "half")
+    sample = rows.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "toxic", "half")
+    return sample, {(r.half, r.toxic): r.docs for r in sizes}
 
 
 def fit(
     docs: DataFrame, labels: DataFrame, max_chars: int = MAX_CHARS, max_docs: int = MAX_DOCS, max_grams: int = MAX_GRAMS
 ) -> ToxicityModel:
     """The model of (doc_id, text) and (doc_id, toxic); rows of the held-out fold are never read."""
-    sample = stored(_sample(docs, labels, max_chars, max_docs), "toxic-sample")
+    drawn, sizes = _sample(docs, labels, max_chars, max_docs)
+    sample = stored(drawn, "toxic-sample")
     counts = stored(_gram_counts(sample), "toxic-grams")
     total = F.col("n00") + F.col("n01") + F.col("n10") + F.col("n11")
     by_count = counts.groupBy(F.least(total, F.lit(1000)).alias("n")).agg(F.count(F.lit(1)).alias("grams")).orderBy(F.desc("n")).collect()
@@ -279,15 +282,19 @@ def fit(
             half = batch.column("half").to_numpy()
             texts = batch.column("text").to_pylist()
             both = np.stack([s.differences(texts) for s in scorers])
-            yield pa.RecordBatch.from_arrays([pa.array(both[1 - half, np.arange(len(half))]), batch.column("toxic")], ["difference", "toxic"])
+            found = pa.array(both[1 - half, np.arange(len(half))])
+            yield pa.RecordBatch.from_arrays([found, batch.column("toxic"), batch.column("half")], ["difference", "toxic", "half"])
 
-    judged = sample.select("text", "toxic", "half").mapInArrow(judge, "difference double, toxic int")
+    judged = sample.select("text", "toxic", "half").mapInArrow(judge, "difference double, toxic int, half int")
     # A curve needs no single rows: differences in steps of a hundredth, with their number.
-    steps = judged.groupBy(F.round("difference", 2).alias("d"), "toxic").agg(F.count(F.lit(1)).alias("n")).toPandas()
+    steps = judged.groupBy(F.round("difference", 2).alias("d"), "half", "toxic").agg(F.count(F.lit(1)).alias("n")).toPandas()
     sent.destroy()
     del halves
-    repeated = steps.loc[steps.index.repeat(steps["n"].clip(upper=10_000))]
-    slope, offset = logistic(repeated["d"].to_numpy(), repeated["toxic"].to_numpy().astype(float))
+    # A class is thinned by its own share: each judged row stands for as many rows of the table as were left out for it.
+    groups = list(zip(steps["half"], steps["toxic"]))
+    judged_rows = steps.groupby(["half", "toxic"])["n"].sum()
+    weight = steps["n"].clip(upper=10_000).to_numpy() * np.array([sizes[g] / judged_rows[g] for g in groups])
+    slope, offset = logistic(steps["d"].to_numpy(), steps["toxic"].to_numpy().astype(float), weight)
     whole = kneser_ney(points, n["n01"] + n["n11"], n["n00"] + n["n10"])
     return ToxicityModel(whole.grams, whole.gram_values, whole.contexts, whole.context_values, slope, offset)
 
