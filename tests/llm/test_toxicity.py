@@ -133,3 +133,8 @@ def test_a_sample_gives_the_probabilities_of_all_rows(spark):
     whole = toxicity.fit(docs, known)
     for thinned in (toxicity.fit(docs, known, max_docs=600), toxicity.fit(docs, known, max_chars=6000)):
         assert thinned.probability(np.zeros(1)) == pytest.approx(whole.probability(np.zeros(1)), abs=0.05)
+
+
+def test_equal_differences_all_weigh(spark):
+    docs, known = with_equal_texts(spark, 48_000)
+    assert toxicity.fit(docs, known).probability(np.zeros(1))[0] == pytest.approx(0.25, abs=0.02)

@@ -293,7 +293,7 @@ def fit(
     # A class is thinned by its own share: each judged row stands for as many rows of the table as were left out for it.
     groups = list(zip(steps["half"], steps["toxic"]))
     judged_rows = steps.groupby(["half", "toxic"])["n"].sum()
-    weight = steps["n"].clip(upper=10_000).to_numpy() * np.array([sizes[g] / judged_rows[g] for g in groups])
+    weight = steps["n"].to_numpy() * np.array([sizes[g] / judged_rows[g] for g in groups])
     slope, offset = logistic(steps["d"].to_numpy(), steps["toxic"].to_numpy().astype(float), weight)
     whole = kneser_ney(points, n["n01"] + n["n11"], n["n00"] + n["n10"])
     return ToxicityModel(whole.grams, whole.gram_values, whole.contexts, whole.context_values, slope, offset)
