@@ -55,3 +55,23 @@ def test_tables(spark, tmp_path):
     )
     pages.limit(0).write.parquet(f"{tmp_path}/pages.parquet")
     assert op1_main_text(spark, str(tmp_path)).count() == 0
+
+
+STORY = f"<h1>Title</h1><p>{LONG * 5}</p><p>{LONG * 3}</p>"
+TOLD = " ".join(["Title", " ".join(LONG.split() * 5), " ".join(LONG.split() * 3)])
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='content no-sidebar'>{STORY}</div>", f"<div id='page' class='has-sidebar'>{STORY}</div>",
+        f"<div class='widget-content'>{STORY}</div>", f"<form action='./' id='aspnetForm'>{STORY}<input name='x'></form>",
+        f"<form><div class='has-sidebar'><div class='comments-open'>{STORY}</div></div></form>",
+        f"<div title='the hidden truth'>{STORY}</div>", f"<div data-x=\"a class='menu'\">{STORY}</div>",
+        f"<div class='no-sidebar'><article>{STORY}</article></div><div id='comments'><article>{LONG * 20}</article></div>",
+        f"<div class='no-sidebar'>{STORY}<div class='sidebar'>{LONG}</div><form>{LONG}</form></div>",
+        f"<div class='story'>{STORY}</div><div class='comments'>{LONG * 20}</div><div hidden>{LONG * 20}</div>",
+    ],
+)
+def test_wrappers_of_the_article_stay(page):
+    assert main_text(f"<body><div class='menu'><a href='/'>Home</a></div>{page}<div class='footer'>us</div></body>") == TOLD

@@ -2,7 +2,8 @@
 
 A page becomes a tree of its elements. Menus, headers, footers, sidebars, notices, adverts, forms,
 scripts and reader comments are taken out by what they are: their tag, role, or a word of their class or
-id. For every node left, the density is its characters per tag, adjusted by how much of them is link
+id. A form, and an element with such a word, stays if it turns out to hold the page's text: a wrapper may be
+called "no-sidebar". For every node left, the density is its characters per tag, adjusted by how much of them is link
 text; a node's density sum adds up its children's. The lowest density on the way from the body to
 the densest region is the threshold; among the nodes that reach it, the one with the largest density
 sum holds the text, and all of its blocks are taken.
@@ -49,7 +50,7 @@ ENDS = {
 # Where looking for the element to end stops.
 SCOPE = frozenset({"table", "td", "th", "ul", "ol", "dl", "div", "section", "article", "body", "html", "blockquote"})
 
-OUT_TAGS = RAW | frozenset("head nav header footer aside form button select input dialog object canvas audio video menu search".split())
+OUT_TAGS = RAW | frozenset("head nav header footer aside button select input dialog object canvas audio video menu search".split())
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist".split())
 OUT_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner banners sponsor sponsored promo promotion promotions"
@@ -59,24 +60,26 @@ OUT_WORDS = frozenset(
     " cookie cookies consent gdpr notice notices popup modal overlay alert newsletter subscribe subscription signup login"
     " share sharing social search form copyright skip".split()
 )
+READER_WORDS = frozenset("comment comments disqus respond replies".split())  # what they name is often longer than the article
 KEPT_TAGS = frozenset("html body main article".split())  # never out by a word of their class or id
 
 # A tag up to its end; a quoted value may hold ">". Nothing is tried twice, so time stays linear.
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?>[^>=]|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>""")
 _COMMENT_END = re.compile(r"--!?>")
-_MARKS = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTES = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]++))?+""")
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Za-z][a-z]*")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-ENOUGH = 0.1  # of the largest density sum, for a region to count as text of the page
+ENOUGH = 0.1  # of the largest density sum, or of the unlinked text, for a region to count as text of the page
+IN, OUT, DOUBT, READERS = 0, 1, 2, 3  # an element is in, is out, or is out unless it holds the page's text
 
 
 class Node:
-    __slots__ = ("tag", "parent", "out", "items", "chars", "link_chars", "tags", "link_tags", "density", "total", "ender")
+    __slots__ = ("tag", "parent", "out", "doubt", "items", "chars", "link_chars", "tags", "link_tags", "density", "total", "ender")
 
-    def __init__(self, tag: str, parent: Node | None, out: bool):
-        self.tag, self.parent, self.out = tag, parent, out
+    def __init__(self, tag: str, parent: Node | None, out: bool, doubt: int = IN):
+        self.tag, self.parent, self.out, self.doubt = tag, parent, out, doubt
         self.items: list[Node | str] = []  # children and pieces of text in page order
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
@@ -84,26 +87,28 @@ class Node:
         self.ender: Node | None = self if tag in ENDS else None if tag in SCOPE or parent is None else parent.ender
 
 
-def _is_out(tag: str, attributes: str) -> bool:
+def _kind(tag: str, attributes: str) -> int:
     """Is this element no part of an article, by its tag, role, class or id?"""
     if tag in OUT_TAGS:
-        return True
+        return OUT
+    kind = DOUBT if tag == "form" else IN
     if not attributes:
-        return False
-    for name, value in _MARKS.findall(attributes):
+        return kind
+    for name, value in _ATTRIBUTES.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "role":
             if value.lower() in OUT_ROLES:
-                return True
+                return OUT
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and _HIDDEN.search(value)):
-            return True
-        elif name in ("class", "id") and tag not in KEPT_TAGS and any(w.lower() in OUT_WORDS for w in _WORDS.findall(value)):
-            return True
-    return False
+            return OUT
+        elif name in ("class", "id") and tag not in KEPT_TAGS:
+            words = {w.lower() for w in _WORDS.findall(value)}
+            kind = max(kind, READERS if words & READER_WORDS else DOUBT if words & OUT_WORDS else IN)
+    return kind
 
 
 def parse(page: str) -> Node:
-    """The page's tree. Text in elements that are out is not kept."""
+    """The page's tree. Text in elements that are surely out is not kept."""
     root = node = Node("html", None, False)
     opened: dict[str, int] = {}  # how many elements of a tag are open, the root apart
     endless: set[str] = set()  # raw elements whose end tag does not come any more
@@ -150,7 +155,8 @@ def parse(page: str) -> Node:
         while ended is not None and node is not ended.parent:
             opened[node.tag] -= 1
             node = node.parent
-        child = Node(name, node, node.out or _is_out(name, tag[3]))
+        kind = _kind(name, tag[3])
+        child = Node(name, node, node.out or kind == OUT, kind)
         if not node.out:
             node.items.append(child)
         if name in VOID or name not in BLOCK and tag[3].endswith("/"):
@@ -190,6 +196,37 @@ def _in_order(root: Node) -> list[Node]:
     return out
 
 
+def _settle(root: Node) -> None:
+    """Takes out the elements in doubt that do not hold the page's text.
+
+    What stays holds most of the unlinked text; or some of it, and the page's main element, first heading or
+    longest article. Reader comments may well be most of the text, and articles themselves: they stay only
+    with a main element or first heading, or where there is next to nothing else.
+    """
+    nodes = _in_order(root)
+    if not any(n.doubt > OUT for n in nodes):
+        return
+    plain: dict[Node, int] = {}
+    leading: dict[Node, bool] = {}
+    for node in reversed(nodes):
+        inner = [x for x in node.items if isinstance(x, Node) and not x.out]
+        own = sum(len(" ".join(x.split())) for x in node.items if isinstance(x, str))
+        plain[node] = 0 if node.tag == "a" else own + sum(plain[x] for x in inner)
+        leading[node] = node.tag in ("main", "h1") or any(leading[x] for x in inner)
+    # Articles among comments are comments.
+    among: dict[Node, bool] = {}
+    for node in nodes:
+        among[node] = not leading[node] and node.doubt == READERS or node.parent is not None and among[node.parent]
+    articles = [n for n in nodes if n.tag == "article" and not among[n]]
+    around = set(_way_up(max(articles, key=plain.__getitem__))) if articles else set()
+    whole = plain[root]
+    for node in nodes:
+        if node.doubt > OUT:
+            most = 1 - ENOUGH if node.doubt == READERS else 0.5
+            holds = leading[node] or node in around
+            node.out = not (plain[node] > most * whole or holds and plain[node] > ENOUGH * whole)
+
+
 def _weigh(nodes: list[Node]) -> Node:
     """Counts, densities and density sums of all nodes; returns the body."""
     body = next((n for n in nodes if n.tag == "body"), nodes[0])
@@ -222,6 +259,7 @@ def main_node(root: Node) -> Node:
     node that reaches it marks the largest density sum below it; the innermost node around the marks that
     weigh enough is the one, widened to the page's own article element if it lies in one.
     """
+    _settle(root)
     nodes = _in_order(root)
     body = _weigh(nodes)
     densest = max(nodes, key=lambda n: n.total)
