@@ -136,6 +136,19 @@ def test_outputs_share_one_set_of_domains(spark, stores, tmp_path):
     assert report.candidate_status_counts.accepted == 2 and report.manual_audit.status == "not_generated"
 
 
+def test_every_export_writes_the_stores_it_is_given(spark, stores, tmp_path):
+    (tmp_path / "unique_domains").mkdir()  # an interrupted write
+    for names in (["https://lotus.in"], ["https://lotus.in", "https://rose.in"], ["https://tulip.in"]):
+        table = stores(*[store(n, domain_url=name) for n, name in enumerate(names)])
+        csv_path, evidence_path = sinks.export_results(table, str(tmp_path))
+        sheet = sinks.write_audit_sample(table, str(tmp_path), 100, 1)
+        for written in (seeds.read_worksheet(spark, csv_path), spark.read.json(evidence_path), seeds.read_worksheet(spark, sheet)):
+            assert sorted(r.domain_url for r in written.select("domain_url").collect()) == names
+    unique = sinks.unique_stores(table, str(tmp_path))
+    assert sinks.export_results(table, str(tmp_path), unique) == (csv_path, evidence_path)
+    assert sinks.write_audit_sample(table, str(tmp_path), 100, 1, unique) == sheet
+
+
 def test_empty_report(spark, stores):
     row = reports.quality_report(candidates(spark), stores(), spark.createDataFrame([], sheet_schema())).first()
     assert row.accepted_records == 0 and row.confidence.average_shopify_score == 0 and row.missing_fields["state"].percent == 0

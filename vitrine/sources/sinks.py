@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,20 +18,20 @@ def _write_csv(df: DataFrame, path: str) -> str:
 
 
 def unique_stores(stores: DataFrame, directory: str) -> DataFrame:
-    """The unique domains of `stores`: written once to the directory, then read by every export."""
-    path = f"{directory}/unique_domains"
-    if not path_exists(stores.sparkSession, path):
-        reports.unique_domains(stores).write.parquet(path)
+    """The unique domains of `stores`: written once, to a fresh folder below the directory, then read as often as wanted."""
+    path = f"{directory}/unique_domains/{uuid.uuid4().hex}"
+    reports.unique_domains(stores).write.parquet(path)
     return stores.sparkSession.read.parquet(path)
 
 
-def export_results(stores: DataFrame, directory: str) -> tuple[str, str]:
+def export_results(stores: DataFrame, directory: str, unique: DataFrame | None = None) -> tuple[str, str]:
     """The seven-column CSV and the evidence lines, over the same unique domains, best score first.
 
-    Parts are sorted ranges: read in the order of their names they are one sorted file.
+    Parts are sorted ranges: read in the order of their names they are one sorted file. A run that also draws
+    a sample passes the `unique_stores` of `stores` to both.
     """
     best = (F.desc(F.col("shopify_score") + F.col("india_score")), F.asc("candidate_id"))
-    unique = unique_stores(stores, directory)
+    unique = unique_stores(stores, directory) if unique is None else unique
     csv_path = _write_csv(reports.export_rows(unique.orderBy(*best)), f"{directory}/stores_csv")
     evidence_path = f"{directory}/audit_evidence"
     reports.evidence_rows(unique.orderBy(*best)).write.mode("overwrite").json(evidence_path, ignoreNullFields=False)
@@ -42,8 +44,9 @@ def write_report(candidates: DataFrame, stores: DataFrame, directory: str, works
     return path
 
 
-def write_audit_sample(stores: DataFrame, directory: str, size: int, seed: int) -> str:
-    sample = reports.audit_sample(unique_stores(stores, directory), size, seed)
+def write_audit_sample(stores: DataFrame, directory: str, size: int, seed: int, unique: DataFrame | None = None) -> str:
+    unique = unique_stores(stores, directory) if unique is None else unique
+    sample = reports.audit_sample(unique, size, seed)
     return _write_csv(reports.worksheet_rows(sample), f"{directory}/manual_audit_csv")
 
 
