@@ -138,3 +138,21 @@ def test_a_sample_gives_the_probabilities_of_all_rows(spark):
 def test_equal_differences_all_weigh(spark):
     docs, known = with_equal_texts(spark, 48_000)
     assert toxicity.fit(docs, known).probability(np.zeros(1))[0] == pytest.approx(0.25, abs=0.02)
+
+
+def test_every_gram_of_the_sample_is_kept_as_in_the_plain_form(spark):
+    rows, labels = corpus(150)
+    rows += [(1000 + i, f"é中{i} rare{chr(97 + i % 26)}{chr(97 + i // 26)}word 😀x") for i in range(60)]
+    labels |= {1000 + i: i % 2 for i in range(60)}
+    drawn, _ = toxicity._sample(docs_of(spark, rows), table_of(spark, labels), toxicity.MAX_CHARS, toxicity.MAX_DOCS)
+    counts = toxicity._gram_counts(drawn)
+    held = counts.collect()
+    points = np.array([[ord(c) for c in r.gram] for r in held], np.uint32)
+    n = lambda toxic, halves: np.array([sum(r[f"n{h}{toxic}"] for h in halves) for r in held])
+    models = toxicity._models(counts)
+    assert len(models["w"].grams) == len(held)
+    for part, halves in (("a", [0]), ("b", [1]), ("w", [0, 1])):
+        plain, got = toxicity.kneser_ney(points, n(1, halves), n(0, halves)), models[part]
+        for keys, values in (("grams", "gram_values"), ("contexts", "context_values")):
+            want = dict(zip(getattr(plain, keys).tolist(), getattr(plain, values).tolist()))
+            assert dict(zip(getattr(got, keys).tolist(), getattr(got, values).tolist())) == pytest.approx(want, abs=1e-5)

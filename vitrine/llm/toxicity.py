@@ -9,8 +9,9 @@ A text is compared expression by expression: the log likelihoods of every two ne
 under either model, divided by their number, and the largest difference of the text counts. Its
 probability comes from a logistic curve, fitted on texts that the counted half had not seen.
 
-Counting is one Spark aggregation over a bounded sample of labelled texts; what reaches the driver is
-the table of n-grams, at most MAX_GRAMS rows. Scoring runs in array code over whole texts.
+Counting and smoothing are Spark aggregations over a bounded sample of labelled texts, and every n-gram of
+the sample is kept; what reaches the driver is one number and one value per n-gram and per context. Scoring
+runs in array code over whole texts.
 
 Defined results: texts without a letter have the difference 0; a document labelled both ways counts
 as toxic; labels other than 0 and 1 are ignored; if one class has no text, every score is 0; an empty
@@ -36,7 +37,6 @@ DISCOUNT = 0.75
 WINDOW = 2  # words of an expression
 MAX_CHARS = 20_000_000  # about the characters of the sample per class and half of the training rows
 MAX_DOCS = 25_000  # and its documents
-MAX_GRAMS = 4_000_000  # the rarest n-grams beyond are left out of the model
 FOLDS, HELD_OUT = 3, 1
 REJECT = 0.7
 
@@ -167,7 +167,10 @@ def _sums(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def kneser_ney(points: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> ToxicityModel:
-    """points: code points of each n-gram, one row of ORDER numbers; the counts are those of the classes."""
+    """points: code points of each n-gram, one row of ORDER numbers; the counts are those of the classes.
+
+    The plain form, in one memory, of what `_smoothed` computes on tables.
+    """
     some = toxic + ordinary > 0
     points, toxic, ordinary = points[some].astype(np.uint64), toxic[some].astype(float), ordinary[some].astype(float)
     letter = points[:, -1]
@@ -226,6 +229,78 @@ def _gram_counts(sample: DataFrame) -> DataFrame:
     return grams.groupBy("gram").agg(*[pick(h, t).alias(f"n{h}{t}") for h in (0, 1) for t in (0, 1)])
 
 
+# The counts of which halves make a model: each half's alone, to judge the other half's texts, and both.
+PARTS = {"a": ("n00", "n01"), "b": ("n10", "n11"), "w": ("n00 + n10", "n01 + n11")}
+
+
+def _smoothed(counts: DataFrame) -> DataFrame:
+    """Per n-gram of `_gram_counts`: gram, and per model of PARTS its log ratio g<part> (null if the part lacks it)
+    and, in one row of each context, the context's log ratio c<part>."""
+
+    # level[k]: endings of k letters, and in how many of the endings one letter longer each occurs.
+    seen = counts.select("gram", *[F.expr(f"int({o} + {t} > 0)").alias(f"k{p}") for p, (o, t) in PARTS.items()])
+    level = {ORDER: stored(seen, "toxic-endings")}
+    for size in range(ORDER - 1, 0, -1):
+        longer = level[size + 1].select(F.expr(f"right(gram, {size})").alias("gram"), *[F.expr(f"int(k{p} > 0)").alias(f"k{p}") for p in PARTS])
+        level[size] = stored(longer.groupBy("gram").agg(*[F.sum(f"k{p}").alias(f"k{p}") for p in PARTS]), "toxic-endings")
+    letters_of = level[1].agg(*[F.count_if(F.col(f"k{p}") > 0).alias(p) for p in PARTS]).first()
+    shared = None
+    for size in range(1, ORDER):
+        here = level[size].withColumn("context", F.expr(f"left(gram, {size - 1})"))
+        sums = [x for p in PARTS for x in (F.sum(f"k{p}").alias(f"t{p}"), F.count_if(F.col(f"k{p}") > 0).alias(f"d{p}"))]
+        here = here.join(here.groupBy("context").agg(*sums), "context").withColumn("lower", F.expr(f"right(gram, {size - 1})"))
+        if shared is not None:
+            here = here.join(shared.withColumnRenamed("gram", "lower"), "lower")
+        value = {
+            p: f"if(k{p} > 0, greatest(k{p} - {DISCOUNT}D, 0D) / t{p} + {DISCOUNT}D * d{p} / t{p} * "
+            + (f"s{p}" if shared is not None else f"{1.0 / max(1, letters_of[p])!r}D") + ", NULL)"
+            for p in PARTS
+        }
+        shared = stored(here.select("gram", *[F.expr(v).alias(f"s{p}") for p, v in value.items()]), "toxic-shared")
+    classes = [(f"{p}{c}", PARTS[p][c]) for p in PARTS for c in (0, 1)]
+    each = counts.select("gram", F.expr(f"left(gram, {ORDER - 1})").alias("context"), *[F.expr(n).alias(f"n{k}") for k, n in classes])
+    sums = [x for k, _ in classes for x in (F.sum(f"n{k}").alias(f"t{k}"), F.count_if(F.col(f"n{k}") > 0).alias(f"d{k}"))]
+    contexts = each.groupBy("context").agg(F.min("gram").alias("first"), *sums)
+    left = lambda k: f"if(t{k} > 0, {DISCOUNT}D * d{k} / t{k}, 1D)"
+    whole = (
+        each.join(contexts, "context")
+        .withColumn("lower", F.expr(f"right(gram, {ORDER - 1})"))
+        .join(shared.withColumnRenamed("gram", "lower"), "lower")
+    )
+    prob = lambda k, p: f"greatest(n{k} - {DISCOUNT}D, 0D) / greatest(t{k}, 1) + {left(k)} * s{p}"
+    grams = [
+        F.expr(f"if(n{p}0 + n{p}1 > 0, float(ln({prob(p + '1', p)}) - ln({prob(p + '0', p)})), NULL)").alias(f"g{p}") for p in PARTS
+    ]
+    own = [
+        F.expr(f"if(gram = first AND t{p}0 + t{p}1 > 0, float(ln({left(p + '1')}) - ln({left(p + '0')})), NULL)").alias(f"c{p}") for p in PARTS
+    ]
+    return whole.select("gram", *grams, *own)
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """n-grams as the numbers that texts are looked up by: gram, context, and the values."""
+    for batch in batches:
+        points = np.frombuffer("".join(batch.column("gram").to_pylist()).encode("utf-32-le"), np.uint32).reshape(-1, ORDER).astype(np.uint64)
+        context = np.zeros(len(points), np.uint64)
+        for back in range(1, ORDER):
+            context = _longer(context, points[:, ORDER - 1 - back], back)
+        numbers = [pa.array(x.view(np.int64)) for x in (_gram(context, points[:, -1]), context)]
+        yield pa.RecordBatch.from_arrays([*numbers, *batch.columns[1:]], ["gram", "context", *batch.schema.names[1:]])
+
+
+def _models(counts: DataFrame) -> dict[str, ToxicityModel]:
+    """The model of each of PARTS."""
+    names = [f"{k}{p}" for k in "gc" for p in PARTS]
+    schema = "gram bigint, context bigint, " + ", ".join(f"{n} float" for n in names)
+    smoothed = stored(_smoothed(counts).mapInArrow(_numbered, schema), "toxic-model")
+
+    def column(key: str, name: str) -> tuple[np.ndarray, np.ndarray]:
+        rows = smoothed.where(F.col(name).isNotNull()).select(key, name).toArrow()
+        return rows.column(key).to_numpy().view(np.uint64), rows.column(name).to_numpy()
+
+    return {p: ToxicityModel(*column("gram", f"g{p}"), *column("context", f"c{p}")) for p in PARTS}
+
+
 def _sample(docs: DataFrame, labels: DataFrame, max_chars: int, max_docs: int) -> tuple[DataFrame, dict[tuple[int, int], int]]:
     """doc_id, text, toxic, half of a sample spread by a hash of the id, at most about the bounds per class and half;
     and the rows of the whole table per (half, toxic).
@@ -250,30 +325,18 @@ def _sample(docs: DataFrame, labels: DataFrame, max_chars: int, max_docs: int) -
     return sample, {(r.half, r.toxic): r.docs for r in sizes}
 
 
-def fit(
-    docs: DataFrame, labels: DataFrame, max_chars: int = MAX_CHARS, max_docs: int = MAX_DOCS, max_grams: int = MAX_GRAMS
-) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, max_chars: int = MAX_CHARS, max_docs: int = MAX_DOCS) -> ToxicityModel:
     """The model of (doc_id, text) and (doc_id, toxic); rows of the held-out fold are never read."""
     drawn, sizes = _sample(docs, labels, max_chars, max_docs)
     sample = stored(drawn, "toxic-sample")
     counts = stored(_gram_counts(sample), "toxic-grams")
-    total = F.col("n00") + F.col("n01") + F.col("n10") + F.col("n11")
-    by_count = counts.groupBy(F.least(total, F.lit(1000)).alias("n")).agg(F.count(F.lit(1)).alias("grams")).orderBy(F.desc("n")).collect()
-    least, held = 1, 0
-    for row in by_count:
-        held += row.grams
-        if held > max_grams:
-            least = row.n + 1
-            break
-    rows = counts.where(total >= least).toArrow()
-    points = np.frombuffer("".join(rows.column("gram").to_pylist()).encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
-    n = {k: rows.column(k).to_numpy() for k in ("n00", "n01", "n10", "n11")}
-    del rows
-    none = ToxicityModel(*(np.zeros(0, t) for t in (np.uint64, np.float32, np.uint64, np.float32)))
-    if not len(points) or not (n["n00"] + n["n10"]).any() or not (n["n01"] + n["n11"]).any():
-        return none
+    some = counts.agg(F.sum(F.col("n00") + F.col("n10")).alias("ordinary"), F.sum(F.col("n01") + F.col("n11")).alias("toxic")).first()
+    if not some.ordinary or not some.toxic:
+        return ToxicityModel(*(np.zeros(0, t) for t in (np.uint64, np.float32, np.uint64, np.float32)))
+    models = _models(counts)
+    whole = models.pop("w")
     # Each half's texts are judged by the other half's counts.
-    halves = [kneser_ney(points, n[f"n{h}1"], n[f"n{h}0"]) for h in (0, 1)]
+    halves = [models.pop("a"), models.pop("b")]
     sent = sample.sparkSession.sparkContext.broadcast(halves)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,7 +358,6 @@ def fit(
     judged_rows = steps.groupby(["half", "toxic"])["n"].sum()
     weight = steps["n"].to_numpy() * np.array([sizes[g] / judged_rows[g] for g in groups])
     slope, offset = logistic(steps["d"].to_numpy(), steps["toxic"].to_numpy().astype(float), weight)
-    whole = kneser_ney(points, n["n01"] + n["n11"], n["n00"] + n["n10"])
     return ToxicityModel(whole.grams, whole.gram_values, whole.contexts, whole.context_values, slope, offset)
 
 
