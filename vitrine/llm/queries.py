@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitrine.llm import exact_dedup, language, line_dedup, main_text, mixing, near_dedup, neighbours, pieces, sharding, toxicity
+from vitrine.llm import exact_dedup, language, line_dedup, main_text, mixing, near_dedup, neighbours, ngram_join, pieces, sharding, token_links, toxicity, vector_codes
 
 QUERIES = {
     "op1_main_text": main_text.op1_main_text,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_neighbours": neighbours.op10_neighbours,
+    "op11_ngram_join": ngram_join.op11_ngram_join,
+    "op12_token_links": token_links.op12_token_links,
+    "op13_vector_codes": vector_codes.op13_vector_codes,
 }
 
 SQL = {
@@ -22,4 +25,6 @@ SQL = {
     "op7_line_dedup": line_dedup.OP7_SQL,
     "op8_mix_sources": mixing.OP8_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
+    "op11_ngram_join": ngram_join.OP11_SQL,
+    "op13_vector_codes": vector_codes.OP13_SQL,
 }
