@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from helpers import awkward, docs_of, sentences
+from vitrine.llm import linking
 from vitrine.llm import near_dedup as nd
 
 
@@ -77,8 +78,9 @@ def test_classes_are_those_of_all_pairs(spark):
     assert found(nd.classes(docs_of(spark, rows))) == plain(rows)
 
 
-def test_too_many_near_nodes_are_compared_in_place(spark):
-    """A graded group: most of its rows have more near nodes outside their component than are paired."""
+def test_a_graded_group_in_small_parts(spark, monkeypatch):
+    """Most of its rows are near to many others, but not all rows to all."""
+    monkeypatch.setattr(linking, "PART_NODES", 20)
     pick = random.Random(3)
     base = sentences(21, 150)[3]
     rows = [(n, changed(base, 0.004, pick)) for n in range(60)] + [(100 + n, changed(base, 0.045, pick)) for n in range(60)]
@@ -118,13 +120,6 @@ def test_units_have_the_similarity_of_the_weights():
     assert len(sets[0] & sets[1]) / len(sets[0] | sets[1]) == pytest.approx(similarity(bag(a), bag(b)))
 
 
-def test_components_of_a_long_chain(spark):
-    edges = spark.createDataFrame([(n, n + 1) for n in range(60)] + [(100, 90), (200, 300), (300, 250)], "a bigint, b bigint")
-    got = {r.node: r.component for r in nd.components(edges).collect()}
-    assert got == {n: 0 for n in range(61)} | {90: 90, 100: 90, 200: 200, 250: 200, 300: 200}
-    assert nd.components(edges.limit(0)).count() == 0
-
-
 def test_awkward_and_empty_tables(spark):
     rows = awkward()
     assert found(nd.classes(docs_of(spark, rows))) == plain(rows)

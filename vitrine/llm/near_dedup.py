@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vitrine.llm import linking
 from vitrine.llm.common import stored, table
 from vitrine.llm.letters import pieces_of
 
@@ -40,8 +41,6 @@ BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
 # Coordinates in which texts at SIMILAR agree at least, but for seven standard deviations.
 AGREEING = int(COORDINATES * SIMILAR - 7 * (COORDINATES * SIMILAR * (1 - SIMILAR)) ** 0.5)
-PART_NODES, PART_WEIGHT = 1_000, 1_000_000  # of a bucket's nodes that one comparison holds
-PAIRED = 16  # more near nodes than that of one node in a part are compared there, not paired
 KNOWN_WORDS = 300_000
 
 _WORD = re.compile(r"\w+")
@@ -188,87 +187,6 @@ def _buckets(nodes: DataFrame) -> DataFrame:
     return keyed.join(shared, "bucket")
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per part, held nodes first, the near ones of each asking node; a null `b` if they are too many to pair."""
-    for key, held, asking in _parts(batches, ("node", "component", "weight", "signature")):
-        node, component, weight = (held[c].to_numpy() for c in ("node", "component", "weight"))
-        signed = _bytes(held["signature"])
-        for start in range(0, len(asking["node"]), step := max(1, 200_000 // max(1, len(node)))):
-            some = {c: v.slice(start, step) for c, v in asking.items()}
-            asks = _bytes(some["signature"])
-            own, own_component, own_weight = (some[c].to_numpy() for c in ("node", "component", "weight"))
-            agree = (asks[:, None, :] == signed[None]).sum(2, dtype=np.uint8)
-            near = (agree >= AGREEING) & (own_component[:, None] != component[None])
-            near &= np.minimum(own_weight[:, None], weight[None]) >= SIMILAR * np.maximum(own_weight[:, None], weight[None])
-            at, to = np.nonzero(near)
-            # A pair that meets in several buckets is taken in the first of them.
-            bands = (asks[at] == signed[to]).reshape(-1, BANDS, ROWS).all(2).argmax(1)
-            first = bands == key[0] >> (8 * ROWS)
-            at, to = at[first], to[first]
-            many = np.bincount(at, minlength=len(own))
-            few = many[at] <= PAIRED
-            heavy = own[many > PAIRED]
-            size = int(few.sum()) + len(heavy)
-            if size:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(size, key[0])), pa.array(np.full(size, key[1], np.int32)),
-                        pa.array(np.concatenate([own[at[few]], heavy])),
-                        pa.concat_arrays([pa.array(node[to[few]]), pa.nulls(len(heavy), pa.int64())]),
-                    ],
-                    ["bucket", "part", "a", "b"],
-                )
-
-
-def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per part, for each asking node one held node of every other component that is similar enough."""
-    for _, held, asking in _parts(batches, ("node", "component", "elements")):
-        node, component = held["node"].to_numpy(), held["component"].to_numpy()
-        sizes = np.diff(held["elements"].offsets.to_numpy())
-        units = held["elements"].flatten().to_numpy()
-        order = np.argsort(units, kind="stable")
-        units, owner = units[order], np.repeat(np.arange(len(node)), sizes)[order]
-        a, b = [], []
-        for one, own, mine in zip(asking["node"].to_pylist(), asking["component"].to_pylist(), asking["elements"]):
-            mine = mine.values.to_numpy()
-            low, high = np.searchsorted(units, mine, "left"), np.searchsorted(units, mine, "right")
-            count = high - low
-            at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
-            common = np.bincount(owner[at], minlength=len(node))
-            linked = np.flatnonzero((common >= SIMILAR * (len(mine) + sizes - common)) & (component != own))
-            _, first = np.unique(component[linked], return_index=True)
-            b += node[linked[first]].tolist()
-            a += [one] * len(first)
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-
-def _bytes(column: pa.BinaryArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), COORDINATES)
-
-
-def _parts(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple]:
-    """((bucket, part), its held rows, some of its asking rows) of a partition sorted by bucket, part, asks."""
-    at, pieces, held = None, [], None
-    for batch in batches:
-        key = np.stack([batch.column("bucket").to_numpy(), batch.column("part").to_numpy()], 1)
-        asks = batch.column("asks").to_numpy()
-        change = np.flatnonzero((np.diff(key, axis=0) != 0).any(1) | (np.diff(asks) != 0)) + 1
-        for start, end in zip([0, *change], [*change, batch.num_rows]):
-            if start == end:
-                continue
-            some = batch.slice(start, end - start)
-            if at is None or (key[start] != at).any():
-                at, pieces, held = key[start], [], None
-            if not asks[start]:
-                pieces.append(some)
-                continue
-            if held is None:
-                held = {c: pa.concat_arrays([p.column(c) for p in pieces]) for c in columns} if pieces else {}
-            if held:
-                yield (int(at[0]), int(at[1])), held, {c: some.column(c) for c in columns}
-
-
 # --- exact similarity ----------------------------------------------------------------------
 
 
@@ -291,60 +209,32 @@ def _elements(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, doc_id: str
     return texts.select("node", "digest", "text").mapInArrow(_units, "node bigint, elements array<bigint>").dropDuplicates(["node"])
 
 
-def _similar(pairs: DataFrame, units: DataFrame) -> DataFrame:
-    """The pairs (a, b) of at least the similarity."""
-    a = units.select(F.col("node").alias("a"), F.col("elements").alias("ea"))
-    b = units.select(F.col("node").alias("b"), F.col("elements").alias("eb"))
-    both = pairs.join(b, "b").join(a, "a")
-    common = F.size(F.array_intersect("ea", "eb"))
-    return both.where(common >= SIMILAR * (F.size("ea") + F.size("eb") - common)).select("a", "b")
-
+class Signed:
+    """The signatures and elements of a part's nodes."""
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of the nodes with an edge (a, b); a component is its smallest node.
-
-    Every round takes the smallest label among neighbours and then that label's own label; rounds grow
-    with the logarithm of a component's diameter, and each is a written table.
-    """
-    edges = stored(edges, "edges")
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("component"))
-    while True:
-        labels = stored(labels, "labels")
-        seen = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        nearer = labels.join(seen, "node").select("node", "component", F.least("component", "near").alias("next"))
-        jump = labels.select(F.col("node").alias("next"), F.col("component").alias("far"))
-        moved = stored(nearer.join(jump, "next", "left").select("node", "component", F.least("next", F.coalesce("far", "next")).alias("next")), "labels")
-        labels = moved.select("node", F.col("next").alias("component"))
-        if moved.where("component <> next").isEmpty():
-            return labels
-
-
-def _left_over(buckets: DataFrame, nodes: DataFrame, units: DataFrame, first: DataFrame) -> DataFrame:
-    """Links (a, b) between components of `first` that meet in a bucket."""
-    placed = buckets.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    per = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("weight"))
-    mixed = per.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("components"),
-        F.max_by("component", F.struct("n", "component")).alias("main"),
-        F.ceil(F.greatest(F.sum("n") / PART_NODES, F.sum("weight") / PART_WEIGHT)).cast("int").alias("parts"),
-    ).where("components > 1").drop("components")
-    rows = stored(placed.join(mixed, "bucket"), "mixed-buckets")
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    held = rows.select("bucket", part.alias("part"), F.lit(0).alias("asks"), "node", "component")
-    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    asks = rows.where("component <> main").select("bucket", every.alias("part"), F.lit(1).alias("asks"), "node", "component")
-
-    def dealt(some: DataFrame, what: DataFrame) -> DataFrame:
-        return some.join(what, "node").repartition("bucket", "part").sortWithinPartitions("bucket", "part", "asks")
-
-    near = dealt(held.unionByName(asks), nodes.select("node", "weight", "signature"))
-    found = stored(near.mapInArrow(_compare, "bucket bigint, part int, a bigint, b bigint"), "near")
-    pairs = found.where("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    heavy = found.where("b IS NULL").select("bucket", "part", F.col("a").alias("node")).distinct()
-    where = heavy.select("bucket", "part").distinct()
-    again = held.join(where, ["bucket", "part"], "left_semi").unionByName(asks.join(heavy, ["bucket", "part", "node"], "left_semi"))
-    return _similar(pairs, units).unionByName(dealt(again, units).mapInArrow(_link, "a bigint, b bigint"))
+    def __init__(self, held: pa.Table):
+        self.weight = held["weight"].to_numpy()
+        self.signed = np.frombuffer(b"".join(held["signature"].to_pylist()), np.uint8).reshape(-1, COORDINATES)
+        sets = held["elements"].combine_chunks()
+        self.sizes = np.diff(sets.offsets.to_numpy())
+        units = sets.flatten().to_numpy()
+        order = np.argsort(units, kind="stable")
+        self.units, self.owner = units[order], np.repeat(np.arange(len(self.sizes)), self.sizes)[order]
+
+    def near(self, rows: pa.Table, i: int, others: np.ndarray) -> np.ndarray:
+        """By signature first, and what is near enough by the exact similarity."""
+        weight = rows["weight"][i].as_py()
+        alike = np.minimum(self.weight, weight) >= SIMILAR * np.maximum(self.weight, weight)
+        able = np.flatnonzero(others & alike)
+        able = able[(self.signed[able] == np.frombuffer(rows["signature"][i].as_py(), np.uint8)).sum(1) >= AGREEING]
+        if not len(able):
+            return able
+        mine = rows["elements"][i].values.to_numpy()
+        low, high = np.searchsorted(self.units, mine, "left"), np.searchsorted(self.units, mine, "right")
+        count = high - low
+        at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())
+        common = np.bincount(self.owner[at], minlength=len(self.sizes))[able]
+        return able[common >= SIMILAR * (len(mine) + self.sizes[able] - common)]
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -356,22 +246,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     )
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")  # numbers stay as written
     buckets = stored(_buckets(nodes), "buckets")
-    units = stored(_elements(docs, nodes, buckets, doc_id, text), "elements")
-    lead = buckets.groupBy("bucket").agg(F.min("node").alias("lead"))
-    stars = buckets.join(lead, "bucket").groupBy(F.col("node").alias("b")).agg(F.min("lead").alias("a")).where("a < b")
-    first = components(_similar(stars, units))
-    rest = _left_over(buckets, nodes, units, first)
-    of = first.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-    to = first.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    joined = rest.join(of, "a", "left").join(to, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b")
-    second = components(joined.distinct()).select(F.col("node").alias("component"), F.col("component").alias("whole"))
-    final = (
-        nodes.select("digest", "node", "rep", "n")
-        .join(first, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
-        .join(second, "component", "left")
-        .select("digest", "rep", "n", F.coalesce("whole", "component").alias("class"))
-    )
+    units = _elements(docs, nodes, buckets, doc_id, text)
+    payload = stored(nodes.select("node", "weight", "signature").join(units, "node"), "elements")
+    labels = linking.connected(buckets, payload, Signed)
+    final = nodes.select("digest", "node", "rep", "n").join(labels, "node", "left").select("digest", "rep", "n", F.coalesce("component", "node").alias("class"))
     sizes = final.groupBy("class").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size"))
     named = final.join(sizes, "class").select("digest", "class_id", "class_size")
     linked = rows.where(~alone).select("doc_id", "digest").join(named, "digest").select("doc_id", "class_id", "class_size")
