@@ -1,11 +1,13 @@
 """Components of similar nodes that meet in buckets, without the pairs of a group ever being rows.
 
-First every node goes to one of its buckets, dealt into parts of bounded size; a part searches itself, joins
-what is similar in a union-find and returns a spanning forest, at most one link less than it has nodes. Two
-such rounds, each with other buckets and another deal, cost as much as there are nodes. What they leave is
-settled in full: in every bucket that still holds several components, the nodes outside the largest one are
-looked up in all parts of the bucket, and again only a forest comes back. So no similar pair of a bucket is
-left out, and a group of any size is linear in its nodes as long as its parts hang together.
+Nodes that share one bucket mostly share many. So buckets with the same smallest node are one group, in which every
+node of theirs is once, and what a node holds travels once per group. A group is dealt into parts of bounded size;
+a part searches itself, joins what is similar in a union-find and returns a spanning forest, at most one
+link less than it has nodes. That settles groups of one part. Groups of several parts are dealt and searched
+once more in another way, which joins nearly all that hangs together; then, in groups that still hold several
+components, the nodes outside the largest one are looked up in all parts, and again only a forest comes back. So
+no similar pair of a bucket is left out, and a group of any size is linear in its nodes as long as its parts hang
+together.
 
 What similar means, and how a part is searched, is up to the caller: `index_of(held)` takes the rows of a part
 (an Arrow table) and returns an object whose `near(rows, i, others)` gives the positions of held rows similar
@@ -23,22 +25,21 @@ from pyspark.sql import functions as F
 
 from vitrine.llm.common import stored
 
-PART_NODES, PART_WEIGHT = 1_000, 1_000_000  # of a bucket's nodes that one search holds
-ROUNDS = 2
+PART_NODES, PART_WEIGHT = 1_000, 1_000_000  # of a group's nodes that one search holds
+DEALS = 2
 EDGES = "a bigint, b bigint"
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of the nodes with an edge (a, b); a component is its smallest node.
+    """(node, component) of the nodes with an edge (a, b) of a written table; a component is its smallest node.
 
     Every round takes the smallest label among neighbours and then that label's own label; rounds grow
     with the logarithm of a component's diameter, and each is a written table.
     """
-    edges = stored(edges, "edges")
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("component"))
+    labels = stored(labels, "labels")
     while True:
-        labels = stored(labels, "labels")
         seen = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         nearer = labels.join(seen, "node").select("node", "component", F.least("component", "near").alias("next"))
         jump = labels.select(F.col("node").alias("next"), F.col("component").alias("far"))
@@ -130,52 +131,53 @@ def forest(index_of: Callable) -> Callable:
 # --- tables --------------------------------------------------------------------------------
 
 
-def _parts() -> Column:
-    return F.ceil(F.greatest(F.count(F.lit(1)) / PART_NODES, F.sum("weight") / PART_WEIGHT)).cast("int").alias("parts")
-
-
 def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     """The labels after components have been linked."""
+    if links.isEmpty():
+        return labels
     whole = components(links).select(F.col("node").alias("component"), F.col("component").alias("whole"))
     return stored(labels.join(whole, "component", "left").select("node", F.coalesce("whole", "component").alias("component")), "labels")
 
 
 def _searched(rows: DataFrame, payload: DataFrame, index_of: Callable) -> DataFrame:
+    """Links of rows (bucket, part, asks, node, component)."""
     dealt = rows.join(payload, "node").repartition("bucket", "part").sortWithinPartitions("bucket", "part", "asks")
     return stored(dealt.mapInArrow(forest(index_of), EDGES), "links")
 
 
+def _grouped(buckets: DataFrame) -> DataFrame:
+    """(bucket, node, parts): groups of more than one node, named by the smallest node of their buckets."""
+    lead = buckets.groupBy("bucket").agg(F.min("node").alias("lead"))
+    led = buckets.join(lead, "bucket").groupBy(F.col("lead").alias("bucket"), "node").agg(F.max("weight").alias("weight"))
+    parts = F.ceil(F.greatest(F.count(F.lit(1)) / PART_NODES, F.sum("weight") / PART_WEIGHT)).cast("int")
+    sizes = led.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), parts.alias("parts")).where("n > 1").drop("n")
+    return stored(led.join(sizes, "bucket").select("bucket", "node", "parts"), "groups")
+
+
+def _part(salt: int) -> Column:
+    return F.pmod(F.xxhash64("node", F.lit(salt)), F.col("parts")).cast("int").alias("part")
+
+
 def connected(buckets: DataFrame, payload: DataFrame, index_of: Callable) -> DataFrame:
     """(node, component) of all nodes of `buckets` (bucket, node, weight), each at most once per bucket.
 
     `payload` has one row per node with the columns that `index_of` reads, `weight` says how much a node holds.
     """
-    labels = buckets.select("node").distinct().withColumn("component", F.col("node"))
-    for turn in range(ROUNDS):
-        placed = buckets.join(labels, "node")
-        mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-        one = placed.join(mixed, "bucket").groupBy("node", "component", "weight").agg(
-            F.min_by("bucket", F.struct(F.xxhash64("bucket", F.lit(turn)), "bucket")).alias("bucket")
-        )
-        one = stored(one, "dealt-nodes")
-        many = one.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), _parts()).where("n > 1").drop("n")
-        part = F.pmod(F.xxhash64("node", F.lit(turn)), F.col("parts")).cast("int").alias("part")
-        rows = one.join(many, "bucket").select("bucket", part, F.lit(0).alias("asks"), "node", "component")
-        links = _searched(rows, payload, index_of)
-        if links.isEmpty():
-            break
-        labels = _joined(labels, links)
-    placed = buckets.join(labels, "node")
-    per = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("weight"))
-    mixed = per.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("components"),
-        F.max_by("component", F.struct("n", "component")).alias("main"),
-        F.ceil(F.greatest(F.sum("n") / PART_NODES, F.sum("weight") / PART_WEIGHT)).cast("int").alias("parts"),
-    ).where("components > 1").drop("components")
-    rows = stored(placed.join(mixed, "bucket"), "mixed-buckets")
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part")
+    groups = _grouped(buckets)
+    own = groups.select("bucket", _part(0), F.lit(0).alias("asks"), "node", F.col("node").alias("component"))
+    labels = groups.select("node").distinct().withColumn("component", F.col("node"))
+    labels = _joined(labels, _searched(own, payload, index_of))
+    large = groups.where("parts > 1")
+    if large.isEmpty():
+        return labels
+    for deal in range(1, DEALS):
+        again = large.join(labels, "node").select("bucket", _part(deal), F.lit(0).alias("asks"), "node", "component")
+        labels = _joined(labels, _searched(again, payload, index_of))
+    placed = large.join(labels, "node")
+    per = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    mixed = per.groupBy("bucket").agg(F.count(F.lit(1)).alias("components"), F.max_by("component", F.struct("n", "component")).alias("main"))
+    rows = stored(placed.join(mixed.where("components > 1").drop("components"), "bucket"), "mixed-groups")
     every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    held = rows.select("bucket", part, F.lit(0).alias("asks"), "node", "component")
+    held = rows.select("bucket", _part(0), F.lit(0).alias("asks"), "node", "component")
     asks = rows.where("component <> main").select("bucket", every, F.lit(1).alias("asks"), "node", "component")
-    links = _searched(held.unionByName(asks), payload, index_of)
-    return labels if links.isEmpty() else _joined(labels, links)
+    return _joined(labels, _searched(held.unionByName(asks), payload, index_of))

@@ -11,7 +11,7 @@ a linked pair's joint SKETCH smallest at least four fifths are expected in both,
 third of its numbers with the other but for a chance of 6 in 10^15 (texts of up to SKETCH shingles: certainly).
 Texts sharing less with all other texts have no link and are done. Of the others' shared numbers, ordered by
 how many texts have them, the frequent ones that any partner must exceed are left out; each remaining
-number is a bucket, whose texts are searched in parts of bounded size (see linking).
+number is a bucket, and buckets with the same texts are searched together, in parts of bounded size (see linking).
 
 Equal sets are one node. Shingles are 64-bit hashes.
 
