@@ -7,9 +7,6 @@ the ends they point at; the pointer whose token ends earlier moves on, both wher
 and closes the lane's group. Lanes that have come to their end leave the vectors. A lane is a text or a stretch
 of one: every LANE-th A token that ends where a B token ends starts a new lane, so long texts don't keep a batch waiting.
 
-Words (runs that neither tokenizer joins with what stands beside them) are encoded once by the libraries and
-remembered up to a bound.
-
 A pair's count is the number of documents that hold it. The tasks count before the shuffle; the commonest
 pairs, HEAD_PAIRS at most, go to all tasks as two arrays, as every document has some of them; the documents' other
 pairs are joined with their counts. Both ways run at any size.
@@ -24,13 +21,14 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -41,107 +39,85 @@ from vitrine.llm.pieces import SPACE, PieceModel
 A_PATH, B_PATH = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 BATCH_CHARS = 1_000_000  # of texts that are aligned together; a longer text is a batch
 LANE = 256  # A tokens, about
-KNOWN_WORDS, KNOWN_TOKENS = 200_000, 2_000_000
+KNOWN_WORDS, LONGEST_KNOWN = 200_000, 40  # words that are remembered, and their characters
 HEAD_PAIRS = 1_000_000
 TASK_PAIRS = 2_000_000  # counted in a task before they are handed on
 GROUP_PAIRS = 4_096  # a group of more links is paired by different ids
 
-# White space as the byte-level pattern has it; a run's last space goes with the word after it.
-_WHITE = "\t-\r \x85\xa0  -     　"
-_A_WORDS = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]")
-
-
-# --- words to tokens -----------------------------------------------------------------------
-
-
-class _Words(dict):
-    """Word → number; the tokens of all numbered words lie in one array."""
-
-    def __init__(self, encode, lengths: np.ndarray):
-        self._encode, self._lengths = encode, lengths
-        self._forget()
-
-    def _forget(self) -> None:
-        self.clear()
-        self._new: list[str] = []
-        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.tokens, self.exact = np.zeros(0, np.int32), np.zeros(0, bool)
+# Fixed value: how a byte-level vocabulary of this kind splits a text before it merges bytes.
+_A_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 
-    def __missing__(self, word: str) -> int:
-        number = self[word] = len(self)
-        self._new.append(word)
-        return number
 
-    def encode(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(tokens of all texts, number of tokens of each, whether each one's tokens have its bytes)."""
-        if len(self) > KNOWN_WORDS or len(self.tokens) > KNOWN_TOKENS:
-            self._forget()
-        words = np.fromiter((self[w] for text in texts for w in text), np.int64, sum(map(len, texts)))
-        if self._new:
-            ids, exact = self._encode(self._new)
-            sizes = np.array([len(x) for x in ids], np.int64)
-            self.start = np.concatenate([self.start, len(self.tokens) + np.cumsum(sizes) - sizes])
-            self.size = np.concatenate([self.size, sizes])
-            self.tokens = np.concatenate([self.tokens, *(np.array(x, np.int32) for x in ids)])
-            self.exact = np.concatenate([self.exact, np.array(exact, bool)])
-            self._new = []
-        of = np.repeat(np.arange(len(texts)), [len(text) for text in texts])
-        size = self.size[words]
-        at = np.repeat(self.start[words] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        good = np.bincount(of, ~self.exact[words], len(texts)) == 0
-        return self.tokens[at], np.bincount(of, size, len(texts)).astype(np.int64), good
+# --- texts to tokens -----------------------------------------------------------------------
 
 
 class TokenizerA:
-    """A byte-level vocabulary: encodes the text with a space before it."""
+    """A byte-level vocabulary: encodes the text with a space before it.
+
+    If its numbers are the ranks of its merges, which is checked, a text is merged by ranks; otherwise by the list of merges.
+    """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
+            stored_form = json.load(file)
+        special = {token["content"] for token in stored_form["added_tokens"]}
+        vocabulary, merges = stored_form["model"]["vocab"], stored_form["model"]["merges"]
         # Bytes that print stand for themselves, the others for the characters from 256 up, in order.
         printing = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = [b for b in range(256) if b not in set(printing)]
+        others = sorted(set(range(256)) - set(printing))
         byte_of = {chr(b): b for b in printing} | {chr(256 + n): b for n, b in enumerate(others)}
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
         for entry, number in vocabulary.items():
-            self.bytes[number] = bytes(byte_of.get(c, 0) for c in entry)
+            self.bytes[number] = entry.encode() if entry in special else bytes(byte_of[c] for c in entry)
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
-        self._words = _Words(self._encode, self.lengths)
-
-    def _encode(self, words: list[str]) -> tuple[list[list[int]], list[bool]]:
-        ids = [e.ids for e in self._tokenizer.encode_batch(words, add_special_tokens=False)]
-        return ids, [b"".join(map(self.bytes.__getitem__, x)) == w.encode() for x, w in zip(ids, words)]
+        joined = ["".join(m.split(" ") if isinstance(m, str) else m) for m in merges]
+        if [vocabulary.get(m) for m in joined] == list(range(256, 256 + len(joined))):
+            ranks = {self.bytes[number]: number for entry, number in vocabulary.items() if entry not in special}
+            self._ids = tiktoken.Encoding(os.path.basename(path), pat_str=_A_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        else:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+            tokenizer = Tokenizer.from_file(path)
+            tokenizer.encode_special_tokens = True
+            self._ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return self._words.encode([_A_WORDS.findall(" " + text) if text else [] for text in texts])
+    def ids(self, text: str) -> list[int]:
+        return self._ids(" " + text)
 
 
 class TokenizerB:
-    """A piece vocabulary, which puts the space before the text itself."""
+    """A piece vocabulary, which puts the space before the text itself.
+
+    No piece goes on from one word into the next (see `PieceModel.words`), so words are encoded one by one by the
+    library and remembered, up to a bound.
+    """
 
     def __init__(self, path: str):
         with open(path, "rb") as file:
             self.model = PieceModel(file.read())
-        self._processor = sentencepiece.SentencePieceProcessor(model_file=path)
         byte_of = self.model.byte_of
         self.bytes = [bytes([byte_of[n]]) if n in byte_of else p.replace(SPACE, " ").encode() for n, p in enumerate(self.model.pieces)]
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
-        self._words = _Words(self._encode, self.lengths)
-        self._before = self._processor.encode("\n")  # a space and the \n
+        encode = sentencepiece.SentencePieceProcessor(model_file=path).encode_as_ids
+        before = encode("\n")  # a space and the \n, over which no piece goes either
+
+        class Words(dict):
+            def __missing__(self, word: str) -> list[int]:
+                if word == SPACE:
+                    ids = before[:1]
+                elif word[0] == SPACE:
+                    ids = encode(word[1:].replace(SPACE, " "))
+                else:
+                    ids = encode("\n" + word)[len(before) :]
+                if len(self) >= KNOWN_WORDS:
+                    self.clear()
+                if len(word) <= LONGEST_KNOWN:
+                    self[word] = ids
+                return ids
 
-    def _encode(self, words: list[str]) -> tuple[list[list[int]], list[bool]]:
-        plain = [w[1:].replace(SPACE, " ") if w[0] == SPACE else "\n" + w for w in words]  # nothing goes on over \n
-        ids = self._processor.encode(plain, num_threads=1)
-        ids = [self._before[:1] if w == SPACE else x if w[0] == SPACE else x[len(self._before) :] for x, w in zip(ids, words)]
-        return ids, [b"".join(map(self.bytes.__getitem__, x)) == w.replace(SPACE, " ").encode() for x, w in zip(ids, words)]
+        self._word = Words().__getitem__
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        find = self.model.words.findall
-        tokens, sizes, good = self._words.encode([find(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts])
-        return tokens, sizes, good & np.array([SPACE not in text for text in texts], bool)
+    def ids(self, text: str) -> list[int]:
+        return list(chain.from_iterable(map(self._word, self.model.words.findall(SPACE + text.replace(" ", SPACE)))))
 
 
 @lru_cache(maxsize=2)
@@ -254,11 +230,16 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str
 def aligned_texts(texts: list[str], a_path: str = A_PATH, b_path: str = B_PATH) -> dict[str, np.ndarray | list]:
     """Per text n_a, n_b, n_groups, form; and its different pairs: a list's end, pairs, times."""
     first, second = tokenizers(a_path, b_path)
-    a, n_a, good_a = first.encode(texts)
-    b, n_b, good_b = second.encode(texts)
-    good = good_a & good_b & (n_a > 0)
-    a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
-    n_a, n_b = np.where(good, n_a, 0), np.where(good, n_b, 0)
+    ids = ([], [])
+    good = np.zeros(len(texts), bool)
+    for number, text in enumerate(texts):
+        own = [side.ids(text) for side in (first, second)] if text else []
+        exact = (" " + text).encode()
+        good[number] = bool(own) and all(b"".join(map(side.bytes.__getitem__, x)) == exact for side, x in zip((first, second), own))
+        for all_ids, x in zip(ids, own if good[number] else ([], [])):
+            all_ids.append(x)
+    n_a, n_b = (np.fromiter(map(len, x), np.int64, len(texts)) for x in ids)
+    a, b = (np.fromiter(chain.from_iterable(x), np.int32, n.sum()) for x, n in zip(ids, (n_a, n_b)))
     some = np.flatnonzero(good)
     a_cut, b_cut = cuts(
         np.cumsum(first.lengths[a]), np.cumsum(second.lengths[b]), (np.cumsum(n_a) - n_a)[some], (np.cumsum(n_b) - n_b)[some]
