@@ -71,6 +71,20 @@ def test_many_copies_and_ties_take_the_smallest_ids(spark):
         assert [i for i, _ in best] == [i for i in range(7) if i != q][:5]
 
 
+def test_many_parallel_vectors_of_different_lengths(spark):
+    rows = [(n, [x * 2.0 ** (n % 30 - 15) for x in (1.0, 2.0, 0.5)]) for n in range(60)]
+    got = search(spark, rows)
+    assert {q: [i for i, _ in best] for q, best in got.items()} == {0: [1, 2, 3, 4, 5], 50: [0, 1, 2, 3, 4]}
+
+
+def test_recall_beside_a_tight_cluster(spark):
+    random = np.random.default_rng(7)
+    rows = [(n, [float(x) for x in random.normal(size=16)]) for n in range(800)]
+    rows += [(800 + n, [float(x) for x in np.eye(16)[3] + 1e-4 * random.normal(size=16)]) for n in range(400)]
+    got, want = search(spark, rows), plain(rows)
+    assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) >= 0.9 * 5 * len(want)
+
+
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, None), (3, []), (4, [0.0, 0.0]), (5, [1.0, nan]), (6, [inf, 1.0]), (7, [None, 1.0]),

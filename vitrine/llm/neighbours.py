@@ -40,6 +40,7 @@ LEAST_ROWS = 50  # of a block; a table of fewer rows than two blocks is one bloc
 PART_ROWS = 20_000
 QUERY_EVERY = 50
 SEED = 20
+ROUNDING = 1e-12  # of a cosine computed by matrix product
 
 
 # --- the curves ----------------------------------------------------------------------------
@@ -131,12 +132,16 @@ def _search(width: int):
         for start in range(0, len(vectors), 256):
             some = slice(start, start + 256)
             score = (vectors[some] @ held.T) / norms
-            keep = min(width + 2, len(held))
-            near = np.argpartition(-score, keep - 1, axis=1)[:, :keep]
-            for query, entry, vector, norm in zip(near, queries.column("entry").to_pylist()[some], vectors[some], own[some]):
+            keep = min(width, len(held))
+            # All that may be among the nearest by the exact score, ties included, are scored exactly.
+            least = np.partition(score, len(held) - keep, axis=1)[:, len(held) - keep] - ROUNDING * own[some]
+            for row, low, entry, vector, norm in zip(score, least, queries.column("entry").to_pylist()[some], vectors[some], own[some]):
+                near = np.flatnonzero(row >= low)
                 # The same sum wherever the pair is met.
-                exact = (held[query] * vector).sum(1) / (norms[query] * norm)
-                found = sorted((-s, i) for s, row in zip(exact.tolist(), query) for i in ids[row])[:width]
+                exact = (held[near] * vector).sum(1) / (norms[near] * norm)
+                if len(near) > width:
+                    near, exact = near[exact >= (cut := np.partition(exact, len(near) - width)[len(near) - width])], exact[exact >= cut]
+                found = sorted((-s, i) for s, n in zip(exact.tolist(), near) for i in ids[n])[:width]
                 for s, i in found:
                     yield entry, i, -s
 
@@ -187,7 +192,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = NEAREST, vec_id: str
     blocks = max(1, min(BLOCKS, known.count() // LEAST_ROWS))
     shares = [n / blocks for n in range(1, blocks)] or [0.0]  # a cut below all keys if there is one block
     cuts = placed.groupBy("curve").agg(F.percentile_approx("key", shares, 10_000).alias("cuts"))
-    block = F.size(F.filter("cuts", lambda c: c <= F.col("key")))
+    # Cuts that fall on one key are one cut, so no block between them is empty.
+    block = F.size(F.filter(F.array_distinct("cuts"), lambda c: c <= F.col("key")))
     blocked = stored(placed.join(cuts, "curve").select("entry", "curve", block.alias("block")), "curve-blocks")
     parts = blocked.groupBy("curve", "block").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("parts"))
     slim = known.select("entry", "vec", "ids")
