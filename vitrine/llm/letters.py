@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 SPACE = 32
-SLICE = 400_000  # characters of a text that are worked on at once; longer texts are cut between words
+SLICE = 400_000  # characters of a text that are worked on at once; longer texts are cut after a sign that is no letter
 
 
 @lru_cache(maxsize=1)
@@ -20,15 +20,25 @@ def _is_letter() -> np.ndarray:
     return known
 
 
+def _between_words(text: str) -> int:
+    """Where a text longer than SLICE is cut: after its last sign within SLICE that is no letter, else after the
+    first one beyond, so that no word is ever cut."""
+    before = next((i + 1 for i in range(SLICE - 1, -1, -1) if not text[i].isalpha()), None)
+    return before or next((i + 1 for i in range(SLICE, len(text)) if not text[i].isalpha()), len(text))
+
+
 def slices(texts: list[str | None]) -> Iterator[tuple[list[str], np.ndarray]]:
-    """Groups of lower-cased texts of about SLICE characters, with the position of each one's text in `texts`."""
+    """Groups of lower-cased texts of about SLICE characters, with the position of each one's text in `texts`.
+
+    A longer group holds a single word of that length.
+    """
     group, at, size = [], [], 0
     for number, text in enumerate(texts):
         rest = (text or "").lower()
         while rest:
             part, rest = rest, ""
             if len(part) > SLICE:
-                cut = part.rfind(" ", 1, SLICE) + 1 or SLICE
+                cut = _between_words(part)
                 part, rest = part[:cut], part[cut:]
             group.append(part)
             at.append(number)
