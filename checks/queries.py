@@ -429,8 +429,11 @@ def obfuscated_emails(spark, sf):
 
 PHONE_RUN = contacts.PHONE_RUN
 E164 = f"""CASE WHEN regexp_matches(run, '{contacts.TOUCHED_RUN}') THEN NULL
-  WHEN left(run, 1) = '+' AND regexp_full_match(d, '91[6-9][0-9]{{9}}|91[1-5][0-9]{{9}}|91({contacts.SERVICE_NUMBER})|{contacts._FOREIGN}') THEN '+' || d
-  WHEN left(run, 1) = '+' THEN NULL
+  WHEN left(run, 1) = '+' AND left(d, 1) = '0' THEN NULL
+  WHEN left(run, 1) = '+' OR left(d, 2) = '00' THEN CASE
+    WHEN regexp_full_match(ltrim(d, '0'), '{contacts.INDIAN_NUMBER}') THEN '+' || ltrim(d, '0')
+    WHEN regexp_matches(ltrim(d, '0'), '{contacts.KNOWN_CODE}') AND NOT regexp_matches(ltrim(d, '0'), '{contacts.KNOWN_NUMBER}') THEN NULL
+    WHEN regexp_full_match(ltrim(d, '0'), '{contacts._FOREIGN}') THEN '+' || ltrim(d, '0') END
   WHEN regexp_full_match(d, '0?[6-9][0-9]{{9}}') THEN '+91' || ltrim(d, '0')
   WHEN regexp_full_match(d, '91[6-9][0-9]{{9}}') THEN '+' || d
   WHEN regexp_full_match(d, '{contacts.SERVICE_NUMBER}') THEN '+91' || d
@@ -443,7 +446,7 @@ E164 = f"""CASE WHEN regexp_matches(run, '{contacts.TOUCHED_RUN}') THEN NULL
     runs AS (SELECT origin, id, unnest(regexp_extract_all(text, '{PHONE_RUN}')) AS run FROM texts),
     whole AS (SELECT origin, id, run, {E164} AS phone FROM (SELECT *, regexp_replace(run, '[^0-9]', '', 'g') AS d FROM runs)),
     words AS (SELECT origin, id, run, regexp_replace(run, '[^0-9]', '', 'g') AS d
-      FROM (SELECT origin, id, unnest(string_split_regex(run, ' +')) AS run FROM whole WHERE phone IS NULL) WHERE regexp_full_match(run, '([+]91|0)?[6-9][0-9]{{9}}'))
+      FROM (SELECT origin, id, unnest(regexp_extract_all(run, '{contacts.NUMBER_IN_RUN}')) AS run FROM whole WHERE phone IS NULL))
     SELECT DISTINCT origin, id, phone FROM (SELECT origin, id, phone FROM whole UNION ALL SELECT origin, id, {E164} FROM words) WHERE phone IS NOT NULL""",
 )
 def phones_in(spark, sf):
@@ -956,7 +959,7 @@ def _outcomes(spark, sf) -> DataFrame:
     SELECT candidate_id, batch FROM ranked WHERE batch IN (SELECT batch FROM reached WHERE before_it < {TARGET})""",
 )
 def run_to_target(spark, sf):
-    return runs.run_to_target(_outcomes(spark, sf), TARGET, bucket_width=200).select("candidate_id", "batch")
+    return runs.run_to_target(_outcomes(spark, sf), TARGET, slice_rows=200).select("candidate_id", "batch")
 
 
 @query(
@@ -967,7 +970,7 @@ def run_to_target(spark, sf):
     SELECT candidate_id, batch FROM ranked WHERE batch IN (SELECT batch FROM reached WHERE before_it < {TARGET})""",
 )
 def run_to_unique_target(spark, sf):
-    return runs.run_to_target(_outcomes(spark, sf), TARGET, unique=True, bucket_width=200).select("candidate_id", "batch")
+    return runs.run_to_target(_outcomes(spark, sf), TARGET, unique=True, slice_rows=200).select("candidate_id", "batch")
 
 
 # --- crawl log -----------------------------------------------------------------------------------------
@@ -1123,7 +1126,7 @@ def _in_files(df: DataFrame, key: str) -> DataFrame:
 
 def _ranked(df: DataFrame, seq: str) -> DataFrame:
     """The rank a source's own numbers give, by sums over slices of the numbers."""
-    return running_total(df, [seq], F.lit(1), F.shiftright(seq, 36), "place").drop(seq)
+    return running_total(df, [seq], F.lit(1), F.col(seq), "place").drop(seq)
 
 
 @query("text_seed_source", "SELECT url AS source_value, row_number() OVER (ORDER BY page_id) AS place FROM pages")
@@ -1219,13 +1222,38 @@ def worksheet_file(spark, sf):
 
 @query("incremental_verify", VERDICT_SQL)
 def incremental_verify(spark, sf):
-    """Page drops arrive in three lots; the stream ends with the batch job's answer."""
+    """Page drops arrive in five lots, each a micro-batch; every store's pages come in several of them, and the
+    stream ends with the batch job's answer. The state is compacted on the way."""
     root = new_folder(spark, "stream")
     pages = i.crawl(spark, sf)
-    for lot, condition in enumerate(("page_seq = 0", "page_seq = 1", "page_seq > 1")):
-        pages.where(condition).write.parquet(f"{root}/drops/lot={lot}")
-    query = verify_arrivals(spark, f"{root}/drops/*", root, i.carts(spark, sf), i.dns(spark, sf))
+    for lot in range(5):
+        pages.where(f"(store_id + page_seq) % 5 = {lot}").coalesce(1).write.parquet(f"{root}/drops/lot={lot}")
+    query = verify_arrivals(spark, f"{root}/drops/*", root, i.carts(spark, sf), i.dns(spark, sf), max_files=1, most_deltas=2)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
     return _flat_verdicts(sinks.StoreSnapshots(spark, f"{root}/state").read(), "candidate_id")
+
+
+BATCHES = 5
+
+
+@query(
+    "compacted_state",
+    f"""WITH {STORES}, written AS (
+      SELECT candidate_id, state, accepted, checked_us, 0 AS batch FROM stores
+      UNION ALL SELECT candidate_id, 'batch ' || b, accepted, checked_us + CASE WHEN candidate_id % 3 = 0 THEN -500 ELSE 100 * b END, b
+      FROM stores, range(1, {BATCHES + 1}) t(b) WHERE candidate_id % (b + 1) = 0)
+    SELECT candidate_id, state, accepted, checked_us FROM (
+      SELECT *, row_number() OVER (PARTITION BY candidate_id ORDER BY checked_us DESC, batch DESC) AS rn FROM written) WHERE rn = 1""",
+)
+def compacted_state(spark, sf):
+    """The whole state after commits that overlap, some of them late, with compactions in between."""
+    snapshots = sinks.StoreSnapshots(spark, new_folder(spark, "state"), slice_rows=500, most_deltas=2)
+    stores = i.stores(spark, sf)
+    snapshots.commit(stores, 0)
+    for batch in range(1, BATCHES + 1):
+        late = F.when(F.col("candidate_id") % 3 == 0, -500).otherwise(100 * batch)
+        changed = {"state": F.lit(f"batch {batch}"), "checked_at": F.timestamp_micros(F.unix_micros("checked_at") + late)}
+        snapshots.commit(stores.where(F.col("candidate_id") % (batch + 1) == 0).withColumns(changed), batch)
+    return snapshots.read().select("candidate_id", "state", "accepted", F.unix_micros("checked_at").alias("checked_us"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from vitrine import schemas
 from vitrine.operators import crawl_log
-from vitrine.operators.skew import hot_key_join, previous_row, running_total
+from vitrine.operators.skew import hot_key_join, previous_row, running_total, sliced
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -19,8 +19,8 @@ def test_previous_row_with_one_hot_key(spark):
     rng = random.Random(2)
     rows = [("hot" if rng.random() < 0.5 else f"k{rng.randrange(9)}", n, rng.randrange(10**6)) for n in rng.sample(range(5000), 900)]
     df = spark.createDataFrame(rows, "k string, t int, v int").repartition(5)
-    for width in (7, 100, 100000):
-        got = {(r.k, r.t): r.prev_v for r in previous_row(df, ["k"], ["t"], ["v"], F.floor(F.col("t") / width)).collect()}
+    for most in (7, 100, 100000):
+        got = {(r.k, r.t): r.prev_v for r in previous_row(df, ["k"], ["t"], ["v"], F.col("t"), slice_rows=most).collect()}
         last, expected = {}, {}
         for k, t, v in sorted(rows, key=lambda r: r[1]):
             expected[(k, t)] = last.get(k)
@@ -28,11 +28,22 @@ def test_previous_row_with_one_hot_key(spark):
         assert got == expected
 
 
+def test_slices_follow_the_rows_however_they_lie(spark):
+    """A third of all rows in one minute of one host."""
+    rows = [("hot", 10**6 + n) for n in range(2000)] + [("hot", n * 10**7) for n in range(500)] + [(f"k{n % 900}", n) for n in range(3500)]
+    df = spark.createDataFrame(rows, "k string, t long").repartition(7)
+    got = sliced(df, ["k"], F.col("t"), slice_rows=100)
+    sizes = got.groupBy("k", "_slice").count().collect()
+    assert max(r["count"] for r in sizes) <= 200 and len({r._slice for r in sizes if r.k == "hot"}) >= 20
+    ends = got.groupBy("k", "_slice").agg(F.min("t").alias("low"), F.max("t").alias("high")).where("k = 'hot'").orderBy("_slice").collect()
+    assert all(a.high < b.low for a, b in zip(ends, ends[1:]))
+
+
 def test_running_total(spark):
     rng = random.Random(4)
     rows = [(n, rng.randrange(-3, 9)) for n in rng.sample(range(3000), 700)]
     df = spark.createDataFrame(rows, "t int, v int").repartition(6)
-    got = {r.t: r.total for r in running_total(df, ["t"], F.col("v"), F.floor(F.col("t") / 50), "total").collect()}
+    got = {r.t: r.total for r in running_total(df, ["t"], F.col("v"), F.col("t"), "total", slice_rows=50).collect()}
     total, expected = 0, {}
     for t, v in sorted(rows):
         total += v
@@ -94,6 +105,14 @@ def test_robots(spark):
     assert named["https://a.in/ok"] is False and named["https://b.in/x"] is True
 
 
+def test_a_host_with_very_many_rules(spark):
+    rules = spark.range(100_000).selectExpr("'a.in' AS host", "'*' AS agent", "cast(id AS int) AS rule_order", "concat('/p', id) AS path", "id % 2 = 0 AS allow")
+    wanted = spark.createDataFrame([(f"https://a.in{p}",) for p in ("/p7", "/p70000/x", "/p99999", "/p8", "/q", "")] * 2, "url string")
+    got = [(r.url[12:], r.robots_allowed) for r in crawl_log.robots_verdict(wanted, rules, "bot").collect()]
+    # The first rule in order counts: /p7 comes before /p70000, which allows.
+    assert sorted(got) == sorted([("/p7", False), ("/p70000/x", False), ("/p99999", False), ("/p8", True), ("/q", True), ("", True)] * 2)
+
+
 def test_captures_and_content(spark):
     rows = [("u", "20240101", "200", "A"), ("u", "20240102", "404", "B"), ("u", "20240103", "200", "A"), ("u", "20240201", "200", "A"),
             ("u", "20240202", "200", "B"), ("u", "20240301", "200", "A"), ("v", "20240101", "200", "A")]

@@ -105,10 +105,50 @@ def test_run_stops_between_batches(spark):
                         break
                     done = at + len(part)
                     seen |= {d for _, a, d in part if a}
-                got = runs.run_to_target(df, target, unique=unique, max_candidates=most, batch=16, bucket_width=37)
+                got = runs.run_to_target(df, target, unique=unique, max_candidates=most, batch=16, slice_rows=37)
                 assert got.count() == done, (unique, target, most)
 
 
+def test_a_run_reads_no_further_than_its_answer(spark, tmp_path):
+    path = str(tmp_path / "outcomes")
+    rows = spark.range(20_000).selectExpr("id AS candidate_id", "id AS discovered_seq", "id % 2 = 0 AS accepted", "concat('https://s', id, '.in') AS domain_url")
+    rows.repartitionByRange(20, "discovered_seq").write.parquet(path)
+    late = spark.read.parquet(path).where("discovered_seq >= 6000").count()
+    bad = spark.read.parquet(path).withColumn("accepted", F.expr("CASE WHEN discovered_seq < 12000 THEN accepted ELSE cast(raise_error('read too far') AS boolean) END"))
+    got = runs.run_to_target(bad, 500, batch=40)
+    assert late == 14_000 and got.count() == 1000
+    assert runs.run_to_target(spark.read.parquet(path), 10**9, batch=40).count() == 20_000
+
+
+def test_a_small_batch_writes_its_own_records(spark, stores, tmp_path):
+    state = sinks.StoreSnapshots(spark, str(tmp_path / "state"), slice_rows=400, most_deltas=3)
+    state.commit(stores(*[store(n) for n in range(2000)]), 0)
+    assert state.compact(force=True)
+    base, _ = state.entries()
+    assert len(base) == 5 and sum(r.n_rows for r in base) == 2000
+    assert all(a.high < b.low for a, b in zip(sorted(base, key=lambda r: r.low), sorted(base, key=lambda r: r.low)[1:]))
+    later = NOW + dt.timedelta(1)
+    state.commit(stores(*[store(n, state="Goa", checked_at=later) for n in range(50)], store(60, state="Goa", checked_at=NOW - dt.timedelta(1))), 1)
+    again, deltas = state.entries()
+    assert [r.path for r in again] == [r.path for r in base] and [r.n_rows for r in deltas] == [50]  # a late record is not written
+    found = {r.candidate_id: r.state for r in state.read().collect()}
+    assert len(found) == 2000 and {n for n, s in found.items() if s == "Goa"} == set(range(50))
+    few = spark.createDataFrame([(7,), (1999,), (5000,)], "candidate_id bigint")
+    assert {r.candidate_id: r.state for r in state.read(few).collect()} == {7: "Goa", 1999: "Maharashtra"}
+    # Only files whose keys can hold them are opened.
+    assert len(state._holding(again, few)) == 2
+    for n in range(2, 5):
+        state.commit(stores(store(3000 + n), store(7, state=f"s{n}", checked_at=later)), n)
+    again, deltas = state.entries()
+    assert [r.path for r in again] == [r.path for r in base] and [r.n_rows for r in deltas] == [50 + 3]  # deltas merged, base untouched
+    assert {r.candidate_id: r.state for r in state.read().where("candidate_id in (7, 8, 3004)").collect()} == {7: "s4", 8: "Goa", 3004: "Maharashtra"}
+    state.commit(stores(*[store(n, state="Kerala", checked_at=later) for n in range(1000, 1700)]), 9)
+    state.compact(force=True)
+    base, deltas = state.entries()
+    assert not deltas and sum(r.n_rows for r in base) == 2003 and state.knows(9) and state.knows(1)
+    assert state.read().where("state = 'Kerala'").count() == 700
+
+
 def candidates(spark, *rows):
     return spark.createDataFrame([(n, f"k{n}", "d", s, 0, n, None) for n, s in rows], schemas.CANDIDATES)
 

@@ -14,14 +14,6 @@ def _seconds(later: Column, earlier: Column) -> Column:
     return (F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(1e6)
 
 
-def _hour(ts: str) -> Column:
-    return F.floor(F.unix_micros(ts) / F.lit(3600 * 1_000_000))
-
-
-def _minute(ts: str) -> Column:
-    return F.floor(F.unix_micros(ts) / F.lit(60 * 1_000_000))
-
-
 # --- content ----------------------------------------------------------------------
 
 
@@ -87,7 +79,7 @@ def retry_delays(log: DataFrame) -> DataFrame:
     """Per retry: the wait its predecessor asked for and the wait that was kept."""
     rated = retry_log(log)
     paired = previous_row(
-        rated, ["host", "url"], ["start_ts", "attempt"], ["end_ts", "outcome", "expected_delay"], _hour("start_ts")
+        rated, ["host", "url"], ["start_ts", "attempt"], ["end_ts", "outcome", "expected_delay"], F.unix_micros("start_ts")
     )
     return paired.where("prev_outcome = 'retry'").select(
         "host",
@@ -104,7 +96,7 @@ def retry_delays(log: DataFrame) -> DataFrame:
 
 def politeness_gaps(log: DataFrame) -> DataFrame:
     """Per request: time since the host's previous request ended, and rule breaches."""
-    paired = previous_row(log, ["host"], ["start_ts", "url", "attempt"], ["end_ts"], _hour("start_ts"))
+    paired = previous_row(log, ["host"], ["start_ts", "url", "attempt"], ["end_ts"], F.unix_micros("start_ts"))
     gap = _seconds(F.col("start_ts"), F.col("prev_end_ts"))
     return paired.withColumn("gap", gap).select(
         "host",
@@ -129,7 +121,7 @@ def in_flight(log: DataFrame, limit: int = fv.GLOBAL_CONCURRENCY) -> DataFrame:
     ).select("s.*")
     # Equal moments are one row, so the running sum has no ties.
     moments = steps.groupBy("ts").agg(F.sum("step").alias("step"))
-    running = running_total(moments, ["ts"], F.col("step"), _minute("ts"), "open_requests")
+    running = running_total(moments, ["ts"], F.col("step"), F.unix_micros("ts"), "open_requests")
     return running.select("ts", "open_requests", (F.col("open_requests") > limit).alias("over_limit"))
 
 
@@ -137,44 +129,41 @@ def in_flight(log: DataFrame, limit: int = fv.GLOBAL_CONCURRENCY) -> DataFrame:
 
 
 def host_rules(rules: DataFrame, agent: str) -> DataFrame:
-    """One row per host: the ordered rules of the agent's own group, else of `*`.
-
-    A host's rules fit one robots file, which the body cap bounds.
-    """
+    """(host, path, rule_order, allow) of the agent's own group, else of `*`; a path once, with its first rule."""
     mine = (F.col("agent") != "*") & F.lit(agent.lower()).contains(F.lower("agent"))
-    rule = F.struct("rule_order", "path", "allow")
-    grouped = (
-        rules.where(mine | (F.col("agent") == "*"))
-        .groupBy("host")
-        .agg(
-            F.array_sort(F.collect_list(F.when(mine, rule))).alias("own"),
-            F.array_sort(F.collect_list(F.when(~mine, rule))).alias("common"),
-        )
-    )
-    return grouped.select("host", F.when(F.size("own") > 0, F.col("own")).otherwise(F.col("common")).alias("rules"))
+    asked = rules.withColumn("_mine", mine).where(F.col("_mine") | (F.col("agent") == "*"))
+    named = asked.groupBy("host").agg(F.max("_mine").alias("_named"))
+    own = asked.join(named, "host").where(F.col("_mine") == F.col("_named"))
+    # Order and answer as one number: the first rule's is the smallest.
+    first = own.groupBy("host", "path").agg(F.min(F.col("rule_order").cast("bigint") * 2 + F.col("allow").cast("bigint")).alias("rule"))
+    return first
 
 
 def robots_verdict(wanted: DataFrame, rules: DataFrame, agent: str, robots_status: DataFrame | None = None) -> DataFrame:
     """Verdict per URL: the first rule whose path starts the URL's path; none means allowed.
 
-    URLs meet one row per host, never one row per rule, and a host with very many URLs is
+    A URL's path is looked up by its beginnings, of the lengths that its host's rules have, so a host's rules are
+    never held together and never tried one by one, however many they are; a host with very many URLs is
     split over several tasks. A robots file that failed allows everything.
     """
-    by_host = host_rules(rules, agent)
+    first = host_rules(rules, agent)
     if robots_status is not None:
         broken = robots_status.where(F.coalesce(F.col("status_code"), F.lit(599)) >= 400)
-        by_host = by_host.join(broken.select("host"), "host", "left_anti")
-    hosted = wanted.withColumns(
-        {"host": F.expr(urls.hostname("lower(url)")), "_path": F.regexp_extract("url", r"^[A-Za-z]+://[^/?#]*([^#]*)", 1)}
-    )
-    joined = hot_key_join(hosted, by_host, "host", F.col("url"))
-    path = F.when(F.col("_path") == "", "/").otherwise(F.col("_path"))
-    hit = F.try_element_at(
-        F.filter("rules", lambda r: (r["path"] == "*") | path.startswith(r["path"])), F.lit(1)
-    )
+        first = first.join(broken.select("host"), "host", "left_anti")
+    lengths = first.groupBy("host").agg(F.collect_set(F.length("path")).alias("_lengths"))
+    host = F.expr(urls.hostname("lower(url)"))
+    asked = wanted.select("url").distinct().withColumns(
+        {"host": host, "_path": F.regexp_extract("url", r"^[A-Za-z]+://[^/?#]*([^#]*)", 1)}
+    ).withColumn("_path", F.when(F.col("_path") == "", "/").otherwise(F.col("_path")))
+    sized = hot_key_join(asked, lengths, "host", F.col("url"), "inner")
+    starts = F.transform(F.filter("_lengths", lambda n: n <= F.length("_path")), lambda n: F.left(F.col("_path"), n))
+    tried = sized.select("url", "host", F.explode(F.array_union(starts, F.array(F.lit("*")))).alias("path"))
+    hits = hot_key_join(tried, first, ["host", "path"], F.col("url"), "inner")
     # An empty Disallow forbids nothing.
-    allowed = F.coalesce(hit["allow"] | (hit["path"] == ""), F.lit(True))
-    return joined.select(*wanted.columns, "host", allowed.alias("robots_allowed"))
+    rule = F.when(F.col("path") == "", F.col("rule") - F.col("rule") % 2 + 1).otherwise(F.col("rule"))
+    verdict = hits.groupBy("url").agg((F.min(rule) % 2 == 1).alias("_allowed"))
+    told = wanted.join(verdict, "url", "left")
+    return told.select(*wanted.columns, host.alias("host"), F.coalesce("_allowed", F.lit(True)).alias("robots_allowed"))
 
 
 # --- archive captures --------------------------------------------------------------------
@@ -183,6 +172,7 @@ def robots_verdict(wanted: DataFrame, rules: DataFrame, agent: str, robots_statu
 def collapse_captures(captures: DataFrame) -> DataFrame:
     """Successful captures, consecutive equal digests of a URL reduced to the first."""
     good = captures.where(F.col("status") == "200")
-    month = F.left("ts", F.lit(6))
-    paired = previous_row(good, ["url"], ["ts", "digest"], ["digest"], month)
-    return paired.where(~F.coalesce(F.col("prev_digest") == F.col("digest"), F.lit(False))).drop("prev_digest")
+    # Times are strings of digits, of any length; other strings come first.
+    moment = F.coalesce(F.when(F.col("ts").rlike("^[0-9]+$"), F.rpad(F.left("ts", F.lit(14)), 14, "0").try_cast("bigint")), F.lit(0))
+    paired = previous_row(good.withColumn("_moment", moment), ["url"], ["_moment", "ts", "digest"], ["digest"], F.col("_moment"))
+    return paired.where(~F.coalesce(F.col("prev_digest") == F.col("digest"), F.lit(False))).drop("prev_digest", "_moment")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vitrine import fixed_values as fv
@@ -42,16 +43,24 @@ def to_revalidate(candidates: DataFrame) -> DataFrame:
 # --- writes ------------------------------------------------------------------
 
 
+def one_per_candidate(records: DataFrame) -> DataFrame:
+    """The last checked record of every candidate; a task sends on one per candidate."""
+    last = F.row_number().over(W.partitionBy("candidate_id").orderBy(F.desc_nulls_last("checked_at")))
+    return records.withColumn("_nth", last).where("_nth = 1").drop("_nth")
+
+
+def not_older(new: DataFrame, old: DataFrame) -> DataFrame:
+    """The new records that no old record of the candidate was checked after; of the old ones two columns are read."""
+    held = old.groupBy("candidate_id").agg(F.max("checked_at").alias("_held"))
+    work = new.join(held, "candidate_id", "left")
+    return work.where("_held IS NULL OR checked_at >= _held").select(*new.columns)
+
+
 def upsert_latest(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Last write per candidate; at equal times the new row wins. Partial aggregation
-    keeps one row per candidate and task before the shuffle."""
-    both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
-    row = F.struct(*old.columns)
-    return (
-        both.groupBy("candidate_id")
-        .agg(F.max_by(row, F.struct("checked_at", "_new")).alias("_row"))
-        .select("_row.*")
-    )
+    """Last write per candidate; at equal times the new row wins. `old` has one record per candidate: records
+    without news stay where they are and only keys and times of `old` are looked up."""
+    wins = not_older(one_per_candidate(new), old)
+    return old.join(wins.select("candidate_id"), "candidate_id", "left_anti").unionByName(wins.select(*old.columns))
 
 
 def candidate_status(candidates: DataFrame, stores: DataFrame, attempts: DataFrame | None = None) -> DataFrame:

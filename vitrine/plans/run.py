@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 
 from vitrine import fixed_values as fv
 from vitrine.operators import candidates as cand
-from vitrine.operators.skew import running_total
+from vitrine.operators.skew import SLICE_ROWS, running_total
 from vitrine.operators.store_state import domain_key, refresh_outcome, to_revalidate, upsert_latest
 from vitrine.plans.verify import recomputed_records, store_records
 
 
+STEP_BATCHES, STEP_GROWTH = 8, 4  # of a run's first range, and of every further one to the one before
+
+
 def run_to_target(
     outcomes: DataFrame,
     target: int,
@@ -19,17 +22,39 @@ def run_to_target(
     max_candidates: int | None = None,
     batch: int = fv.WORK_BATCH,
     order: str = "discovered_seq",
-    bucket_width: int = 1_000_000,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Candidates a run processes before its accepted count reaches `target`.
 
-    Work goes in `order`, in batches, and the target is looked at between batches only.
+    Work goes in `order` (numbers from 0 on), in batches, and the target is looked at between batches only.
     With `unique`, a domain counts once, when its first accepted candidate is processed.
-    Ranks and running counts are two-level sums, so no task sees the whole table.
+
+    Outcomes are read in ranges of `order` that grow until one holds the answer: the rows read follow the
+    answer's size, as files and row groups beyond a range are left out by their statistics.
     """
-    ranked = running_total(outcomes, [order], F.lit(1), F.floor(F.col(order) / bucket_width), "rank")
+    upper = batch * STEP_BATCHES
+    while True:
+        ranked, reached = _ranked(outcomes.where(F.col(order) < upper), unique, batch, order, slice_rows)
+        # A batch counts as looked at when all of its rows are in the range.
+        rows = ranked.agg(F.max("rank")).first()[0] or 0
+        hits = reached.where(F.col("reached") >= target).agg(F.min("batch")).first()[0]
+        whole = hits is not None and rows >= (hits + 1) * batch
+        enough = max_candidates is not None and rows >= max_candidates
+        if whole or enough or outcomes.where(F.col(order) >= upper).isEmpty():
+            break
+        upper *= STEP_GROWTH
+    open_batches = reached.where(F.col("reached") - F.col("n") < target).select("batch")
     if max_candidates is not None:
         ranked = ranked.where(F.col("rank") <= max_candidates)
+    return ranked.join(open_batches, "batch", "left_semi")
+
+
+def _ranked(outcomes: DataFrame, unique: bool, batch: int, order: str, slice_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(outcomes with rank and batch; per batch its new hits `n` and all until then, `reached`).
+
+    Ranks and running counts are two-level sums, so no task sees the whole range.
+    """
+    ranked = running_total(outcomes, [order], F.lit(1), F.col(order), "rank", slice_rows)
     ranked = ranked.withColumn("batch", F.floor((F.col("rank") - 1) / batch))
     hits = ranked.where("accepted")
     if unique:
@@ -40,9 +65,7 @@ def run_to_target(
         .groupBy("batch")
         .agg(F.sum("n").alias("n"))
     )
-    reached = running_total(per_batch, ["batch"], F.col("n"), F.floor(F.col("batch") / 10_000), "reached")
-    open_batches = reached.where(F.col("reached") - F.col("n") < target).select("batch")
-    return ranked.join(open_batches, "batch", "left_semi")
+    return ranked, running_total(per_batch, ["batch"], F.col("n"), F.col("batch"), "reached", slice_rows)
 
 
 def discover(

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine import schemas
 from vitrine.operators import reports
-from vitrine.operators.store_state import upsert_latest
+from vitrine.operators.store_state import not_older, one_per_candidate
+from vitrine.sources.keyed_log import VERSION, KeyedLog
 
 
 def _write_csv(df: DataFrame, path: str) -> str:
@@ -50,74 +51,25 @@ def write_audit_sample(stores: DataFrame, directory: str, size: int, seed: int,
     return _write_csv(reports.worksheet_rows(sample), f"{directory}/manual_audit_csv")
 
 
-BUCKETS = 64
+# --- store state ---------------------------------------------------------------
 
 
-def bucket_of(key: str, buckets: int = BUCKETS) -> Column:
-    """Even split of stores over a fixed number of folders."""
-    return F.expr(f"cast(pmod(xxhash64({key}), {buckets}) AS int)")
+def newest_records(rows: DataFrame) -> DataFrame:
+    """Every candidate's record of the last commit. Commits drop what is older than the state, so the version alone
+    decides: it is found on two numbers, and the records follow by their key."""
+    last = rows.groupBy("candidate_id").agg(F.max(VERSION).alias("_last"))
+    return rows.join(last, "candidate_id").where(F.col(VERSION) == F.col("_last")).drop("_last")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+class StoreSnapshots(KeyedLog):
+    """The state of all stores as a keyed log (see `keyed_log`)."""
 
-
-class StoreSnapshots:
-    """Store state as immutable bucket folders plus an append-only commit table.
-
-    A commit writes only the buckets it touches; a reader takes every bucket's newest
-    committed folder, so a half-written one is never seen and nothing is overwritten while
-    it is read. A batch is known by its run (one checkpoint's life) and number: committing
-    it twice changes nothing, and a run with a fresh checkpoint starts a new count.
-
-    `buckets` belongs to the state: choose it once, so that a bucket suits one task.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
-
-    def _commits(self) -> DataFrame:
-        schema = "version bigint, run string, batch_id bigint, bucket int"
-        if not path_exists(self.spark, f"{self.root}/commits"):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/commits")
-
-    def version(self) -> int:
-        """The newest version, 0 before the first commit."""
-        return self._commits().agg(F.max("version")).first()[0] or 0
-
-    def knows(self, batch_id: int, run: str = "") -> bool:
-        return not self._commits().where((F.col("run") == run) & (F.col("batch_id") == batch_id)).isEmpty()
-
-    def read(self, buckets: list[int] | None = None) -> DataFrame:
-        """The current records, optionally of some buckets. At most one folder name per
-        bucket reaches the driver."""
-        newest = self._commits().groupBy("bucket").agg(F.max("version").alias("version")).collect()
-        folders = [
-            f"{self.root}/stores/version={row.version:012d}/bucket={row.bucket}"
-            for row in newest
-            if row.bucket >= 0 and (buckets is None or row.bucket in buckets)
-        ]
-        if not folders:
-            return self.spark.createDataFrame([], schemas.STORES)
-        return self.spark.read.schema(schemas.STORES).parquet(*folders)
+    def __init__(self, spark: SparkSession, root: str, **options):
+        super().__init__(spark, root, schemas.STORES, "candidate_id", newest_records, **options)
 
     def commit(self, new: DataFrame, batch_id: int, run: str = "") -> int:
-        """Upserts records as a new version; a batch already committed is skipped."""
-        version = self.version()
+        """Upserts records: of a candidate's records the last checked one stays, at equal times the new one."""
         if self.knows(batch_id, run):
-            return version
-        bucket = bucket_of("candidate_id", self.buckets)
-        touched = [row.bucket for row in new.select(bucket.alias("bucket")).distinct().collect()]
-        old = self.read(touched)
-        merged = upsert_latest(old, new.select(*old.columns)).withColumn("bucket", bucket)
-        if touched:
-            merged.repartition(len(touched), "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
-                f"{self.root}/stores/version={version + 1:012d}"
-            )
-        marks = [(version + 1, run, batch_id, bucket) for bucket in touched or [-1]]
-        self.spark.createDataFrame(marks, "version bigint, run string, batch_id bigint, bucket int").coalesce(1).write.mode(
-            "append"
-        ).parquet(f"{self.root}/commits")
-        return version + 1
+            return self.version()
+        fresh = one_per_candidate(new.select(*self.columns))
+        return super().commit(not_older(fresh, self.read(fresh)), batch_id, run)
