@@ -132,6 +132,17 @@ def test_phones(evaluate):
         "5876543210": [],
         "12345678901234": [],
     }
+    many = " ".join(f"9876{n:06d}" for n in range(300))
+    runs = {
+        "98765 43210 98765 43211": ["+919876543210", "+919876543211"],
+        "Call 98765 43210 - 0 98765 43211 - 022 2345 6789 12": ["+919876543210", "+919876543211"],
+        "98765-43210 98765-43210 (1)": ["+919876543210"],
+        "12 345 98765 4321 5": ["+919876543215"],
+        "98765 43210 00 971 50 123 4567": ["+919876543210", "+971501234567"],
+        "₹98765 43210 98765 43211": ["+919876543211"],
+        many: [f"+919876{n:06d}" for n in range(300)],
+    }
+    assert dict(zip(runs, evaluate(contacts.extract_phones("v"), list(runs)))) == runs
     got = evaluate(contacts.extract_phones("v"), list(cases))
     assert got[:8] == list(cases.values())[:8] and got[8] == ["+912223456789"] and got[9:] == [[], []]
 
@@ -150,6 +161,9 @@ def test_service_and_foreign_phones(evaluate):
         "1800 419 8900 / +91 1860 266 0011": ["+9118004198900", "+9118602660011"],
         "+48 22 123 45 67": ["+48221234567"],
         "+48 22 123 45 6": [],
+        "+355 69 123 4567, +994 50 123 45 67": ["+355691234567", "+994501234567"],
+        "0091 98765 43210 or 00 44 20 7946 0958": ["+442079460958", "+919876543210"],
+        "+210 123 4567 is no country": [],
     }
     assert evaluate(contacts.extract_phones("v"), list(cases)) == list(cases.values())
 

@@ -6,9 +6,9 @@ from vitrine import fixed_values as fv
 from vitrine.functions.text import each, found, keep, let, literal, matches, one_of, replaced
 
 SPELLED_AT = r"(?i)\[at\]|\(at\)|\sat\s"
-# One run of digits with the separators people put inside a number, and the letter or
+# One run of digits with the separators people put inside a number, however long, and the letter or
 # sign touching it, which shows that the digits belong to something else.
-PHONE_RUN = "[A-Za-z%₹$€£]?[+]?[0-9][0-9 ().-]{6,20}[0-9][A-Za-z%]?"
+PHONE_RUN = "[A-Za-z%₹$€£]?[+]?[0-9][0-9 ().-]{6,}[0-9][A-Za-z%]?"
 TOUCHED_RUN = "^[A-Za-z%₹$€£]|[A-Za-z%]$"
 INDIAN_MOBILE = "[6-9][0-9]{9}"
 # Indian toll-free and shared-cost series, written without a trunk 0.
@@ -27,7 +27,43 @@ FOREIGN_LENGTHS = {
     "886": (8, 9), "960": (7, 7), "961": (7, 8), "962": (8, 9), "965": (8, 8), "966": (9, 9), "968": (8, 8), "971": (8, 9),
     "972": (8, 9), "973": (8, 8), "974": (8, 8), "975": (7, 8), "976": (8, 8), "977": (8, 10),
 }
-_FOREIGN = "|".join(f"{cc}[0-9]{{{low},{high}}}" for cc, (low, high) in FOREIGN_LENGTHS.items())
+# Country codes of three digits by what they begin with and how they may go on; those without lengths
+# of their own above have numbers of seven to nine digits.
+THREE_DIGIT_CODES = {
+    "21": "1-368", "22": "0-9", "23": "0-9", "24": "0-9", "25": "0-8", "26": "0-9", "29": "01789", "35": "0-9", "37": "0-9", "38": "0-35-79",
+    "42": "013", "50": "0-9", "59": "0-9", "67": "02-9", "68": "0-35-9", "69": "0-2", "85": "02356", "88": "06", "96": "0-8", "97": "0-79", "99": "2-68",
+}
+OTHER_LENGTHS = (7, 9)
+
+
+def _numbers(digit: str, repeated: str) -> str:
+    """A pattern of all foreign numbers after the sign. Its alternatives share their first digits, so it is matched
+    as one automaton. `digit` is a digit, `repeated` one more of them."""
+
+    def spread(code: str) -> str:
+        return code[0] + "".join(repeated.replace(digit, c) for c in code[1:])
+
+    own = [f"{spread(cc)}(?:{repeated}){{{low},{high}}}" for cc, (low, high) in FOREIGN_LENGTHS.items()]
+    low, high = OTHER_LENGTHS
+    rest = [f"{spread(start)}{repeated.replace(digit, f'[{more}]')}(?:{repeated}){{{low},{high}}}" for start, more in THREE_DIGIT_CODES.items()]
+    return "|".join(own + rest)
+
+
+def _known_codes() -> str:
+    return "|".join(cc for cc in FOREIGN_LENGTHS if len(cc) == 3)
+
+
+_FOREIGN = _numbers("[0-9]", "[0-9]")
+# Codes with lengths of their own must have those.
+_OWN = "|".join(f"{cc}[0-9]{{{low},{high}}}" for cc, (low, high) in FOREIGN_LENGTHS.items())
+KNOWN_CODE, KNOWN_NUMBER = f"^(?:{_known_codes()})", f"^(?:{_OWN})$"
+INDIAN_NUMBER = f"91{INDIAN_MOBILE}|91[1-5][0-9]{{9}}|91(?:{SERVICE_NUMBER})"
+# In a run that is no number: numbers from the start of a group of digits to the end of one.
+_MORE = "[ ().-]{0,3}[0-9]"
+NUMBER_IN_RUN = (
+    rf"[A-Za-z%₹$€£]?(?:(?:[+]|\b0[ ().-]{{0,3}}0[ ().-]{{0,3}})(?:9{_MORE.replace('[0-9]', '1')}[ ().-]{{0,3}}[6-9](?:{_MORE}){{9}}|{_numbers('[0-9]', _MORE)})"
+    rf"|\b(?:9{_MORE.replace('[0-9]', '1')}[ ().-]{{0,3}}|0[ ().-]{{0,3}})?[6-9](?:{_MORE}){{9}})\b[A-Za-z%]?"
+)
 
 
 def plain_emails(text: str) -> str:
@@ -57,18 +93,20 @@ def extract_emails(text: str) -> str:
 
 
 def _to_e164(run: str) -> str:
-    """International form of one digit run read with default country India; NULL if invalid."""
+    """International form of one digit run read with default country India; NULL if invalid. An international
+    number starts with + or, as dialled from India, with 00."""
 
     def rules(digits: str) -> str:
-        signed = f"startswith({run}, '+')"
         national = replaced(digits, "^0+")
+        foreign = f"{matches(national, f'^(?:{_FOREIGN})$')} AND (NOT {matches(national, KNOWN_CODE)} OR {matches(national, KNOWN_NUMBER)})"
         return f"""CASE
           WHEN {matches(run, TOUCHED_RUN)} THEN NULL
-          WHEN {signed} THEN CASE
-            WHEN {matches(digits, f"^(91{INDIAN_MOBILE}|91[1-5][0-9]{{9}}|91({SERVICE_NUMBER})|{_FOREIGN})$")} THEN concat('+', {digits}) END
+          WHEN startswith({run}, '+') OR startswith({digits}, '00') THEN CASE
+            WHEN startswith({run}, '+') AND startswith({digits}, '0') THEN NULL
+            WHEN {matches(national, f"^(?:{INDIAN_NUMBER})$")} OR ({foreign}) THEN concat('+', {national}) END
           WHEN {matches(digits, f"^0?{INDIAN_MOBILE}$")} THEN concat('+91', {national})
           WHEN {matches(digits, f"^91{INDIAN_MOBILE}$")} THEN concat('+', {digits})
-          WHEN {matches(digits, f"^({SERVICE_NUMBER})$")} THEN concat('+91', {digits})
+          WHEN {matches(digits, f"^(?:{SERVICE_NUMBER})$")} THEN concat('+91', {digits})
           -- A land line is written with its trunk 0 and a two- to four-digit area code.
           WHEN {matches(digits, "^0[1-5][0-9]{9}$")} THEN concat('+91', {national})
         END"""
@@ -77,13 +115,13 @@ def _to_e164(run: str) -> str:
 
 
 def extract_phones(text: str) -> str:
-    """Valid numbers in E.164, sorted. A run that is no number is retried word by word."""
+    """Valid numbers in E.164, sorted. A run that is no number may hold several: they are read from left to right."""
 
     def numbers(run: str) -> str:
-        words = keep(f"split({run}, ' +')", lambda w: matches(w, f"^([+]91|0)?{INDIAN_MOBILE}$"))
         return let(
             _to_e164(run),
-            lambda number: f"CASE WHEN {number} IS NOT NULL THEN array({number}) ELSE {each(words, _to_e164)} END",
+            lambda number: f"CASE WHEN {number} IS NOT NULL THEN array({number}) "
+            f"ELSE {each(found(run, NUMBER_IN_RUN), _to_e164)} END",
         )
 
     valid = keep(f"flatten({each(found(text, PHONE_RUN), numbers)})", lambda p: f"{p} IS NOT NULL")

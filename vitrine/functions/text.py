@@ -86,18 +86,17 @@ def lookup(mapping: Mapping[str, str], key: str) -> str:
     return f"try_element_at(map({pairs}), {key})"
 
 
+def lookup_number(mapping: Mapping[str, int], key: str) -> str:
+    """Like `lookup`, with numbers."""
+    pairs = ", ".join(f"{literal(name)}, {number}" for name, number in mapping.items())
+    return f"try_element_at(map({pairs}), {key})"
+
+
 def clean_text(text: str) -> str:
     """Whitespace runs (no-break space included) to one blank, ends trimmed."""
     return f"trim({replaced(text, r'(?U)\s+', ' ')})"
 
 
-def unescape_basic(text: str) -> str:
-    """The five markup entities and the no-break space in strings that were not parsed as HTML."""
-    for entity, char in (("&nbsp;", " "), ("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        text = f"replace({text}, {literal(entity)}, {literal(char)})"
-    return text
-
-
 def bounded_words(text: str, words: Iterable[str], inside: str) -> str:
     """Every listed word in `text` that has no character of `inside` on either side.
 

@@ -8,6 +8,7 @@ scoring happens afterwards in Spark expressions.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from html import unescape
@@ -166,7 +167,7 @@ class _PageEvents(HTMLParser):
         if self._buffer:
             self._flush()
         if tag == "script" and self._ld is not None:
-            self.ld_json.append("".join(self._ld))
+            self.ld_json.append(_without_references("".join(self._ld)))
             self._ld = None
         while self._depth.get(tag):
             if self._close_last() == tag:
@@ -196,7 +197,7 @@ class _PageEvents(HTMLParser):
         if self._buffer:
             self._flush()
         if self._ld is not None:
-            self.ld_json.append("".join(self._ld))
+            self.ld_json.append(_without_references("".join(self._ld)))
         while self._open:
             self._close_last()
         at = _offsets(self.owned)
@@ -216,6 +217,24 @@ class _PageEvents(HTMLParser):
         }
 
 
+# Members whose strings are shown as text; others, like addresses of pages, stay as they are.
+_TEXT_MEMBER = re.compile(r'"(name|description|category|productType)"\s*:\s*("(?:[^"\\]|\\.)*")', re.S)
+
+
+def _without_references(script: str) -> str:
+    """A JSON-LD script whose text members have all character references resolved, as page text has."""
+    if "&" not in script and "\\u0026" not in script:
+        return script
+
+    def plain(member: re.Match) -> str:
+        try:
+            return f'"{member[1]}": {json.dumps(unescape(json.loads(member[2], strict=False)), ensure_ascii=False)}'
+        except ValueError:
+            return member[0]
+
+    return _TEXT_MEMBER.sub(plain, script)
+
+
 def _offsets(pieces: list[str]) -> list[int]:
     """Character offset of every piece in the blank-joined text, and one past the end."""
     at = [0]

@@ -20,7 +20,7 @@ from vitrine.operators import elements as el
 HEAD = "struct<home_url:string,requested_url:string,home_reason:string,redirect_history:array<string>>"
 SIGNAL = (
     "struct<family:string,key:string,value:string,payload:string,points:bigint,weight:int,strength:string,"
-    f"ord:struct<a:int,b:int,c:int>,head:{HEAD}>"
+    f"ord:struct<a:int,b:int,c:int,d:int>,head:{HEAD}>"
 )
 NOTHING = f"cast(array() AS array<{SIGNAL}>)"
 LAST = 2**31 - 1
@@ -37,10 +37,10 @@ def _signal(
     order: tuple = (0, 0, 0),
     head: str = "NULL",
 ) -> str:
-    a, b, c = order
+    a, b, c, d = (*order, 0)[:4]
     return (
         f"cast(struct('{family}', {key}, {value}, {payload}, {points}, {weight}, '{strength}', "
-        f"struct({a}, {b}, {c}), {head}) AS {SIGNAL})"
+        f"struct({a}, {b}, {c}, {d}), {head}) AS {SIGNAL})"
     )
 
 
@@ -238,7 +238,7 @@ def category_chunks() -> str:
     """The texts of a page that speak about its goods, weighted."""
 
     def chunk(body: str, weight: str) -> str:
-        return f"named_struct('body', {tx.unescape_basic(f"coalesce({body}, '')")}, 'weight', {weight})"
+        return f"named_struct('body', coalesce({body}, ''), 'weight', {weight})"
 
     def of_object(i: str) -> str:
         goods = f"CASE WHEN {i}.type IN ('product', 'itemlist', 'offer') THEN 16 ELSE 5 END"
@@ -283,7 +283,7 @@ def description_signals() -> str:
         "ld",
         lambda i: f"{i}.type IN ('organization', 'store', 'brand', 'website') AND {_describes(f'{i}.description')}",
     )
-    own = tx.clean_text(tx.unescape_basic(f"try_element_at({speaking}, 1).description"))
+    own = tx.clean_text(f"try_element_at({speaking}, 1).description")
     nodes = keep(el.description_texts(), _describes)
 
     def candidate(value: str, kind: int) -> str:
@@ -329,9 +329,7 @@ def logo_signals() -> str:
             "+ CASE WHEN role = 'home' THEN 5 ELSE 0 END"
         )
         phase = "CASE WHEN role = 'home' THEN 1 ELSE 2 END"
-        return _signal(
-            "logo", payload=f"{v}.url", points=points, order=(phase, "page_seq", f"{v}.base.rank * 100000 + {i}")
-        )
+        return _signal("logo", payload=f"{v}.url", points=points, order=(phase, "page_seq", f"{v}.base.rank", i))
 
     from_images = _numbered(keep(seen, lambda s: _usable_logo(f"{s}.url")), from_image)
     return f"concat({from_ld}, {from_images})"
@@ -402,6 +400,10 @@ def of_newest_fetch(entities: DataFrame, pages: DataFrame) -> DataFrame:
     return seen.where("newest IS NULL OR fetched_at = newest").drop("newest", "fetched_at")
 
 
+# What a row's kind alone decides.
+KIND_NUMBERS = ("max(weight) AS kind_weight", "max(strength = 'strong') AS kind_strong")
+
+
 def reduce_entities(entities: DataFrame) -> DataFrame:
     """One row per (store, family, key, value): first provenance, sums, maxima, best row."""
     return entities.groupBy("store_id", "family", "key", "value").agg(
@@ -410,4 +412,11 @@ def reduce_entities(entities: DataFrame) -> DataFrame:
         F.expr("max(points) AS top"),
         F.expr("min(struct(-points AS neg_points, ord, url, payload)) AS best"),
         F.expr("max(head) AS head"),
+        *map(F.expr, KIND_NUMBERS),
     )
+
+
+def reduce_numbers(entities: DataFrame) -> DataFrame:
+    """One row per (store, family, key, value, head) with numbers alone: scores need no provenance, and without a
+    text to put in order the signal rows are reduced by hash, before and after the shuffle."""
+    return entities.groupBy("store_id", "family", "key", "value", "head").agg(F.expr("max(points) AS top"), *map(F.expr, KIND_NUMBERS))

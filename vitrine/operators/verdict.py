@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vitrine import fixed_values as fv
 from vitrine.functions import text, urls
-from vitrine.functions.text import each, keep, let
+from vitrine.functions.text import each, keep, let, literal, lookup_number
 from vitrine.operators import signals
 from vitrine.operators.elements import rows_of
 
@@ -102,7 +102,7 @@ def india_evidence(facts: DataFrame) -> DataFrame:
 
 def state_resolution(facts: DataFrame) -> DataFrame:
     """Best-scored state per store; a tie is a conflict and yields no state."""
-    reduced = signals.reduce_entities(signals.page_entities(facts, ("state",)))
+    reduced = signals.reduce_numbers(signals.page_entities(facts, ("state",)))
     ends = reduced.groupBy("store_id").agg(*[c.alias(n) for n, c in resolve_state().items()])
     return ends.selectExpr(
         "store_id",
@@ -115,21 +115,34 @@ def state_resolution(facts: DataFrame) -> DataFrame:
 # --- verdict rules -----------------------------------------------------------------
 
 
+STATES = sorted({*fv.GST_STATES.values(), *fv.EXTRA_STATE_ALIASES.values(), *fv.PIN3_STATES.values(), *fv.PIN2_STATES.values()})
+_STATE_STEP = 1_000  # more than there are states
+
+
 def resolve_state() -> dict[str, Column]:
-    """Aggregates for the best-scored state: its two ends differ when several states tie."""
-    low = "min(CASE WHEN family = 'state' THEN struct(-top AS neg, key AS name) END)"
-    high = "max(CASE WHEN family = 'state' THEN struct(top AS top, key AS name) END)"
-    return _all({"first_state": f"{low}.name", "last_state": f"{high}.name", "state_score": f"{high}.top"})
+    """Aggregates for the best-scored state: its two ends differ when several states tie.
+
+    Points and the state's place in the alphabet are one number, so the ends are found by hash.
+    """
+    names = f"map({', '.join(f'{n + 1}L, {literal(name)}' for n, name in enumerate(STATES))})"
+    place = lookup_number({name: n + 1 for n, name in enumerate(STATES)}, "key")
+    low = f"min(CASE WHEN family = 'state' THEN -top * {_STATE_STEP} + {place} END)"
+    high = f"max(CASE WHEN family = 'state' THEN top * {_STATE_STEP} + {place} END)"
+
+    def name(code: str) -> str:
+        return f"try_element_at({names}, pmod({code}, {_STATE_STEP}))"
+
+    return _all({"first_state": name(low), "last_state": name(high), "state_score": f"{high} div {_STATE_STEP}"})
 
 
 def evidence_totals() -> dict[str, Column]:
     """Score and kind counts per evidence family, from reduced signal rows."""
 
     def score(family: str) -> str:
-        return f"coalesce(sum(CASE WHEN family = '{family}' THEN first.weight END), 0)"
+        return f"coalesce(sum(CASE WHEN family = '{family}' THEN kind_weight END), 0)"
 
     def rows(family: str, strength: str | None = None) -> str:
-        extra = "" if strength is None else f" AND first.strength = '{strength}'"
+        extra = {None: "", "strong": " AND kind_strong", "supporting": " AND NOT kind_strong"}[strength]
         return f"count(CASE WHEN family = '{family}'{extra} THEN 1 END)"
 
     return _all(
