@@ -104,9 +104,18 @@ def _records(spark, sf):
 RECORD_SQL = f"""WITH {s.EVIDENCE}, {s.CONTACTS}, {s.CATEGORY}, {s.FIELDS},
 images AS ({i.IMAGES}),
 usable_images AS (SELECT url FROM images WHERE robots_allowed AND status_code < 400 AND content_type LIKE 'image/%' AND n_bytes > 64),
-sources AS (SELECT candidate_id, string_agg(DISTINCT source_name, ';' ORDER BY source_name) AS source_names FROM ({i.CANDIDATE_SOURCES}) GROUP BY 1)
+sources AS (SELECT candidate_id, string_agg(DISTINCT source_name, ';' ORDER BY source_name) AS source_names FROM ({i.CANDIDATE_SOURCES}) GROUP BY 1),
+provenance AS (SELECT store_id, string_agg(entry || '=' || source_url, ';' ORDER BY entry) AS provenance FROM (
+  SELECT store_id, key || ':' || value AS entry, source_url FROM contacts
+  UNION ALL SELECT store_id, 'social:' || key || ':' || value, source_url FROM socials
+  UNION ALL SELECT store_id, 'description', description_source FROM fields WHERE description_source <> ''
+  UNION ALL SELECT store_id, 'category', category_source FROM fields WHERE category_source <> ''
+  UNION ALL SELECT store_id, 'logo', logo_source FROM fields WHERE logo_source <> '' AND logo_url IN (SELECT url FROM usable_images)) GROUP BY 1)
 SELECT v.store_id, v.domain_url, v.shopify_score, v.india_score, v.state, v.accepted, v.reasons, f.category, f.description,
   CASE WHEN u.url IS NULL THEN '' ELSE f.logo_url END AS logo_url, coalesce(source_names, '') AS source_names,
+  CASE WHEN home_reason IS NULL THEN coalesce(provenance, '') ELSE '' END AS provenance,
+  CASE WHEN home_reason IS NULL THEN (SELECT redirected_from FROM crawl c WHERE c.store_id = v.store_id AND page_seq = 0) ELSE '' END AS redirects,
+  {fv.EXTRACTION_VERSION} AS extraction_version,
   CASE WHEN home_reason IS NULL THEN coalesce((SELECT string_agg(value, ';' ORDER BY value) FROM contacts c WHERE c.store_id = v.store_id AND key = 'email'), '') ELSE '' END AS emails,
   CASE WHEN home_reason IS NULL THEN coalesce((SELECT string_agg(value, ';' ORDER BY value) FROM contacts c WHERE c.store_id = v.store_id AND key = 'phone'), '') ELSE '' END AS phones,
   CASE WHEN home_reason IS NULL THEN coalesce((SELECT string_agg(key || '=' || value, ';' ORDER BY key, value) FROM socials c WHERE c.store_id = v.store_id), '') ELSE '' END AS socials,
@@ -114,7 +123,7 @@ SELECT v.store_id, v.domain_url, v.shopify_score, v.india_score, v.state, v.acce
   CASE WHEN home_reason IS NULL THEN coalesce((SELECT string_agg(kind || '=' || value, ';' ORDER BY kind, value) FROM india c WHERE c.store_id = v.store_id), '') ELSE '' END AS india_items
 FROM verdicts v JOIN heads h USING (store_id) JOIN fields f USING (store_id)
 LEFT JOIN (SELECT DISTINCT url FROM usable_images) u ON u.url = f.logo_url
-LEFT JOIN sources ON candidate_id = v.store_id"""
+LEFT JOIN sources ON candidate_id = v.store_id LEFT JOIN provenance p ON p.store_id = v.store_id"""
 
 
 @query("store_records", RECORD_SQL)
@@ -130,6 +139,9 @@ def store_records(spark, sf):
         F.col("candidate_id").alias("store_id"), "domain_url", "shopify_score", "india_score", "state", "accepted",
         joined("rejection_reasons").alias("reasons"), "category", "description", "logo_url",
         joined("source_names").alias("source_names"),
+        F.array_join(F.transform(F.array_sort(F.map_entries("extraction_sources")), lambda e: pair(e["key"], e["value"])), ";").alias("provenance"),
+        joined("redirect_history").alias("redirects"),
+        "extraction_version",
         joined("contacts.emails").alias("emails"),
         joined("contacts.phones").alias("phones"),
         F.array_join(profiles, ";").alias("socials"),
@@ -1198,11 +1210,43 @@ def evidence_jsonl(spark, sf):
     )
 
 
-@query("report_document", SQL["report_counters"])
+def _listed(sql: str, key: str, *values: str) -> str:
+    shown = " || '/' || ".join(f"CAST({v} AS VARCHAR)" for v in values)
+    return f"(SELECT string_agg({key} || '=' || {shown}, ';' ORDER BY {key}) FROM ({sql}) listed)"
+
+
+@query(
+    "report_document",
+    f"""SELECT r.*, {_listed(f"SELECT status, count(*) AS n FROM ({i.CANDIDATES}) GROUP BY 1", "status", "n")} AS statuses,
+      {_listed(SQL["store_rejections"], "reason", "n")} AS reasons, {_listed(SQL["state_distribution"], "state", "n")} AS states,
+      {_listed(SQL["category_distribution"], "category", "n")} AS categories, {_listed(SQL["source_yield"], "source", "seen", "accepted")} AS yields,
+      {_listed(SQL["quality_missing"], "field", "missing", "CAST(percent AS DOUBLE)")} AS missing, c.*,
+      p.status AS audit_status, p.reviewed AS audit_reviewed, p.shopify_precision_percent, p.india_precision_percent, p.required_precision_percent,
+      {_listed(SQL["field_accuracy"], "field", "reviewed", "CAST(accuracy_percent AS DOUBLE)")} AS accuracy
+    FROM ({SQL["report_counters"]}) r, ({SQL["confidence_stats"]}) c, ({SQL["audit_precision"]}) p""",
+)
 def report_document(spark, sf):
-    path = sinks.write_report(i.run(spark, sf, i.CANDIDATES, "customer"), i.stores(spark, sf), new_folder(spark, "report"))
-    names = ("processed_records", "accepted_records", "accepted_candidate_records", "redirect_duplicates_removed")
-    return spark.read.json(path).select(*names)
+    """The whole report as it is read back from its file."""
+    inputs = (i.run(spark, sf, i.CANDIDATES, "customer"), i.stores(spark, sf))
+    sheet = i.run(spark, sf, i.WORKSHEET, "customer")
+    path = sinks.write_report(*inputs, new_folder(spark, "report"), sheet)
+    report = spark.read.schema(reports.quality_report(*inputs, sheet).schema).json(path)
+
+    def listed(entries: str, *values: str) -> str:
+        value = ", '/', ".join(values)
+        return f"array_join(transform(array_sort(map_entries({entries})), e -> concat(e.key, '=', {value})), ';')"
+
+    return report.selectExpr(
+        "processed_records", "accepted_records", "accepted_candidate_records", "redirect_duplicates_removed",
+        f"{listed('candidate_status_counts', 'e.value')} AS statuses", f"{listed('rejection_reasons', 'e.value')} AS reasons",
+        f"{listed('state_distribution', 'e.value')} AS states", f"{listed('category_distribution', 'e.value')} AS categories",
+        f"{listed('source_yield', 'e.value.seen', 'e.value.accepted')} AS yields", f"{listed('missing_fields', 'e.value.count', 'e.value.percent')} AS missing",
+        "confidence.average_shopify_score", "confidence.average_india_score",
+        "cast(confidence.minimum_shopify_score AS int) AS minimum_shopify_score", "cast(confidence.minimum_india_score AS int) AS minimum_india_score",
+        "manual_audit.status AS audit_status", "manual_audit.reviewed AS audit_reviewed", "manual_audit.shopify_precision_percent",
+        "manual_audit.india_precision_percent", "cast(manual_audit.required_precision_percent AS double) AS required_precision_percent",
+        f"{listed('manual_audit.field_accuracy', 'e.value.reviewed', 'e.value.accuracy_percent')} AS accuracy",
+    )
 
 
 @query(
