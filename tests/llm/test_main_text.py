@@ -75,3 +75,30 @@ TOLD = " ".join(["Title", " ".join(LONG.split() * 5), " ".join(LONG.split() * 3)
 )
 def test_wrappers_of_the_article_stay(page):
     assert main_text(f"<body><div class='menu'><a href='/'>Home</a></div>{page}<div class='footer'>us</div></body>") == TOLD
+
+
+ARTICLE = "<p>" + "The river rose over night and took the old bridge with it, so the market stays on this side. " * 4 + "</p>"
+
+
+def test_comments_under_any_name_are_left_out():
+    for name in ("discussion", "feedback", "zq7", "talk-list"):
+        comments = "".join(f"<div class='m'><b>Reader {n}</b><p>I was there too and saw it happen, what a day it was for all of us.</p></div>" for n in range(9))
+        page = f"<body><nav><a href='/'>Home</a></nav><article><h1>Bridge gone</h1>{ARTICLE}{ARTICLE}</article><div class='{name}'>{comments}</div></body>"
+        assert main_text(page).startswith("Bridge gone The river rose") and "Reader" not in main_text(page)
+        listed = page.replace("<div class='m'>", "<li>").replace("</p></div>", "</p></li>")
+        assert "Reader" not in main_text(listed)
+
+
+def test_sections_of_an_article_stay():
+    sections = "".join(f"<section class='part'><h2>Part {n}</h2>{ARTICLE}</section>" for n in range(4))
+    assert "Part 3" in main_text(f"<body><article><h1>Long read</h1>{sections}</article></body>")
+    assert "Part 3" in main_text(f"<body><div id='text'><h1>Long read</h1>{sections}</div></body>")
+
+
+def test_headlines_outside_and_in_an_articles_header():
+    own = f"<body><header><a href='/'>The Daily</a></header><article><header><h1>Bridge gone</h1></header>{ARTICLE}{ARTICLE}</article></body>"
+    assert main_text(own).startswith("Bridge gone The river")
+    outside = f"<body><nav><a href='/'>Home</a></nav><h1>Bridge gone</h1><article>{ARTICLE}{ARTICLE}</article></body>"
+    assert main_text(outside).startswith("Bridge gone The river")
+    twice = f"<body><h1>Daily</h1><article><h1>Bridge gone</h1>{ARTICLE}{ARTICLE}</article></body>"
+    assert main_text(twice).startswith("Bridge gone")

@@ -3,10 +3,11 @@
 A page becomes a tree of its elements. Menus, headers, footers, sidebars, notices, adverts, forms,
 scripts and reader comments are taken out by what they are: their tag, role, or a word of their class or
 id. A form, and an element with such a word, stays if it turns out to hold the page's text: a wrapper may be
-called "no-sidebar". For every node left, the density is its characters per tag, adjusted by how much of them is link
+called "no-sidebar". Comments under any name are told by their structure: what follows the page's article beside it
+and repeats blocks of one shape. An article's own header stays. For every node left, the density is its characters per tag, adjusted by how much of them is link
 text; a node's density sum adds up its children's. The lowest density on the way from the body to
 the densest region is the threshold; among the nodes that reach it, the one with the largest density
-sum holds the text, and all of its blocks are taken.
+sum holds the text, and all of its blocks are taken, after the page's only first heading if that stands outside.
 
 Defined results: a null or empty page, and one without any text, gives an empty text; a page without
 tags is text as a whole; unclosed, crossed and unknown tags are read as a browser would; an empty
@@ -60,7 +61,8 @@ OUT_WORDS = frozenset(
     " cookie cookies consent gdpr notice notices popup modal overlay alert newsletter subscribe subscription signup login"
     " share sharing social search form copyright skip".split()
 )
-READER_WORDS = frozenset("comment comments disqus respond replies".split())  # what they name is often longer than the article
+READER_WORDS = frozenset("comment comments disqus respond replies discussion discussions feedback reactions responses guestbook".split())  # what they name is often longer than the article
+REPEATED = frozenset("article div li section dd blockquote".split())  # what a reader's comment is
 KEPT_TAGS = frozenset("html body main article".split())  # never out by a word of their class or id
 
 # A tag up to its end; a quoted value may hold ">". Nothing is tried twice, so time stays linear.
@@ -76,10 +78,10 @@ IN, OUT, DOUBT, READERS = 0, 1, 2, 3  # an element is in, is out, or is out unle
 
 
 class Node:
-    __slots__ = ("tag", "parent", "out", "doubt", "items", "chars", "link_chars", "tags", "link_tags", "density", "total", "ender")
+    __slots__ = ("tag", "shape", "parent", "out", "doubt", "items", "chars", "link_chars", "tags", "link_tags", "density", "total", "ender")
 
-    def __init__(self, tag: str, parent: Node | None, out: bool, doubt: int = IN):
-        self.tag, self.parent, self.out, self.doubt = tag, parent, out, doubt
+    def __init__(self, tag: str, parent: Node | None, out: bool, doubt: int = IN, shape: str = ""):
+        self.tag, self.parent, self.out, self.doubt, self.shape = tag, parent, out, doubt, shape
         self.items: list[Node | str] = []  # children and pieces of text in page order
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
@@ -87,9 +89,9 @@ class Node:
         self.ender: Node | None = self if tag in ENDS else None if tag in SCOPE or parent is None else parent.ender
 
 
-def _kind(tag: str, attributes: str) -> int:
+def _kind(tag: str, attributes: str, in_article: bool) -> int:
     """Is this element no part of an article, by its tag, role, class or id?"""
-    if tag in OUT_TAGS:
+    if tag in OUT_TAGS and not (tag == "header" and in_article):
         return OUT
     kind = DOUBT if tag == "form" else IN
     if not attributes:
@@ -101,12 +103,17 @@ def _kind(tag: str, attributes: str) -> int:
                 return OUT
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and _HIDDEN.search(value)):
             return OUT
-        elif name in ("class", "id") and tag not in KEPT_TAGS:
+        elif name in ("class", "id") and tag not in KEPT_TAGS and not (tag == "header" and in_article):
             words = {w.lower() for w in _WORDS.findall(value)}
             kind = max(kind, READERS if words & READER_WORDS else DOUBT if words & OUT_WORDS else IN)
     return kind
 
 
+def _shape(attributes: str) -> str:
+    """The class of an element, as it is written."""
+    return next((value.strip("\"'") for name, value in _ATTRIBUTES.findall(attributes) if name.lower() == "class"), "") if attributes else ""
+
+
 def parse(page: str) -> Node:
     """The page's tree. Text in elements that are surely out is not kept."""
     root = node = Node("html", None, False)
@@ -155,8 +162,8 @@ def parse(page: str) -> Node:
         while ended is not None and node is not ended.parent:
             opened[node.tag] -= 1
             node = node.parent
-        kind = _kind(name, tag[3])
-        child = Node(name, node, node.out or kind == OUT, kind)
+        kind = _kind(name, tag[3], bool(opened.get("article")))
+        child = Node(name, node, node.out or kind == OUT, kind, _shape(tag[3]) if name in REPEATED else "")
         if not node.out:
             node.items.append(child)
         if name in VOID or name not in BLOCK and tag[3].endswith("/"):
@@ -227,6 +234,42 @@ def _settle(root: Node) -> None:
             node.out = not (plain[node] > most * whole or holds and plain[node] > ENOUGH * whole)
 
 
+def _leave_readers(nodes: list[Node]) -> None:
+    """Takes out what follows the page's article, beside it or around it, and repeats blocks of one shape: comments, or
+    teasers of other articles. Without an article element, or with several on one level, nothing is known to follow."""
+    size: dict[Node, int] = {}
+    for node in reversed(nodes):
+        inner = (x for x in node.items if isinstance(x, Node) and not x.out)
+        size[node] = sum(len(" ".join(x.split())) for x in node.items if isinstance(x, str)) + sum(size[x] for x in inner)
+    articles = [n for n in nodes if n.tag == "article"]
+    if not articles:
+        return
+    own = max(articles, key=size.__getitem__)
+    if 2 * size[own] < max((size[n] for n in articles if n is not own and n.parent is own.parent), default=0) * 3:
+        return
+    around = _way_up(own)
+    for node, parent in zip(around, around[1:]):
+        if any(isinstance(x, Node) and x is not node and x.tag == "article" and not x.out for x in parent.items):
+            continue  # a list of articles
+        later = parent.items[parent.items.index(node) + 1 :]
+        for block in later:
+            if isinstance(block, Node) and not block.out and _repeats(block):
+                block.out = True
+
+
+def _repeats(block: Node) -> bool:
+    """Has this element, or one within it, at least two children of one shape that hold blocks or text of their own?"""
+    todo = [block]
+    while todo:
+        node = todo.pop()
+        inner = [x for x in node.items if isinstance(x, Node) and not x.out]
+        shapes = [(x.tag, x.shape) for x in inner if x.tag in REPEATED and any(isinstance(y, Node) for y in x.items)]
+        if len(shapes) > len(set(shapes)):
+            return True
+        todo += inner
+    return False
+
+
 def _weigh(nodes: list[Node]) -> Node:
     """Counts, densities and density sums of all nodes; returns the body."""
     body = next((n for n in nodes if n.tag == "body"), nodes[0])
@@ -260,6 +303,7 @@ def main_node(root: Node) -> Node:
     weigh enough is the one, widened to the page's own article element if it lies in one.
     """
     _settle(root)
+    _leave_readers(_in_order(root))
     nodes = _in_order(root)
     body = _weigh(nodes)
     densest = max(nodes, key=lambda n: n.total)
@@ -326,7 +370,18 @@ def blocks(root: Node) -> list[str]:
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    return " ".join(blocks(main_node(parse(page))))
+    root = parse(page)
+    node = main_node(root)
+    return " ".join([*_headline(root, node), *blocks(node)])
+
+
+def _headline(root: Node, node: Node) -> list[str]:
+    """The blocks of the page's only first heading, if it stands before `node` and not in it."""
+    nodes = _in_order(root)
+    first = [n for n in nodes if n.tag == "h1"]
+    if len(first) != 1 or node in _way_up(first[0]) or nodes.index(first[0]) > nodes.index(node):
+        return []
+    return blocks(first[0])
 
 
 def with_main_text(pages: DataFrame, page: str = "html", carried: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
