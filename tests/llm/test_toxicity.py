@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from helpers import CLASHING, DOCS, awkward, docs_of, sentences
+from plain_toxicity import kneser_ney
 from vitrine.llm import toxicity
 
 BAD = ["grubnak", "zivotch", "wuxpollo", "quarnegg"]
@@ -52,6 +53,17 @@ def test_held_out_texts_are_told_apart(fitted):
     assert scorer.differences([f"{rows[1][1]} wuxpollards here"])[0] > scorer.differences([rows[1][1]])[0] + 1
 
 
+def test_differences_do_not_grow_with_the_length_of_ordinary_texts(fitted):
+    scorer = toxicity.Scorer(fitted[2])
+    lines = sentences(2, 25)
+    means = [scorer.differences([" ".join(random.Random(n * 100 + k).choices(lines, k=k)) for n in range(40)]).mean() for k in (1, 10, 100)]
+    assert max(means) - min(means) < 0.3
+    # The mean ratio of two texts written one after the other is the mean of theirs.
+    one, two = "grubnak is here", "lines of plain text"
+    d = scorer.differences([one, two, f"{one} {two}"])
+    assert np.exp(d[2]) == pytest.approx((3 * np.exp(d[0]) + 4 * np.exp(d[1])) / 7)
+
+
 def test_held_out_labels_are_never_read(spark, fitted):
     rows, labels, model = fitted
     turned = {i: 1 - t if fold(i) == toxicity.HELD_OUT else t for i, t in labels.items()}
@@ -73,23 +85,23 @@ def test_probabilities_of_a_context_sum_to_one():
             held[1] += o
     points = np.array([[ord(c) for c in g] for g in counts], np.uint32)
     toxic, ordinary = (np.array([c[k] for c in counts.values()]) for k in (0, 1))
-    model = toxicity.kneser_ney(points, toxic, ordinary)
+    model = kneser_ney(points, toxic, ordinary)
     # exp(value) is the ratio of both probabilities: weighted by the ordinary ones it averages to at most one.
-    same = toxicity.kneser_ney(points, toxic, toxic)
+    same = kneser_ney(points, toxic, toxic)
     assert np.allclose(same.gram_values, 0) and np.allclose(same.context_values, 0)
     value = dict(zip(counts, model.gram_values))
     assert value["   aba"[-6:]] < value["  abab"] or value["  abab"] > value["  abac"]
 
 
-def test_windows_match_a_plain_version(fitted):
+def test_differences_match_a_plain_version(fitted):
     _, _, model = fitted
     scorer = toxicity.Scorer(model)
     word = lambda w: scorer.differences([w])[0]
     words = ["one", "grubnak", "two", "zivotching", "three"]
     each = [word(w) for w in words]
-    assert scorer.differences(["  One, GRUBNAK -- two! zivotching; three"])[0] == pytest.approx(max((a + b) / 2 for a, b in zip(each, each[1:])))
+    assert scorer.differences(["  One, GRUBNAK -- two! zivotching; three"])[0] == pytest.approx(np.log(np.mean(np.exp(each))))
     texts = ["", None, "one", "123", "one grubnak"] * 3
-    assert scorer.differences(texts) == pytest.approx([0, 0, each[0], 0, (each[0] + each[1]) / 2] * 3)
+    assert scorer.differences(texts) == pytest.approx([0, 0, each[0], 0, np.log((np.exp(each[0]) + np.exp(each[1])) / 2)] * 3)
 
 
 def test_long_texts_are_cut_between_words(fitted, monkeypatch):
@@ -152,7 +164,7 @@ def test_every_gram_of_the_sample_is_kept_as_in_the_plain_form(spark):
     models = toxicity._models(counts)
     assert len(models["w"].grams) == len(held)
     for part, halves in (("a", [0]), ("b", [1]), ("w", [0, 1])):
-        plain, got = toxicity.kneser_ney(points, n(1, halves), n(0, halves)), models[part]
+        plain, got = kneser_ney(points, n(1, halves), n(0, halves)), models[part]
         for keys, values in (("grams", "gram_values"), ("contexts", "context_values")):
             want = dict(zip(getattr(plain, keys).tolist(), getattr(plain, values).tolist()))
             assert dict(zip(getattr(got, keys).tolist(), getattr(got, values).tolist())) == pytest.approx(want, abs=1e-5)

@@ -5,9 +5,11 @@ are discounted, and what they leave goes to a lower order that both models share
 of shorter and shorter endings over all training text. So an expression that neither model has seen
 says nothing, and a rare one says little.
 
-A text is compared expression by expression: the log likelihoods of every two neighbouring words
-under either model, divided by their number, and the largest difference of the text counts. Its
-probability comes from a logistic curve, fitted on texts that the counted half had not seen.
+A text is compared word by word: how much likelier is a word under the toxic model? The mean of these ratios over
+the text's words is what counts, as a logarithm. So the difference is normalised by the text's length, and
+ordinary texts have one near 0 however long they are, while a few words that are a thousand times likelier are not
+lost among ordinary ones, as they would be in a sum of logarithms. The probability comes from a logistic curve,
+fitted on texts that the counted half had not seen.
 
 Counting and smoothing are Spark aggregations over a bounded sample of labelled texts, and every n-gram of
 the sample is kept; what reaches the driver is one number and one value per n-gram and per context. Scoring
@@ -34,7 +36,6 @@ from vitrine.llm.letters import SPACE, letters, pieces_of, slices, with_columns
 
 ORDER = 6
 DISCOUNT = 0.75
-WINDOW = 2  # words of an expression
 MAX_CHARS = 20_000_000  # about the characters of the sample per class and half of the training rows
 MAX_DOCS = 25_000  # and its documents
 FOLDS, HELD_OUT = 3, 1
@@ -126,7 +127,7 @@ class Scorer:
         self._contexts = _Table(model.contexts, model.context_values)
 
     def differences(self, texts: list[str | None]) -> np.ndarray:
-        """Per text the largest length-normalised log likelihood difference of its expressions."""
+        """Per text the logarithm of the mean likelihood ratio of its words."""
         words, owners = [np.zeros(0)], [np.zeros(0, np.int64)]
         for group, at in slices(texts):
             points, number, letter = letters(group, at)
@@ -148,58 +149,11 @@ class Scorer:
             words.append(np.bincount(word, value, len(ends)))
             owners.append(number[ends])
         score, owner = np.concatenate(words), np.concatenate(owners)
-        out = np.full(len(texts), -np.inf)
-        if len(score):
-            count = np.bincount(owner, minlength=len(texts))
-            total = np.concatenate([[0], np.cumsum(score)])
-            begin = np.arange(len(score))
-            last = np.searchsorted(owner, owner, "right")  # texts come in order
-            full = begin + np.minimum(WINDOW, count[owner]) <= last
-            size = np.minimum(WINDOW, count[owner])[full]
-            np.maximum.at(out, owner[full], (total[begin[full] + size] - total[begin[full]]) / size)
-        return np.where(np.isinf(out), 0.0, out)
-
-
-def _sums(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per key the sum of its weights, aligned with `keys`; and the number of keys like it that weigh something."""
-    _, inverse = np.unique(keys, return_inverse=True)
-    return np.bincount(inverse, weights)[inverse], np.bincount(inverse, weights > 0)[inverse]
-
-
-def kneser_ney(points: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> ToxicityModel:
-    """points: code points of each n-gram, one row of ORDER numbers; the counts are those of the classes.
-
-    The plain form, in one memory, of what `_smoothed` computes on tables.
-    """
-    some = toxic + ordinary > 0
-    points, toxic, ordinary = points[some].astype(np.uint64), toxic[some].astype(float), ordinary[some].astype(float)
-    letter = points[:, -1]
-    contexts = [np.zeros(len(points), np.uint64)]
-    for back in range(1, ORDER):
-        contexts.append(_longer(contexts[-1], points[:, ORDER - 1 - back], back))
-    grams = [_gram(c, letter) for c in contexts]
-    # The shared lower orders: in how many longer endings does an ending occur?
-    shared = np.full(len(points), 1.0 / max(1, len(np.unique(letter))))
-    for length in range(ORDER - 1):
-        longer, first = np.unique(grams[length + 1], return_index=True)
-        _, own, inverse = np.unique(grams[length][first], return_index=True, return_inverse=True)
-        continuations = np.bincount(inverse).astype(float)
-        total, kinds = _sums(contexts[length][first][own], continuations)
-        gram_of = np.searchsorted(np.unique(grams[length]), grams[length])
-        shared = np.maximum(continuations - DISCOUNT, 0)[gram_of] / total[gram_of] + (DISCOUNT * kinds / total)[gram_of] * shared
-    context = contexts[-1]
-
-    def of_class(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        total, kinds = _sums(context, counts)
-        left = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
-        return np.maximum(counts - DISCOUNT, 0) / np.maximum(total, 1) + left * shared, left
-
-    (p_toxic, left_toxic), (p_ordinary, left_ordinary) = of_class(toxic), of_class(ordinary)
-    keys, first = np.unique(context, return_index=True)
-    return ToxicityModel(
-        grams[-1], (np.log(p_toxic) - np.log(p_ordinary)).astype(np.float32),
-        keys, (np.log(left_toxic) - np.log(left_ordinary))[first].astype(np.float32),
-    )
+        count = np.bincount(owner, minlength=len(texts))
+        most = np.zeros(len(texts))
+        np.maximum.at(most, owner, score)
+        total = np.bincount(owner, np.exp(score - most[owner]), len(texts))
+        return np.where(count > 0, most + np.log(np.maximum(total, 1e-300) / np.maximum(count, 1)), 0.0)
 
 
 def logistic(difference: np.ndarray, toxic: np.ndarray, weight: np.ndarray, penalty: float = 0.02) -> tuple[float, float]:
