@@ -41,7 +41,7 @@ BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
 # Coordinates in which texts at SIMILAR agree at least, but for seven standard deviations.
 AGREEING = int(COORDINATES * SIMILAR - 7 * (COORDINATES * SIMILAR * (1 - SIMILAR)) ** 0.5)
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 100_000
 
 _WORD = re.compile(r"\w+")
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]

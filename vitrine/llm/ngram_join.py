@@ -44,7 +44,7 @@ SKETCH = 64
 SHARED = 3  # a linked text shares at least one in so many of its sketch
 PROBE_COST = 0.0085  # of a binary probe against a step of the merge, for the number of lists set apart
 PROBES = 1_000_000  # made at once
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 100_000
 
 _M = [np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 
