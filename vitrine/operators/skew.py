@@ -31,7 +31,8 @@ def sliced(df: DataFrame, keys: list[str], position: Column, slice_rows: int = S
     counts = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     most = counts.agg(F.max("_n")).first()[0] or 0
     if most <= slice_rows:
-        return df.withColumn(out, F.lit(0))
+        # 0, but not as a literal: joins on it stay joins on a key.
+        return df.withColumn(out, F.pmod(F.xxhash64(position), F.lit(1)).cast("int"))
     slices = min(MOST_SLICES, -(-most // slice_rows))
     shares = [n / slices for n in range(1, slices)]
     large = counts.where(F.col("_n") > slice_rows).drop("_n")
