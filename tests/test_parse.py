@@ -1,3 +1,5 @@
+import json
+
 from vitrine.operators.parse import _PageEvents
 
 
@@ -77,3 +79,13 @@ def test_deep_nesting_keeps_facts_small():
 def test_odd_markup_does_not_fail():
     for markup in ("", "<", "<a href", "<![CDATA[x]]>", "<!", "&#xffffffff;", "<p " + "a" * 500):
         facts(markup)
+
+
+def test_text_members_of_json_ld_have_their_references_resolved():
+    script = '{"@type": "Product", "name": "Men&rsquo;s \\u0026#8377;5 &eacute;", "category": "A &amp; B \\"x\\"", "logo": "https://a.in/l?a=1&copy=2", "description": 5}'
+    r = facts(f'<script type="application/ld+json">{script}</script>')
+    item = json.loads(r["ld_json"][0])
+    assert item["name"] == "Men’s ₹5 é" and item["category"] == 'A & B "x"'
+    assert item["logo"] == "https://a.in/l?a=1&copy=2" and item["description"] == 5
+    broken = '{"name": "a &amp; b \\q"}'
+    assert facts(f'<script type="application/ld+json">{broken}</script>')["ld_json"] == [broken]
