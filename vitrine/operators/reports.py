@@ -16,14 +16,18 @@ def combined_score() -> Column:
 
 
 def unique_domains(stores: DataFrame) -> DataFrame:
-    """One accepted record per final domain: highest combined score, then lowest id."""
-    row = F.struct(*stores.columns)
-    return (
-        stores.where("accepted")
-        .groupBy(domain_key(F.col("domain_url")).alias("_key"))
-        .agg(F.max_by(row, F.struct(combined_score(), -F.col("candidate_id"))).alias("_row"))
-        .select("_row.*")
-    )
+    """One accepted record per final domain: highest combined score, then lowest id.
+
+    Domains with several records are found on three narrow columns, and those records' ids that are not the best
+    are taken out. Records as such move only if such ids are very many.
+    """
+    accepted = stores.where("accepted")
+    narrow = accepted.select(F.coalesce(domain_key(F.col("domain_url")), F.lit("")).alias("_key"), combined_score().alias("_score"), "candidate_id")
+    several = narrow.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.max("_score").alias("_best")).where("_n > 1").drop("_n")
+    among = narrow.join(several, "_key")
+    first = among.where("_score = _best").groupBy("_key").agg(F.min("candidate_id").alias("_first"))
+    others = among.join(first, "_key").where("candidate_id <> _first").select("candidate_id")
+    return accepted.join(others, "candidate_id", "left_anti").select(*stores.columns)
 
 
 def status_counts(candidates: DataFrame) -> DataFrame:
