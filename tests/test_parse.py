@@ -1,4 +1,5 @@
 import json
+import random
 
 from vitrine.operators.parse import _PageEvents
 
@@ -89,3 +90,30 @@ def test_text_members_of_json_ld_have_their_references_resolved():
     assert item["logo"] == "https://a.in/l?a=1&copy=2" and item["description"] == 5
     broken = '{"name": "a &amp; b \\q"}'
     assert facts(f'<script type="application/ld+json">{broken}</script>')["ld_json"] == [broken]
+
+
+# --- the plain reader against the standard parser ---------------------------------
+
+PIECES = [
+    "<p>", "</p>", "<a href='y&amp;z'>", '<a HREF="/" class="contact">', "</a>", "<script>", "</script>", "</SCRIPT >", "<!-- c -->", "<!-->", "<!--a--!>",
+    '<script>var t="</p>";</script>', '<script type="application/ld+json">{"name":"a&amp;b"}</script>', "<style>p{}</style>", "<script/>", "<title>", "</title>",
+    "<!DOCTYPE html>", "<![CDATA[x]]>", "<?pi?>", "<a b=c/>", '<a href = "x">', '<a href="x"class="y">', "<a\x0bhref='q'>", "<img src='a' alt>", "<br/>", "</ p>", "</>",
+    "<", ">", "&am", "&amp;amp;", "text ", "é₹", '<main class="hero">', "</main>", "<textarea>", "<plaintext>", "<footer id=address>", "<", '"',
+]
+
+
+def test_plain_markup_is_read_as_by_the_standard_parser():
+    class Standard(_PageEvents):
+        def _read_plain(self, body):
+            return 0
+
+    draw = random.Random(7)
+    for _ in range(4000):
+        body = "".join(draw.choices(PIECES, k=draw.randint(1, 12)))
+        assert _PageEvents().facts(body) == Standard().facts(body), body
+
+
+def test_plain_markup_needs_no_standard_parser():
+    body = '<!DOCTYPE html><!-- x --><p class="a">b &amp; c<br/><script>if (a < b) t = "</p>"</script><a href=\'/\' hidden>d</a></p>'
+    assert _PageEvents()._read_plain(body) == len(body)
+    assert _PageEvents()._read_plain("<p>a</p><a b=c>d</a>") == len("<p>a</p>")
