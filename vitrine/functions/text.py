@@ -72,6 +72,12 @@ def contains_any(text: str, words: Iterable[str]) -> str:
     return matches(text, alternation(words))
 
 
+def matches_lowered(text: str, pattern: str) -> str:
+    """Does lower-case `text` match a pattern in lower case? Text that is all ASCII, as most is, need not be lowered."""
+    plain = f"octet_length({text}) = char_length({text})"
+    return f"(CASE WHEN {plain} THEN {matches(text, '(?i)' + pattern)} ELSE {matches(f'lower({text})', pattern)} END)"
+
+
 def found(text: str, pattern: str, group: int = 0) -> str:
     return f"regexp_extract_all({text}, {literal(pattern)}, {group})"
 
@@ -153,11 +159,11 @@ def shows_rupees(text: str) -> str:
 
 
 def ships_to_india(text: str) -> str:
-    return matches(f"lower({text})", fv.SHIPS_TO_INDIA)
+    return matches_lowered(text, fv.SHIPS_TO_INDIA)
 
 
 def names_registered_office(text: str) -> str:
-    return matches(f"lower({text})", fv.REGISTERED_OFFICE)
+    return matches_lowered(text, fv.REGISTERED_OFFICE)
 
 
 def is_yes(value: str) -> str:

@@ -36,7 +36,8 @@ def has_class(element: str, name: str) -> str:
 
 
 def mentions(element: str, attribute: str, word: str) -> str:
-    return f"contains(lower({attr(element, attribute)}), '{word}')"
+    # Most elements have no such attribute: nothing is lowered then.
+    return f"coalesce(contains(lower(try_element_at({element}.attrs, '{attribute}')), '{word}'), false)"
 
 
 def inside(element: str, *markers: str) -> str:

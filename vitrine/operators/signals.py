@@ -156,7 +156,7 @@ def state_signals() -> str:
 
 def page_emails() -> str:
     """Addresses of mailto links, and those in contact regions away from a maker's credit."""
-    mailto = keep("hrefs", lambda h: f"startswith(lower({h}), 'mailto:')")
+    mailto = keep("hrefs", lambda h: f"substring({h}, 7, 1) = ':' AND lower(left({h}, 6)) = 'mailto'")
     linked = each(mailto, lambda h: contacts.extract_emails(f"split(substring({h}, 8), '[?]')[0]"))
 
     def uncredited(region: str) -> str:
@@ -179,7 +179,7 @@ def _over_regions(extract) -> str:
 
 
 def page_phones() -> str:
-    tel = keep("hrefs", lambda h: f"startswith(lower({h}), 'tel:')")
+    tel = keep("hrefs", lambda h: f"substring({h}, 4, 1) = ':' AND lower(left({h}, 3)) = 'tel'")
     linked = each(tel, lambda h: contacts.extract_phones(f"substring({h}, 5)"))
     chats = each(keep("hrefs", lambda h: f"contains({h}, '//')"), contacts.whatsapp_phone)
     known_chats = keep(chats, lambda p: f"{p} IS NOT NULL")
