@@ -130,3 +130,27 @@ def test_awkward_and_empty_tables(spark):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
         {(i, t) for i, t in rows if i is not None and i != 7} | {(i, t) for i, t in rows if i is None}, key=str
     )
+
+
+def test_nothing_that_grows_with_the_documents_is_broadcast(spark, monkeypatch, tmp_path):
+    """Written tables pass for small by their files, and an explode for adding nothing."""
+    plans = []
+
+    def stored(df, what):
+        plans.append((what, df._jdf.queryExecution().executedPlan().toString()))
+        path = str(tmp_path / str(len(plans)))
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    monkeypatch.setattr(nd, "stored", stored)
+    monkeypatch.setattr(linking, "stored", stored)
+    monkeypatch.setattr(linking, "PART_NODES", 20)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        result = nd.classes(docs_of(spark, corpus()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {what for what, _ in plans} == {"sketches", "nodes", "buckets", "elements", "groups", "links", "labels", "mixed-groups"}
+    sizes_of_groups = ("groups", "mixed-groups")  # a row per group, measured before it is sent
+    assert [what for what, plan in plans if "Broadcast" in plan and what not in sizes_of_groups] == []
+    assert found(result) == plain(corpus())

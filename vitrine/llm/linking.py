@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import stored
+from vitrine.llm.common import merge_join, stored
 
 PART_NODES, PART_WEIGHT = 1_000, 1_000_000  # of a group's nodes that one search holds
 DEALS = 2
@@ -40,10 +40,10 @@ def components(edges: DataFrame) -> DataFrame:
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("component"))
     labels = stored(labels, "labels")
     while True:
-        seen = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        nearer = labels.join(seen, "node").select("node", "component", F.least("component", "near").alias("next"))
+        seen = merge_join(both, labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
+        nearer = merge_join(labels, seen, "node").select("node", "component", F.least("component", "near").alias("next"))
         jump = labels.select(F.col("node").alias("next"), F.col("component").alias("far"))
-        moved = stored(nearer.join(jump, "next", "left").select("node", "component", F.least("next", F.coalesce("far", "next")).alias("next")), "labels")
+        moved = stored(merge_join(nearer, jump, "next", "left").select("node", "component", F.least("next", F.coalesce("far", "next")).alias("next")), "labels")
         labels = moved.select("node", F.col("next").alias("component"))
         if moved.where("component <> next").isEmpty():
             return labels
@@ -136,19 +136,19 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     if links.isEmpty():
         return labels
     whole = components(links).select(F.col("node").alias("component"), F.col("component").alias("whole"))
-    return stored(labels.join(whole, "component", "left").select("node", F.coalesce("whole", "component").alias("component")), "labels")
+    return stored(merge_join(labels, whole, "component", "left").select("node", F.coalesce("whole", "component").alias("component")), "labels")
 
 
 def _searched(rows: DataFrame, payload: DataFrame, index_of: Callable) -> DataFrame:
     """Links of rows (bucket, part, asks, node, component)."""
-    dealt = rows.join(payload, "node").repartition("bucket", "part").sortWithinPartitions("bucket", "part", "asks")
+    dealt = merge_join(rows, payload, "node").repartition("bucket", "part").sortWithinPartitions("bucket", "part", "asks")
     return stored(dealt.mapInArrow(forest(index_of), EDGES), "links")
 
 
 def _grouped(buckets: DataFrame) -> DataFrame:
     """(bucket, node, parts): groups of more than one node, named by the smallest node of their buckets."""
     lead = buckets.groupBy("bucket").agg(F.min("node").alias("lead"))
-    led = buckets.join(lead, "bucket").groupBy(F.col("lead").alias("bucket"), "node").agg(F.max("weight").alias("weight"))
+    led = merge_join(buckets, lead, "bucket").groupBy(F.col("lead").alias("bucket"), "node").agg(F.max("weight").alias("weight"))
     parts = F.ceil(F.greatest(F.count(F.lit(1)) / PART_NODES, F.sum("weight") / PART_WEIGHT)).cast("int")
     sizes = led.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), parts.alias("parts")).where("n > 1").drop("n")
     return stored(led.join(sizes, "bucket").select("bucket", "node", "parts"), "groups")
@@ -171,9 +171,9 @@ def connected(buckets: DataFrame, payload: DataFrame, index_of: Callable) -> Dat
     if large.isEmpty():
         return labels
     for deal in range(1, DEALS):
-        again = large.join(labels, "node").select("bucket", _part(deal), F.lit(0).alias("asks"), "node", "component")
+        again = merge_join(large, labels, "node").select("bucket", _part(deal), F.lit(0).alias("asks"), "node", "component")
         labels = _joined(labels, _searched(again, payload, index_of))
-    placed = large.join(labels, "node")
+    placed = merge_join(large, labels, "node")
     per = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = per.groupBy("bucket").agg(F.count(F.lit(1)).alias("components"), F.max_by("component", F.struct("n", "component")).alias("main"))
     rows = stored(placed.join(mixed.where("components > 1").drop("components"), "bucket"), "mixed-groups")

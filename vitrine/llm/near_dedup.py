@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vitrine.llm import linking
-from vitrine.llm.common import stored, table
+from vitrine.llm.common import merge_join, stored, table
 from vitrine.llm.letters import pieces_of
 
 WORDS = 5
@@ -184,7 +184,7 @@ def _buckets(nodes: DataFrame) -> DataFrame:
     rows = F.conv(F.hex(F.expr(f"substring(signature, band * {ROWS} + 1, {ROWS})")), 16, 10).cast("bigint")
     keyed = each.select((F.shiftleft(F.col("band").cast("bigint"), 8 * ROWS) + rows).alias("bucket"), "node", "weight")
     shared = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    return keyed.join(shared, "bucket")
+    return merge_join(keyed, shared, "bucket")
 
 
 # --- exact similarity ----------------------------------------------------------------------
@@ -204,8 +204,8 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _elements(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(node, elements) of the nodes that meet others."""
-    met = nodes.join(buckets.select("node").distinct(), "node").select("node", "digest", "rep")
-    texts = docs.select(F.col(doc_id).cast("bigint").alias("rep"), F.col(text).alias("text")).join(met, "rep")
+    met = merge_join(nodes, buckets.select("node").distinct(), "node").select("node", "digest", "rep")
+    texts = merge_join(docs.select(F.col(doc_id).cast("bigint").alias("rep"), F.col(text).alias("text")), met, "rep")
     return texts.select("node", "digest", "text").mapInArrow(_units, "node bigint, elements array<bigint>").dropDuplicates(["node"])
 
 
@@ -247,12 +247,13 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")  # numbers stay as written
     buckets = stored(_buckets(nodes), "buckets")
     units = _elements(docs, nodes, buckets, doc_id, text)
-    payload = stored(nodes.select("node", "weight", "signature").join(units, "node"), "elements")
+    payload = stored(merge_join(nodes.select("node", "weight", "signature"), units, "node"), "elements")
     labels = linking.connected(buckets, payload, Signed)
-    final = nodes.select("digest", "node", "rep", "n").join(labels, "node", "left").select("digest", "rep", "n", F.coalesce("component", "node").alias("class"))
+    final = merge_join(nodes.select("digest", "node", "rep", "n"), labels, "node", "left")
+    final = final.select("digest", "rep", "n", F.coalesce("component", "node").alias("class"))
     sizes = final.groupBy("class").agg(F.min("rep").alias("class_id"), F.sum("n").alias("class_size"))
     named = final.join(sizes, "class").select("digest", "class_id", "class_size")
-    linked = rows.where(~alone).select("doc_id", "digest").join(named, "digest").select("doc_id", "class_id", "class_size")
+    linked = merge_join(rows.where(~alone).select("doc_id", "digest"), named, "digest").select("doc_id", "class_id", "class_size")
     own = rows.where(alone).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("bigint").alias("class_size"))
     return linked.unionByName(own)
 
